@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .mixing import op4_budget_mix
+from .packing import op9_pattern_packing
 from .substring_dedup import op2_substring_dedup
 from .suffix_dedup import op10_suffix_dedup
 
@@ -13,6 +15,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_substring_dedup,
+        op4_budget_mix,
+        op9_pattern_packing,
         op10_suffix_dedup,
     )
 }
