@@ -215,7 +215,9 @@ def remove_repeats(docs: DataFrame, unit: Unit, text: str = "text", hot: int = H
     Null texts are empty; an empty table gives an empty table; other columns are ignored. doc_id null or repeated: see
     common.keyed. Texts shorter than a window lose nothing."""
     rows, ids = keyed(docs, text)
-    texts = rows.select("key", F.coalesce("text", F.lit("")).alias("text")).repartition("key")
+    # The filter drops nothing. It keeps the optimiser from adding one below some of the three uses of this shuffle, which
+    # would then not be shared.
+    texts = rows.where("key is not null").select("key", F.coalesce("text", F.lit("")).alias("text")).repartition("key")
     named = rows.select("key", F.md5(F.coalesce("text", F.lit(""))).alias("name"))
     copies = (
         named.join(named.groupBy("name").agg(F.min("key").alias("first_key"), F.count(F.lit(1)).alias("n")).where("n > 1"), "name")
@@ -223,7 +225,8 @@ def remove_repeats(docs: DataFrame, unit: Unit, text: str = "text", hot: int = H
         .select(F.col("key").alias("copy_key"))
         .repartition("copy_key")
     )
-    own = texts.join(copies.hint("shuffle_hash"), F.col("key") == F.col("copy_key"), "left_anti")
+    flagged = texts.join(copies.hint("shuffle_hash"), F.col("key") == F.col("copy_key"), "left")
+    own = flagged.where("copy_key is null").select("key", "text")
     blocks = own.mapInArrow(_label(unit), "label long, key long, first int, last int, loops boolean")
     by_label = Window.partitionBy("label")
     repeated = (
@@ -241,8 +244,7 @@ def remove_repeats(docs: DataFrame, unit: Unit, text: str = "text", hot: int = H
     marked = shipped.repartition("label").sortWithinPartitions("label", "key", "first").mapInArrow(_mark(unit), "key long, s int, e int")
     spans = marked.groupBy(F.col("key").alias("span_key")).agg(F.collect_list(F.struct("s", "e")).alias("spans"))
     out = (
-        texts.join(copies.hint("shuffle_hash"), F.col("key") == F.col("copy_key"), "left")
-        .join(spans.hint("shuffle_hash"), F.col("key") == F.col("span_key"), "left")
+        flagged.join(spans.hint("shuffle_hash"), F.col("key") == F.col("span_key"), "left")
         .select("key", "text", F.col("copy_key").isNotNull().alias("copy"), "spans")
         .mapInArrow(_finish(unit), "key long, size long, n_removed long, n_spans long, kept_sha256 string")
     )
