@@ -95,13 +95,16 @@ def fit(histogram: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"source": out["source"], "size": size, "passes": passes, "more": more})
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: int = SEED, text: str = "text", source: str = "source") -> DataFrame:
-    """docs with size, source_size, target and copies: how often the mix takes each row (0 to `most`).
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: int = SEED, size: Column | None = None, source: str = "source") -> DataFrame:
+    """docs with size, source_size, target and copies: how often the mix takes each row (0 to `most`). size: a document's
+    size, by default the words of text.
 
     Null texts have size 0 and are never taken, null is a source of its own, repeated rows are rows of their own, and an
     empty table gives an empty table. Columns of docs named like the new ones are replaced."""
-    docs = docs.drop("size", "source_size", "target", "copies")
-    lengths = cut(docs.select(F.col(source).alias("source"), n_words(F.col(text)).alias("size")).groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
+    measure = n_words(F.col("text")) if size is None else size
+    columns = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
+    docs = docs.select(*columns, measure.alias("size"))
+    lengths = cut(docs.select(F.col(source).alias("source"), "size").groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
     shares = cut(targets(lengths.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, most))
     same = lengths["source"].eqNullSafe(shares["source"])
     takes = cut(
@@ -112,12 +115,12 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
         .select(F.col("source").alias("_in"), F.col("size").alias("_length"), "passes", "more")
     )
     shares = shares.select(F.col("source").alias("_from"), "source_size", "target")
-    rows = numbered(docs.withColumn("size", n_words(F.col(text))), [source, "size"], [F.xxhash64("doc_id", F.lit(seed)), F.col("doc_id")], "_number")
+    rows = numbered(docs, [source, "size"], [F.xxhash64("doc_id", F.lit(seed)), F.col("doc_id")], "_number")
     return (
         rows.join(takes, rows[source].eqNullSafe(takes["_in"]) & (rows["size"] == takes["_length"]))
         .join(shares, rows[source].eqNullSafe(shares["_from"]))
         .withColumn("copies", F.when(F.col("size") == 0, 0).otherwise(F.col("passes") + (F.col("_number") < F.col("more")).cast("long")).cast("int"))
-        .select(*docs.columns, "size", "source_size", "target", "copies")
+        .select(*columns, "size", "source_size", "target", "copies")
     )
 
 
@@ -127,7 +130,6 @@ def mixed(docs: DataFrame) -> DataFrame:
 
 
 def op4_budget_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", "source", "text")
-    sized = cut(docs.select("doc_id", "source", n_words(F.col("text")).alias("words")))
-    out = mix(sized.select("doc_id", "source", F.col("words").alias("text")), text="text")
+    sized = cut(documents(spark, sf_dir).select("doc_id", "source", n_words(F.col("text")).alias("words")))
+    out = mix(sized, size=F.col("words"))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
