@@ -4,8 +4,8 @@ Every window has one *label* that depends on its content alone, so equal windows
 windows of one label form a block. The plan is
 
 1. documents are shuffled once by key; exact copies fall back on the first of them,
-2. blocks (label, key, first window, last window) are shuffled by label; labels that occur once are unique text
-   (but for a block that holds its label's sign twice),
+2. (label, key) of each block is shuffled by label; labels that occur once are unique text (a block that may repeat in
+   itself counts twice),
 3. documents with repeated labels ship the text of those blocks, by label,
 4. where equal windows now meet, all but the first occurrence of each are marked,
 5. marked ranges go back to the documents.
@@ -69,52 +69,53 @@ def merged(spans: np.ndarray) -> np.ndarray:
 
 
 def _label(unit: Unit) -> Callable:
+    """(label, key) of each block; twice for one that may repeat in itself."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column("key").to_numpy()
             texts = as_bytes(batch.column("text"))
             for a, b in chunks([len(t) for t in texts]):
-                which, label, first, last, loops = unit.blocks(texts[a:b])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(label)), pa.array(keys[a:b][which]), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)), pa.array(loops)],
-                    names=["label", "key", "first", "last", "loops"],
-                )
+                which, label, _, _, loops = unit.blocks(texts[a:b])
+                times = 1 + loops.astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(signed(np.repeat(label, times))), pa.array(keys[a:b][np.repeat(which, times)])], names=["label", "key"])
 
     return run
 
 
 def _ship(unit: Unit) -> Callable:
-    """(label, key, first, last, context): the text of repeated blocks. Of equal contexts in one batch only the
-    first is shipped; the others, whose windows all start earlier elsewhere, go without one."""
+    """(label, key, first, last, context): the text of repeated blocks. Of equal contexts in one chunk only the first
+    is shipped; the others, whose windows all start earlier elsewhere, go without one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column("key").to_numpy()
             texts = as_bytes(batch.column("text"))
-            found = batch.column("blocks")
-            at = found.offsets.to_numpy()
-            parts = [found.values.field(n).to_numpy(zero_copy_only=False) for n in ("first", "last", "label", "hot")]
+            wanted, hot = batch.column("labels").to_pylist(), batch.column("hot").to_pylist()
             for a, b in chunks([len(t) for t in texts]):
-                rows: dict[tuple[int, bytes], int] = {}
+                order = sorted(range(a, b), key=lambda i: keys[i])
+                which, label, first, last, _ = unit.blocks([texts[i] for i in order])
+                label = signed(label)
+                limit = np.searchsorted(which, np.arange(len(order) + 1))
+                seen: set[tuple[int, bytes]] = set()
                 out: tuple[list, ...] = ([], [], [], [], [])
-                for i in sorted(range(a, b), key=lambda i: keys[i]):
-                    first, last, label, hot = (p[at[i] : at[i + 1]] for p in parts)
-                    order = np.argsort(first)
-                    first, last, label, hot = first[order], last[order], label[order], hot[order]
-                    for s, e, name, each, context in zip(first.tolist(), last.tolist(), label.tolist(), hot.tolist(), unit.context(texts[i], first, last), strict=True):
-                        known = (name, context) in rows
-                        if not known:
-                            rows[name, context] = 1
-                        if each and not known:
+                for k, i in enumerate(order):
+                    own = slice(limit[k], limit[k + 1])
+                    use = np.isin(label[own], np.asarray(wanted[i]))
+                    names, s, e = label[own][use], first[own][use], last[own][use]
+                    key = int(keys[i])
+                    for name, s_, e_, context in zip(names.tolist(), s.tolist(), e.tolist(), unit.context(texts[i], s, e), strict=True):
+                        known = (name, context) in seen
+                        seen.add((name, context))
+                        if hot[i] and not known and name in hot[i]:
                             _, one, _ = unit.digests([context])
-                            inner = np.arange(e - s + 1)
-                            singles = unit.context(context, inner, inner)
-                            for k, h in enumerate(signed(one).tolist()):
-                                for o, v in zip(out, (h, keys[i], s + k, s + k, singles[k]), strict=True):
-                                    o.append(v)
-                            continue
-                        for o, v in zip(out, (name, keys[i], s, e, None if known else context), strict=True):
-                            o.append(v)
+                            inner = np.arange(e_ - s_ + 1)
+                            rows = [(h, key, s_ + j, s_ + j, w) for j, (h, w) in enumerate(zip(signed(one).tolist(), unit.context(context, inner, inner), strict=True))]
+                        else:
+                            rows = [(name, key, s_, e_, None if known else context)]
+                        for row in rows:
+                            for o, v in zip(out, row, strict=True):
+                                o.append(v)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int32()), pa.array(out[4], pa.binary())],
                     names=["label", "key", "first", "last", "context"],
@@ -227,18 +228,17 @@ def remove_repeats(docs: DataFrame, unit: Unit, text: str = "text", hot: int = H
     )
     flagged = texts.join(copies.hint("shuffle_hash"), F.col("key") == F.col("copy_key"), "left")
     own = flagged.where("copy_key is null").select("key", "text")
-    blocks = own.mapInArrow(_label(unit), "label long, key long, first int, last int, loops boolean")
     by_label = Window.partitionBy("label")
     repeated = (
-        blocks.repartition("label")
+        own.mapInArrow(_label(unit), "label long, key long")
+        .repartition("label")
         .withColumn("n", F.count(F.lit(1)).over(by_label))
-        .where("n > 1 or loops")
-        .select("key", F.struct("first", "last", "label", (F.col("n") > hot).alias("hot")).alias("block"))
+        .where("n > 1")
     )
-    per_doc = repeated.groupBy(F.col("key").alias("block_key")).agg(F.collect_list("block").alias("blocks"))
+    per_doc = repeated.groupBy(F.col("key").alias("block_key")).agg(F.collect_set("label").alias("labels"), F.collect_set(F.when(F.col("n") > hot, F.col("label"))).alias("hot"))
     shipped = (
         texts.join(per_doc.hint("shuffle_hash"), F.col("key") == F.col("block_key"))
-        .select("key", "text", "blocks")
+        .select("key", "text", "labels", "hot")
         .mapInArrow(_ship(unit), "label long, key long, first int, last int, context binary")
     )
     marked = shipped.repartition("label").sortWithinPartitions("label", "key", "first").mapInArrow(_mark(unit), "key long, s int, e int")
