@@ -17,36 +17,42 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir; only where that is unset (tests), a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not _own_folder:
+        _own_folder.append(tempfile.mkdtemp(prefix="meterline-"))
+    return _own_folder[0]
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Writes df to the shared checkpoint folder and reads it back, so that a lost executor costs no more than
-    a re-read. The folder is spark.checkpoint.dir; only where that is unset (tests) a temporary one is taken."""
+    """Writes df to the shared checkpoint folder and reads it back, so that a lost executor costs no more than a
+    re-read."""
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not _own_folder:
-                _own_folder.append(tempfile.mkdtemp(prefix="meterline-"))
-            folder = _own_folder[0]
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
-def keyed(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame | None]:
-    """(key, text) with a key that is unique, not null, and sorted as doc_id is; and how keys map to doc_id.
+def with_key(docs: DataFrame, text: str = "text") -> tuple[DataFrame, bool]:
+    """docs with a column `key` that is unique, not null, and sorted as doc_id is; and whether it is doc_id itself.
 
-    Where doc_id is unique and never null it is the key and the map is None. Otherwise rows are ranked by
-    (doc_id, null first; md5 of text), and the ranks, written out once, are the keys: each row is then a document
-    of its own, and rows that are equal in both columns are consecutive documents."""
+    Where doc_id is unique and never null it is the key. Otherwise rows are ranked by (doc_id, null first; md5 of text),
+    and the ranks, written out once, are the keys: each row is then a document of its own, and rows that are equal in
+    both columns are consecutive documents."""
     n, known, distinct = docs.agg(F.count(F.lit(1)), F.count("doc_id"), F.count_distinct("doc_id")).first()
     if n == known == distinct:
-        return docs.select(F.col("doc_id").cast("long").alias("key"), F.col(text).alias("text")), None
-    ranked = cut(
-        docs.select("doc_id", F.col(text).alias("text"))
-        .repartitionByRange(F.col("doc_id").asc_nulls_first(), F.md5("text").asc_nulls_first())
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.md5("text").asc_nulls_first())
-        .withColumn("key", F.monotonically_increasing_id())
-    )
-    return ranked.select("key", "text"), ranked.select("key", "doc_id")
+        return docs.withColumn("key", F.col("doc_id").cast("long")), True
+    order = [F.col("doc_id").asc_nulls_first(), F.md5(text).asc_nulls_first()]
+    return cut(docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("key", F.monotonically_increasing_id())), False
+
+
+def keyed(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame | None]:
+    """(key, text), and how keys map to doc_id: None where they are the same; see with_key."""
+    rows, same = with_key(docs.select("doc_id", F.col(text).alias("text")))
+    return rows.select("key", "text"), None if same else rows.select("key", "doc_id")
 
 
 def unkeyed(df: DataFrame, ids: DataFrame | None) -> DataFrame:

@@ -42,7 +42,8 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
         .withColumn("rest", F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(full_first), F.lit(0)))
         .withColumn("level", F.col("room") / F.col("rest"))
     )
-    level = F.min(F.when(F.col("full") >= F.col("level"), F.col("level"))).over(everything)
+    # Filling a source that is below the level raises the level of the rest, filling one above lowers it.
+    level = F.max("level").over(everything)
     return t.withColumn("target", F.when(F.col("full") < F.col("level"), F.col("source_size") * F.lit(float(most))).otherwise(level * F.col("weight"))).select("source", "source_size", "target")
 
 
@@ -92,7 +93,7 @@ def fit(histogram: pd.DataFrame) -> pd.DataFrame:
         use = np.flatnonzero((size > 0) & (n > more) & (size <= left))
         for i, k in zip(use.tolist(), knapsack(size[use].tolist(), (n - more)[use].tolist(), left), strict=True):
             more[i] += k
-    return pd.DataFrame({"source": out["source"], "size": size, "passes": passes, "more": more})
+    return pd.DataFrame({"source": out["source"], "size": size, "passes": passes, "more": more, "source_size": total, "target": target})
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: int = SEED, size: Column | None = None, source: str = "source") -> DataFrame:
@@ -105,23 +106,17 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
     columns = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
     docs = docs.select(*columns, measure.alias("size"))
     lengths = cut(docs.select(F.col(source).alias("source"), "size").groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
-    shares = cut(targets(lengths.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, most))
-    same = lengths["source"].eqNullSafe(shares["source"])
+    shares = targets(lengths.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, most).withColumnRenamed("source", "_from")
     takes = cut(
-        lengths.join(shares, same)
-        .select(lengths["source"], "size", "n", "source_size", "target")
+        lengths.join(shares, F.col("source").eqNullSafe(F.col("_from")))
+        .select("source", "size", "n", "source_size", "target")
         .groupBy("source")
-        .applyInPandas(fit, "source string, size long, passes long, more long")
-        .select(F.col("source").alias("_in"), F.col("size").alias("_length"), "passes", "more")
-    )
-    shares = shares.select(F.col("source").alias("_from"), "source_size", "target")
-    rows = numbered(docs, [source, "size"], [F.xxhash64("doc_id", F.lit(seed)), F.col("doc_id")], "_number")
-    return (
-        rows.join(takes, rows[source].eqNullSafe(takes["_in"]) & (rows["size"] == takes["_length"]))
-        .join(shares, rows[source].eqNullSafe(shares["_from"]))
-        .withColumn("copies", F.when(F.col("size") == 0, 0).otherwise(F.col("passes") + (F.col("_number") < F.col("more")).cast("long")).cast("int"))
-        .select(*columns, "size", "source_size", "target", "copies")
+        .applyInPandas(fit, "source string, size long, passes long, more long, source_size long, target double")
+        .withColumnRenamed("source", source)
     )
+    rows = numbered(docs, [source, "size"], [F.xxhash64("doc_id", F.lit(seed)), F.col("doc_id")], "_number", more=takes)
+    extra = F.col("passes") + (F.col("_number") < F.col("more")).cast("long")
+    return rows.withColumn("copies", F.when(F.col("size") == 0, 0).otherwise(extra).cast("int")).select(*columns, "size", "source_size", "target", "copies")
 
 
 def mixed(docs: DataFrame) -> DataFrame:

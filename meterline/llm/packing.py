@@ -150,13 +150,20 @@ def slots(patterns: list[Pattern]) -> dict[int, np.ndarray]:
     return {n: np.array(rows, np.int64) for n, rows in out.items()}
 
 
-def numbered(df: DataFrame, keys: list[str], order: list, name: str = "number", salts: int = SALTS) -> DataFrame:
+def numbered(df: DataFrame, keys: list[str], order: list, name: str = "number", salts: int = SALTS, more: DataFrame | None = None) -> DataFrame:
     """A number from 0 for each row among those that share keys. Rows are dealt into salts and only numbered within
-    one, so that no task holds a hot key's rows; counts of the salts give where each starts."""
+    one, so that no task holds a hot key's rows; counts of the salts give where each starts. more: a table with one row
+    for each value of keys, whose other columns are added on the way (rows without one go), so that df is shuffled once."""
     df = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
     seen = df.groupBy(*keys, "_salt").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     seen = seen.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_salt").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    if more is not None:
+        more = more.withColumnsRenamed({k: f"__{k}" for k in keys})
+        on = F.lit(True)
+        for k in keys:
+            on &= F.col(f"_{k}").eqNullSafe(F.col(f"__{k}"))
+        seen = seen.join(more, on).drop(*[f"__{k}" for k in keys])
     same = F.col("_salt") == F.col("_of")
     for k in keys:
         same &= F.col(k).eqNullSafe(F.col(f"_{k}"))

@@ -6,16 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .jaccard_join import op6_jaccard_join
 from .mixing import op4_budget_mix
 from .packing import op9_pattern_packing
+from .pii import op8_pii_bootstrap
+from .quality import op5_quality_cascade
+from .quotes import op7_quote_linking
+from .sketches import op3_scaled_sketch
 from .substring_dedup import op2_substring_dedup
 from .suffix_dedup import op10_suffix_dedup
+from .toxicity import op1_toxicity_crf
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_toxicity_crf,
         op2_substring_dedup,
+        op3_scaled_sketch,
         op4_budget_mix,
+        op5_quality_cascade,
+        op6_jaccard_join,
+        op7_quote_linking,
+        op8_pii_bootstrap,
         op9_pattern_packing,
         op10_suffix_dedup,
     )
