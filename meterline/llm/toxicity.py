@@ -126,11 +126,11 @@ class Field:
             return v
 
         ahead = np.empty((len(at), 2))
-        v = np.ones(2)
+        v = np.array([1.0, np.exp(self.weights[0])])
         for i, p in enumerate(at.tolist()):
-            gap = p - (int(at[i - 1]) + 1 if i else 0)
-            v = skip(v, gap, False) @ step * emit[i]
-            v /= v.sum()
+            # The first token has no move before it; `v` stands at the token before p, or is that of a first one.
+            v = emit[0] if not p else skip(v, p - int(at[i - 1]) - 1 if i else p - 1, False) @ step * emit[i]
+            v = v / v.sum()
             ahead[i] = v
         v = skip(np.ones(2), len(level) - 1 - int(at[-1]), True)
         out = np.empty(len(at))
