@@ -209,10 +209,10 @@ def p21(spark, d):
     return table(spark, d, "events").select("event_id", C.json_path(F.col("props"), "$.k", "string").alias("k"))
 
 
-@query("P22_explode_nested", "select vec_id, count(*) as n, round(sum(cast(x as double)), 3) as total from (select vec_id, unnest(embedding) as x from embeddings) group by vec_id")
+@query("P22_explode_nested", "select vec_id, count(*) as n, round(sum(cast(x as double)), 3) + 0.0 as total from (select vec_id, unnest(embedding) as x from embeddings) group by vec_id")
 def p22(spark, d):
     e = table(spark, d, "embeddings").select("vec_id", F.array(F.struct(F.col("embedding").alias("xs"))).alias("blocks"))
-    return normalize.explode_nested(e, "blocks", "xs", "x").groupBy("vec_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("x").cast("double")), 3).alias("total"))
+    return normalize.explode_nested(e, "blocks", "xs", "x").groupBy("vec_id").agg(F.count(F.lit(1)).alias("n"), (F.round(F.sum(F.col("x").cast("double")), 3) + F.lit(0.0)).alias("total"))
 
 
 @query("P23_name_part", "select page_id, array_to_string(list_slice(string_split(url, '/'), 2, 3), '/') as part from pages")
