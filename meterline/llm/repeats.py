@@ -52,6 +52,10 @@ class Unit:
         """For all windows: number of the context, two hashes."""
         raise NotImplementedError
 
+    def marker(self) -> Callable:
+        """What marks repeats where equal labels meet."""
+        return _mark(self)
+
     def finish(self, text: bytes, spans: np.ndarray) -> tuple[int, int, int, str]:
         """size, removed, number of removed runs, SHA-256 of what is kept"""
         raise NotImplementedError
@@ -83,9 +87,9 @@ def _label(unit: Unit) -> Callable:
     return run
 
 
-def _ship(unit: Unit) -> Callable:
-    """(label, key, first, last, context): the text of repeated blocks. Of equal contexts in one chunk only the first
-    is shipped; the others, whose windows all start earlier elsewhere, go without one."""
+def _ship(unit: Unit, shrink: bool = True) -> Callable:
+    """(label, key, first, last, context): the text of repeated blocks. With shrink, of equal contexts in one chunk only
+    the first is shipped; the others, whose windows all start earlier elsewhere, go without one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -105,7 +109,7 @@ def _ship(unit: Unit) -> Callable:
                     names, s, e = label[own][use], first[own][use], last[own][use]
                     key = int(keys[i])
                     for name, s_, e_, context in zip(names.tolist(), s.tolist(), e.tolist(), unit.context(texts[i], s, e), strict=True):
-                        known = (name, context) in seen
+                        known = shrink and (name, context) in seen
                         seen.add((name, context))
                         if hot[i] and not known and name in hot[i]:
                             _, one, _ = unit.digests([context])
@@ -210,15 +214,45 @@ def _finish(unit: Unit) -> Callable:
     return run
 
 
+def shared_texts(rows: DataFrame) -> DataFrame:
+    """(key, text), shuffled once by key for all that reads it.
+
+    The filter drops nothing. It keeps the optimiser from adding one below some of the uses of this shuffle, which would
+    then not be shared."""
+    return rows.where("key is not null").select("key", F.coalesce("text", F.lit("")).alias("text")).repartition("key")
+
+
+def contexts_by_label(own: DataFrame, texts: DataFrame, unit: Unit, hot: int = HOT, shrink: bool = True) -> DataFrame:
+    """(label, key, first, last, context) of own's repeated blocks, sorted within partitions of the label."""
+    by_label = Window.partitionBy("label")
+    repeated = (
+        own.mapInArrow(_label(unit), "label long, key long")
+        .repartition("label")
+        .withColumn("n", F.count(F.lit(1)).over(by_label))
+        .where("n > 1")
+    )
+    per_doc = repeated.groupBy(F.col("key").alias("block_key")).agg(F.collect_set("label").alias("labels"), F.collect_set(F.when(F.col("n") > hot, F.col("label"))).alias("hot"))
+    shipped = (
+        texts.join(per_doc.hint("shuffle_hash"), F.col("key") == F.col("block_key"))
+        .select("key", "text", "labels", "hot")
+        .mapInArrow(_ship(unit, shrink), "label long, key long, first int, last int, context binary")
+    )
+    return shipped.repartition("label").sortWithinPartitions("label", "key", "first")
+
+
+def shipped_contexts(rows: DataFrame, unit: Unit, hot: int = HOT, shrink: bool = True) -> DataFrame:
+    """contexts_by_label of all rows (key, text)."""
+    texts = shared_texts(rows)
+    return contexts_by_label(texts, texts, unit, hot, shrink)
+
+
 def remove_repeats(docs: DataFrame, unit: Unit, text: str = "text", hot: int = HOT) -> DataFrame:
     """doc_id, size, n_removed, n_spans, kept_sha256 of each row of docs, without what occurs earlier.
 
     Null texts are empty; an empty table gives an empty table; other columns are ignored. doc_id null or repeated: see
-    common.keyed. Texts shorter than a window lose nothing."""
+    common.with_key. Texts shorter than a window lose nothing."""
     rows, ids = keyed(docs, text)
-    # The filter drops nothing. It keeps the optimiser from adding one below some of the three uses of this shuffle, which
-    # would then not be shared.
-    texts = rows.where("key is not null").select("key", F.coalesce("text", F.lit("")).alias("text")).repartition("key")
+    texts = shared_texts(rows)
     named = rows.select("key", F.md5(F.coalesce("text", F.lit(""))).alias("name"))
     copies = (
         named.join(named.groupBy("name").agg(F.min("key").alias("first_key"), F.count(F.lit(1)).alias("n")).where("n > 1"), "name")
@@ -228,20 +262,7 @@ def remove_repeats(docs: DataFrame, unit: Unit, text: str = "text", hot: int = H
     )
     flagged = texts.join(copies.hint("shuffle_hash"), F.col("key") == F.col("copy_key"), "left")
     own = flagged.where("copy_key is null").select("key", "text")
-    by_label = Window.partitionBy("label")
-    repeated = (
-        own.mapInArrow(_label(unit), "label long, key long")
-        .repartition("label")
-        .withColumn("n", F.count(F.lit(1)).over(by_label))
-        .where("n > 1")
-    )
-    per_doc = repeated.groupBy(F.col("key").alias("block_key")).agg(F.collect_set("label").alias("labels"), F.collect_set(F.when(F.col("n") > hot, F.col("label"))).alias("hot"))
-    shipped = (
-        texts.join(per_doc.hint("shuffle_hash"), F.col("key") == F.col("block_key"))
-        .select("key", "text", "labels", "hot")
-        .mapInArrow(_ship(unit), "label long, key long, first int, last int, context binary")
-    )
-    marked = shipped.repartition("label").sortWithinPartitions("label", "key", "first").mapInArrow(_mark(unit), "key long, s int, e int")
+    marked = contexts_by_label(own, texts, unit, hot).mapInArrow(unit.marker(), "key long, s int, e int")
     spans = marked.groupBy(F.col("key").alias("span_key")).agg(F.collect_list(F.struct("s", "e")).alias("spans"))
     out = (
         flagged.join(spans.hint("shuffle_hash"), F.col("key") == F.col("span_key"), "left")

@@ -1,29 +1,221 @@
 """Suffix-array dedup: byte strings of 100 that occur earlier are cut from every text.
 
-The suffixes that can start a repeat are sampled where the least hash of the 32-byte strings in a window changes, so
-that equal windows pick equal samples; Spark sorts the sampled suffixes by that hash. Within a run of equal samples the
-windows whose common prefix is at least `window` bytes form an interval; a scan over them keeps the first occurrence,
-and a repeat grows over neighbouring windows until the occurrences' left sides differ (`maximal_repeats` returns the
-groups with all occurrences). A full suffix array of all bytes would have to shuffle each suffix's first 100 bytes.
+A suffix array over all bytes would have to shuffle the start of each suffix, a hundred times the input. Windows are
+therefore dealt by the least hash of the 32-byte strings in them, which equal windows share: Spark sorts blocks of text
+under one such label together (repeats.py), and each run of a label gets an enhanced suffix array of its own. Its
+suffixes start where a string of `window` bytes occurs twice and its left extensions differ (or a block begins); other
+repeats are parts of those. Sorted suffixes with the lengths of their common prefixes are scanned with a stack, which
+builds the tree of common-prefix intervals bottom up: each interval of at least `window` bytes is a maximal repeat within
+its blocks with all its occurrences. All but the first occurrence of an interval are cut.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .arrays import joined, prefix, sliding, sliding_min
-from .common import documents
-from .repeats import Blocks, Unit, blocks_of, remove_repeats, sha256, two_hashes
+from .common import documents, keyed
+from .repeats import Blocks, Unit, blocks_of, remove_repeats, sha256, shipped_contexts, two_hashes
 
 WINDOW = 100
 GRAM = 32
+BATCH = 1 << 20
+"""Bytes of contexts whose suffixes are sorted at once; one label is never split."""
+
+Interval = tuple[int, list[int]]
+"""length of the common prefix, suffixes"""
+
+
+def left_diverse(contexts: list[bytes], labels: np.ndarray, unit: "Bytes") -> tuple[np.ndarray, np.ndarray]:
+    """(context, start) of windows that occur twice under their label and whose left extensions differ, or begin a
+    context in one of their places."""
+    which, one, two = unit.digests(contexts)
+    if not len(which):
+        return which, which
+    begin = np.flatnonzero(np.r_[True, which[1:] != which[:-1]])
+    start = np.arange(len(which)) - np.repeat(begin, np.diff(np.r_[begin, len(which)]))
+    buf, at = joined(contexts)
+    before = np.where(start > 0, buf[np.maximum(at[which] + start - 1, 0)].astype(np.int16), -1)
+    order = np.lexsort((two, one, labels[which]))
+    new = np.r_[True, (labels[which[order]][1:] != labels[which[order]][:-1]) | (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])]
+    head = np.flatnonzero(new)
+    size = np.diff(np.r_[head, len(order)])
+    low, high = np.minimum.reduceat(before[order], head), np.maximum.reduceat(before[order], head)
+    use = np.repeat((size > 1) & ((low != high) | (low < 0)), size)
+    return which[order][use], start[order][use]
+
+
+def common_prefixes(suffixes: list[bytes], fresh: np.ndarray) -> np.ndarray:
+    """How many first bytes each sorted suffix shares with the one before it; 0 where `fresh` says so."""
+    size = np.fromiter(map(len, suffixes), np.int64, len(suffixes))
+    out = np.zeros(len(suffixes), np.int64)
+    buf = np.frombuffer(b"".join(suffixes), np.uint8)
+    at = np.cumsum(size) - size
+    width = min(int(np.median(size)) * 2, 1 << 12) + 1
+    column, step = np.arange(width), max(1, (1 << 20) // width)
+    for a in range(1, len(suffixes), step):
+        b = min(a + step, len(suffixes))
+        least = np.minimum(size[a:b], size[a - 1 : b - 1])
+        inside = column < least[:, None]
+        x = buf[np.minimum(at[a:b, None] + column, len(buf) - 1)]
+        y = buf[np.minimum(at[a - 1 : b - 1, None] + column, len(buf) - 1)]
+        same = np.cumprod((x == y) & inside, 1, dtype=np.uint8).sum(1, dtype=np.int64)
+        for i in np.flatnonzero((same == width) & (least > width)).tolist():
+            p, q = suffixes[a + i], suffixes[a + i - 1]
+            n = int(least[i])
+            differ = np.flatnonzero(np.frombuffer(p[:n], np.uint8) != np.frombuffer(q[:n], np.uint8))
+            same[i] = differ[0] if len(differ) else n
+        out[a:b] = same
+    out[fresh] = 0
+    return out
+
+
+def interval_scan(prefixes: list[int], rank: list[int], least: int) -> list[tuple[int, int]]:
+    """(suffix, length) for each suffix that is not the first occurrence of some common-prefix interval of at least
+    `least`, with the longest such interval. prefixes[i]: what sorted suffixes i - 1 and i share; rank: order of
+    occurrence. On the stack lie open intervals by their first occurrence and what they share with the one below; an
+    interval closes when a shorter common prefix comes. Of two that close into one, the later first occurrence loses; all
+    others of its interval have lost with a longer prefix before."""
+    out = []
+    stack: list[tuple[int, int]] = []
+
+    def close(limit: int) -> None:
+        while len(stack) > 1 and stack[-1][1] >= limit:
+            top, shared = stack.pop()
+            below, rest = stack[-1]
+            first, later = (below, top) if rank[below] < rank[top] else (top, below)
+            out.append((later, shared))
+            stack[-1] = (first, rest)
+
+    for i, shared in enumerate(prefixes):
+        if shared < least:
+            close(least)
+            stack = [(i, 0)]
+        else:
+            close(shared)
+            stack.append((i, shared))
+    close(least)
+    return out
+
+
+def interval_tree(prefixes: list[int], least: int) -> list[Interval]:
+    """All common-prefix intervals of at least `least`, each with all its suffixes, by the same scan."""
+    out: list[Interval] = []
+    stack: list[tuple[int, int]] = []
+    for i, shared in enumerate([*prefixes, 0]):
+        left = i - 1
+        while stack and stack[-1][0] > shared:
+            length, left = stack.pop()
+            out.append((length, list(range(left, i))))
+        if shared >= least and (not stack or stack[-1][0] < shared):
+            stack.append((shared, left))
+    return out
+
+
+class Group:
+    """Different contexts of whole labels, with the place where each occurs first."""
+
+    def __init__(self) -> None:
+        self.contexts: list[bytes] = []
+        self.labels: list[int] = []
+        self.places: list[tuple[int, int]] = []
+        self.bytes = 0
+
+    def suffixes(self, unit: "Bytes") -> tuple[list[tuple[int, int, int]], np.ndarray]:
+        """The enhanced suffix array: sorted (context, start, size) and common prefixes."""
+        labels = np.asarray(self.labels)
+        which, start = left_diverse(self.contexts, labels, unit)
+        if not len(which):
+            return [], np.zeros(0, np.int64)
+        # A repeat begins at most a block's width before any of its windows (less than a period before, in a block that
+        # repeats in itself), so suffixes need no more bytes than this.
+        reach = unit.window + 2 * (unit.window - unit.gram + 1)
+        parts = sorted((self.labels[c], self.contexts[c][s : s + reach], c, s) for c, s in zip(which.tolist(), start.tolist(), strict=True))
+        fresh = np.r_[True, np.diff(np.array([p[0] for p in parts])) != 0]
+        return [(c, s, len(t)) for _, t, c, s in parts], common_prefixes([p[1] for p in parts], fresh)
+
+
+def grouped(batches: Iterator[pa.RecordBatch], unit: "Bytes", repeat) -> Iterator[tuple[Group | None, list]]:
+    """Groups of whole labels of about BATCH bytes. Rows that repeat a context of their label are no new suffixes; they
+    are passed to `repeat` and come out beside the group."""
+    group, seen, label, rows = Group(), {}, None, []
+    for batch in batches:
+        columns = [batch.column(n).to_pylist() for n in ("label", "key", "first", "last", "context")]
+        for name, key, first, last, context in zip(*columns, strict=True):
+            if name != label:
+                if group.bytes >= BATCH:
+                    yield group, rows
+                    group, rows = Group(), []
+                label, seen = name, {}
+            if context is None or context in seen:
+                repeat(rows, key, first, last, seen.get(context))
+                continue
+            seen[context] = len(group.contexts)
+            group.contexts.append(context)
+            group.labels.append(name)
+            group.places.append((key, first))
+            group.bytes += len(context)
+    yield group, rows
+
+
+def _mark(unit: "Bytes"):
+    def repeat(rows: list, key: int, first: int, last: int, _: int | None) -> None:
+        rows.append((key, first, last + unit.window))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group, rows in grouped(batches, unit, repeat):
+            suffixes, prefixes = group.suffixes(unit)
+            place = [(group.places[c][0], group.places[c][1] + s) for c, s, _ in suffixes]
+            rank = np.empty(len(place), np.int64)
+            rank[sorted(range(len(place)), key=place.__getitem__)] = np.arange(len(place))
+            for i, length in interval_scan(prefixes.tolist(), rank.tolist(), unit.window):
+                rows.append((place[i][0], place[i][1], place[i][1] + length))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int32())], names=["key", "s", "e"])
+
+    return run
+
+
+def _report(unit: "Bytes"):
+    """(label, length, key, start) of each occurrence in each interval."""
+
+    def repeat(rows: list, key: int, first: int, last: int, context: int | None) -> None:
+        rows.append((context, key, first))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group, rows in grouped(batches, unit, repeat):
+            copies: dict[int, list[tuple[int, int]]] = {}
+            for context, key, first in rows:
+                copies.setdefault(context, []).append((key, first))
+            suffixes, prefixes = group.suffixes(unit)
+            out: list[tuple[bytes, int, int, int]] = []
+            for length, members in interval_tree(prefixes.tolist(), unit.window):
+                c, s, _ = suffixes[members[0]]
+                name = bytes.fromhex(sha256(group.contexts[c][s : s + length]))
+                for m in members:
+                    c, s, _ = suffixes[m]
+                    for key, first in [group.places[c], *copies.get(c, [])]:
+                        out.append((name, length, key, first + s))
+            for c, more in copies.items():
+                if c is not None:
+                    text = group.contexts[c]
+                    name = bytes.fromhex(sha256(text))
+                    out += [(name, len(text), key, first) for key, first in [group.places[c], *more]]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.binary(), pa.int64(), pa.int64(), pa.int64()))], names=["repeat", "length", "key", "start"])
+
+    return run
 
 
 class Bytes(Unit):
     def __init__(self, window: int = WINDOW, gram: int = GRAM):
         self.window, self.gram = window, min(gram, window)
 
+    def marker(self):
+        return _mark(self)
+
     def size(self, text: bytes) -> int:
         return len(text)
 
@@ -67,5 +259,16 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, text: str = "text") -> D
     return remove_repeats(docs, Bytes(window), text).withColumnRenamed("size", "n_bytes")
 
 
+def maximal_repeats(docs: DataFrame, window: int = WINDOW, text: str = "text") -> DataFrame:
+    """repeat (SHA-256 of its bytes), length, doc_id, start: maximal repeats of at least `window` bytes within blocks, each
+    with all its occurrences. A repeat longer than a block comes in parts. Exact copies of documents are included."""
+    rows, ids = keyed(docs, text)
+    unit = Bytes(window)
+    found = shipped_contexts(rows, unit, shrink=False).mapInArrow(_report(unit), "repeat binary, length long, key long, start long").distinct()
+    if ids is None:
+        return found.withColumnRenamed("key", "doc_id")
+    return found.join(ids, "key").select("repeat", "length", "doc_id", "start")
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(documents(spark, sf_dir))

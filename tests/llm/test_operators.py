@@ -95,6 +95,50 @@ def test_repeats_brute_force(spark, unit, hot):
     assert got == want
 
 
+def test_interval_scan_and_tree():
+    r = random.Random(2)
+    for _ in range(200):
+        words = sorted("".join(r.choice("ab") for _ in range(r.randint(1, 9))) for _ in range(r.randint(1, 9)))
+        share = lambda a, b: next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+        prefixes = [0] + [share(a, b) for a, b in zip(words, words[1:], strict=False)]
+        rank = list(range(len(words)))
+        r.shuffle(rank)
+        got = dict.fromkeys(range(len(words)), 0) | dict(suffix_dedup.interval_scan(prefixes, rank, 2))
+        for i, w in enumerate(words):
+            best = max((share(w, v) for j, v in enumerate(words) if rank[j] < rank[i]), default=0)
+            assert got[i] == (best if best >= 2 else 0)
+        tree = {(n, tuple(m)) for n, m in suffix_dedup.interval_tree(prefixes, 2)}
+        want = set()
+        for n in range(2, 10):
+            for w in words:
+                own = tuple(i for i, v in enumerate(words) if v[:n] == w[:n] and len(w) >= n)
+                if len(own) > 1 and min(share(words[a], words[b]) for a in own for b in own if a < b) == n:
+                    want.add((n, own))
+        assert tree == want
+
+
+def test_maximal_repeats(spark):
+    rows = corpus(12, 40)
+    text = {i: (t or "").encode() for i, t, _ in rows}
+    out = suffix_dedup.maximal_repeats(frame(spark, rows)).collect()
+    groups = {}
+    for r in out:
+        groups.setdefault(r["repeat"], []).append((r["doc_id"], r["start"], r["length"]))
+    covered = {i: bytearray(len(b)) for i, b in text.items()}
+    for name, places in groups.items():
+        assert len(places) > 1
+        for i, s, n in places:
+            assert n >= 100 and hashlib.sha256(text[i][s : s + n]).digest() == bytes(name)
+            covered[i][s : s + n] = b"\1" * n
+    count = Counter(b[p : p + 100] for b in text.values() for p in range(len(b) - 99))
+    for i, b in text.items():
+        want = bytearray(len(b))
+        for p in range(len(b) - 99):
+            if count[b[p : p + 100]] > 1:
+                want[p : p + 100] = b"\1" * 100
+        assert covered[i] == want
+
+
 def test_jaccard_brute_force(spark):
     r = random.Random(3)
     rows = corpus(5, 80)
