@@ -90,7 +90,9 @@ def quality_cascade(docs: DataFrame, text: str = "text", sample: int = SAMPLE, s
     docs = docs.drop(*[c for c in new if c != text])
     checks = rules(text)
     rows = measures(docs, text)
-    order = order_rules(cut(measures(docs.select(text).sample(0.02, seed).limit(sample), text)), checks)
+    # take() stops reading once it has enough; a limit would gather each partition's rows in one task first.
+    texts = docs.sparkSession.createDataFrame(docs.select(F.col(text).cast("string")).sample(0.02, seed).take(sample), "text string")
+    order = order_rules(cut(measures(texts)), rules())
     verdict = F.when(base_failed(), "base")
     for name in order:
         verdict = verdict.when(checks[name], name)
