@@ -7,7 +7,7 @@ import math
 import duckdb
 import pytest
 
-from meterline.plans import catalogue, customers, meters, models  # noqa: F401
+from meterline.plans import catalogue, customers, meters, models, sinks  # noqa: F401
 
 D = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
