@@ -53,7 +53,7 @@ def first_by_hash(df: DataFrame, by: list[str], key: str, most: Column, seed: in
 def fill_negatives(df: DataFrame, by: str, label: str, key: str, seed: int = 7) -> DataFrame:
     """Where positives of a group exceed its negatives, unlabelled rows become negatives with the probability that makes
     up for it; groups without positives go, and so do rows that stay unlabelled."""
-    df = df.join(F.broadcast(_shares(df, [by], label)), by).where("_pos > 0")
+    df = df.join(_shares(df, [by], label), by).where("_pos > 0")
     chance = F.try_divide(F.greatest(F.col("_pos") - F.col("_neg"), F.lit(0)), F.col("_none"))
     filled = F.coalesce(F.col(label), F.when(uniform(F.col(key), seed) < chance, 0))
     return df.withColumn(label, filled).where(F.col(label).isNotNull()).drop("_pos", "_neg", "_none")

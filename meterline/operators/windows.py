@@ -118,13 +118,13 @@ def roc_curve(df: DataFrame, label: str, score: str, by: list[str] | None = None
     by = by or []
     points = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(*by, score).agg(F.sum((F.col(label) == 1).cast("long")).alias("pos"), F.sum((F.col(label) != 1).cast("long")).alias("neg"))
     span = points.groupBy(*by).agg(F.min(score).alias("_lo"), F.max(score).alias("_hi"), F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
-    df = points.join(F.broadcast(span), by) if by else points.withColumn("_one", F.lit(1)).join(F.broadcast(span.withColumn("_one", F.lit(1))), "_one").drop("_one")
+    df = points.join(span, by) if by else points.withColumn("_one", F.lit(1)).join(F.broadcast(span.withColumn("_one", F.lit(1))), "_one").drop("_one")
     df = df.withColumn("_part", F.least(F.lit(parts - 1), F.floor(F.coalesce(F.try_divide(F.col("_hi") - F.col(score), F.col("_hi") - F.col("_lo")), F.lit(0.0)) * parts)).cast("int"))
     sums = df.groupBy(*by, "_part").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
     before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(*by, "_part", F.coalesce(F.sum("_p").over(before), F.lit(0)).alias("_p0"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"))
     w = Window.partitionBy(*by, "_part").orderBy(F.col(score).desc())
-    df = df.join(F.broadcast(sums), [*by, "_part"]).withColumns({"tp": F.sum("pos").over(w) + F.col("_p0"), "fp": F.sum("neg").over(w) + F.col("_n0")})
+    df = df.join(sums if by else F.broadcast(sums), [*by, "_part"]).withColumns({"tp": F.sum("pos").over(w) + F.col("_p0"), "fp": F.sum("neg").over(w) + F.col("_n0")})
     return df.select(*by, score, "pos", "neg", "tp", "fp", F.try_divide(F.col("tp"), F.col("_pos")).alias("tpr"), F.try_divide(F.col("fp"), F.col("_neg")).alias("fpr"))
 
 
@@ -138,7 +138,7 @@ def eval_metrics(df: DataFrame, label: str, score: str, by: list[str] | None = N
     error = F.pow(F.col(score) - F.col(label), 2)
     brier = known.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.avg(error).alias("brier"), F.avg(F.when(F.col(label) == 1, error)).alias("brier_pos"), F.avg(F.when(F.col(label) != 1, error)).alias("brier_neg"))
     total = curve.groupBy(*by).agg(F.max("tp").alias("P"), F.max("fp").alias("N"))
-    on = (lambda a, b: a.join(F.broadcast(b), by)) if by else (lambda a, b: a.withColumn("_one", F.lit(1)).join(F.broadcast(b.withColumn("_one", F.lit(1))), "_one").drop("_one"))
+    on = (lambda a, b: a.join(b, by)) if by else (lambda a, b: a.withColumn("_one", F.lit(1)).join(F.broadcast(b.withColumn("_one", F.lit(1))), "_one").drop("_one"))
     c = on(curve, total)
     wins = F.sum(F.col("pos") * (F.col("N") - F.col("fp") + 0.5 * F.col("neg")))
     reach = F.col("tp") + F.col("fp") - F.col("pos") - F.col("neg") < F.ceil(top * (F.col("P") + F.col("N")))
