@@ -86,7 +86,7 @@ def quality_cascade(docs: DataFrame, text: str = "text", sample: int = SAMPLE, s
 
     A null text has no words, lines or symbols, so the base fails; each row is judged alone, so repeated rows agree; an
     empty table gives an empty table. Columns of docs named like the new ones are replaced."""
-    new = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by")
+    new = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     docs = docs.drop(*[c for c in new if c != text])
     checks = rules(text)
     rows = measures(docs, text)
@@ -102,4 +102,4 @@ def quality_cascade(docs: DataFrame, text: str = "text", sample: int = SAMPLE, s
 
 def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return quality_cascade(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by")
+    return quality_cascade(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
