@@ -7,8 +7,9 @@ would replicate everything everywhere. Pivots are therefore found where document
 2. In a fixed order of all shingles, two sets with likeness t share at least l of their first n - ceil(t n) + l shingles.
    Those prefixes are shuffled by shingle. A set that does not share as many shingles as any partner would need is out.
 3. The least key among the sets that share a shingle is a pivot; its region holds all sets that share a shingle with it
-   there, so every link lies whole within a region. Shingles of more than `hot` sets give no regions; sets whose shared
-   prefix could be such shingles alone meet in regions of their size, each also replicated to the next size.
+   there. Where a shingle has more than `hot` sets, its pivot's region is dealt by size, and sets near the next size are
+   replicated to it. A set may stay out of regions with few of its shared shingles (see regions_of); every link still
+   lies whole within a region.
 4. A region is joined exactly. Counts of shingles in 64 hash classes map sets into a space whose L1 distance never
    exceeds their symmetric difference: sets are sorted by their distance to the region's pivot, windows by the
    triangle inequality recurse into blocks, and what the windows leave is verified on the whole sets, unless
@@ -18,6 +19,7 @@ would replicate everything everywhere. Pivots are therefore found where document
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +35,12 @@ WORDS = 4
 PERCENT = 85
 HOT = 64
 CLASSES = 64
-SPARE = 32
+SPARE = 16
+"""One shingle in this many is added to prefixes, and is what partners must share at least."""
+BLOCK = 8192
+"""Sets of one pivot and size that are joined in one task, at most (twice that for two blocks)."""
+STEP = 0.7
+"""Ratio of neighbouring size classes."""
 
 
 def shingle_sets(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -89,14 +96,42 @@ def _prefixes(words: int, percent: int):
     return run
 
 
-def _send(words: int):
+def region_name(*parts: int) -> int:
+    return int.from_bytes(hashlib.blake2b(repr(parts).encode(), digest_size=8).digest(), "little", signed=True)
+
+
+def regions_of(key: int, n: int, pivots: list[tuple[int, int, bool, int]], percent: int = PERCENT, block: int = BLOCK) -> list[int]:
+    """The regions that a set of n shingles joins, from (shared shingles, pivot, whether those are hot, sets at the pivot).
+
+    Partners share `need` shingles of their prefixes at least, so a set may stay out of regions as long as those hold
+    fewer than half of that in all: whatever two sets stay out of, they still meet. A pivot of hot shingles has a region
+    for each size class; sets within reach of the next class join that too. Where more than `block` sets come to such a
+    pivot, they are dealt into blocks, and each pair of blocks is a region."""
+    free = (percent * n // 100) // SPARE // 2
+    out = []
+    for c, pivot, hot, m in sorted(pivots, key=lambda x: (not x[2], x[0], x[1])):
+        if c <= free:
+            free -= c
+        elif not hot:
+            out.append(pivot)
+        else:
+            k = int(np.floor(np.log(n) / -np.log(STEP) + 1e-9))
+            classes = [k, k + 1] if n * 100 >= percent * STEP ** -(k + 1) - 1e-6 else [k]
+            blocks = -(-m // block)
+            own = region_name(key) % blocks
+            out += [region_name(pivot, c, min(own, j), max(own, j)) for c in classes for j in range(blocks)]
+    return out
+
+
+def _send(words: int, percent: int):
     """(region, key, set) for each region of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = as_bytes(batch.column("text"))
             keys = batch.column("key").to_pylist()
-            regions = batch.column("regions").to_pylist()
+            sizes = batch.column("n").to_pylist()
+            regions = [regions_of(k, n, [(x["c"], x["pivot"], x["hot"], x["m"]) for x in p], percent) for k, n, p in zip(keys, sizes, batch.column("pivots").to_pylist(), strict=True)]
             for a, b in chunks([len(t) * len(r) for t, r in zip(texts, regions, strict=True)]):
                 name, at = shingle_sets(texts[a:b], words)
                 out: tuple[list, ...] = ([], [], [])
@@ -210,15 +245,12 @@ def jaccard_classes(rows: DataFrame, words: int = WORDS, percent: int = PERCENT,
         .select("shingle", "key", "n")
         .withColumn("sharers", F.count(F.lit(1)).over(by_shingle))
         .where("sharers > 1")
-        .withColumn("pivot", F.when(F.col("sharers") <= hot, F.min("key").over(by_shingle)))
-    )
-    scale = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("long")
-    member = shared.groupBy("key", "n").agg(F.collect_set("pivot").alias("pivots"), F.count_if(F.isnull("pivot")).alias("hot"))
-    regions = member.select(
-        F.col("key").alias("member"),
-        F.concat(F.transform("pivots", lambda p: F.xxhash64(p, F.lit(0))), F.when(F.col("hot") >= need, F.transform(F.array(scale, scale + 1), lambda s: F.xxhash64(s, F.lit(1)))).otherwise(F.array().cast("array<bigint>"))).alias("regions"),
+        .withColumns({"pivot": F.min("key").over(by_shingle), "hot": F.col("sharers") > hot})
     )
-    sent = texts.join(regions.hint("shuffle_hash"), F.col("key") == F.col("member")).select("key", "text", "regions").mapInArrow(_send(words), "region long, key long, set binary")
+    counted = shared.groupBy(F.col("key").alias("member"), "n", "pivot", "hot").agg(F.count(F.lit(1)).alias("c"))
+    counted = counted.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("pivot", "hot")))
+    pivots = counted.groupBy("member", "n").agg(F.collect_list(F.struct("c", "pivot", "hot", "m")).alias("pivots"))
+    sent = texts.join(pivots.hint("shuffle_hash"), F.col("key") == F.col("member")).select("key", "text", "n", "pivots").mapInArrow(_send(words, percent), "region long, key long, set binary")
     links = sent.repartition("region").sortWithinPartitions("region").mapInArrow(_join(percent), "a long, b long")
     linked = components(links)
     reps_of = classes.join(linked, F.col("rep") == F.col("key"), "left").select("d1", "d2", "n", F.coalesce("component", "rep").alias("component"))

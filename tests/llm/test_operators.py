@@ -170,6 +170,14 @@ def test_jaccard_brute_force(spark):
         assert {r["key"]: (r["n_shingles"], r["component"]) for r in out} == {i: (len(s), find(i)) for i, s in sets.items()}
 
 
+def test_blocks_of_a_large_region_meet():
+    pivots = [(500, 3, True, 20_000)]
+    joined = {k: set(jaccard_join.regions_of(k, 1000, pivots, block=4096)) for k in range(60)}
+    assert all(joined[a] & joined[b] for a in joined for b in joined)
+    near, far = set(jaccard_join.regions_of(1, 860, pivots, block=4096)), set(jaccard_join.regions_of(2, 300, pivots, block=4096))
+    assert near & joined[5] and not far & joined[5]
+
+
 def test_one_of_each_keeps_columns(spark):
     docs = frame(spark, corpus(4, 40))
     out = jaccard_join.one_of_each(docs)
