@@ -120,7 +120,7 @@ def clean_bills(bills: DataFrame) -> DataFrame:
     return good.groupBy("account_id", "fuel_type", "bill_yearmonth").agg(F.sum("consumption").alias("consumption"), F.sum("bill_days").alias("bill_days"), F.min("bill_start").alias("bill_start"), F.max("bill_end").alias("bill_end")).withColumn("bill_adc", F.col("consumption").cast("double") / F.col("bill_days"))
 
 
-def match_metrics(locations: DataFrame, normalized: DataFrame, matches: DataFrame) -> DataFrame:
+def match_metrics(locations: DataFrame, normalized: DataFrame, matches: DataFrame, names: tuple[str, str, str] = ("All locations", "Normalized locations", "Matched locations")) -> DataFrame:
     """Counts of locations, of normalised and of matched ones, in total, per tenant and (matches) per quality, with
     their share of all locations in percent."""
     total = locations.agg(F.count(F.lit(1)).alias("_all"))
@@ -128,7 +128,7 @@ def match_metrics(locations: DataFrame, normalized: DataFrame, matches: DataFram
         cols = sorted({c for s in sets for c in s})
         g = df.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in cols]).agg(F.count(F.lit(1)).alias("n"))
         return g.select(F.lit(metric).alias("metric_name"), F.coalesce(*[F.col(c).cast("string") for c in cols], F.lit("Total")).alias("breakdown"), "n")
-    parts = [rows(locations, "Zeus locations", [["tenant_id"], []]), rows(normalized, "Normalized locations", [["tenant_id"], []]), rows(matches, "Locations matched with Experian", [["tenant_id"], ["match_quality"], []])]
+    parts = [rows(locations, names[0], [["tenant_id"], []]), rows(normalized, names[1], [["tenant_id"], []]), rows(matches, names[2], [["tenant_id"], ["match_quality"], []])]
     out = parts[0].withColumn("base", F.lit(True)).unionByName(parts[1].withColumn("base", F.lit(False))).unionByName(parts[2].withColumn("base", F.lit(False)))
     return out.join(F.broadcast(total)).withColumn("pct", F.when(~F.col("base"), F.round(100.0 * F.col("n") / F.col("_all"), 2))).drop("base", "_all")
 

@@ -391,7 +391,7 @@ def t2(spark, d):
     return scores.clean_bills(b).select("account_id", "fuel_type", "bill_yearmonth", "bill_days", F.round("bill_adc", 4).alias("bill_adc"))
 
 
-@query("T3_match_metrics", with_sql(LOCATIONS_SQL, ", n as (select * from locations where location_id % 3 > 0), m as (select *, case when location_id % 2 = 0 then 'FULL' else 'UNIQUE' end as q from locations where location_id % 4 > 0), a as (select count(*) as c from locations), r as (select 'Zeus locations' as metric_name, coalesce(cast(tenant_id as varchar), 'Total') as breakdown, count(*) as n, false as p from locations group by grouping sets ((tenant_id), ()) union all select 'Normalized locations', coalesce(cast(tenant_id as varchar), 'Total'), count(*), true from n group by grouping sets ((tenant_id), ()) union all select 'Locations matched with Experian', coalesce(cast(tenant_id as varchar), q, 'Total'), count(*), true from m group by grouping sets ((tenant_id), (q), ())) select metric_name, breakdown, n, case when p then round(100.0 * n / c, 2) end as pct from r, a"))
+@query("T3_match_metrics", with_sql(LOCATIONS_SQL, ", n as (select * from locations where location_id % 3 > 0), m as (select *, case when location_id % 2 = 0 then 'FULL' else 'UNIQUE' end as q from locations where location_id % 4 > 0), a as (select count(*) as c from locations), r as (select 'All locations' as metric_name, coalesce(cast(tenant_id as varchar), 'Total') as breakdown, count(*) as n, false as p from locations group by grouping sets ((tenant_id), ()) union all select 'Normalized locations', coalesce(cast(tenant_id as varchar), 'Total'), count(*), true from n group by grouping sets ((tenant_id), ()) union all select 'Matched locations', coalesce(cast(tenant_id as varchar), q, 'Total'), count(*), true from m group by grouping sets ((tenant_id), (q), ())) select metric_name, breakdown, n, case when p then round(100.0 * n / c, 2) end as pct from r, a"))
 def t3(spark, d):
     loc = locations(spark, d)
     m = loc.where("location_id % 4 > 0").withColumn("match_quality", F.when(F.col("location_id") % 2 == 0, "FULL").otherwise("UNIQUE"))
