@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from ..functions import columns as C
 from ..operators import linking, normalize, quality, records, rollup, sample, scores, windows
 from .catalogue import query, with_sql
-from .views import BILLS_SQL, FILES_SQL, LOCATIONS_SQL, bills, files, locations, reads, table
+from .views import BILLS_SQL, FILES_SQL, LOCATIONS_SQL, bills, files, locations, table
 
 r6 = lambda c: F.round(c, 6)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import dedup, linking, normalize, quality, rollup, sample, windows
+from ..operators import dedup, normalize, quality, rollup, sample, windows
 from ..sources import io
 from .catalogue import query, with_sql
 from .views import BILLS_SQL, DAILY_SQL, FILES_SQL, HOURLY_SQL, LATEST_SQL, READS_SQL, bills, files, reads, table
