@@ -23,7 +23,7 @@ from .repeats import Blocks, Unit, blocks_of, remove_repeats, sha256, shipped_co
 
 WINDOW = 100
 GRAM = 32
-BATCH = 1 << 20
+BATCH = 1 << 18
 """Bytes of contexts whose suffixes are sorted at once; one label is never split."""
 
 Interval = tuple[int, list[int]]
@@ -125,18 +125,25 @@ class Group:
         self.places: list[tuple[int, int]] = []
         self.bytes = 0
 
-    def suffixes(self, unit: "Bytes") -> tuple[list[tuple[int, int, int]], np.ndarray]:
-        """The enhanced suffix array: sorted (context, start, size) and common prefixes."""
-        labels = np.asarray(self.labels)
-        which, start = left_diverse(self.contexts, labels, unit)
-        if not len(which):
-            return [], np.zeros(0, np.int64)
+    def suffixes(self, unit: "Bytes") -> tuple[list[list[tuple[int, int]]], list[int], np.ndarray]:
+        """The enhanced suffix array: sorted different suffixes, each as its places (context, start), first one first;
+        their sizes; and common prefixes. Equal suffixes are held once, so near copies cost little."""
+        which, start = left_diverse(self.contexts, np.asarray(self.labels), unit)
         # A repeat begins at most a block's width before any of its windows (less than a period before, in a block that
         # repeats in itself), so suffixes need no more bytes than this.
         reach = unit.window + 2 * (unit.window - unit.gram + 1)
-        parts = sorted((self.labels[c], self.contexts[c][s : s + reach], c, s) for c, s in zip(which.tolist(), start.tolist(), strict=True))
-        fresh = np.r_[True, np.diff(np.array([p[0] for p in parts])) != 0]
-        return [(c, s, len(t)) for _, t, c, s in parts], common_prefixes([p[1] for p in parts], fresh)
+        places: dict[tuple[int, bytes], list[tuple[int, int]]] = {}
+        for c, s in zip(which.tolist(), start.tolist(), strict=True):
+            places.setdefault((self.labels[c], self.contexts[c][s : s + reach]), []).append((c, s))
+        parts = sorted(places)
+        fresh = np.r_[True, np.diff(np.array([p[0] for p in parts])) != 0] if parts else np.zeros(0, bool)
+        prefixes = common_prefixes([p[1] for p in parts], fresh) if parts else np.zeros(0, np.int64)
+        return [sorted(places[p], key=self.place) for p in parts], [len(p[1]) for p in parts], prefixes
+
+    def place(self, at: tuple[int, int]) -> tuple[int, int]:
+        """Key and position of (context, start) where the context occurs first."""
+        key, first = self.places[at[0]]
+        return key, first + at[1]
 
 
 def grouped(batches: Iterator[pa.RecordBatch], unit: "Bytes", repeat) -> Iterator[tuple[Group | None, list]]:
@@ -168,12 +175,14 @@ def _mark(unit: "Bytes"):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group, rows in grouped(batches, unit, repeat):
-            suffixes, prefixes = group.suffixes(unit)
-            place = [(group.places[c][0], group.places[c][1] + s) for c, s, _ in suffixes]
-            rank = np.empty(len(place), np.int64)
-            rank[sorted(range(len(place)), key=place.__getitem__)] = np.arange(len(place))
+            suffixes, sizes, prefixes = group.suffixes(unit)
+            first = [group.place(own[0]) for own in suffixes]
+            rank = np.empty(len(first), np.int64)
+            rank[sorted(range(len(first)), key=first.__getitem__)] = np.arange(len(first))
             for i, length in interval_scan(prefixes.tolist(), rank.tolist(), unit.window):
-                rows.append((place[i][0], place[i][1], place[i][1] + length))
+                rows.append((*first[i], first[i][1] + length))
+            for own, size in zip(suffixes, sizes, strict=True):
+                rows += [(key, at, at + size) for key, at in map(group.place, own[1:])]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int32())], names=["key", "s", "e"])
 
     return run
@@ -190,13 +199,13 @@ def _report(unit: "Bytes"):
             copies: dict[int, list[tuple[int, int]]] = {}
             for context, key, first in rows:
                 copies.setdefault(context, []).append((key, first))
-            suffixes, prefixes = group.suffixes(unit)
+            suffixes, sizes, prefixes = group.suffixes(unit)
+            found = [*interval_tree(prefixes.tolist(), unit.window), *((n, [i]) for i, n in enumerate(sizes) if len(suffixes[i]) > 1)]
             out: list[tuple[bytes, int, int, int]] = []
-            for length, members in interval_tree(prefixes.tolist(), unit.window):
-                c, s, _ = suffixes[members[0]]
+            for length, members in found:
+                c, s = suffixes[members[0]][0]
                 name = bytes.fromhex(sha256(group.contexts[c][s : s + length]))
-                for m in members:
-                    c, s, _ = suffixes[m]
+                for c, s in (x for m in members for x in suffixes[m]):
                     for key, first in [group.places[c], *copies.get(c, [])]:
                         out.append((name, length, key, first + s))
             for c, more in copies.items():
