@@ -3,8 +3,8 @@
 A suffix array over all bytes would have to shuffle the start of each suffix, a hundred times the input. Windows are
 therefore dealt by the least hash of the 32-byte strings in them, which equal windows share: Spark sorts blocks of text
 under one such label together (repeats.py), and each run of a label gets an enhanced suffix array of its own. Its
-suffixes start where a string of `window` bytes occurs twice and its left extensions differ (or a block begins); other
-repeats are parts of those. Sorted suffixes with the lengths of their common prefixes are scanned with a stack, which
+suffixes start where a string of `window` bytes occurs twice and its left extensions differ (or a block begins), and in
+steps after that while strings occur twice, so that together they hold all repeats. Sorted suffixes with the lengths of their common prefixes are scanned with a stack, which
 builds the tree of common-prefix intervals bottom up: each interval of at least `window` bytes is a maximal repeat within
 its blocks with all its occurrences. All but the first occurrence of an interval are cut.
 """
@@ -30,9 +30,10 @@ Interval = tuple[int, list[int]]
 """length of the common prefix, suffixes"""
 
 
-def left_diverse(contexts: list[bytes], labels: np.ndarray, unit: "Bytes") -> tuple[np.ndarray, np.ndarray]:
+def suffix_starts(contexts: list[bytes], labels: np.ndarray, unit: "Bytes", step: int) -> tuple[np.ndarray, np.ndarray]:
     """(context, start) of windows that occur twice under their label and whose left extensions differ, or begin a
-    context in one of their places."""
+    context in one of their places; and of every step-th window after one of those, up to the next of them or to a
+    window that occurs once. All places of a shared passage have the same starts, as it begins with one."""
     which, one, two = unit.digests(contexts)
     if not len(which):
         return which, which
@@ -45,8 +46,13 @@ def left_diverse(contexts: list[bytes], labels: np.ndarray, unit: "Bytes") -> tu
     head = np.flatnonzero(new)
     size = np.diff(np.r_[head, len(order)])
     low, high = np.minimum.reduceat(before[order], head), np.maximum.reduceat(before[order], head)
-    use = np.repeat((size > 1) & ((low != high) | (low < 0)), size)
-    return which[order][use], start[order][use]
+    twice, diverse = np.zeros(len(order), bool), np.zeros(len(order), bool)
+    twice[order] = np.repeat(size > 1, size)
+    diverse[order] = np.repeat((size > 1) & ((low != high) | (low < 0)), size)
+    # A stretch of windows that occur twice begins with a diverse one.
+    at = np.arange(len(order))
+    use = twice & ((at - np.maximum.accumulate(np.where(diverse, at, 0))) % step == 0)
+    return which[use], start[use]
 
 
 def common_prefixes(suffixes: list[bytes], fresh: np.ndarray) -> np.ndarray:
@@ -128,10 +134,10 @@ class Group:
     def suffixes(self, unit: "Bytes") -> tuple[list[list[tuple[int, int]]], list[int], np.ndarray]:
         """The enhanced suffix array: sorted different suffixes, each as its places (context, start), first one first;
         their sizes; and common prefixes. Equal suffixes are held once, so near copies cost little."""
-        which, start = left_diverse(self.contexts, np.asarray(self.labels), unit)
-        # A repeat begins at most a block's width before any of its windows (less than a period before, in a block that
-        # repeats in itself), so suffixes need no more bytes than this.
-        reach = unit.window + 2 * (unit.window - unit.gram + 1)
+        step = 2 * (unit.window - unit.gram + 1)
+        which, start = suffix_starts(self.contexts, np.asarray(self.labels), unit, step)
+        # Any window of a repeat begins less than a step after one of its suffixes, which so need no more bytes than this.
+        reach = unit.window + step
         places: dict[tuple[int, bytes], list[tuple[int, int]]] = {}
         for c, s in zip(which.tolist(), start.tolist(), strict=True):
             places.setdefault((self.labels[c], self.contexts[c][s : s + reach]), []).append((c, s))
@@ -270,7 +276,7 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, text: str = "text") -> D
 
 def maximal_repeats(docs: DataFrame, window: int = WINDOW, text: str = "text") -> DataFrame:
     """repeat (SHA-256 of its bytes), length, doc_id, start: maximal repeats of at least `window` bytes within blocks, each
-    with all its occurrences. A repeat longer than a block comes in parts. Exact copies of documents are included."""
+    with all its occurrences. A repeat longer than a block or a suffix comes in parts. Exact copies of documents are included."""
     rows, ids = keyed(docs, text)
     unit = Bytes(window)
     found = shipped_contexts(rows, unit, shrink=False).mapInArrow(_report(unit), "repeat binary, length long, key long, start long").distinct()

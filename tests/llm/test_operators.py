@@ -95,6 +95,27 @@ def test_repeats_brute_force(spark, unit, hot):
     assert got == want
 
 
+def test_repeats_of_numbered_lines(spark):
+    # One label recurs in every line, with another number between: blocks that are long but don't repeat themselves.
+    r = random.Random(11)
+    piece = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    rows = []
+    for k in range(40):
+        line = piece(60)
+        shared = "".join(f"{r.randrange(1000):03d} {line}" for _ in range(12))
+        rows += [(3 * k + j, piece(200) + shared[64 * r.randrange(3) * (j == 2) :] + piece(200), "s") for j in range(3)]
+    seen, want = set(), {}
+    for i, t, _ in rows:
+        gone = bytearray(len(t))
+        for p in range(len(t) - 99):
+            if t[p : p + 100] in seen:
+                gone[p : p + 100] = b"\1" * 100
+            seen.add(t[p : p + 100])
+        want[i] = (sum(gone), hashlib.sha256("".join(c for c, g in zip(t, gone, strict=True) if not g).encode()).hexdigest())
+    got = {x["doc_id"]: (x["n_removed"], x["kept_sha256"]) for x in suffix_dedup.suffix_dedup(frame(spark, rows)).collect()}
+    assert got == want
+
+
 def test_interval_scan_and_tree():
     r = random.Random(2)
     for _ in range(200):
