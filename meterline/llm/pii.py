@@ -1,9 +1,10 @@
 """Personal data by bootstrapped contextual extraction, in SQL functions only.
 
 Four kinds have base patterns (email, ip, card, phone). Other identifiers are learned: words with several digits are
-instances; an instance's left neighbour and its own shape are its lexical pattern. Instances that overlap base spans are
-seeds. Patterns are scored by the confidence of their instances and instances by the best of their patterns, in turns;
-instances of high-confidence patterns become spans of kind `id`.
+instances; an instance's left neighbour with its own shape, and each of the two alone, are its lexical patterns.
+Instances that overlap base spans are seeds. Patterns are scored by the confidence of their instances and instances by the
+best of their patterns, in turns; instances of high-confidence patterns become spans of kind `id` and are seeds of the next
+turns, with the confidence they were found with, until no more are found (an action looks).
 """
 
 from __future__ import annotations
@@ -105,17 +106,24 @@ def scanned(rows: DataFrame) -> DataFrame:
 
 
 def learned(scan: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
-    """(key, s, e) of instances that high-confidence patterns discover."""
+    """(key, s, e) of instances that high-confidence patterns discover. `rounds`: turns between two looks for new ones;
+    what isn't found in them begins the next turns without confidence, so that patterns don't raise themselves."""
     words = scan.select("key", "spans", F.explode("words").alias("w")).select("key", "w.*", F.exists("spans", lambda x: (x["s"] < F.col("w.e")) & (x["e"] > F.col("w.s"))).alias("seed"))
     words = cut(words)
-    graph = words.groupBy("before", "shape", "core").agg(F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed"))
-    trust = words.groupBy("core").agg(F.max(F.col("seed").cast("double")).alias("trust"))
-    patterns = None
-    for _ in range(rounds):
-        patterns = graph.join(trust, "core").groupBy("before", "shape").agg((F.sum("trust") / (F.count(F.lit(1)) + 1)).alias("score"), F.count(F.lit(1)).alias("support"), F.count_if("seed").alias("seeds"))
-        patterns = patterns.where((F.col("support") >= support) & (F.col("seeds") > 0))
-        trust = cut(graph.join(patterns, ["before", "shape"], "left").groupBy("core").agg(F.greatest(F.max(F.col("seed").cast("double")), F.coalesce(F.max("score"), F.lit(0.0))).alias("trust")))
-    good = trust.where(F.col("trust") >= confidence).select("core")
+    # A neighbour that is a space and an empty shape, which no word has, stand for any.
+    patterns = F.array(*[F.struct(F.expr(b).alias("before"), F.expr(s).alias("shape")) for b, s in (("before", "shape"), ("before", "''"), ("' '", "shape"))])
+    graph = cut(words.select("core", F.inline(patterns)).distinct())
+    trust = words.groupBy("core").agg(F.max(F.col("seed").cast("double")).alias("known")).withColumn("trust", F.col("known"))
+    while True:
+        for _ in range(rounds):
+            patterns = graph.join(trust, "core").groupBy("before", "shape").agg((F.sum("trust") / (F.count(F.lit(1)) + 1)).alias("score"), F.count(F.lit(1)).alias("support"), F.count_if(F.col("known") > 0).alias("seeds"))
+            patterns = patterns.where((F.col("support") >= support) & (F.col("seeds") > 0))
+            best = graph.join(patterns, ["before", "shape"]).groupBy("core").agg(F.max("score").alias("score"))
+            trust = cut(trust.join(best, "core", "left").select("core", "known", F.greatest("known", F.coalesce("score", F.lit(0.0))).alias("trust")))
+        if not trust.where((F.col("known") == 0) & (F.col("trust") >= confidence)).head(1):
+            break
+        trust = trust.select("core", F.when(F.col("trust") >= confidence, F.col("trust")).otherwise(0.0).alias("known")).withColumn("trust", F.col("known"))
+    good = trust.where(F.col("known") > 0).select("core")
     return words.where(~F.col("seed")).join(good, "core", "left_semi").select("key", "s", "e")
 
 

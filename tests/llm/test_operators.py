@@ -343,6 +343,19 @@ def test_pii_learns_from_context(spark):
     assert "id:" in got[7] and got[50] == ""
 
 
+def test_pii_learns_in_two_hops(spark):
+    cards = [c for c in map(str, range(4111111111111111, 4111111111111191)) if luhn(c)]
+    known = ["71234567", "72345678", "73456789", "74567890", "XK-4411", "XK-4422", "XK-4433", "XK-4444"]
+    texts = [f"my account: {x} is" for x in cards + known]
+    # No card stands after these; they have what the first hop found, and one word more.
+    texts += [f"the ref: {x} is" for x in [*known[:4], "91234567"]] + [f"a badge: {x} is" for x in [*known[4:], "Q9911"]]
+    texts += ["token = deadbeef00112233 is"] + [f"in year: {x} was" for x in range(20001, 20021)]
+    got = {t: r for t, r in zip(texts, sorted(pii.pii_spans(frame(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect(), key=lambda r: r["doc_id"]), strict=True)}
+    assert got["the ref: 91234567 is"]["spans"] == "id:9:17" and got["a badge: Q9911 is"]["spans"] == "id:9:14"
+    assert got["token = deadbeef00112233 is"]["spans"] == "id:8:24"
+    assert [t for t in texts if not got[t]["spans"]] == texts[-20:]
+
+
 def test_redaction(spark):
     out = {r["doc_id"]: r["text"] for r in pii.redacted(frame(spark, [(1, "é mail a@b.cd and a@b.cd.", "s"), (2, "none", "s"), (3, None, "s")])).collect()}
     assert out == {1: "é mail [email] and [email]", 2: "none", 3: None} or out[1].startswith("é mail [email] and [email]")
