@@ -1,8 +1,9 @@
 """Chat formatting by quotation linking, in SQL functions only.
 
 Lines that begin with '>' are quotes; the number of markers is their level. Quoted lines and the messages' own lines are
-normalised and hashed; a message answers the message of its conversation, before it, that wrote most of the lines it
-quotes at the first level (the latest of equals). Answers are followed to where their thread begins, which with the
+normalised and hashed; quotes of every level are linked to the messages of their conversation, before them, that wrote
+them. A message answers the one that wrote most of the lines at its shallowest level with links (the latest of equals).
+Answers are followed to where their thread begins, which with the
 turn gives the order to read in, and the bodies lose their quotes.
 """
 
@@ -32,6 +33,21 @@ def lines(messages: DataFrame, text: str = "text") -> DataFrame:
     return messages.withColumn("_lines", F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\r?\n"), entry))
 
 
+def quote_links(known: DataFrame) -> DataFrame:
+    """conv_id, turn, level, source, n: how many different lines, quoted at a level, a message before was the last to
+    write. known: `lines` with conv_id and turn."""
+    said = lambda keep: F.array_distinct(F.transform(F.filter("_lines", lambda x: keep(x["level"]) & x["hash"].isNotNull()), lambda x: F.struct(x["level"].alias("level"), x["hash"].alias("hash"))))
+    quoted = known.where(F.exists("_lines", lambda x: x["level"] > 0)).select("conv_id", "turn", F.inline(said(lambda v: v > 0))).distinct()
+    talked = quoted.select("conv_id", "hash").distinct()
+    wrote = known.select("conv_id", "turn", F.inline(said(lambda v: v == 0))).join(talked, ["conv_id", "hash"], "left_semi")
+    # Of the messages that wrote a line, only the last one before each quote matters, so lines meet in one sort.
+    columns = ["conv_id", "hash", "level", "turn"]
+    marks = quoted.select(*columns, F.lit(None).cast("long").alias("wrote")).union(wrote.select(*columns, F.col("turn").cast("long").alias("wrote")))
+    before = Window.partitionBy("conv_id", "hash").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
+    answers = marks.withColumn("source", F.max("wrote").over(before)).where("level > 0 and source is not null")
+    return answers.groupBy("conv_id", "turn", "level", "source").agg(F.count(F.lit(1)).alias("n"))
+
+
 def link_quotes(messages: DataFrame, text: str = "text", rounds: int = 40) -> DataFrame:
     """conv_id, turn, role, n_quoted, depth, parent_turn, root_turn, body for each row of messages.
 
@@ -41,15 +57,7 @@ def link_quotes(messages: DataFrame, text: str = "text", rounds: int = 40) -> Da
     gives an empty table; other columns are ignored."""
     rows = lines(messages.select("conv_id", "turn", "role", F.col(text).alias("text")))
     known = rows.where("conv_id is not null and turn is not null")
-    hashes = lambda keep: F.array_distinct(F.transform(F.filter("_lines", lambda x: keep(x["level"]) & x["hash"].isNotNull()), lambda x: x["hash"]))
-    quoted = known.where(F.exists("_lines", lambda x: x["level"] == 1)).select("conv_id", "turn", F.explode(hashes(lambda v: v == 1)).alias("hash")).distinct()
-    talked = quoted.select("conv_id", "hash").distinct()
-    wrote = known.select("conv_id", F.col("turn").alias("source"), F.explode(hashes(lambda v: v == 0)).alias("hash")).join(talked, ["conv_id", "hash"], "left_semi")
-    # Of the messages that wrote a line, only the last one before each quote matters, so lines meet in one sort.
-    marks = quoted.select("conv_id", "hash", "turn", F.lit(None).cast("long").alias("source")).union(wrote.select("conv_id", "hash", F.col("source").alias("turn"), F.col("source").cast("long").alias("source")))
-    before = Window.partitionBy("conv_id", "hash").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
-    answers = marks.withColumn("parent", F.max("source").over(before)).where("source is null and parent is not null")
-    best = answers.groupBy("conv_id", "turn", "parent").agg(F.count(F.lit(1)).alias("n")).groupBy("conv_id", "turn").agg(F.max_by("parent", F.struct("n", "parent")).alias("parent"))
+    best = quote_links(known).groupBy("conv_id", "turn").agg(F.max_by("source", F.struct(-F.col("level"), "n", "source")).alias("parent"))
     tree = cut(best.select("conv_id", "turn", "parent"))
     jumps = tree.withColumnRenamed("parent", "root")
     for _ in range(rounds):

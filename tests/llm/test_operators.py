@@ -394,3 +394,12 @@ def test_quotes(spark):
     assert got[1, 3]["parent_turn"] == 2 and got[1, 3]["root_turn"] == 1 and got[1, 3]["depth"] == 2 and got[1, 3]["body"] == "ok"
     assert got[1, 2]["parent_turn"] == 1 and got[1, 4]["parent_turn"] is None and got[2, 2]["parent_turn"] is None
     assert quotes.link_quotes(messages).count() == len(rows) and quotes.link_quotes(messages.limit(0)).count() == 0
+
+
+def test_quotes_nested_only(spark):
+    rows = [("c", 1, "u", "first thing"), ("c", 2, "a", "> first thing\nsecond thing"), ("c", 3, "u", ">> first thing\nthird"), ("c", 4, "a", "> > second thing\n>>> first thing\n> unknown\nfourth"), ("c", 5, "u", ">> first thing\n> fourth\n>> second thing\nfifth")]
+    messages = spark.createDataFrame(rows, "conv_id string, turn int, role string, text string")
+    got = {r["turn"]: (r["parent_turn"], r["root_turn"], r["body"]) for r in quotes.link_quotes(messages).collect()}
+    assert got == {1: (None, 1, "first thing"), 2: (1, 1, "second thing"), 3: (1, 1, "third"), 4: (2, 1, "fourth"), 5: (4, 1, "fifth")}
+    links = {tuple(r) for r in quotes.quote_links(quotes.lines(messages)).select("turn", "level", "source", "n").collect()}
+    assert links == {(2, 1, 1, 1), (3, 2, 1, 1), (4, 2, 2, 1), (4, 3, 1, 1), (5, 1, 4, 1), (5, 2, 1, 1), (5, 2, 2, 1)}
