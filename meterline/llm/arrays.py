@@ -1,8 +1,8 @@
-"""Vectorised helpers that run inside tasks: slicing Arrow batches, word limits, rolling hashes.
+"""Vectorised helpers that run inside tasks: slicing Arrow batches, word limits, names of ranges.
 
-Hashes are polynomials over the integers modulo 2**64 with an odd base, so the hash of any
-range comes from two prefix sums; a finaliser spreads the bits. Equal ranges always have
-equal hashes.
+A name is a 64-bit hash of what a range of an array holds. Up to 8 bytes are taken exactly; longer ranges are named by
+two overlapping halves, each named by its halves in turn, and every step is mixed. Equal ranges always have equal names,
+and there is no algebra between symbols that structured texts could cancel. Two seeds give independent names.
 """
 
 from __future__ import annotations
@@ -10,33 +10,16 @@ from __future__ import annotations
 import numpy as np
 
 U64 = np.uint64
-BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
+SEEDS = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 CHUNK = 1 << 21
 """Bytes of text that are worked on at once; a longer document is one chunk of its own."""
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i up to n; kept between calls."""
-    have = _powers.get(base)
-    if have is None or len(have[0]) <= n:
-        size = max(n + 1, CHUNK + (CHUNK >> 2))
-        inverse = pow(base, -1, 1 << 64)
-        out = []
-        for b in (base, inverse):
-            a = np.full(size, b, U64)
-            a[0] = 1
-            out.append(np.multiply.accumulate(a))
-        have = _powers[base] = (out[0], out[1])
-    return have
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads the bits of a uint64 array (a bijection)."""
     x = x ^ (x >> U64(30))
@@ -47,29 +30,76 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def prefix(values: np.ndarray, base: int = BASES[0]) -> np.ndarray:
-    up, _ = powers(base, len(values))
-    out = np.empty(len(values) + 1, U64)
-    out[0] = 0
-    np.cumsum((values.astype(U64) + U64(1)) * up[: len(values)], out=out[1:])
+def both(left: np.ndarray, right: np.ndarray, seed: int = 0) -> np.ndarray:
+    """The name of two names in a row."""
+    x = left * U64(SEEDS[seed])
+    x += right
+    return mix(x)
+
+
+def _packed(values: np.ndarray) -> tuple[np.ndarray, int]:
+    """At each place the next 8 bytes of values as one number (zeros after the end), and how many values those are."""
+    width = 8 // values.itemsize
+    if width == 1:
+        return values.astype(U64, copy=False), 1
+    buf = np.concatenate([values, np.zeros(width, values.dtype)])
+    return np.ndarray((len(values),), "<u8", buf.data, 0, (values.itemsize,)).copy(), width
+
+
+def names(values: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Names of values[start:end] for arrays of limits; values are unsigned integers of 1 to 8 bytes."""
+    length = end - start
+    out = np.zeros(len(start), U64)
+    if not len(start):
+        return out
+    level, width = _packed(values)
+    key = U64(SEEDS[1 - seed])
+    short = np.flatnonzero((length > 0) & (length <= width))
+    mask = U64(0xFFFFFFFFFFFFFFFF) >> (U64(64) - length[short].astype(U64) * U64(64 // width))
+    out[short] = mix((level[start[short]] & mask) + key)
+    rest = np.flatnonzero(length > width)
+    if len(rest):
+        s, n = start[rest], length[rest]
+        if int(n.sum()) * 2 < len(level):
+            # Few ranges are long: only what they hold is worked on.
+            at = np.cumsum(n) - n
+            level = level[np.repeat(s - at, n) + np.arange(int(n.sum()))]
+            s = at
+        level = mix(level + key)
+        while len(rest):
+            own = n <= 2 * width
+            out[rest[own]] = both(level[s[own]], level[s[own] + n[own] - width], seed)
+            rest, s, n = rest[~own], s[~own], n[~own]
+            if len(rest):
+                level = both(level[:-width], level[width:], seed)
+                width *= 2
+    return mix(out + length.astype(U64) * U64(0xA0761D6478BD642F))
+
+
+def _sliding(values: np.ndarray, n: int, length: int, seed: int) -> np.ndarray:
+    level, width = _packed(values)
+    key = U64(SEEDS[1 - seed])
+    if length <= width:
+        level = mix((level[:n] & (U64(0xFFFFFFFFFFFFFFFF) >> U64(64 - length * (64 // width)))) + key)
+    else:
+        level = mix(level + key)
+        while 2 * width < length:
+            level = both(level[:-width], level[width:], seed)
+            width *= 2
+        level = both(level[:n], level[length - width : length - width + n], seed)
+    return mix(level + U64(length * 0xA0761D6478BD642F % (1 << 64)))
+
+
+def sliding(values: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
+    """Names of all ranges of one length, in steps that stay in the processor's cache."""
+    n = max(len(values) - length + 1, 0)
+    out = np.empty(n, U64)
+    for a in range(0, n, 1 << 14):
+        b = min(a + (1 << 14), n)
+        out[a:b] = _sliding(values[a : b + length - 1], b - a, length, seed)
     return out
 
 
-def ranges(pre: np.ndarray, start: np.ndarray, end: np.ndarray, base: int = BASES[0]) -> np.ndarray:
-    """Hashes of values[start:end] for arrays of limits."""
-    _, down = powers(base, len(pre))
-    return mix((pre[end] - pre[start]) * down[start] + (end - start).astype(U64) * U64(0xA0761D6478BD642F))
-
-
-def sliding(pre: np.ndarray, width: int, base: int = BASES[0]) -> np.ndarray:
-    """Hashes of all ranges of one width."""
-    n = len(pre) - width
-    if n <= 0:
-        return np.zeros(0, U64)
-    _, down = powers(base, len(pre))
-    return mix((pre[width:] - pre[:n]) * down[:n])
-
-
 def sliding_min(a: np.ndarray, width: int) -> np.ndarray:
     """Minimum of each `width` neighbours, by doubling."""
     have = 1

@@ -36,6 +36,25 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+LARGEST = 1000
+
+
+def with_group(rows: DataFrame, groups: DataFrame, on: str, spread: str) -> DataFrame:
+    """rows with the other columns of groups, which has one row for each value of `on` and their number of rows `n`; rows
+    without a group go.
+
+    The LARGEST groups, by n, are broadcast, and their rows are dealt evenly by the column `spread`; any other group has
+    at most one row in LARGEST, so no task gets more than that of one value."""
+    values = [c for c in groups.columns if c != on]
+    top = groups.orderBy(F.desc("n"), on).limit(LARGEST).select(F.col(on).alias("_top"), F.struct(*values).alias("_big"))
+    # n is never below 0. A literal would be folded away, and with it the dealing.
+    rest = groups.select(F.col(on).alias("_on"), (F.col("n") < 0).cast("long").alias("_none"), F.struct(*values).alias("_small"))
+    part = F.when(F.col("_top").isNotNull(), F.pmod(F.xxhash64(spread), F.lit(1 << 20)) + 1).otherwise(0)
+    dealt = rows.join(F.broadcast(top), F.col(on) == F.col("_top"), "left").withColumn("_part", part)
+    found = dealt.join(rest, (F.col(on) == F.col("_on")) & (F.col("_part") == F.col("_none")), "left").withColumn("_group", F.coalesce("_big", "_small"))
+    return found.where("_group is not null").select(*rows.columns, *[F.col(f"_group.{c}").alias(c) for c in values])
+
+
 def with_key(docs: DataFrame, text: str = "text") -> tuple[DataFrame, bool]:
     """docs with a column `key` that is unique, not null, and sorted as doc_id is; and whether it is doc_id itself.
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .arrays import BASES, LOWER, U64, as_bytes, chunks, joined, mix, prefix, ranges, signed, word_limits
+from .arrays import LOWER, SEEDS, U64, as_bytes, both, chunks, joined, mix, names, signed, word_limits
 from .common import cut, documents, keyed, with_key
 from .components import components
 
@@ -54,7 +54,10 @@ def shingle_sets(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np
     own = np.where(count >= words, count - words + 1, np.minimum(count, 1))
     which = np.repeat(np.arange(len(texts)), own)
     first = np.arange(len(which)) - np.repeat(np.cumsum(own) - own, own) + begin[which]
-    name = ranges(prefix(ranges(prefix(buf), start, end)), first, first + np.minimum(count[which], words))
+    word = np.append(names(buf, start, end), U64(0))
+    name = word[first]
+    for k in range(1, words):
+        name = both(name, word[np.where(k < count[which], first + k, len(word) - 1)])
     order = np.lexsort((name, which))
     name, which = name[order], which[order]
     new = np.r_[True, (name[1:] != name[:-1]) | (which[1:] != which[:-1])] if len(name) else np.zeros(0, bool)
@@ -69,7 +72,7 @@ def _digests(words: int):
             keys = batch.column("key").to_numpy()
             for a, b in chunks([len(t) for t in texts]):
                 name, at = shingle_sets(texts[a:b], words)
-                sums = [np.r_[U64(0), np.cumsum(mix(name ^ U64(k)))] for k in BASES]
+                sums = [np.r_[U64(0), np.cumsum(mix(name ^ U64(k)))] for k in SEEDS]
                 one, two = (s[at[1:]] - s[at[:-1]] for s in sums)
                 yield pa.RecordBatch.from_arrays([pa.array(keys[a:b]), pa.array(np.diff(at).astype(np.int64)), pa.array(signed(one)), pa.array(signed(two))], names=["key", "n", "d1", "d2"])
 

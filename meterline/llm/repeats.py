@@ -25,10 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrays import BASES, as_bytes, chunks, prefix, ranges, signed
-from .common import keyed, unkeyed
+from .arrays import as_bytes, chunks, signed
+from .common import keyed, unkeyed, with_group
 
-HOT = 1_000_000
 Blocks = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 """text number, label, first window, last window (in units from the text's start), whether it may repeat in itself"""
 
@@ -38,6 +37,8 @@ class Unit:
     `digests` two hashes for each window of each context."""
 
     window: int
+    hot: int
+    """Blocks of one label beyond which its windows are dealt by their own hash."""
 
     def blocks(self, texts: list[bytes]) -> Blocks:
         raise NotImplementedError
@@ -222,7 +223,7 @@ def shared_texts(rows: DataFrame) -> DataFrame:
     return rows.where("key is not null").select("key", F.coalesce("text", F.lit("")).alias("text")).repartition("key")
 
 
-def contexts_by_label(own: DataFrame, texts: DataFrame, unit: Unit, hot: int = HOT, shrink: bool = True) -> DataFrame:
+def contexts_by_label(own: DataFrame, texts: DataFrame, unit: Unit, hot: int, shrink: bool = True) -> DataFrame:
     """(label, key, first, last, context) of own's repeated blocks, sorted within partitions of the label."""
     by_label = Window.partitionBy("label")
     repeated = (
@@ -240,13 +241,13 @@ def contexts_by_label(own: DataFrame, texts: DataFrame, unit: Unit, hot: int = H
     return shipped.repartition("label").sortWithinPartitions("label", "key", "first")
 
 
-def shipped_contexts(rows: DataFrame, unit: Unit, hot: int = HOT, shrink: bool = True) -> DataFrame:
+def shipped_contexts(rows: DataFrame, unit: Unit, shrink: bool = True) -> DataFrame:
     """contexts_by_label of all rows (key, text)."""
     texts = shared_texts(rows)
-    return contexts_by_label(texts, texts, unit, hot, shrink)
+    return contexts_by_label(texts, texts, unit, unit.hot, shrink)
 
 
-def remove_repeats(docs: DataFrame, unit: Unit, text: str = "text", hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, unit: Unit, text: str = "text", hot: int | None = None) -> DataFrame:
     """doc_id, size, n_removed, n_spans, kept_sha256 of each row of docs, without what occurs earlier.
 
     Null texts are empty; an empty table gives an empty table; other columns are ignored. doc_id null or repeated: see
@@ -254,15 +255,16 @@ def remove_repeats(docs: DataFrame, unit: Unit, text: str = "text", hot: int = H
     rows, ids = keyed(docs, text)
     texts = shared_texts(rows)
     named = rows.select("key", F.md5(F.coalesce("text", F.lit(""))).alias("name"))
+    groups = named.groupBy("name").agg(F.min("key").alias("first_key"), F.count(F.lit(1)).alias("n")).where("n > 1")
     copies = (
-        named.join(named.groupBy("name").agg(F.min("key").alias("first_key"), F.count(F.lit(1)).alias("n")).where("n > 1"), "name")
+        with_group(named, groups, "name", "key")
         .where("key > first_key")
         .select(F.col("key").alias("copy_key"))
         .repartition("copy_key")
     )
     flagged = texts.join(copies.hint("shuffle_hash"), F.col("key") == F.col("copy_key"), "left")
     own = flagged.where("copy_key is null").select("key", "text")
-    marked = contexts_by_label(own, texts, unit, hot).mapInArrow(unit.marker(), "key long, s int, e int")
+    marked = contexts_by_label(own, texts, unit, unit.hot if hot is None else hot).mapInArrow(unit.marker(), "key long, s int, e int")
     spans = marked.groupBy(F.col("key").alias("span_key")).agg(F.collect_list(F.struct("s", "e")).alias("spans"))
     out = (
         flagged.join(spans.hint("shuffle_hash"), F.col("key") == F.col("span_key"), "left")
@@ -282,9 +284,5 @@ def blocks_of(label: np.ndarray, valid: np.ndarray, text: np.ndarray) -> tuple[n
     return first, np.flatnonzero(stop & valid)
 
 
-def two_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return ranges(prefix(values, BASES[0]), start, end, BASES[0]), ranges(prefix(values, BASES[1]), start, end, BASES[1])
-
-
 def sha256(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()

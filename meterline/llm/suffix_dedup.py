@@ -17,9 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .arrays import joined, prefix, sliding, sliding_min
+from .arrays import joined, sliding, sliding_min
 from .common import documents, keyed
-from .repeats import Blocks, Unit, blocks_of, remove_repeats, sha256, shipped_contexts, two_hashes
+from .repeats import Blocks, Unit, blocks_of, remove_repeats, sha256, shipped_contexts
 
 WINDOW = 100
 GRAM = 32
@@ -225,6 +225,8 @@ def _report(unit: "Bytes"):
 
 
 class Bytes(Unit):
+    hot = 20_000
+
     def __init__(self, window: int = WINDOW, gram: int = GRAM):
         self.window, self.gram = window, min(gram, window)
 
@@ -236,7 +238,7 @@ class Bytes(Unit):
 
     def blocks(self, texts: list[bytes]) -> Blocks:
         buf, at = joined(texts)
-        grams = sliding(prefix(buf), self.gram)
+        grams = sliding(buf, self.gram)
         label = sliding_min(grams, self.window - self.gram + 1)
         length = np.diff(at) - 1
         keep = np.flatnonzero(length >= self.window)
@@ -258,7 +260,7 @@ class Bytes(Unit):
         count = np.maximum(np.diff(at) - self.window, 0)
         which = np.repeat(np.arange(len(contexts)), count)
         start = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + at[which]
-        return which, *two_hashes(buf, start, start + self.window)
+        return which, *(sliding(buf, self.window, seed)[start] for seed in (0, 1))
 
     def finish(self, text: bytes, spans: np.ndarray) -> tuple[int, int, int, str]:
         kept, at = [], 0

@@ -7,15 +7,13 @@ versions go to the tokenizer as they are.
 
 from __future__ import annotations
 
-import json
+import os
 import unicodedata
 
 import numpy as np
 
-from .arrays import U64, chunks, prefix, ranges
+from .arrays import chunks, names
 
-SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-"""Fixed value: how the vocabulary's pieces are cut."""
 SPACES = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 """Unicode white space."""
 KNOWN = 0x2E80
@@ -32,52 +30,48 @@ def _classes() -> np.ndarray:
     return out
 
 
-def _byte_of() -> dict[str, int]:
-    """Vocabulary files write each byte as one printable character: itself, or the next free one from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+def _characters() -> dict[int, str]:
+    """The vocabulary writes each byte as one printable character: itself, or the next free one from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
     rest = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+    return {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 class Encoder:
-    """ids of texts, as the tokenizer file gives them without special tokens."""
+    """ids of texts, as the tokenizer gives them with add_special_tokens=False; strings of special tokens in a text are
+    ordinary text, as the vocabulary's notes call it."""
 
     def __init__(self, path: str):
+        # Each task is one process; the tokenizer's own threads would compete with Spark's.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.slow = Tokenizer.from_file(path)
         self.slow.encode_special_tokens = True
-        with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
-        place = _byte_of()
-        special = {str(x) for x in self.slow.get_added_tokens_decoder().values()}
-        ranks = {}
-        for token, i in model["vocab"].items():
-            if token not in special and all(c in place for c in token):
-                ranks[bytes(place[c] for c in token)] = i
-        self.piece = self._by_rank(ranks) if self._ordered(model, len(ranks)) else lambda s: self.slow.encode(s, add_special_tokens=False).ids
         self.classes = _classes()
+        self.characters = _characters()
         self._clear()
 
-    @staticmethod
-    def _ordered(model: dict, n: int) -> bool:
-        """Whether merges come in the order of their results' ids, so that ids serve as ranks."""
-        vocab = model["vocab"]
-        at = [vocab.get("".join(m.split(" ") if isinstance(m, str) else m), -1) for m in model["merges"]]
-        return all(a < b for a, b in zip(at, at[1:], strict=False)) and (not at or at[0] >= 0) and n >= 256
-
-    def _by_rank(self, ranks: dict[bytes, int]):
-        import tiktoken
-
-        core = tiktoken.Encoding("own", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
-        return lambda s: [i] if (i := ranks.get(s.encode())) is not None else core._encode_single_piece(s)
-
     def _clear(self) -> None:
-        self.known: dict[int, int] = {}
-        self.at, self.size, self.ids = [], [], []
+        self.names = np.zeros(0, np.uint64)
+        self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def _learn(self, name: np.ndarray, pieces: list[str]) -> None:
+        """Adds pieces to the store, which is sorted by name. A piece is one word to the model."""
+        tokenize = self.slow.model.tokenize
+        new = [[t.id for t in tokenize(p.encode().decode("latin-1").translate(self.characters))] for p in pieces]
+        size = np.fromiter(map(len, new), np.int64, len(new))
+        at = np.cumsum(size) - size + len(self.ids)
+        self.ids = np.concatenate([self.ids, np.fromiter((i for p in new for i in p), np.uint32, int(size.sum()))])
+        names = np.concatenate([self.names, name])
+        order = np.argsort(names, kind="stable")
+        self.names, self.at, self.size = names[order], np.concatenate([self.at, at])[order], np.concatenate([self.size, size])[order]
 
     def limits(self, points: np.ndarray, kind: np.ndarray, begin: np.ndarray) -> np.ndarray:
-        """Where pieces start; begin holds the place of each (non-empty) text."""
+        """Where pieces start; begin holds the place of each (non-empty) text. A piece is an English contraction's end, or
+        a run of letters, of digits or of other signs with one space before it, or white space up to such a space. The
+        tokenizer cuts no piece further and none across two."""
         n = len(points)
         edge = np.zeros(n + 1, bool)
         edge[begin] = edge[n] = True
@@ -117,25 +111,18 @@ class Encoder:
         odd = set(np.searchsorted(begin + size, np.flatnonzero(kind == UNSURE), "right").tolist())
         limit = self.limits(points, kind, begin[size > 0])
         start, end = limit[:-1], limit[1:]
-        name, where, back = np.unique(ranges(prefix(points), start, end), return_index=True, return_inverse=True)
-        if len(self.known) > STORE:
+        name, where, back = np.unique(names(points, start, end), return_index=True, return_inverse=True)
+        if len(self.names) > STORE:
             self._clear()
-        slot = np.empty(len(name), np.int64)
-        known, at, count, ids = self.known, self.at, self.size, self.ids
-        for i, (h, w) in enumerate(zip(name.tolist(), where.tolist(), strict=True)):
-            j = known.get(h)
-            if j is None:
-                new = self.piece(whole[start[w] : end[w]])
-                j = known[h] = len(at)
-                at.append(len(ids))
-                count.append(len(new))
-                ids += new
-            slot[i] = j
-        flat = np.asarray(ids, np.uint32)
+        slot = np.searchsorted(self.names, name)
+        fresh = np.flatnonzero(np.append(self.names, np.uint64(0))[slot] != name) if len(self.names) else np.arange(len(name))
+        if len(fresh):
+            self._learn(name[fresh], [whole[start[w] : end[w]] for w in where[fresh].tolist()])
+            slot = np.searchsorted(self.names, name)
         slot = slot[back]
-        length = np.asarray(count, np.int64)[slot]
+        length = self.size[slot]
         total = np.cumsum(length)
-        out = flat[np.repeat(np.asarray(at, np.int64)[slot] - (total - length), length) + np.arange(total[-1])]
+        out = self.ids[np.repeat(self.at[slot] - (total - length), length) + np.arange(total[-1])]
         cut = np.r_[0, total][np.searchsorted(start, np.r_[begin, len(points)])]
         for i in range(len(texts)):
             yield np.asarray(self.slow.encode(texts[i], add_special_tokens=False).ids, np.uint32) if i in odd else out[cut[i] : cut[i + 1]]

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrays import LOWER, U64, as_bytes, chunks, joined, prefix, ranges, signed
+from .arrays import LOWER, U64, as_bytes, chunks, joined, names, signed
 from .common import documents
 
 TRAIN_MOST = 6000
@@ -53,11 +53,10 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 
 def features(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(which tokens, hashes) of whole tokens and of their prefixes. A prefix hashes unlike a whole token."""
-    pre = prefix(buf)
-    yield np.arange(len(start)), ranges(pre, start, end)
+    yield np.arange(len(start)), names(buf, start, end)
     for n in PREFIXES:
         own = np.flatnonzero(end - start > n)
-        yield own, ranges(pre, start[own], start[own] + n) ^ U64(n)
+        yield own, names(buf, start[own], start[own] + n) ^ U64(n)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
