@@ -13,7 +13,7 @@ from .pii import op8_pii_bootstrap
 from .quality import op5_quality_cascade
 from .quotes import op7_quote_linking
 from .sketches import op3_scaled_sketch
-from .sql import OP2, OP5, OP6
+from .sql import OP2, OP5, OP6, OP7
 from .substring_dedup import op2_substring_dedup
 from .suffix_dedup import op10_suffix_dedup
 from .toxicity import op1_toxicity_crf
@@ -38,4 +38,5 @@ SQL: dict[str, str] = {
     "op2_substring_dedup": OP2,
     "op5_quality_cascade": OP5,
     "op6_jaccard_join": OP6,
+    "op7_quote_linking": OP7,
 }

@@ -1,10 +1,10 @@
 """Chat formatting by quotation linking, in SQL functions only.
 
-Lines that begin with '>' are quotes; the number of markers is their level. Quoted lines and the messages' own lines are
-normalised and hashed; quotes of every level are linked to the messages of their conversation, before them, that wrote
-them. A message answers the one that wrote most of the lines at its shallowest level with links (the latest of equals).
-Answers are followed to where their thread begins, which with the
-turn gives the order to read in, and the bodies lose their quotes.
+Lines that begin with '>' are quotes; the number of markers is their level. A passage is a run of lines of one level. Its
+lines are normalised and hashed, and it is joined to the last message before, in its conversation, that wrote the same
+lines in a row; where nobody did, each of its lines is joined to the last message that wrote it. A message answers the
+one that its shallowest level with links quotes most lines of (the latest of equals). Answers are followed to where
+their thread begins, which with the turn gives the order to read in, and the bodies lose their quotes.
 """
 
 from __future__ import annotations
@@ -12,7 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, with_group
+
+BLOCK = 1024
+"""Turns of a conversation that are sorted together, at most."""
+EDGES = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
 
 
 def quote_level(line: Column) -> Column:
@@ -24,61 +28,103 @@ def normal(line: Column) -> Column:
     return F.regexp_replace(F.lower(F.regexp_replace(line, r"^[> \t]*>", "")), r"[^\p{L}\p{N}]+", "")
 
 
-def lines(messages: DataFrame, text: str = "text") -> DataFrame:
-    """messages with `_lines`: (level, line, hash) of each line; the hash of a line without letters or digits is null."""
+def once(value: Column, use) -> Column:
+    """use(value), with value computed a single time."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def lines(text: Column) -> Column:
+    """(level, line, hash) of each line; the hash of a line without letters or digits is null."""
+
     def entry(x: Column) -> Column:
-        bare = normal(x)
-        return F.struct(quote_level(x).alias("level"), x.alias("line"), F.when(bare != "", F.xxhash64(bare)).alias("hash"))
+        return F.struct(quote_level(x).alias("level"), x.alias("line"), once(normal(x), lambda bare: F.when(bare != "", F.xxhash64(bare))).alias("hash"))
+
+    return F.transform(F.split(F.coalesce(text, F.lit("")), "\r?\n"), entry)
+
+
+def hashes(found: Column) -> Column:
+    return F.transform(F.filter(found, lambda x: x["hash"].isNotNull()), lambda x: x["hash"])
 
-    return messages.withColumn("_lines", F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\r?\n"), entry))
+
+def passages(found: Column) -> Column:
+    """(level, hashes) of each run of lines of one level above 0, from lines()."""
+    places = F.sequence(F.lit(0), F.size(found) - 1)
+    edge = lambda i, j: F.coalesce(F.get(found, i)["level"] != F.get(found, j)["level"], F.lit(True))
+    starts = F.filter(places, lambda i: (F.get(found, i)["level"] > 0) & edge(i, i - 1))
+    ends = F.filter(places, lambda i: (F.get(found, i)["level"] > 0) & edge(i, i + 1))
+    runs = F.transform(F.arrays_zip(starts.alias("s"), ends.alias("e")), lambda r: F.struct(F.get(found, r["s"])["level"].alias("level"), hashes(F.slice(found, r["s"] + 1, r["e"] - r["s"] + 1)).alias("hashes")))
+    return F.filter(runs, lambda r: F.size(r["hashes"]) > 0)
+
+
+def parsed(messages: DataFrame, text: str = "text") -> DataFrame:
+    """conv_id, turn, own (hashes of the message's own lines), quotes (its passages), for rows with both keys."""
+    both = once(lines(F.col(text)), lambda x: F.struct(hashes(F.filter(x, lambda y: y["level"] == 0)).alias("own"), passages(x).alias("quotes")))
+    return messages.where("conv_id is not null and turn is not null").select("conv_id", F.col("turn").cast("long").alias("turn"), both.alias("found")).select("conv_id", "turn", "found.*")
+
+
+def last_before(marks: DataFrame) -> DataFrame:
+    """(conv_id, turn, hash, wrote) -> conv_id, turn, hash, source for rows that did not write: the last turn before that
+    wrote the hash. Turns meet in blocks and blocks in one row each, so no task sorts all that share a hash."""
+    marks = marks.distinct().withColumn("block", F.floor(F.col("turn") / BLOCK)).withColumn("at", F.when(F.col("wrote"), F.col("turn")))
+    here = Window.partitionBy("conv_id", "hash", "block").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
+    near = marks.withColumn("near", F.max("at").over(here)).where(~F.col("wrote"))
+    ahead = Window.partitionBy("conv_id", "hash").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    far = marks.groupBy("conv_id", "hash", "block").agg(F.max("at").alias("at")).select("conv_id", "hash", "block", F.max("at").over(ahead).alias("far"))
+    return near.join(far, ["conv_id", "hash", "block"]).select("conv_id", "turn", "hash", F.coalesce("near", "far").alias("source")).where("source is not null")
 
 
 def quote_links(known: DataFrame) -> DataFrame:
-    """conv_id, turn, level, source, n: how many different lines, quoted at a level, a message before was the last to
-    write. known: `lines` with conv_id and turn."""
-    said = lambda keep: F.array_distinct(F.transform(F.filter("_lines", lambda x: keep(x["level"]) & x["hash"].isNotNull()), lambda x: F.struct(x["level"].alias("level"), x["hash"].alias("hash"))))
-    quoted = known.where(F.exists("_lines", lambda x: x["level"] > 0)).select("conv_id", "turn", F.inline(said(lambda v: v > 0))).distinct()
-    talked = quoted.select("conv_id", "hash").distinct()
-    wrote = known.select("conv_id", "turn", F.inline(said(lambda v: v == 0))).join(talked, ["conv_id", "hash"], "left_semi")
-    # Of the messages that wrote a line, only the last one before each quote matters, so lines meet in one sort.
-    columns = ["conv_id", "hash", "level", "turn"]
-    marks = quoted.select(*columns, F.lit(None).cast("long").alias("wrote")).union(wrote.select(*columns, F.col("turn").cast("long").alias("wrote")))
-    before = Window.partitionBy("conv_id", "hash").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
-    answers = marks.withColumn("source", F.max("wrote").over(before)).where("level > 0 and source is not null")
-    return answers.groupBy("conv_id", "turn", "level", "source").agg(F.count(F.lit(1)).alias("n"))
-
-
-def link_quotes(messages: DataFrame, text: str = "text", rounds: int = 40) -> DataFrame:
+    """conv_id, turn, level, source, n: how many lines a message quotes at a level from a message before it; from
+    parsed(). A line that a level quotes twice counts twice."""
+    quoted = known.where(F.size("quotes") > 0).select("conv_id", "turn", F.posexplode("quotes").alias("no", "q")).select("conv_id", "turn", "no", "q.*", F.xxhash64("q.hashes").alias("hash"))
+    sizes = quoted.groupBy("conv_id").agg(F.array_union(F.array(F.lit(1)), F.collect_set(F.size("hashes"))).alias("sizes")).join(known.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")), "conv_id")
+    # Every run of own lines that is as long as some passage of the conversation, by its hash.
+    runs = F.flatten(F.transform(F.filter("sizes", lambda k: k <= F.size("own")), lambda k: F.transform(F.sequence(F.lit(1), F.size("own") - k + 1), lambda i: F.xxhash64(F.slice("own", i, k)))))
+    wrote = with_group(known.select("conv_id", "turn", "own"), sizes, "conv_id", "turn").select("conv_id", "turn", F.explode(F.array_distinct(runs)).alias("hash"), F.lit(True).alias("wrote"))
+    parts = quoted.select("conv_id", "turn", "no", "level", "hash", F.size("hashes").alias("n"), F.explode("hashes").alias("line")).withColumn("line", F.xxhash64(F.array("line")))
+    asked = parts.select("conv_id", "turn", F.explode(F.array("hash", "line")).alias("hash"), F.lit(False).alias("wrote"))
+    found = cut(last_before(wrote.union(asked)))
+    whole = found.select("conv_id", "turn", "hash", F.col("source").alias("whole"))
+    single = found.select("conv_id", "turn", F.col("hash").alias("line"), F.col("source").alias("single"))
+    linked = parts.join(whole, ["conv_id", "turn", "hash"], "left").join(single, ["conv_id", "turn", "line"], "left")
+    return linked.withColumn("source", F.coalesce("whole", "single")).where("source is not null").groupBy("conv_id", "turn", "level", "source").agg(F.count(F.lit(1)).alias("n"))
+
+
+def roots(tree: DataFrame) -> DataFrame:
+    """conv_id, turn, root of each (conv_id, turn, parent), by pointer jumping; parents come before their children, so
+    each round halves the way and the rounds end."""
+    jumps = tree.withColumnRenamed("parent", "root")
+    while True:
+        up = jumps.select("conv_id", F.col("turn").alias("root"), F.col("root").alias("further"))
+        new = cut(jumps.join(up, ["conv_id", "root"], "left").select("conv_id", "turn", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")))
+        jumps = new.drop("moved")
+        if not new.where("moved").head(1):
+            return jumps
+
+
+def link_quotes(messages: DataFrame, text: str = "text") -> DataFrame:
     """conv_id, turn, role, n_quoted, depth, parent_turn, root_turn, body for each row of messages.
 
     Sorted by conv_id, root_turn, turn, rows read as threads in which every reply follows what it answers. A message
     that quotes nothing known has no parent and begins a thread. Null texts are empty; rows with a null conv_id or turn
     have no parent; rows that share both are one message for linking and separate rows in the result; an empty table
     gives an empty table; other columns are ignored."""
-    rows = lines(messages.select("conv_id", "turn", "role", F.col(text).alias("text")))
-    known = rows.where("conv_id is not null and turn is not null")
-    best = quote_links(known).groupBy("conv_id", "turn").agg(F.max_by("source", F.struct(-F.col("level"), "n", "source")).alias("parent"))
+    rows = messages.select("conv_id", "turn", "role", F.col(text).alias("text"))
+    best = quote_links(cut(parsed(rows))).groupBy("conv_id", "turn").agg(F.max_by("source", F.struct(-F.col("level"), "n", "source")).alias("parent"))
     tree = cut(best.select("conv_id", "turn", "parent"))
-    jumps = tree.withColumnRenamed("parent", "root")
-    for _ in range(rounds):
-        up = jumps.select("conv_id", F.col("turn").alias("root"), F.col("root").alias("further"))
-        new = cut(jumps.join(up, ["conv_id", "root"], "left").select("conv_id", "turn", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")))
-        jumps = new.drop("moved")
-        if not new.where("moved").head(1):
-            break
-    linked = tree.join(jumps, ["conv_id", "turn"])
-    own = F.filter("_lines", lambda x: x["level"] == 0)
-    body = F.regexp_replace(F.array_join(F.transform(own, lambda x: x["line"]), "\n"), r"^\s+|\s+$", "")
+    linked = tree.join(roots(tree), ["conv_id", "turn"])
+
+    def shown(x: Column) -> Column:
+        own = F.transform(F.filter(x, lambda y: y["level"] == 0), lambda y: y["line"])
+        return F.struct(
+            F.size(F.filter(x, lambda y: y["level"] > 0)).cast("long").alias("n_quoted"),
+            F.array_max(F.transform(x, lambda y: y["level"])).alias("depth"),
+            F.regexp_replace(F.array_join(own, "\n"), EDGES, "").alias("body"),
+        )
+
     return rows.join(linked, ["conv_id", "turn"], "left").select(
-        "conv_id",
-        "turn",
-        "role",
-        F.size(F.filter("_lines", lambda x: x["level"] > 0)).cast("long").alias("n_quoted"),
-        F.array_max(F.transform("_lines", lambda x: x["level"])).alias("depth"),
-        F.col("parent").alias("parent_turn"),
-        F.coalesce("root", "turn").alias("root_turn"),
-        body.alias("body"),
-    )
+        "conv_id", "turn", "role", once(lines(F.col("text")), shown).alias("shown"), F.col("parent").alias("parent_turn"), F.coalesce("root", "turn").alias("root_turn")
+    ).select("conv_id", "turn", "role", "shown.n_quoted", "shown.depth", "parent_turn", "root_turn", "shown.body")
 
 
 def op7_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:

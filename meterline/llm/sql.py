@@ -46,3 +46,25 @@ both_ways as (select a, b from links union select b, a from links),
 reach(a, b) as (select a, b from both_ways union select r.a, l.b from reach r join both_ways l on r.b = l.a)
 select w.doc_id, coalesce(max(c.n), 0) as n_shingles, least(w.doc_id, coalesce(min(r.b), w.doc_id)) as component_id
 from w left join c on w.doc_id = c.doc_id left join reach r on r.a = w.doc_id group by w.doc_id"""
+
+OP7 = r"""
+with recursive m as (select row_number() over () as id, * from conversations),
+s as (select id, conv_id, turn, string_split(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), chr(10)) as ls from m),
+l as (select id, conv_id, turn, unnest(ls) as line, generate_subscripts(ls, 1) as i from s),
+k as (select *, length(regexp_replace(regexp_extract(line, '^[> \t]*>', 0), '[^>]', '', 'g')) as lev,
+  regexp_replace(lower(regexp_replace(line, '^[> \t]*>', '')), '[^\p{L}\p{N}]+', '', 'g') as bare from l),
+r as (select *, sum(new) over (partition by id order by i) as run from (select *, coalesce(lev <> lag(lev) over (partition by id order by i), true)::int as new from k)),
+own as (select conv_id, turn, chr(10) || string_agg(bare, chr(10) order by i) || chr(10) as body from k where lev = 0 and bare <> '' group by conv_id, turn, id),
+p as (select id, conv_id, turn, run, lev, chr(10) || string_agg(bare, chr(10) order by i) || chr(10) as body from r where lev > 0 and bare <> '' group by id, conv_id, turn, run, lev),
+whole as (select p.id, p.run, max(own.turn) as source from p join own on p.conv_id = own.conv_id and own.turn < p.turn and contains(own.body, p.body) group by p.id, p.run),
+single as (select q.id, q.i, max(own.turn) as source from r q join own on q.conv_id = own.conv_id and own.turn < q.turn and contains(own.body, chr(10) || q.bare || chr(10)) where q.lev > 0 and q.bare <> '' group by q.id, q.i),
+links as (select q.conv_id, q.turn, q.lev, coalesce(whole.source, single.source) as source, count(*) as n
+  from r q left join whole on q.id = whole.id and q.run = whole.run left join single on q.id = single.id and q.i = single.i
+  where q.lev > 0 and q.bare <> '' and coalesce(whole.source, single.source) is not null group by all),
+tree as (select conv_id, turn, source as parent from (select *, row_number() over (partition by conv_id, turn order by lev, n desc, source desc) as o from links) where o = 1),
+up(conv_id, turn, root) as (select conv_id, turn, parent from tree union all select up.conv_id, up.turn, t.parent from up join tree t on up.conv_id = t.conv_id and up.root = t.turn),
+shown as (select id, count(*) filter (lev > 0) as n_quoted, max(lev) as depth, coalesce(string_agg(line, chr(10) order by i) filter (lev = 0), '') as body from k group by id)
+select m.conv_id, m.turn, m.role, n_quoted, depth::int as depth, tree.parent as parent_turn, coalesce(x.root, m.turn) as root_turn,
+  regexp_replace(body, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') as body
+from m join shown on m.id = shown.id left join tree on m.conv_id = tree.conv_id and m.turn = tree.turn
+left join (select conv_id, turn, min(root) as root from up group by all) x on m.conv_id = x.conv_id and m.turn = x.turn"""

@@ -401,10 +401,16 @@ def test_quotes_nested_only(spark):
     messages = spark.createDataFrame(rows, "conv_id string, turn int, role string, text string")
     got = {r["turn"]: (r["parent_turn"], r["root_turn"], r["body"]) for r in quotes.link_quotes(messages).collect()}
     assert got == {1: (None, 1, "first thing"), 2: (1, 1, "second thing"), 3: (1, 1, "third"), 4: (2, 1, "fourth"), 5: (4, 1, "fifth")}
-    links = {tuple(r) for r in quotes.quote_links(quotes.lines(messages)).select("turn", "level", "source", "n").collect()}
+    links = {tuple(r) for r in quotes.quote_links(quotes.parsed(messages)).select("turn", "level", "source", "n").collect()}
     assert links == {(2, 1, 1, 1), (3, 2, 1, 1), (4, 2, 2, 1), (4, 3, 1, 1), (5, 1, 4, 1), (5, 2, 1, 1), (5, 2, 2, 1)}
 
 
+def test_quotes_link_to_who_wrote_the_passage(spark):
+    rows = [("c", 1, "u", "one\ntwo\nthree\nfour"), ("c", 2, "a", "one\ntwo"), ("c", 3, "u", "> one\n> two\n> three\nyes"), ("c", 4, "u", "> two\n> one\nno")]
+    got = {r["turn"]: r["parent_turn"] for r in quotes.link_quotes(spark.createDataFrame(rows, "conv_id string, turn int, role string, text string")).collect()}
+    assert got == {1: None, 2: None, 3: 1, 4: 2}
+
+
 def mirrored(rounds, a="a", b="b"):
     """A Thue-Morse word and its complement, which polynomial hashes modulo a power of two can't tell apart."""
     for _ in range(rounds):

@@ -11,7 +11,8 @@ D = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", SQL)
 def test_same_as_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{D}/documents.parquet'")
+    for table in ("documents", "conversations"):
+        con.execute(f"create view {table} as select * from '{D}/{table}.parquet'")
     df = QUERIES[name](spark, D)
     columns = sorted(df.columns)
     got = sorted(tuple(r[c] for c in columns) for r in df.collect())
@@ -19,3 +20,41 @@ def test_same_as_sql(spark, name):
     names = [c[0] for c in cursor.description]
     assert sorted(names) == columns
     assert got == sorted(tuple(r[names.index(c)] for c in columns) for r in cursor.fetchall())
+
+
+def test_quotes_same_as_sql(spark):
+    """Threads that quote whole messages, parts of them, single lines and unknown ones, at several levels."""
+    import random
+
+    from meterline.llm import quotes
+
+    r = random.Random(8)
+    common = ["ok", "Thanks!", "see below", "I agree."]
+    rows = []
+    for conv in range(25):
+        said = []
+        for turn in range(r.choice([1, 2, 8, 40])):
+            text = []
+            for _ in range(r.choice([0, 1, 1, 2])):
+                if said:
+                    old = r.choice(said)
+                    a = r.randrange(len(old) + 1)
+                    text += [">" + " " * r.randint(0, 1) + x for x in (old if r.random() < 0.5 else old[a : a + r.randint(0, 4)])]
+                if r.random() < 0.2:
+                    text.append(r.choice(["> never said", ">>", ">>> ok", "> > Thanks", ">"]))
+                text.append(r.choice(common + ["", "--"]))
+            text += [r.choice(common) if r.random() < 0.4 else f"Line {r.randrange(60)}, é {conv}" for _ in range(r.randint(0, 5))]
+            said.append(text)
+            rows.append((conv if conv else 10**6, turn * r.choice([1, 1, 3]) + turn * 900, "u", r.choice(["\n", "\r\n"]).join(text) if text else None))
+    rows += [(500, 1, "u", "x y\n" * 3000), (500, 2, "a", "> x y\n" * 2000 + "z"), (501, 0, "u", "hot"), *((501, k, "u", "> hot\nhot") for k in range(1, 300))]
+    seen = set()
+    rows = [x for x in rows if (x[0], x[1]) not in seen and not seen.add((x[0], x[1]))]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    con = duckdb.connect()
+    con.register("conversations", df.toPandas())
+    want = con.execute(SQL["op7_quote_linking"])
+    names = [c[0] for c in want.description]
+    got = quotes.link_quotes(df.repartition(5)).select(*names).collect()
+    order = lambda x: tuple((v is None, v) for v in x)
+    assert sorted((tuple(x) for x in got), key=order) == sorted(want.fetchall(), key=order)
+    assert sum(x["parent_turn"] is not None for x in got) > 100
