@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, documents, keyed, unkeyed, with_key
+from .common import cut, documents, keyed, unkeyed, with_group, with_key
+from .quality import once
 
 KINDS = ("email", "ip", "card", "phone", "id")
 """Fixed order of kinds at one start."""
@@ -27,27 +28,45 @@ PATTERNS = {
 LONE = r"[ -](?![0-9])|(?<![0-9])[ -]"
 """A space or hyphen that isn't between two digits."""
 WORD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
+BLOCK = 256
+"""Code points; words and spans meet by the blocks that they touch."""
 ROUNDS = 3
 SUPPORT = 3
 CONFIDENCE = 0.5
 
 
-def found(text: Column, pattern: str) -> Column:
-    """(s, e, hit) of all matches, in code points: lengths of what lies between the matches and of the matches add up."""
-    pieces, hits = F.split(text, pattern), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    none = F.array().cast("array<struct<s:int,e:int,hit:string>>")
+def before_each(values: Column, start: int, add) -> Column:
+    """What comes out before each element when `add` runs over values from the left. Two levels of blocks of 64 keep the
+    work near to linear."""
+    total = lambda part: F.aggregate(part, F.lit(start), add)
+    blocks = lambda v: F.transform(F.filter(F.sequence(F.lit(0), F.size(v) - 1), lambda i: i % 64 == 0), lambda i: total(F.slice(v, i + 1, 64)))
 
-    def placed(x: Column) -> Column:
-        def step(acc: Column, i: Column) -> Column:
-            s = acc["at"] + F.length(F.get(x["p"], i))
-            hit = F.get(x["h"], i)
-            e = s + F.length(hit)
-            return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), hit.alias("hit")))).alias("out"))
+    def each(v: Column, one: Column, two: Column) -> Column:
+        far = lambda i: F.slice(two, F.lit(1), F.floor(i / 4096).cast("int"))
+        mid = lambda i: F.slice(one, (F.floor(i / 4096) * 64 + 1).cast("int"), (F.floor(i / 64) % 64).cast("int"))
+        near = lambda i: F.slice(v, (F.floor(i / 64) * 64 + 1).cast("int"), i % 64)
+        return F.transform(v, lambda _, i: add(add(total(far(i)), total(mid(i))), total(near(i))))
 
-        start = F.struct(F.lit(0).alias("at"), none.alias("out"))
-        return F.aggregate(F.sequence(F.lit(0), F.size(x["h"]) - 1), start, step, lambda acc: acc["out"])
+    return F.when(F.size(values) > 0, once(values, lambda v: once(blocks(v), lambda one: once(blocks(one), lambda two: each(v, one, two))))).otherwise(F.array().cast("array<int>"))
 
-    return F.when(text.rlike(pattern), F.element_at(F.transform(F.array(F.struct(pieces.alias("p"), hits.alias("h"))), placed), 1)).otherwise(none)
+
+def found(text: Column, pattern: str, lead: bool = False) -> Column:
+    """(s, e, hit, lead) of all matches, in code points: lengths of what lies between the matches and of the matches add
+    up. lead: the last 64 characters before a match, back to the start of the match before it at most."""
+    none = F.array().cast("array<struct<s:int,e:int,hit:string,lead:string>>")
+
+    def placed(pieces: Column, hits: Column) -> Column:
+        def entry(at: Column, i: Column) -> Column:
+            piece, hit = F.get(pieces, i), F.get(hits, i)
+            s = at + F.length(piece)
+            ahead = F.substring(F.concat(F.coalesce(F.get(hits, i - 1), F.lit("")), piece), -64, 64) if lead else F.lit("")
+            return F.struct(s.alias("s"), (s + F.length(hit)).alias("e"), hit.alias("hit"), ahead.alias("lead"))
+
+        sizes = F.transform(hits, lambda h, i: F.length(F.get(pieces, i)) + F.length(h))
+        return F.transform(before_each(sizes, 0, lambda a, x: a + x), entry)
+
+    parts = F.struct(F.split(text, pattern).alias("p"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("h"))
+    return F.when(text.rlike(pattern), once(parts, lambda x: placed(x["p"], x["h"]))).otherwise(none)
 
 
 def digits(hit: Column) -> Column:
@@ -80,12 +99,11 @@ def candidates(text: Column) -> Column:
 
     def entry(x: Column) -> Column:
         s = x["s"] + F.instr(x["hit"], core(x)) - 1
-        window = F.substring(text, F.greatest(x["s"] - 63, F.lit(1)), F.least(x["s"], F.lit(64)))
-        before = F.lower(F.regexp_extract(window, r"([^\x20\x09-\x0D]*)[\x20\x09-\x0D]*$", 1))
+        before = F.lower(F.regexp_extract(x["lead"], r"([^\x20\x09-\x0D]*)[\x20\x09-\x0D]*$", 1))
         shape = F.when(core(x).rlike("^[0-9a-f]{16,}$"), "hex").otherwise(F.substring(F.regexp_replace(F.regexp_replace(core(x), "[0-9]+", "9"), r"\p{L}+", "a"), 1, 8))
         return F.struct(s.alias("s"), (s + F.length(core(x))).alias("e"), core(x).alias("core"), before.alias("before"), shape.alias("shape"))
 
-    own = F.filter(found(text, WORD), lambda x: F.length(digits(x["hit"])) >= 4)
+    own = F.filter(found(text, WORD, lead=True), lambda x: F.length(digits(x["hit"])) >= 4)
     return F.when(text.rlike("[0-9]"), F.transform(own, entry)).otherwise(F.array().cast("array<struct<s:int,e:int,core:string,before:string,shape:string>>"))
 
 
@@ -108,17 +126,21 @@ def scanned(rows: DataFrame) -> DataFrame:
 def learned(scan: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
     """(key, s, e) of instances that high-confidence patterns discover. `rounds`: turns between two looks for new ones;
     what isn't found in them begins the next turns without confidence, so that patterns don't raise themselves."""
-    words = scan.select("key", "spans", F.explode("words").alias("w")).select("key", "w.*", F.exists("spans", lambda x: (x["s"] < F.col("w.e")) & (x["e"] > F.col("w.s"))).alias("seed"))
-    words = cut(words)
+    words = scan.select("key", F.explode("words").alias("w")).select("key", "w.*")
+    blocks = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / BLOCK), F.floor((F.col(b) - 1) / BLOCK)))
+    spans = scan.select("key", F.explode("spans").alias("x")).select("key", F.col("x.s").alias("from"), F.col("x.e").alias("to"), blocks("x.s", "x.e").alias("block"))
+    met = words.withColumn("block", blocks("s", "e")).join(spans, ["key", "block"]).where((F.col("from") < F.col("e")) & (F.col("to") > F.col("s")))
+    seeds = met.select("key", "s", F.lit(True).alias("met")).distinct()
+    words = cut(words.join(seeds, ["key", "s"], "left").withColumn("seed", F.col("met").isNotNull()).drop("met"))
     # A neighbour that is a space and an empty shape, which no word has, stand for any.
-    patterns = F.array(*[F.struct(F.expr(b).alias("before"), F.expr(s).alias("shape")) for b, s in (("before", "shape"), ("before", "''"), ("' '", "shape"))])
-    graph = cut(words.select("core", F.inline(patterns)).distinct())
+    patterns = F.array(*[F.concat_ws("\n", F.expr(b), F.expr(s)) for b, s in (("before", "shape"), ("before", "''"), ("' '", "shape"))])
+    graph = cut(words.select("core", F.explode(patterns).alias("pattern")).distinct())
     trust = words.groupBy("core").agg(F.max(F.col("seed").cast("double")).alias("known")).withColumn("trust", F.col("known"))
     while True:
         for _ in range(rounds):
-            patterns = graph.join(trust, "core").groupBy("before", "shape").agg((F.sum("trust") / (F.count(F.lit(1)) + 1)).alias("score"), F.count(F.lit(1)).alias("support"), F.count_if(F.col("known") > 0).alias("seeds"))
-            patterns = patterns.where((F.col("support") >= support) & (F.col("seeds") > 0))
-            best = graph.join(patterns, ["before", "shape"]).groupBy("core").agg(F.max("score").alias("score"))
+            patterns = graph.join(trust, "core").groupBy("pattern").agg((F.sum("trust") / (F.count(F.lit(1)) + 1)).alias("score"), F.count(F.lit(1)).alias("n"), F.count_if(F.col("known") > 0).alias("seeds"))
+            patterns = cut(patterns.where((F.col("n") >= support) & (F.col("seeds") > 0)))
+            best = with_group(graph, patterns, "pattern", "core").groupBy("core").agg(F.max("score").alias("score"))
             trust = cut(trust.join(best, "core", "left").select("core", "known", F.greatest("known", F.coalesce("score", F.lit(0.0))).alias("trust")))
         if not trust.where((F.col("known") == 0) & (F.col("trust") >= confidence)).head(1):
             break
@@ -153,21 +175,26 @@ def pii_spans(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with every span replaced by its kind in brackets; overlapping spans become one, of the first's kind."""
+    """docs with every span replaced by its kind in brackets; overlapping spans become one, of the first's kind.
+
+    A null text stays null and texts without spans stay as they are; doc_id null or repeated: see common.with_key;
+    repeated rows stay; an empty table gives an empty table; all columns of docs keep their names and values."""
     columns = docs.columns
-    rows, _ = with_key(docs.withColumnRenamed("key", "_key") if "key" in columns else docs, text)
-    spans = find_spans(rows.select("key", F.col(text).alias("text"))).where(F.size("spans") > 0).select(F.col("key").alias("_at"), F.col("spans").alias("_spans"))
-
-    def step(acc: Column, x: Column) -> Column:
-        inside = x["s"] < acc["at"]
-        gap = F.substring(F.col(text), acc["at"] + 1, x["s"] - acc["at"])
-        label = F.concat(F.lit("["), F.get(F.array(*map(F.lit, KINDS)), x["kind"]), F.lit("]"))
-        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], gap, label)).alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    done = F.aggregate("_spans", start, step, lambda acc: F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, F.length(F.col(text)))))
-    joined = rows.join(spans, F.col("key") == F.col("_at"), "left").withColumn(text, F.when(F.col("_spans").isNull(), F.col(text)).otherwise(done)).drop("key", "_at", "_spans")
-    return joined.withColumnRenamed("_key", "key").select(*columns) if "key" in columns else joined.select(*columns)
+    rows, _ = with_key(docs.select(F.struct(*columns).alias("row"), "doc_id", F.col(text).alias("text")))
+    spans = find_spans(rows.select("key", "text")).where(F.size("spans") > 0).select(F.col("key").alias("at"), "spans")
+    labels = F.array(*[F.lit(f"[{k}]") for k in KINDS])
+
+    def masked(wide: Column, x: Column) -> Column:
+        # Code points have four bytes here, so a part is found without counting from the start.
+        part = lambda a, b: F.decode(F.substring(wide, a * 4 + 1, (b - a) * 4), "UTF-32")
+        reach = F.concat(before_each(F.transform(x, lambda y: y["e"]), 0, lambda a, y: F.greatest(a, y)), F.array(F.array_max(F.transform(x, lambda y: y["e"]))))
+        heads = lambda e: F.filter(F.sequence(F.lit(0), F.size(x) - 1), lambda i: F.get(e, i) <= F.get(x, i)["s"])
+        one = lambda e, i: F.concat(part(F.get(e, i), F.get(x, i)["s"]), F.get(labels, F.get(x, i)["kind"]))
+        return once(reach, lambda e: F.concat(F.array_join(F.transform(heads(e), lambda i: one(e, i)), ""), part(F.element_at(e, -1), (F.length(wide) / 4).cast("int"))))
+
+    done = once(F.encode("text", "UTF-32"), lambda wide: masked(wide, F.col("spans")))
+    out = rows.join(spans, F.col("key") == F.col("at"), "left").select("row", F.when(F.col("spans").isNull(), F.col("text")).otherwise(done).alias("text"))
+    return out.select(*[F.col("text").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in columns])
 
 
 def op8_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,24 +1,40 @@
 """Quality rules as a short-circuit cascade, in SQL functions only.
 
-Every rule's cost (seconds) and selectivity (share it rejects) are measured on a bounded sample; rules then run in order
-of rejection per cost, and a row that one rule rejects skips the rest. The order changes only the work, never a verdict
-(`rejected_by` names the first rule of that order).
+Every rule computes what it needs from the text. What that costs and how many rows it rejects are estimated on a sample
+chosen by hash, in one aggregate on the executors; rules then run in order of rejection per cost, and a row that one rule
+rejects skips the rest. A cost is what the rule reads, in characters, each at a unit price, so that the order is the
+same on every machine. The order changes only the work, never a verdict (`rejected_by` names the first rule of that order).
 """
 
 from __future__ import annotations
 
-import time
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, documents
+from .common import documents
 from .mixing import SPACES
 
 SYMBOLS = "#*$%&|<>"
 """Fixed value: characters that count as symbols."""
 SAMPLE = 1000
-"""Rows that costs and selectivities are measured on, at most; no verdict depends on it."""
+"""Rows that costs and selectivities are estimated on, about; no verdict depends on it."""
+
+
+@dataclass(frozen=True)
+class Rule:
+    """rejects: whether a row fails, never null; cost: what finding that out costs for the row, in characters read by a
+    plain scan."""
+
+    name: str
+    rejects: Column
+    cost: Column
+
+
+def once(value: Column, use) -> Column:
+    """use(value), with value computed a single time."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def repeat_words(hashes: Column) -> Column:
@@ -35,69 +51,96 @@ def repeat_words(hashes: Column) -> Column:
     return F.when(F.size(hashes) >= 3, n).otherwise(0).cast("long")
 
 
-def measures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with n_words, word_chars, n_symbols, n_lines (lines with a word), n_dup_lines and n_repeat_words."""
+def words(text: Column) -> Column:
+    return F.filter(F.split(text, SPACES), lambda w: w != "")
+
+
+def word_chars(found: Column) -> Column:
+    """Code points in words."""
+    return F.length(F.array_join(found, "")).cast("long")
+
+
+def n_symbols(text: Column) -> Column:
     symbol = f"[{''.join(chr(92) + c for c in SYMBOLS)}]"
-    out = docs.withColumn("_text", F.coalesce(F.col(text), F.lit(""))).withColumn("_words", F.filter(F.split("_text", SPACES), lambda w: w != ""))
-    out = out.withColumn("_lines", F.filter(F.split("_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))).withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
-    return out.select(
-        *docs.columns,
-        F.size("_words").cast("long").alias("n_words"),
-        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
-        F.when(F.col("_text").rlike(symbol), F.length("_text") - F.length(F.regexp_replace("_text", symbol, ""))).otherwise(0).cast("long").alias("n_symbols"),
-        F.size("_lines").cast("long").alias("n_lines"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        repeat_words(F.col("_hashes")).alias("n_repeat_words"),
-    )
+    return F.when(text.rlike(symbol), F.length(text) - F.length(F.regexp_replace(text, symbol, ""))).otherwise(0).cast("long")
+
+
+def lines(text: Column) -> Column:
+    """Lines with a word."""
+    return F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+
+
+def n_dup_lines(found: Column) -> Column:
+    return (F.size(found) - F.size(F.array_distinct(found))).cast("long")
+
+
+def measures(text: Column) -> tuple[Column, Column, Column]:
+    """For a text that is not null: (n_words, word_chars, n_repeat_words) in one struct, n_symbols, n_dup_lines."""
+
+    def of(found: Column) -> Column:
+        repeated = once(F.transform(found, lambda w: F.xxhash64(w)), repeat_words)
+        return F.struct(F.size(found).cast("long").alias("n_words"), word_chars(found).alias("word_chars"), repeated.alias("n_repeat_words"))
+
+    return once(words(text), of), n_symbols(text), n_dup_lines(lines(text))
 
 
-def base_failed() -> Column:
-    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+def base_failed(words: Column, repeated: Column) -> Column:
+    return (words < 50) | (100 * repeated > 50 * words)
 
 
-def rules(text: str = "text") -> dict[str, Column]:
-    """When each rule rejects a row; never null."""
-    return {
-        "symbols": 10 * F.col("n_symbols") > F.col("n_words"),
-        "lines": (F.col("n_dup_lines") > 3) & (2 * F.col("n_dup_lines") > F.col("n_lines")),
-        "word_length": (F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 20 * F.col("n_words")),
-        "letters": 2 * F.length(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"[^\p{L}\p{M}]+", "")) < F.col("word_chars"),
-    }
+def rules(text: Column, known: bool = False) -> list[Rule]:
+    """The rules for a text that is not null. Where the columns of quality_cascade are there (known), rules compare those;
+    else they compute what they need. Unit prices: dropping single characters 1, splitting 2, splitting with a distinct 4,
+    a scan for classes of letters 6."""
+    size = F.length(text)
+    n, chars = (F.col("n_words"), F.col("word_chars")) if known else (F.size(words(text)), word_chars(words(text)))
+    symbols = F.col("n_symbols") if known else n_symbols(text)
+    price = lambda free, full: F.lit(1) if known and free else full * size
+    return [
+        Rule("letters", 2 * F.length(F.regexp_replace(text, r"[^\p{L}\p{M}]+", "")) < chars, price(False, 6 if known else 8)),
+        Rule("lines", once(lines(text), lambda x: (n_dup_lines(x) > 3) & (2 * n_dup_lines(x) > F.size(x))), price(False, 4)),
+        Rule("symbols", 10 * symbols > n, price(True, 3)),
+        Rule("word_length", (chars < 2 * n) | (chars > 20 * n), price(True, 2)),
+    ]
 
 
-def measured(sample: DataFrame, check: Column) -> tuple[float, float]:
-    """(seconds, share rejected) of one rule."""
-    begun = time.perf_counter()
-    share = sample.agg(F.avg(check.cast("double"))).first()[0] or 0.0
-    return time.perf_counter() - begun, share
+def order_rules(docs: DataFrame, checks: list[Rule], by: Column, sample: int = SAMPLE) -> list[Rule]:
+    """checks by rejection per cost, most first; ties by cost and name. The sample: rows whose hash of `by` is below a
+    share of the range that about `sample` rows have (an action counts rows and another aggregates)."""
+    n = docs.count()
+    share = min(1.0, sample / n) if n else 1.0
+    few = docs.where(F.pmod(F.xxhash64(by), F.lit(1 << 30)) < int(share * (1 << 30)))
+    found = few.agg(*[F.sum(c.cost).alias(f"cost{i}") for i, c in enumerate(checks)], *[F.count_if(c.rejects).alias(f"n{i}") for i, c in enumerate(checks)]).first()
+    cost = [float(found[f"cost{i}"] or 0) for i in range(len(checks))]
+    ranked = sorted(range(len(checks)), key=lambda i: (-found[f"n{i}"] / cost[i] if cost[i] else 0.0, cost[i], checks[i].name))
+    return [checks[i] for i in ranked]
 
 
-def order_rules(sample: DataFrame, checks: dict[str, Column]) -> list[str]:
-    """Names of the rules by rejection per cost, most first; of those that reject nothing, the cheapest first."""
-    measured(sample, F.lit(False))
-    idle, _ = measured(sample, F.lit(False))
-    found = {name: measured(sample, check) for name, check in checks.items()}
-    cost = {name: max(s - idle, 1e-4) for name, (s, _) in found.items()}
-    return sorted(checks, key=lambda n: (-found[n][1] / cost[n], cost[n]))
+def cascade(base: Column, checks: list[Rule]) -> Column:
+    """'base', the name of the first rule that rejects, or null. Rules after that one are not evaluated."""
+    verdict = F.when(base, "base")
+    for rule in checks:
+        verdict = verdict.when(rule.rejects, rule.name)
+    return verdict
 
 
-def quality_cascade(docs: DataFrame, text: str = "text", sample: int = SAMPLE, seed: int = 5) -> DataFrame:
-    """docs with the measures, base_failed, kept and rejected_by ('base', a rule's name, or null).
+def quality_cascade(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> DataFrame:
+    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept and rejected_by ('base', a
+    rule's name, or null).
 
     A null text has no words, lines or symbols, so the base fails; each row is judged alone, so repeated rows agree; an
     empty table gives an empty table. Columns of docs named like the new ones are replaced."""
-    new = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    new = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by")
     docs = docs.drop(*[c for c in new if c != text])
-    checks = rules(text)
-    rows = measures(docs, text)
-    # take() stops reading once it has enough; a limit would gather each partition's rows in one task first.
-    texts = docs.sparkSession.createDataFrame(docs.select(F.col(text).cast("string")).sample(0.02, seed).take(sample), "text string")
-    order = order_rules(cut(measures(texts)), rules())
-    verdict = F.when(base_failed(), "base")
-    for name in order:
-        verdict = verdict.when(checks[name], name)
-    out = rows.withColumn("base_failed", base_failed()).withColumn("rejected_by", verdict)
-    return out.withColumn("kept", F.col("rejected_by").isNull())
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    keep = [c for c in docs.columns if c not in new]
+    of_words, symbols, dup_lines = measures(F.col("body"))
+    # A struct keeps the caller's columns apart from the ones computed here.
+    rows = docs.select(F.struct(*keep).alias("row"), body.alias("body"))
+    measured = rows.select("row", "body", of_words.alias("w"), symbols.alias("n_symbols"), dup_lines.alias("n_dup_lines")).select("row", "body", "w.*", "n_symbols", "n_dup_lines")
+    checks = order_rules(measured, rules(F.col("body"), True), F.col("body"), sample)
+    out = measured.withColumn("base_failed", base_failed(F.col("n_words"), F.col("n_repeat_words"))).withColumn("rejected_by", cascade(F.col("base_failed"), checks))
+    return out.withColumn("kept", F.col("rejected_by").isNull()).select("row.*", *[c for c in new if c != "rejected_by"], "rejected_by")
 
 
 def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut, with_group
+from .quality import once
 
 BLOCK = 1024
 """Turns of a conversation that are sorted together, at most."""
@@ -28,11 +29,6 @@ def normal(line: Column) -> Column:
     return F.regexp_replace(F.lower(F.regexp_replace(line, r"^[> \t]*>", "")), r"[^\p{L}\p{N}]+", "")
 
 
-def once(value: Column, use) -> Column:
-    """use(value), with value computed a single time."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def lines(text: Column) -> Column:
     """(level, line, hash) of each line; the hash of a line without letters or digits is null."""
 
