@@ -2,7 +2,8 @@
 
 A sketch keeps every shingle hash below a fixed fraction of the hash range, so sketches of documents of any size can be
 compared and merged: shared hashes over one side's hashes estimate containment, over all hashes the Jaccard likeness.
-Everything is built from SQL functions.
+Sketches of very unequal sides, such as a document and a whole source, compare by rows of hashes. Everything is built
+from SQL functions.
 """
 
 from __future__ import annotations
@@ -10,13 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, keyed, unkeyed
+from .common import cut, documents, keyed, unkeyed
 from .mixing import SPACES
 
 SHINGLE = 5
-SCALE = 8
+SCALE = 4
 """One shingle hash in this many is kept."""
-PARTS = 256
 
 
 def words(text: Column) -> Column:
@@ -56,20 +56,40 @@ def containment(a: Column, b: Column) -> Column:
     return F.try_divide(F.size(F.array_intersect(a, b)).cast("double"), F.size(a))
 
 
-def with_next(rows: DataFrame, parts: int = PARTS) -> DataFrame:
-    """(key, text) with next_text of the next lower key; the lowest gets the highest key's. Keys are dealt into ranges
-    by quantiles and only rows of one range are sorted in one task; a table with one row for each range links them."""
-    cuts = rows.agg(F.percentile_approx("key", [i / parts for i in range(1, parts)], 10_000)).first()[0] or []
-    part = F.size(F.filter(F.array(*map(F.lit, sorted(set(cuts)))), lambda c: c < F.col("key"))) if cuts else F.lit(0)
-    dealt = rows.withColumn("part", part)
-    top = dealt.groupBy("part").agg(F.max("key").alias("key"))  # as many rows as parts, at most
-    heads = rows.select("key", F.col("text").alias("head_text")).join(F.broadcast(top), "key").select("part", "head_text")
-    down = Window.orderBy(F.col("part").desc())
-    whole = Window.partitionBy()
-    links = heads.select("part", F.coalesce(F.lead(F.struct("head_text")).over(down), F.max_by(F.struct("head_text"), "part").over(whole)).alias("link"))
-    within = Window.partitionBy("part").orderBy(F.col("key").desc())
-    after = dealt.withColumn("after", F.lead(F.struct("text")).over(within))
-    return after.join(F.broadcast(links), "part").select("key", "text", F.coalesce(F.col("after.text"), F.when(F.col("after").isNull(), F.col("link.head_text"))).alias("next_text"))
+def merged(a: Column, b: Column) -> Column:
+    """The sketch of both documents' shingles."""
+    return F.sort_array(F.array_union(a, b))
+
+
+def group_containment(docs: DataFrame, by: str = "source", text: str = "text") -> DataFrame:
+    """doc_id, group, size, inside: for each document with a sketch, the share of its shingles that occurs in other
+    documents of each group (a value of `by`) that shares any; `size` counts its sketch.
+
+    The merged sketch of a group is a row for each hash of it, with the number of its documents; none is gathered. Null
+    texts have no sketch; each row is a document of its own; null is a group; an
+    empty table gives an empty table."""
+    tagged = cut(docs.select("doc_id", F.col(by).alias("by"), F.col(text).alias("text")).withColumn("key", F.monotonically_increasing_id()))
+    found = tagged.select("key", "by", sketch(F.col("text")).alias("s")).where(F.size("s") > 0)
+    hashes = cut(found.select("key", "by", F.size("s").alias("size"), F.explode("s").alias("hash")))
+    groups = hashes.groupBy("hash", "by").agg(F.count(F.lit(1)).alias("n"))
+    shared = hashes.join(groups.select("hash", F.col("by").alias("group"), F.col("n").alias("others")), "hash")
+    mine = F.col("by").eqNullSafe(F.col("group"))
+    counted = shared.where(F.col("others") > mine.cast("int")).groupBy("key", "group", "size").agg((F.count(F.lit(1)) / F.first("size")).alias("inside"))
+    return unkeyed(counted, tagged.select("key", "doc_id"))
+
+
+def next_keys(rows: DataFrame) -> DataFrame:
+    """(key, half, next): each key's next lower one (the lowest's is the highest), and half its text's length, from keys
+    and lengths alone. Keys are sorted in ranges; a key's number is its range's and its place there, and one row for each
+    range tells where the next begins."""
+    ranked = cut(rows.select("key", F.floor(F.length("text") / 2).cast("int").alias("half")).repartitionByRange(F.col("key").desc()).sortWithinPartitions(F.col("key").desc()).withColumn("id", F.monotonically_increasing_id()))
+    part = F.shiftrightunsigned("id", 33)
+    last = ranked.groupBy(part.alias("part")).agg(F.min("id").alias("begin"), F.max("id").alias("last"))
+    over = Window.orderBy("part")
+    follow = last.select("last", F.coalesce(F.lead("begin").over(over), F.min("begin").over(Window.partitionBy())).alias("follow"))
+    # `follow` has at most one row for each shuffle partition.
+    numbered = ranked.join(F.broadcast(follow), F.col("id") == F.col("last"), "left").select("key", "half", F.coalesce("follow", F.col("id") + 1).alias("id"))
+    return numbered.join(ranked.select("id", F.col("key").alias("next")), "id").select("key", "half", "next")
 
 
 def edited(text: Column, following: Column) -> Column:
@@ -79,22 +99,30 @@ def edited(text: Column, following: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for each row of docs.
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, in_edited, in_next for each
+    row of docs; the last two: the share of its shingles that the edited text and the next document contain (null for an
+    empty sketch).
 
     A null text is empty. doc_id null or repeated: see common.keyed, which gives the order. A lone row is its own next.
     An empty table gives an empty table; other columns are ignored."""
     rows, ids = keyed(docs, text)
     rows = rows.select("key", F.coalesce("text", F.lit("")).alias("text"))
-    pairs = with_next(rows).withColumn("edited", edited(F.col("text"), F.col("next_text")))
-    made = pairs.select("key", "text", "edited", "next_text", sketch(F.col("text")).alias("a"), sketch(F.col("edited")).alias("b"), sketch(F.col("next_text")).alias("c"))
-    out = made.select(
+    links = next_keys(rows)
+    made = rows.select("key", "text", F.md5("text").alias("name"), sketch(F.col("text")).alias("a")).repartition("key")
+    # What a document's predecessor needs of it: the start of its text, its name and its sketch.
+    start = F.substring(F.col("text"), F.lit(1), F.col("half"))
+    ahead = made.join(links.select(F.col("key").alias("to"), "half", F.col("next").alias("key")), "key").select("to", start.alias("head"), F.col("name").alias("next_name"), F.col("a").alias("c"))
+    pairs = made.join(ahead, F.col("key") == F.col("to")).withColumn("edited", edited(F.col("text"), F.col("head")))
+    out = pairs.withColumn("b", sketch(F.col("edited"))).select(
         "key",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         fingerprint(F.col("text"), F.col("a")).alias("fingerprint"),
         fingerprint(F.col("edited"), F.col("b")).alias("edited_fingerprint"),
         likeness(F.col("a"), F.col("b"), F.col("text") == F.col("edited")).alias("near_edited"),
-        likeness(F.col("a"), F.col("c"), F.col("text") == F.col("next_text")).alias("near_next"),
+        likeness(F.col("a"), F.col("c"), F.col("name") == F.col("next_name")).alias("near_next"),
+        containment(F.col("a"), F.col("b")).alias("in_edited"),
+        containment(F.col("a"), F.col("c")).alias("in_next"),
     )
     return unkeyed(out, ids)
 

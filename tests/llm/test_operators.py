@@ -301,16 +301,57 @@ def test_fingerprints_and_next_document(spark):
     assert same[0]["fingerprint"] == same[1]["fingerprint"] and same[0]["near_next"] == 1
 
 
-def test_sketch_estimates_likeness(spark):
+def kept_shingles(spark, texts):
+    """For each text the set of its five-word shingles whose hash a sketch keeps, by brute force over words."""
+    out = []
+    for t in texts:
+        w = re.findall(WORD, t or "")
+        parts = [w[k : k + 5] for k in range(len(w) - 4)] if len(w) >= 5 else []
+        rows = spark.createDataFrame([(p,) for p in parts] or [([],)], "w array<string>")
+        rows = rows.where("size(w) = 5").select("w", F.xxhash64(*[F.xxhash64(F.col("w")[k]) for k in range(5)]).alias("h"))
+        out.append({tuple(r["w"]) for r in rows.where(F.col("h") < -(1 << 63) + (1 << 64) // sketches.SCALE).collect()})
+    return out
+
+
+def test_likeness_and_containment_brute_force(spark):
+    rows = [x for x in corpus(10, 24) if len(re.findall(WORD, x[1])) != 3]
+    order = sorted(rows, reverse=True)
+    texts = [t for _, t, _ in order]
+    edits = [t[: len(t) - len(t) // 2] + texts[(k + 1) % len(texts)][: len(t) // 2] for k, t in enumerate(texts)]
+    own, other = kept_shingles(spark, texts), kept_shingles(spark, edits)
+    got = {r["doc_id"]: r for r in sketches.fingerprints(frame(spark, rows)).collect()}
+    for k, (i, t, _) in enumerate(order):
+        n = len(re.findall(WORD, t))
+        for b, text, near, inside in ((other[k], edits[k], "near_edited", "in_edited"), (own[(k + 1) % len(own)], texts[(k + 1) % len(own)], "near_next", "in_next")):
+            if n < 5 or len(re.findall(WORD, text)) < 5:
+                continue
+            assert got[i][near] == pytest.approx(1.0 if t == text else len(own[k] & b) / len(own[k] | b) if own[k] | b else 0.0)
+            assert got[i][inside] == (pytest.approx(len(own[k] & b) / len(own[k])) if own[k] else None)
+
+
+def test_sketches_estimate_and_merge(spark):
     vocab = vocabulary(3, 3000)
     r = random.Random(4)
     a = [r.choice(vocab) for _ in range(4000)]
     b = a[:3000] + [r.choice(vocab) for _ in range(1000)]
-    df = spark.createDataFrame([(" ".join(a), " ".join(b))], "a string, b string").select(sketches.sketch(F.col("a")).alias("x"), sketches.sketch(F.col("b")).alias("y"))
-    got = df.select(sketches.likeness(F.col("x"), F.col("y"), F.lit(False)), sketches.containment(F.col("x"), F.col("y"))).first()
+    df = spark.createDataFrame([(" ".join(a), " ".join(b))], "a string, b string").select("*", sketches.sketch(F.col("a")).alias("x"), sketches.sketch(F.col("b")).alias("y"))
+    x, y = F.col("x"), F.col("y")
+    got = df.select(sketches.likeness(x, y, F.lit(False)), sketches.containment(x, y), sketches.merged(x, y), sketches.containment(x, sketches.merged(x, y)), "x", "y").first()
     sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (a, b)]
-    assert got[0] == pytest.approx(len(sets[0] & sets[1]) / len(sets[0] | sets[1]), abs=0.08)
-    assert got[1] == pytest.approx(len(sets[0] & sets[1]) / len(sets[0]), abs=0.08)
+    assert got[0] == pytest.approx(len(sets[0] & sets[1]) / len(sets[0] | sets[1]), abs=0.06)
+    assert got[1] == pytest.approx(len(sets[0] & sets[1]) / len(sets[0]), abs=0.06)
+    assert got[2] == sorted({*got["x"], *got["y"]}) and got[3] == 1.0
+
+
+def test_containment_in_sources(spark):
+    vocab = vocabulary(5, 3000)
+    r = random.Random(6)
+    long = [r.choice(vocab) for _ in range(6000)]
+    rows = [(1, " ".join(long[:3000]), "big"), (2, " ".join(long[3000:]), "big"), (3, " ".join(long[100:400]), "small"), (4, " ".join(long[2900:3100]), None), (5, None, "big"), (1, "few words", "big")]
+    got = {(x["doc_id"], x["group"]): x for x in sketches.group_containment(frame(spark, rows)).collect()}
+    assert got[3, "big"]["inside"] == 1.0 and got[4, "big"]["inside"] > 0.8 and got[1, "small"]["inside"] < 0.2
+    assert (3, "small") not in got and (1, "big") not in got
+    assert sketches.group_containment(frame(spark, rows).limit(0)).collect() == []
 
 
 def luhn(s):
