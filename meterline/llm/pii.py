@@ -139,7 +139,7 @@ def learned(scan: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, confi
     while True:
         for _ in range(rounds):
             patterns = graph.join(trust, "core").groupBy("pattern").agg((F.sum("trust") / (F.count(F.lit(1)) + 1)).alias("score"), F.count(F.lit(1)).alias("n"), F.count_if(F.col("known") > 0).alias("seeds"))
-            patterns = cut(patterns.where((F.col("n") >= support) & (F.col("seeds") > 0)))
+            patterns = patterns.where((F.col("n") >= support) & (F.col("seeds") > 0))
             best = with_group(graph, patterns, "pattern", "core").groupBy("core").agg(F.max("score").alias("score"))
             trust = cut(trust.join(best, "core", "left").select("core", "known", F.greatest("known", F.coalesce("score", F.lit(0.0))).alias("trust")))
         if not trust.where((F.col("known") == 0) & (F.col("trust") >= confidence)).head(1):

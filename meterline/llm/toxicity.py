@@ -24,7 +24,9 @@ from .common import documents
 TRAIN_MOST = 6000
 """Labelled documents that the model is fitted on, at most."""
 LEXICON_MOST = 20_000
+"""Features with evidence that are kept, at most: those of the greatest sum of log-odds over toxic documents."""
 SEGMENTS_MOST = 20_000
+"""Different stretches of SEGMENT tokens that the field is fitted to, at most, chosen by a seeded hash."""
 SEGMENT = 32
 PREFIXES = (4, 5, 6, 7, 8)
 STEPS = (1.0, 1.5, 2.0, 2.5, 3.0, 3.5, 4.0)
@@ -159,23 +161,33 @@ def fit_field(segments: np.ndarray, labels: np.ndarray, weight: np.ndarray, step
     seen = np.bincount(segments[labels == 1], np.repeat(weight, length).reshape(n, length)[labels == 1], k)
     moves = np.bincount((labels[:, :-1] * 2 + labels[:, 1:]).ravel(), np.repeat(weight, length - 1), 4)
     total = weight.sum() * length
+    level = np.ascontiguousarray(segments.T)
+    spread = np.broadcast_to(weight, level.shape).ravel()
+    a0, a1, b0, b1 = (np.empty((length, n)) for _ in range(4))
     for t in range(1, steps + 1):
-        emit = np.stack([np.ones(segments.shape), np.exp(theta[segments])], 2)
-        step = np.exp(theta[k:].reshape(2, 2))
-        ahead, back = np.empty((length, n, 2)), np.ones((length, n, 2))
-        ahead[0] = emit[:, 0]
-        ahead[0] /= ahead[0].sum(1, keepdims=True)
-        for i in range(1, length):
-            ahead[i] = ahead[i - 1] @ step * emit[:, i]
-            ahead[i] /= ahead[i].sum(1, keepdims=True)
-        for i in range(length - 2, -1, -1):
-            back[i] = (back[i + 1] * emit[:, i + 1]) @ step.T
-            back[i] /= back[i].sum(1, keepdims=True)
-        p = ahead * back
-        p = (p / p.sum(2, keepdims=True))[:, :, 1].T
-        pair = ahead[:-1, :, :, None] * step * (back[1:] * emit[:, 1:].swapaxes(0, 1))[:, :, None, :]
-        pair /= pair.sum((2, 3), keepdims=True)
-        grad = np.r_[seen - np.bincount(segments.ravel(), (p * weight[:, None]).ravel(), k), moves - np.einsum("tnab,n->ab", pair, weight).ravel()] / total * 100 - 1e-3 * theta
+        emit = np.exp(theta[level])
+        s00, s01, s10, s11 = np.exp(theta[k:])
+        x, y = np.ones(n), emit[0]
+        for i in range(length):
+            if i:
+                x, y = x * s00 + y * s10, (x * s01 + y * s11) * emit[i]
+            z = x + y
+            x, y = x / z, y / z
+            a0[i], a1[i] = x, y
+        x, y = np.ones(n), np.ones(n)
+        for i in range(length - 1, -1, -1):
+            b0[i], b1[i] = x, y
+            y = y * emit[i]
+            x, y = s00 * x + s01 * y, s10 * x + s11 * y
+            z = x + y
+            x, y = x / z, y / z
+        toxic = a1 * b1
+        toxic /= toxic + a0 * b0
+        ahead = b1[1:] * emit[1:]
+        pairs = [a0[:-1] * s00 * b0[1:], a0[:-1] * s01 * ahead, a1[:-1] * s10 * b0[1:], a1[:-1] * s11 * ahead]
+        z = sum(pairs)
+        expected = np.array([float(((p / z) @ weight).sum()) for p in pairs])
+        grad = np.r_[seen - np.bincount(level.ravel(), toxic.ravel() * spread, k), moves - expected] / total * 100 - 1e-3 * theta
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         theta += 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
     return theta[:k], theta[k:].reshape(2, 2)
@@ -218,35 +230,43 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_MOST, seed: int =
     by = np.argsort(hashes)
     lexicon = Lexicon(hashes[by], np.searchsorted(STEPS, found["odds"].to_numpy()[by], "right").astype(np.uint8))
 
-    def levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found: list[tuple] = []
-            texts = as_bytes(batch.column("text"))
-            for a, b in chunks([len(t) for t in texts]):
-                buf, start, end, at = tokens(texts[a:b])
-                level, doc = lexicon.of(buf, start, end), np.searchsorted(at, start, "right") - 1
-                for i in range(a, b):
-                    found.append(level[doc == i - a].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("toxic"), pa.array(found, pa.binary())], names=["_id", "toxic", "levels"])
+    def levels(texts: list[bytes]) -> Iterator[np.ndarray]:
+        for a, b in chunks([len(t) for t in texts]):
+            buf, start, end, at = tokens(texts[a:b])
+            level, limit = lexicon.of(buf, start, end), np.searchsorted(start, at)
+            yield from (level[limit[i] : limit[i + 1]] for i in range(b - a))
 
-    known = tune.mapInArrow(levels, "_id long, toxic long, levels binary").collect()
-    if not known:
+    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for level, toxic in zip(levels(as_bytes(batch.column("text"))), batch.column("toxic").to_pylist(), strict=True):
+                part = np.r_[level, np.zeros(-len(level) % SEGMENT, np.uint8)].reshape(-1, SEGMENT)
+                found.append(np.c_[part, (part.any(1) & (toxic == 1)).astype(np.uint8)])
+            rows, n = np.unique(np.concatenate(found), axis=0, return_counts=True) if found else (np.zeros((0, SEGMENT + 1), np.uint8), np.zeros(0, int))
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in rows], pa.binary()), pa.array(n, pa.int64())], names=["stretch", "n"])
+
+    counted = tune.mapInArrow(stretches, "stretch binary, n long").groupBy("stretch").agg(F.sum("n").alias("n"))
+    blank = bytes(SEGMENT + 1)
+    marked = counted.where(F.col("stretch") != blank)
+    kept = marked.orderBy(F.xxhash64("stretch", F.lit(seed)), "stretch").limit(SEGMENTS_MOST).collect()
+    sums = counted.agg(F.sum(F.when(F.col("stretch") == blank, F.col("n"))), F.sum(F.when(F.col("stretch") != blank, F.col("n")))).first()
+    if sums[0] is None and sums[1] is None:
         return none
-    blank, marked, toxic = [0, 0], [], []
-    for r in known:
-        level = np.frombuffer(bytes(r["levels"]), np.uint8)
-        level = np.r_[level, np.zeros(-len(level) % SEGMENT, np.uint8)].reshape(-1, SEGMENT)
-        own = level.any(1)
-        blank[0] += int((~own).sum())
-        marked.append(level[own])
-        toxic.append((level[own] > 0) & (r["toxic"] == 1))
-    segments, states = np.concatenate(marked)[:SEGMENTS_MOST], np.concatenate(toxic)[:SEGMENTS_MOST].astype(np.int64)
-    segments = np.concatenate([segments, np.zeros((1, SEGMENT), np.uint8)]).astype(np.int64)
-    states = np.concatenate([states, np.zeros((1, SEGMENT), np.int64)])
-    weights, transitions = fit_field(segments, states, np.r_[np.ones(len(segments) - 1), float(blank[0])])
+    share = sum(r["n"] for r in kept) / sums[1] if sums[1] else 1.0
+    rows = np.frombuffer(b"".join([*(bytes(r["stretch"]) for r in kept), blank]), np.uint8).reshape(-1, SEGMENT + 1).astype(np.int64)
+    segments, toxic = rows[:, :-1], rows[:, -1:]
+    weight = np.array([*(float(r["n"]) for r in kept), share * float(sums[0] or 0)])
+    weights, transitions = fit_field(segments, ((segments > 0) & (toxic == 1)).astype(np.int64), weight)
     field = Field(weights, transitions, np.zeros(3))
-    x = np.array([summary(field.marginals(np.frombuffer(bytes(r["levels"]), np.uint8))[1]) for r in known])
-    return lexicon, Field(weights, transitions, fit_curve(x, np.array([float(r["toxic"] == 1) for r in known])))
+
+    def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.array([summary(field.marginals(level)[1]) for level in levels(as_bytes(batch.column("text")))]).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("toxic"), pa.array(x[:, 1]), pa.array(x[:, 2])], names=["_id", "toxic", "sum", "most"])
+
+    known = sorted(tuple(r) for r in tune.mapInArrow(summaries, "_id long, toxic long, sum double, most double").collect())
+    x = np.array([(1.0, a, b) for _, _, a, b in known])
+    return lexicon, Field(weights, transitions, fit_curve(x, np.array([float(y == 1) for _, y, _, _ in known])))
 
 
 def score(docs: DataFrame, lexicon: Lexicon, field: Field, text: str = "text") -> DataFrame:

@@ -466,6 +466,49 @@ def test_field_marginals_are_exact():
     assert np.allclose(p, (one / total)[at])
 
 
+def test_toxicity_scores_brute_force(spark):
+    from meterline.llm.arrays import names
+
+    r = np.random.default_rng(3)
+    k = len(toxicity.STEPS) + 1
+    field = toxicity.Field(r.normal(size=k), r.normal(size=(2, 2)), np.array([-1.0, 0.7, 1.5]))
+    known = {"bad": 3, "awful": 5, "é": 1, ("terr", 4): 2, ("terri", 5): 6}
+    hashes = {}
+    for word, level in known.items():
+        t = (word if isinstance(word, str) else word[0]).encode()
+        h = names(np.frombuffer(t, np.uint8), np.array([0]), np.array([len(t)]))[0]
+        hashes[int(h if isinstance(word, str) else h ^ np.uint64(word[1]))] = level
+    lexicon = toxicity.Lexicon(np.array(sorted(hashes), np.uint64), np.array([hashes[h] for h in sorted(hashes)], np.uint8))
+    p = random.Random(5)
+    vocab = ["bad", "Awful", "é", "terrible", "terr", "good", "day", "x1y", "badly"]
+    rows = [(i, " ".join(p.choice(vocab) for _ in range(p.randint(0, 8))) or None, "s") for i in range(60)]
+    got = {x["doc_id"]: x for x in toxicity.score(frame(spark, rows), lexicon, field).collect()}
+    for i, t, _ in rows:
+        own = re.findall("[a-z\x80-\U0010ffff]+", (t or "").lower())
+        level = [max(known.get(w, 0), *(known.get((w[:n], n), 0) for n in (4, 5) if len(w) > n), 0) for w in own]
+        total, one = 0.0, np.zeros(len(level))
+        for bits in range(1 << len(level)):
+            y = [bits >> j & 1 for j in range(len(level))]
+            w = np.exp(sum(field.weights[level[j]] for j in range(len(level)) if y[j]) + sum(field.transitions[a, b] for a, b in zip(y, y[1:], strict=False)))
+            total += w
+            one += w * np.array(y)
+        q = np.array([one[j] / total for j in range(len(level)) if level[j]])
+        want = 1 / (1 + np.exp(-(np.array([1.0, np.log1p(q.sum()), q.max() if len(q) else 0.0]) @ field.curve)))
+        assert got[i]["score"] == pytest.approx(want) and got[i]["predicted"] == int(want >= 0.3)
+        assert got[i]["n_spans"] == (q >= 0.5).sum()
+
+
+def test_field_is_fitted_to_weighted_stretches():
+    r = np.random.default_rng(2)
+    level = r.integers(0, 4, (40, toxicity.SEGMENT)) * (r.random((40, toxicity.SEGMENT)) < 0.3)
+    state = (level > 1).astype(np.int64)
+    weight = r.integers(1, 4, 40)
+    one = toxicity.fit_field(level, state, weight.astype(float), 60)
+    two = toxicity.fit_field(np.repeat(level, weight, 0), np.repeat(state, weight, 0), np.ones(weight.sum()), 60)
+    assert np.allclose(one[0], two[0]) and np.allclose(one[1], two[1])
+    assert one[0][3] > one[0][1]
+
+
 def test_toxicity_held_out(spark):
     d = "/root/testdata/sf0.01"
     docs, labels = common.documents(spark, d), spark.read.parquet(f"{d}/labels.parquet")
