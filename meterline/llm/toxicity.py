@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .arrays import LOWER, U64, as_bytes, chunks, joined, names, signed
-from .common import documents
+from .common import cut, documents
 
 TRAIN_MOST = 6000
 """Labelled documents that the model is fitted on, at most."""
@@ -68,10 +68,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in chunks([len(t) for t in texts]):
             buf, start, end, at = tokens(texts[a:b])
             doc = np.searchsorted(at, start, "right") - 1
-            found = [np.stack([h, doc[own].astype(U64)], 1) for own, h in features(buf, start, end)]
-            pairs = np.unique(np.concatenate(found), axis=0)
-            name, back = np.unique(pairs[:, 0], return_inverse=True)
-            bad = np.bincount(back, toxic[a:b][pairs[:, 1].astype(np.int64)], len(name)).astype(np.int64)
+            found = [(h, doc[own]) for own, h in features(buf, start, end)]
+            h, d = np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+            order = np.lexsort((d, h))
+            h, d = h[order], d[order]
+            once = np.r_[True, (h[1:] != h[:-1]) | (d[1:] != d[:-1])] if len(h) else np.zeros(0, bool)
+            name, back = np.unique(h[once], return_inverse=True)
+            bad = np.bincount(back, toxic[a:b][d[once]], len(name)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(signed(name)), pa.array(bad), pa.array(np.bincount(back, minlength=len(name)) - bad)], names=["feature", "bad", "good"])
 
 
@@ -108,40 +111,52 @@ class Field:
         at = np.flatnonzero(level)
         if not len(at):
             return at, np.zeros(0)
-        step = np.exp(self.transitions)
-        idle = step * np.array([1.0, np.exp(self.weights[0])])
-        powers = [idle]
-        emit = np.stack([np.ones(len(at)), np.exp(self.weights[level[at]])], 1)
+        (s00, s01), (s10, s11) = np.exp(self.transitions).tolist()
+        emit = np.exp(self.weights).tolist()
+        powers = [(s00, s01 * emit[0], s10, s11 * emit[0])]
 
-        def skip(v: np.ndarray, n: int, back: bool) -> np.ndarray:
+        def skip(x: float, y: float, n: int, back: bool) -> tuple[float, float]:
+            """The state n tokens without evidence further."""
             k = 0
             while n:
                 if k == len(powers):
-                    m = powers[-1] @ powers[-1]
-                    powers.append(m / m.max())
+                    a, b, c, d = powers[-1]
+                    a, b, c, d = a * a + b * c, a * b + b * d, c * a + d * c, c * b + d * d
+                    z = max(a, b, c, d)
+                    powers.append((a / z, b / z, c / z, d / z))
                 if n & 1:
-                    v = powers[k] @ v if back else v @ powers[k]
-                    v = v / v.sum()
+                    a, b, c, d = powers[k]
+                    x, y = (a * x + b * y, c * x + d * y) if back else (x * a + y * c, x * b + y * d)
+                    z = x + y
+                    x, y = x / z, y / z
                 n >>= 1
                 k += 1
-            return v
-
-        ahead = np.empty((len(at), 2))
-        v = np.array([1.0, np.exp(self.weights[0])])
-        for i, p in enumerate(at.tolist()):
-            # The first token has no move before it; `v` stands at the token before p, or is that of a first one.
-            v = emit[0] if not p else skip(v, p - int(at[i - 1]) - 1 if i else p - 1, False) @ step * emit[i]
-            v = v / v.sum()
-            ahead[i] = v
-        v = skip(np.ones(2), len(level) - 1 - int(at[-1]), True)
-        out = np.empty(len(at))
-        for i in range(len(at) - 1, -1, -1):
-            both = ahead[i] * v
-            out[i] = both[1] / both.sum()
+            return x, y
+
+        places, own = at.tolist(), level[at].tolist()
+        ahead = []
+        x, y = 1.0, emit[0]
+        for i, p in enumerate(places):
+            # The first token has no move before it; x, y stand at the token before p, or are those of a first one.
+            if p:
+                x, y = skip(x, y, p - places[i - 1] - 1 if i else p - 1, False)
+                x, y = x * s00 + y * s10, (x * s01 + y * s11) * emit[own[i]]
+            else:
+                x, y = 1.0, emit[own[i]]
+            z = x + y
+            x, y = x / z, y / z
+            ahead.append((x, y))
+        x, y = skip(1.0, 1.0, len(level) - 1 - places[-1], True)
+        out = [0.0] * len(places)
+        for i in range(len(places) - 1, -1, -1):
+            clean, toxic = ahead[i][0] * x, ahead[i][1] * y
+            out[i] = toxic / (clean + toxic)
             if i:
-                v = step @ (v * emit[i])
-                v = skip(v / v.sum(), int(at[i] - at[i - 1]) - 1, True)
-        return at, out
+                y *= emit[own[i]]
+                x, y = s00 * x + s01 * y, s10 * x + s11 * y
+                z = x + y
+                x, y = skip(x / z, y / z, places[i] - places[i - 1] - 1, True)
+        return at, np.array(out)
 
     def score(self, p: np.ndarray) -> float:
         return float(1 / (1 + np.exp(-(summary(p) @ self.curve))))
@@ -245,7 +260,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_MOST, seed: int =
             rows, n = np.unique(np.concatenate(found), axis=0, return_counts=True) if found else (np.zeros((0, SEGMENT + 1), np.uint8), np.zeros(0, int))
             yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in rows], pa.binary()), pa.array(n, pa.int64())], names=["stretch", "n"])
 
-    counted = tune.mapInArrow(stretches, "stretch binary, n long").groupBy("stretch").agg(F.sum("n").alias("n"))
+    counted = cut(tune.mapInArrow(stretches, "stretch binary, n long").groupBy("stretch").agg(F.sum("n").alias("n")))
     blank = bytes(SEGMENT + 1)
     marked = counted.where(F.col("stretch") != blank)
     kept = marked.orderBy(F.xxhash64("stretch", F.lit(seed)), "stretch").limit(SEGMENTS_MOST).collect()
