@@ -15,14 +15,14 @@ def _least(pairs: DataFrame) -> DataFrame:
     return pairs.join(least, "a")
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(key, component) for each key in edges (a, b); component is the least key that links reach.
 
     Stars are grown in turns: each key's larger neighbours are linked to its least one, then each key's smaller ones
     are. Rounds stop when nothing changes. Loops and repeated edges are allowed."""
     now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     seen = None
-    for _ in range(rounds):
+    while True:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = _least(both).where("b > a").select(F.col("b").alias("a"), F.least("m", F.col("a")).alias("b"))
         small = _least(large.distinct())

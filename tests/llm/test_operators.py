@@ -186,17 +186,48 @@ def test_jaccard_brute_force(spark):
             n = len(sets[a] & sets[b])
             if a < b and n and 100 * n >= 85 * len(sets[a] | sets[b]) and find(a) != find(b):
                 root[max(find(a), find(b))] = min(find(a), find(b))
-    for hot in (64, 2):
-        out = jaccard_join.jaccard_classes(common.keyed(frame(spark, rows))[0], hot=hot).collect()
+    # The smaller bounds split regions by Spark, down to pairs of blocks.
+    for most in (jaccard_join.MOST, 20_000, 3_000):
+        out = jaccard_join.jaccard_classes(common.keyed(frame(spark, rows))[0], most=most).collect()
         assert {r["key"]: (r["n_shingles"], r["component"]) for r in out} == {i: (len(s), find(i)) for i, s in sets.items()}
 
 
-def test_blocks_of_a_large_region_meet():
-    pivots = [(500, 3, True, 20_000)]
-    joined = {k: set(jaccard_join.regions_of(k, 1000, pivots, block=4096)) for k in range(60)}
-    assert all(joined[a] & joined[b] for a in joined for b in joined)
-    near, far = set(jaccard_join.regions_of(1, 860, pivots, block=4096)), set(jaccard_join.regions_of(2, 300, pivots, block=4096))
-    assert near & joined[5] and not far & joined[5]
+def test_region_links_brute_force():
+    r = np.random.default_rng(4)
+    for trial in range(12):
+        base = [r.integers(0, 1 << 63, 120, np.uint64) for _ in range(r.integers(1, 6))]
+        sets = []
+        for _ in range(int(r.integers(2, 260))):
+            own = base[r.integers(len(base))].copy()
+            change = int(r.choice([0, 2, 8, 20, 60]))
+            own[r.integers(0, 120, change)] = r.integers(0, 1 << 63, change, np.uint64)
+            sets.append(np.unique(np.append(own, base[0][:10]))[: int(r.choice([130, 110, 60]))])
+        united = int(r.integers(0, 5)) if trial % 3 == 0 else 0
+        united = min(united, len(sets))
+        root = [0 if i < united else i for i in range(len(sets))]
+
+        def find(i, root=root):
+            while root[i] != i:
+                i = root[i]
+            return i
+
+        for i in range(len(sets)):
+            for j in range(i):
+                n = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * n >= 85 * (len(sets[i]) + len(sets[j]) - n) and find(i) != find(j):
+                    root[max(find(i), find(j))] = min(find(i), find(j))
+        own = [0 if i < united else i for i in range(len(sets))]
+
+        def top(i, own=own):
+            while own[i] != i:
+                i = own[i]
+            return i
+
+        for a, b in jaccard_join.region_links(list(range(len(sets))), sets, 85, united):
+            n = len(np.intersect1d(sets[a], sets[b]))
+            assert 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n)
+            own[max(top(a), top(b))] = min(top(a), top(b))
+        assert [top(i) for i in range(len(sets))] == [find(i) for i in range(len(sets))]
 
 
 def test_one_of_each_keeps_columns(spark):
