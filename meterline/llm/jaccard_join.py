@@ -26,11 +26,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .arrays import CHUNK, LOWER, SEEDS, U64, as_bytes, both, chunks, joined, mix, names, signed, word_limits
-from .common import cut, documents, keyed, with_group, with_key
+from .common import LARGEST, cut, documents, keyed, with_group, with_key
 from .components import components
 
 WORDS = 4
@@ -44,6 +44,8 @@ SPLITS = 4
 """Pivots in turn that a large region is split by; what is still large then is joined by sizes and blocks."""
 STEP = 0.7
 """Ratio of neighbouring size classes."""
+SAMPLE = 64
+"""One document in this many is looked at for shingles that very many share."""
 LEAF = 24
 PIVOTS = 8
 
@@ -388,10 +390,15 @@ def jaccard_classes(rows: DataFrame, words: int = WORDS, percent: int = PERCENT,
     reps = classes.select("rep").repartition("rep")
     texts = rows.repartition("key")
     flagged = texts.join(reps.hint("shuffle_hash"), F.col("key") == F.col("rep"), "left")
-    prefixes = flagged.where("rep is not null").select("key", "text").mapInArrow(_prefixes(words, percent), "shingle long, key long, n int").withColumnRenamed("n", "size")
-    sharers = prefixes.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("pivot")).where("n > 1")
+    prefixes = lambda df: df.select("key", "text").mapInArrow(_prefixes(words, percent), "shingle long, key long, n int").withColumnRenamed("n", "size")
+    # Shingles that a sample of documents finds often are dealt over many tasks. They are shared for sure; the rest counts.
+    few = prefixes(rows.where(F.pmod(F.xxhash64("key", F.lit(3)), F.lit(SAMPLE)) == 0)).groupBy("shingle").agg(F.count_distinct("key").alias("n"))
+    often = few.where("n > 1").orderBy(F.desc("n"), "shingle").limit(LARGEST).select(F.col("shingle").alias("often"))
+    dealt = prefixes(flagged.where("rep is not null")).join(F.broadcast(often), F.col("shingle") == F.col("often"), "left")
+    dealt = dealt.withColumn("part", F.when(F.col("often").isNotNull(), 1 + F.pmod(F.xxhash64("key"), F.lit(1 << 20))).otherwise(0)).select("shingle", "part", "key", "size").repartition("shingle", "part")
+    shared = dealt.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("shingle", "part"))).where("n > 1 or part > 0")
     need = 1 + F.floor(F.floor(F.col("size") * percent / 100) / SPARE)
-    lists = with_group(prefixes, sharers, "shingle", "key").groupBy("key", "size").agg(F.collect_list("shingle").alias("shingles"))
+    lists = shared.groupBy("key", "size").agg(F.collect_list("shingle").alias("shingles"))
     found = cut(lists.where(F.size("shingles") >= need).select("key", "size", F.explode("shingles").alias("shingle")))
     again = found.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("pivot")).where("n > 1")
     counted = with_group(found, again, "shingle", "key").groupBy("key", "size", "pivot").agg(F.count(F.lit(1)).cast("int").alias("c"))
