@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -34,6 +34,11 @@ def file_stem(path: Column, default: str = "UNKNOWN") -> Column:
     return F.when(F.length(path) > 0, F.regexp_extract(last, r"^(.[^.]*|)", 1)).otherwise(F.lit(default))
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed a single time however often it occurs there."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def name_part(name: Column, first: int = 2, last: int = 3, sign: str = "_") -> Column:
     """Parts first to last (from 1) of a name cut at a sign; all parts there are if it has fewer than last."""
     head = F.substring_index(name, sign, last)

@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler, VectorIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -101,37 +101,42 @@ def safe_score(model: PipelineModel | None, df: DataFrame, label: str, name: str
     return out if fallback == "label" else out.limit(0)
 
 
-@dataclass(frozen=True)
-class Ensemble:
-    """Weights of the soft vote."""
-
-    lr: float = 1.0
-    gbt: float = 1.0
-    rf: float = 1.0
+# Members of the soft vote and their weights, by minutes of an interval.
+ENSEMBLES: dict[int, dict[str, float]] = {
+    15: {"lr": 1, "gbt": 2, "rf": 1},
+    30: {"svc": 1, "lr": 2, "rf": 1},
+    60: {"lr": 1, "gbt": 2, "rf": 1},
+}
 
 
-def fit_ensembles(df: DataFrame, by: str, groups: Sequence, label: str, features: Sequence[str], seed: int = 7) -> dict:
-    """Models per group: logistic regression, boosted trees and forest; groups that lack a class have none."""
+def fit_ensembles(df: DataFrame, by: str, groups: Sequence, label: str, features: Sequence[str], seed: int = 7, members: dict[int, dict[str, float]] = ENSEMBLES) -> dict:
+    """Models per group, those of `members` for it; groups that lack a class have none. lr: logistic regression; gbt:
+    boosted trees; rf: forest; svc: a linear support vector machine with a logistic curve over its margin, which makes
+    it a probability."""
     out = {}
     for g in groups:
         rows = df.where((F.col(by) == g) & F.col(label).isNotNull())
         base = _assembly(features, (), ())
-        kinds = {"lr": LogisticRegression(labelCol=label, maxIter=30), "gbt": GBTClassifier(labelCol=label, maxIter=10, seed=seed), "rf": RandomForestClassifier(labelCol=label, numTrees=30, seed=seed)}
-        models = {k: safe_fit(Pipeline(stages=[*base, m]), rows, label) for k, m in kinds.items()}
+        kinds = {
+            "lr": [LogisticRegression(labelCol=label, maxIter=30)],
+            "gbt": [GBTClassifier(labelCol=label, maxIter=10, seed=seed)],
+            "rf": [RandomForestClassifier(labelCol=label, numTrees=30, seed=seed)],
+            "svc": [LinearSVC(labelCol=label, maxIter=30, rawPredictionCol="_margin", predictionCol="_side"), LogisticRegression(labelCol=label, featuresCol="_margin", maxIter=30)],
+        }
+        models = {k: safe_fit(Pipeline(stages=[*base, *kinds[k]]), rows, label) for k in members[g]}
         if all(models.values()):
             out[g] = models
     return out
 
 
-def score_ensembles(models: dict, df: DataFrame, by: str, weights: Ensemble = Ensemble(), name: str = "score") -> DataFrame:
+def score_ensembles(models: dict, df: DataFrame, by: str, name: str = "score", members: dict[int, dict[str, float]] = ENSEMBLES) -> DataFrame:
     """Weighted mean of the group's models; rows of groups without models score 0."""
     out = df.where(~F.coalesce(F.col(by).isin(list(models)), F.lit(False))).withColumn(name, F.lit(0.0))
-    total = weights.lr + weights.gbt + weights.rf
     for g, own in models.items():
         part = df.where(F.col(by) == g)
         for k in own:
             part = predict(own[k], part, f"_{k}")
-        vote = sum((getattr(weights, k) * F.col(f"_{k}") for k in own), F.lit(0.0)) / total
+        vote = sum((members[g][k] * F.col(f"_{k}") for k in own), F.lit(0.0)) / sum(members[g].values())
         out = out.unionByName(part.withColumn(name, vote).drop(*[f"_{k}" for k in own]))
     return out
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import once
+
 TYPES = ("00000001", "00000002", "00000003", "00000004", "10000000")
 """The first field of each line."""
 FIELDS = (7, 14, 2, 3)
@@ -30,50 +32,61 @@ def parse_records(records: DataFrame, lines: str = "record") -> DataFrame:
     """One row per reading, or one with error_type: MALFORMED (lines, fields or types are wrong), CHANNEL (not 1),
     VALUE_ERROR (a reading is no number), RANGE (readings go beyond the end). Every third value is a reading, as many as
     intervals fit the part of the window that is below a day."""
-    cut = lambda i: F.split(F.get(F.col(lines), F.lit(i)), ",")
-    df = records.withColumns({f"_l{i + 1}": cut(i) for i in range(5)})
-    sizes = (F.size("_l1") == FIELDS[0]) & (F.size("_l2") == FIELDS[1]) & (F.size("_l3") >= FIELDS[2]) & (F.size("_l4") == FIELDS[3]) & (F.size("_l5") > 1)
-    kinds = sizes
-    for i, t in enumerate(TYPES):
-        kinds &= F.get(f"_l{i + 1}", F.lit(0)) == t
-    field = lambda line, i: F.get(f"_l{line}", F.lit(i))
-    df = df.withColumns({
-        "service_point_id": field(1, 1),
-        "_channel": field(1, 2).try_cast("int"),
-        "_start": F.try_to_timestamp(field(1, 3), F.lit(STAMP)),
-        "_end": F.try_to_timestamp(field(1, 4), F.lit(STAMP)),
-        "seconds_per_interval": field(2, 7).try_cast("int"),
-        "time_zone": field(2, 13),
-        "account_id": field(3, 1),
-        "code": field(4, 2),
-    })
-    whole = F.coalesce((F.size(lines) == 5) & kinds & F.col("_channel").isNotNull() & F.col("_start").isNotNull() & F.col("_end").isNotNull() & (F.col("seconds_per_interval") > 0), F.lit(False))
-    most = F.ceil(F.pmod(F.unix_timestamp("_end") - F.unix_timestamp("_start"), F.lit(86400)) / F.col("seconds_per_interval")).cast("int")
-    every = F.filter(F.slice("_l5", 2, F.greatest(F.size("_l5") - 1, F.lit(0))), lambda x, i: i % 3 == 0)
-    df = df.withColumn("_readings", F.when(whole, F.transform(F.slice(every, F.lit(1), most), reading)))
-    last = F.unix_timestamp("_start") + (F.size("_readings") - 1) * F.col("seconds_per_interval")
-    error = (
-        F.when(~whole, "MALFORMED")
-        .when(F.col("_channel") != 1, "CHANNEL")
-        .when(F.exists("_readings", lambda x: ~x["ok"]), "VALUE_ERROR")
-        .when((F.size("_readings") == 0) | (last >= F.unix_timestamp("_end")), "RANGE")
-    )
-    df = df.withColumn("error_type", error)
+    field = lambda line, i: F.get(F.get(line[0], F.lit(line[1])), F.lit(i))
+    stamp = lambda x: F.unix_timestamp(F.try_to_timestamp(x, F.lit(STAMP)))
+
+    def fields(cut: Column) -> Column:
+        """What the lines' fields say, each computed once."""
+        at = lambda line, i: field((cut, line - 1), i)
+        size = lambda line: F.coalesce(F.size(F.get(cut, F.lit(line - 1))), F.lit(-1))
+        whole = (size(1) == FIELDS[0]) & (size(2) == FIELDS[1]) & (size(3) >= FIELDS[2]) & (size(4) == FIELDS[3]) & (size(5) > 1)
+        for i, t in enumerate(TYPES):
+            whole &= at(i + 1, 0) == t
+        return F.struct(
+            at(1, 1).alias("service_point_id"),
+            at(1, 2).try_cast("int").alias("channel"),
+            stamp(at(1, 3)).alias("start"),
+            stamp(at(1, 4)).alias("end"),
+            at(2, 7).try_cast("int").alias("seconds"),
+            at(2, 13).alias("time_zone"),
+            at(3, 1).alias("account_id"),
+            at(4, 2).alias("code"),
+            F.get(cut, F.lit(4)).alias("last"),
+            (whole & (F.size(cut) == 5)).alias("whole"),
+        )
+
+    def judged(p: Column) -> Column:
+        whole = F.coalesce(p["whole"] & p["channel"].isNotNull() & p["start"].isNotNull() & p["end"].isNotNull() & (p["seconds"] > 0), F.lit(False))
+        most = F.ceil(F.pmod(p["end"] - p["start"], F.lit(86400)) / p["seconds"]).cast("int")
+        every = F.filter(F.slice(p["last"], F.lit(2), F.greatest(F.size(p["last"]) - 1, F.lit(0))), lambda x, i: i % 3 == 0)
+        return once(F.when(whole, F.transform(F.slice(every, F.lit(1), most), reading)), lambda r: F.struct(p.alias("p"), r.alias("readings"), error(p, r).alias("error_type")))
+
+    def error(p: Column, r: Column) -> Column:
+        last = p["start"] + (F.size(r) - 1) * p["seconds"]
+        return (
+            F.when(r.isNull(), "MALFORMED")
+            .when(p["channel"] != 1, "CHANNEL")
+            .when(F.exists(r, lambda x: ~x["ok"]), "VALUE_ERROR")
+            .when((F.size(r) == 0) | (last >= p["end"]), "RANGE")
+        )
+
+    parsed = once(F.transform(lines, lambda x: F.split(x, ",")), lambda cut: once(fields(cut), judged))
+    df = records.select(F.col(lines).alias("record"), parsed.alias("x")).select("record", "x.*")
     none = F.array(F.lit(None).cast("struct<value:double,ok:boolean>"))
-    out = df.select("*", F.posexplode(F.when(F.col("error_type").isNull(), F.col("_readings")).otherwise(none)).alias("_i", "_r"))
+    out = df.select("*", F.posexplode(F.when(F.col("error_type").isNull(), F.col("readings")).otherwise(none)).alias("i", "r"))
     good = F.col("error_type").isNull()
-    keep = lambda c, *but: F.when(good | F.col("error_type").isin(*but), F.col(c)).alias(c) if but else F.when(good, F.col(c)).alias(c)
+    keep = lambda c, *but: F.when(good | F.col("error_type").isin(*but), F.col(f"p.{c}")) if but else F.when(good, F.col(f"p.{c}"))
     return out.select(
-        keep("service_point_id", "CHANNEL", "VALUE_ERROR", "RANGE"),
-        keep("account_id", "VALUE_ERROR", "RANGE"),
-        F.when(good, F.timestamp_seconds(F.unix_timestamp("_start") + F.col("_i") * F.col("seconds_per_interval"))).alias("timestamp"),
-        F.col("_r.value").alias("consumption"),
+        keep("service_point_id", "CHANNEL", "VALUE_ERROR", "RANGE").alias("service_point_id"),
+        keep("account_id", "VALUE_ERROR", "RANGE").alias("account_id"),
+        F.when(good, F.timestamp_seconds(F.col("p.start") + F.col("i") * F.col("p.seconds"))).alias("timestamp"),
+        F.col("r.value").alias("consumption"),
         F.when(good, "KWH").alias("consumption_unit"),
-        keep("seconds_per_interval"),
-        keep("time_zone"),
-        keep("code"),
+        keep("seconds").alias("seconds_per_interval"),
+        keep("time_zone").alias("time_zone"),
+        keep("code").alias("code"),
         "error_type",
-        F.when(~good, F.array_join(lines, "|")).alias("error_record"),
+        F.when(~good, F.array_join("record", "|")).alias("error_record"),
     )
 
 

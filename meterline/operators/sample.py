@@ -6,9 +6,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def digest(key: Column, seed: int) -> Column:
+    """MD5 of key:seed, in hex, which other engines compute alike."""
+    return F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")))
+
+
+def number(key: Column, seed: int) -> Column:
+    """A whole number below 2**52 that depends on the key and the seed alone."""
+    return F.conv(F.substring(digest(key, seed), 1, 13), 16, 10).cast("long")
+
+
 def uniform(key: Column, seed: int) -> Column:
     """A number from 0 to 1 that depends on the key and the seed alone."""
-    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 53)) / float(1 << 53)
+    return number(key, seed) / float(1 << 52)
 
 
 def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:
@@ -60,9 +70,9 @@ def fill_negatives(df: DataFrame, by: str, label: str, key: str, seed: int = 7)
 
 
 def sample_limit(df: DataFrame, key: str, n: int, seed: int = 7) -> DataFrame:
-    return df.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(n)
+    return df.orderBy(digest(F.col(key), seed), key).limit(n)
 
 
 def assign_folds(df: DataFrame, key: str, k: int, seed: int = 7, name: str = "fold") -> DataFrame:
     """A stable fold from 0 to k - 1."""
-    return df.withColumn(name, F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(k)).cast("int"))
+    return df.withColumn(name, (number(F.col(key), seed) % k).cast("int"))

@@ -102,14 +102,21 @@ def top_channel(df: DataFrame, keys: list[str], total: str) -> DataFrame:
     return df.join(best, keys).where(F.col(total) == F.col("_best")).drop("_best")
 
 
-def bucketize(df: DataFrame, group: str, key: str, score: str, owner: str, n: int = 5) -> DataFrame:
+def bucketize(df: DataFrame, group: str, key: str, score: str, owner: str, n: int = 5, parts: int = 64) -> DataFrame:
     """bucket: 1 (highest scores) to n of equal sizes within each group; -1 without a score, 0 for owners."""
-    ranked = F.col(score).isNotNull() & ~F.coalesce(F.col(owner), F.lit(False))
-    w = Window.partitionBy(group, "_ranked")
-    place = F.row_number().over(w.orderBy(F.col(score).desc(), F.col(key)))
-    bucket = F.ceil(place * n / F.count(F.lit(1)).over(w)).cast("int")
     flag = F.when(F.coalesce(F.col(owner), F.lit(False)), 0).when(F.col(score).isNull(), -1)
-    return df.withColumn("_ranked", ranked).withColumn("bucket", F.coalesce(flag, bucket)).drop("_ranked")
+    ranked = df.where(flag.isNull())
+    # Scores are dealt into ranges by each group's quantiles; a group is sorted by many tasks, and counts of its ranges say
+    # where each starts.
+    cuts = ranked.groupBy(F.col(group).alias("_group")).agg(F.percentile_approx(F.col(score).cast("double"), [i / parts for i in range(1, parts)], 1000).alias("_cuts"), F.count(F.lit(1)).alias("_total"))
+    part = F.size(F.filter("_cuts", lambda x: x > F.col(score).cast("double")))
+    dealt = ranked.join(cuts, F.col(group).eqNullSafe(F.col("_group"))).withColumn("_part", part).drop("_cuts", "_group")
+    before = Window.partitionBy("_of").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy(F.col(group).alias("_of"), F.col("_part").alias("_at")).agg(F.count(F.lit(1)).alias("_n")).select("_of", "_at", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    own = Window.partitionBy(group, "_part").orderBy(F.col(score).desc(), F.col(key))
+    place = F.col("_before") + F.row_number().over(own)
+    placed = dealt.join(starts, F.col(group).eqNullSafe(F.col("_of")) & (F.col("_part") == F.col("_at"))).withColumn("bucket", F.ceil(place * n / F.col("_total")).cast("int"))
+    return placed.select(*df.columns, "bucket").unionByName(df.where(flag.isNotNull()).withColumn("bucket", flag))
 
 
 def roc_curve(df: DataFrame, label: str, score: str, by: list[str] | None = None, parts: int = 64) -> DataFrame:

@@ -13,10 +13,12 @@ from .views import BILLS_SQL, FILES_SQL, LOCATIONS_SQL, bills, files, locations,
 r6 = lambda c: F.round(c, 6)
 
 QUAD = ["external_account_id", "external_location_id", "direction"]
-TREE_SQL = """ids as (select distinct 'a' || (o_custkey % 40) as external_account_id, 'l' || (o_custkey % 60) as external_location_id, case when o_custkey % 3 = 0 then 'R' else 'D' end as direction from orders),
-accounts as (select 'a' || (c_custkey % 50) as external_account_id, 'A' || c_custkey as account_uuid, c_custkey % 7 = 0 as is_inactive from customer where c_custkey < 55 and c_custkey % 50 > 4),
-locs as (select 'l' || (c_custkey % 60) as external_location_id, 'A' || (c_custkey % 55) as account_uuid, 'L' || c_custkey as location_uuid from customer where c_custkey < 400),
-chans as (select 'L' || c_custkey as location_uuid, 'D' as direction, 'C' || c_custkey as channel_uuid from customer where c_custkey % 2 = 0),
+TREE_SQL = """ids as (select distinct 'a' || o_custkey as external_account_id, 'l' || (o_custkey + o_orderkey % 3) as external_location_id, case when o_orderkey % 5 = 0 then 'R' else 'D' end as direction from orders),
+accounts as (select 'a' || (c_custkey - case when c_custkey % 9 = 8 then 1 else 0 end) as external_account_id, 'A' || c_custkey as account_uuid, c_custkey % 7 = 0 as is_inactive from customer),
+locs as (select c_custkey as c, k, 'l' || (c_custkey + case when k = 2 then 1 else 0 end) as external_location_id, 'A' || c_custkey as account_uuid, 'L' || c_custkey || '-' || k as location_uuid
+  from customer, (values (0), (1), (2)) v(k) where k = 0 or (k = 1 and c_custkey % 5 = 0) or (k = 2 and c_custkey % 2 = 0)),
+chans as (select location_uuid, direction, 'C' || c || direction || k || i as channel_uuid from locs, (values ('D', 0), ('D', 1), ('R', 0)) v(direction, i)
+  where (direction = 'D' and c % 4 <> 1 and (i = 0 or c % 6 = 0)) or (direction = 'R' and c % 8 = 0)),
 j as (select i.*, a.account_uuid, a.is_inactive, l.location_uuid, c.channel_uuid from ids i left join accounts a using (external_account_id)
   left join locs l on i.external_location_id = l.external_location_id and a.account_uuid = l.account_uuid
   left join chans c on l.location_uuid = c.location_uuid and i.direction = c.direction),
@@ -31,11 +33,16 @@ coded as (select *, case when n_accounts = 1 and n_locations = 1 and not coalesc
 def id_tables(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
     o, c = table(spark, d, "orders"), table(spark, d, "customer")
     name = lambda p, x: F.concat(F.lit(p), x.cast("string"))
-    ids = o.select(name("a", F.col("o_custkey") % 40).alias("external_account_id"), name("l", F.col("o_custkey") % 60).alias("external_location_id"), F.when(F.col("o_custkey") % 3 == 0, "R").otherwise("D").alias("direction")).distinct()
-    k = F.col("c_custkey")
-    accounts = c.where("c_custkey < 55 and c_custkey % 50 > 4").select(name("a", k % 50).alias("external_account_id"), name("A", k).alias("account_uuid"), (k % 7 == 0).alias("is_inactive"))
-    locs = c.where("c_custkey < 400").select(name("l", k % 60).alias("external_location_id"), name("A", k % 55).alias("account_uuid"), name("L", k).alias("location_uuid"))
-    chans = c.where("c_custkey % 2 = 0").select(name("L", k).alias("location_uuid"), F.lit("D").alias("direction"), name("C", k).alias("channel_uuid"))
+    ids = o.select(name("a", F.col("o_custkey")).alias("external_account_id"), name("l", F.col("o_custkey") + F.col("o_orderkey") % 3).alias("external_location_id"), F.when(F.col("o_orderkey") % 5 == 0, "R").otherwise("D").alias("direction")).distinct()
+    key = F.col("c_custkey")
+    accounts = c.select(name("a", key - F.when(key % 9 == 8, 1).otherwise(0)).alias("external_account_id"), name("A", key).alias("account_uuid"), (key % 7 == 0).alias("is_inactive"))
+    # A location under its own id, a second one for some, and one under the next customer's id for others.
+    kinds = F.filter(F.array(*map(F.lit, (0, 1, 2))), lambda k: (k == 0) | ((k == 1) & (key % 5 == 0)) | ((k == 2) & (key % 2 == 0)))
+    rows = c.select(key.alias("c"), F.explode(kinds).alias("k")).select("c", "k", F.concat(name("L", F.col("c")), name("-", F.col("k"))).alias("location_uuid"))
+    locs = rows.select(name("l", F.col("c") + F.when(F.col("k") == 2, 1).otherwise(0)).alias("external_location_id"), name("A", F.col("c")).alias("account_uuid"), "location_uuid")
+    both = F.array(*[F.struct(F.lit(d).alias("direction"), F.lit(i).alias("i")) for d, i in (("D", 0), ("D", 1), ("R", 0))])
+    chans = rows.select("*", F.inline(both)).where("(direction = 'D' and c % 4 <> 1 and (i = 0 or c % 6 = 0)) or (direction = 'R' and c % 8 = 0)")
+    chans = chans.select("location_uuid", "direction", F.concat(name("C", F.col("c")), "direction", F.col("k").cast("string"), F.col("i").cast("string")).alias("channel_uuid"))
     return ids, accounts, locs, chans
 
 
@@ -57,12 +64,12 @@ def j2(spark, d):
     return out.select(F.substring("alias_id", 5, 99).alias("alias_id"), "external_location_id", "direction", "channel_uuid", "n_channels")
 
 
-@query("J3_resolve_by_account", "with t as (select 'a' || (c_custkey % 40) as external_account_id, 'A' || (c_custkey % 40) as account_uuid, 'L' || (c_custkey % 80) as location_uuid, 'C' || c_custkey as channel_uuid from customer where c_custkey < 100), p as (select external_account_id, count(distinct location_uuid) as nl, count(distinct channel_uuid) as nc, min(location_uuid) as l, min(channel_uuid) as c from t group by 1), i as (select distinct 'a' || (o_custkey % 60) as external_account_id from orders) select i.external_account_id, case when nl = 1 and nc = 1 then c end as channel_uuid, coalesce(case when nl is not null then 'US/Central' end, 'US/Eastern') as time_zone from i left join p using (external_account_id)")
+@query("J3_resolve_by_account", "with t as (select 'a' || (c_custkey - case when c_custkey % 5 = 3 then 1 else 0 end) as external_account_id, 'L' || (c_custkey - c_custkey % 2) as location_uuid, 'C' || c_custkey as channel_uuid from customer where c_custkey % 10 > 0), p as (select external_account_id, count(distinct location_uuid) as nl, count(distinct channel_uuid) as nc, min(location_uuid) as l, min(channel_uuid) as c from t group by 1), i as (select distinct 'a' || o_custkey as external_account_id from orders) select i.external_account_id, case when nl = 1 and nc = 1 then c end as channel_uuid, coalesce(case when nl is not null then 'US/Central' end, 'US/Eastern') as time_zone from i left join p using (external_account_id)")
 def j3(spark, d):
     k = F.col("c_custkey")
     name = lambda p, x: F.concat(F.lit(p), x.cast("string"))
-    tree = table(spark, d, "customer").where("c_custkey < 100").select(name("a", k % 40).alias("external_account_id"), name("A", k % 40).alias("account_uuid"), name("L", k % 80).alias("location_uuid"), name("C", k).alias("channel_uuid"), F.lit("US/Central").alias("time_zone"))
-    ids = table(spark, d, "orders").select(name("a", F.col("o_custkey") % 60).alias("external_account_id"), F.lit("x").alias("time_zone")).distinct()
+    tree = table(spark, d, "customer").where("c_custkey % 10 > 0").select(name("a", k - F.when(k % 5 == 3, 1).otherwise(0)).alias("external_account_id"), name("A", k).alias("account_uuid"), name("L", k - k % 2).alias("location_uuid"), name("C", k).alias("channel_uuid"), F.lit("US/Central").alias("time_zone"))
+    ids = table(spark, d, "orders").select(name("a", F.col("o_custkey")).alias("external_account_id"), F.lit("x").alias("time_zone")).distinct()
     return linking.resolve_by_account(ids, tree, "US/Eastern").select("external_account_id", "channel_uuid", "time_zone")
 
 
@@ -131,9 +138,9 @@ def j11(spark, d):
     return linking.label_participants(table(spark, d, "customer").select("c_custkey"), o, "c_custkey")
 
 
-@query("J12_widen_fuels", "with t as (select l_suppkey, l_returnflag as f, round(sum(l_quantity), 2) as q from lineitem where l_orderkey % 50 = 0 group by all) select coalesce(a.l_suppkey, r.l_suppkey) as l_suppkey, a.q as a_q, r.q as r_q from (select * from t where f = 'A') a full join (select * from t where f = 'R') r on a.l_suppkey = r.l_suppkey")
+@query("J12_widen_fuels", "with t as (select l_suppkey, l_returnflag as f, round(sum(l_quantity), 2) as q from lineitem group by all) select coalesce(a.l_suppkey, r.l_suppkey) as l_suppkey, a.q as a_q, r.q as r_q from (select * from t where f = 'A') a full join (select * from t where f = 'R') r on a.l_suppkey = r.l_suppkey")
 def j12(spark, d):
-    t = table(spark, d, "lineitem").where("l_orderkey % 50 = 0").groupBy("l_suppkey", "l_returnflag").agg(F.round(F.sum("l_quantity"), 2).alias("q"))
+    t = table(spark, d, "lineitem").groupBy("l_suppkey", "l_returnflag").agg(F.round(F.sum("l_quantity"), 2).alias("q"))
     return linking.widen_fuels(t, ["l_suppkey"], "l_returnflag", {"A": "a", "R": "r"}, ["q"])
 
 
@@ -245,8 +252,7 @@ def meter_records(spark: SparkSession, d: str) -> DataFrame:
   r as (select k, error_type, unnest(case when error_type is not null then [cast(null as double)] when k % 17 = 0 then [case when k % 13 = 0 then 0.0 else k % 9 end, 1.5] else [case when k % 13 = 0 then 0.0 else k % 9 end, 1.5, null, 2.0] end) as v from o)
   select error_type, count(*) as n, count(v) as n_values, round(coalesce(sum(v), 0), 3) as total from r group by 1""")
 def r1(spark, d):
-    good, bad = records.split_parsed(records.parse_records(meter_records(spark, d)))
-    return good.unionByName(bad).groupBy("error_type").agg(F.count(F.lit(1)).alias("n"), F.count("consumption").alias("n_values"), F.round(F.coalesce(F.sum("consumption"), F.lit(0.0)), 3).alias("total"))
+    return records.parse_records(meter_records(spark, d)).groupBy("error_type").agg(F.count(F.lit(1)).alias("n"), F.count("consumption").alias("n_values"), F.round(F.coalesce(F.sum("consumption"), F.lit(0.0)), 3).alias("total"))
 
 
 @query("L3_balance_classes", "with c as (select count(*) filter (toxic = 1) as p, count(*) filter (toxic = 0) as q from labels) select 0 as toxic, least(p, q) as n from c union all select 1, least(p, q) from c")
@@ -254,18 +260,21 @@ def l3(spark, d):
     return sample.balance_classes(table(spark, d, "labels"), "toxic", "doc_id").groupBy("toxic").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("L4_fill_negatives")
+@query("L4_fill_negatives", """with t as (select doc_id, lang, case when toxic = 1 then 1 when doc_id % 40 = 0 then 0 end as label from documents left join labels using (doc_id)),
+  s as (select lang, count(*) filter (label = 1) as p, count(*) filter (label = 0) as q, count(*) filter (label is null) as u from t group by 1),
+  f as (select lang, coalesce(label, case when cast('0x' || substr(md5(doc_id || ':7'), 1, 13) as bigint) / 4503599627370496.0 < greatest(p - q, 0) / nullif(u, 0) then 0 end) as label from t join s using (lang) where p > 0)
+  select lang, label, count(*) as n from f where label is not null group by all""")
 def l4(spark, d):
     df = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left").withColumn("label", F.when(F.col("toxic") == 1, 1).when(F.col("doc_id") % 40 == 0, 0))
     return sample.fill_negatives(df, "lang", "label", "doc_id").groupBy("lang", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("L5_sample_limit")
+@query("L5_sample_limit", "select c_custkey from customer order by md5(c_custkey || ':7'), c_custkey limit 100")
 def l5(spark, d):
     return sample.sample_limit(table(spark, d, "customer").select("c_custkey"), "c_custkey", 100)
 
 
-@query("L6_assign_folds")
+@query("L6_assign_folds", "select cast(cast('0x' || substr(md5(c_custkey || ':7'), 1, 13) as bigint) % 5 as integer) as fold, count(*) as n from customer group by 1")
 def l6(spark, d):
     return sample.assign_folds(table(spark, d, "customer").select("c_custkey"), "c_custkey", 5).groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
 

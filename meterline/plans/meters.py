@@ -9,7 +9,7 @@ from ..functions import columns as C
 from ..operators import dedup, normalize, quality, rollup, sample, windows
 from ..sources import io
 from .catalogue import query, with_sql
-from .views import BILLS_SQL, DAILY_SQL, FILES_SQL, HOURLY_SQL, LATEST_SQL, READS_SQL, bills, files, reads, table
+from .views import BILLS_SQL, DAILY_SQL, FILES_SQL, HOURLY_SQL, LATEST_SQL, READS_SQL, WIDE_SQL, bills, files, quarters, reads, table
 
 
 def latest(spark: SparkSession, d: str) -> DataFrame:
@@ -42,26 +42,11 @@ def s1(spark, d):
     return io.typed(raw, io.PositionalCsv((("part_id", "string"), ("name", "string"), ("size", "int")), ids=("part_id",)))
 
 
-@query("S2_lines", "select conv_id, count(*) as n_lines from (select conv_id, unnest(string_split(text, chr(10))) as line from conversations) group by conv_id")
-def s2(spark, d):
-    return table(spark, d, "conversations").select("conv_id", F.explode(F.split("text", "\n")).alias("line")).groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_lines"))
-
-
 @query("S3_null_safe_version", "select event_id, timestamp '1970-01-01 00:00:00' as updated_time_utc from events")
 def s3(spark, d):
     return io.null_safe_version(table(spark, d, "events").select("event_id"))
 
 
-@query("S4_day_range", "select o_orderkey from orders where cast(o_orderdate as date) between date '1995-03-01' - 1 and date '1995-03-31' + 1")
-def s4(spark, d):
-    return io.days_between(table(spark, d, "orders"), F.to_date("o_orderdate"), "1995-03-01", "1995-03-31", 1).select("o_orderkey")
-
-
-@query("S5_audit_json", "select event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events")
-def s5(spark, d):
-    return table(spark, d, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
-
-
 @query("S6_channel_map", "select s_suppkey, n_name, r_name, case when s_suppkey % 2 = 0 then 'D' else 'R' end as direction, coalesce(nullif(ltrim(lpad(cast(s_suppkey as varchar), 20, '0'), '0'), ''), '0') as external_id from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey")
 def s6(spark, d):
     df = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -73,12 +58,6 @@ def s7(spark, d):
     return io.with_source_file(table(spark, d, "pages"), F.col("url")).select("page_id", "source_file_name")
 
 
-@query("S8_append_counts", "select cast(year(o_orderdate) as integer) as year, cast(month(o_orderdate) as integer) as month, count(*) as n from orders group by all")
-def s8(spark, d):
-    """What append_partitioned reports; the write itself is covered by tests."""
-    return normalize.with_day_parts(table(spark, d, "orders"), "o_orderdate").select(F.col("year").cast("int"), F.col("month").cast("int")).groupBy("year", "month").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query("S10_merge_pointers", "with o as (select distinct cast(o_orderdate as date) as date, 'run=1' as folder from orders where o_orderkey % 2 = 0), n as (select distinct cast(o_orderdate as date) as date, 'run=2' as folder from orders where o_orderkey % 3 = 0) select coalesce(o.date, n.date) as date, coalesce(n.folder, o.folder) as folder from o full join n on o.date = n.date")
 def s10(spark, d):
     o = table(spark, d, "orders").withColumn("date", F.to_date("o_orderdate"))
@@ -189,9 +168,11 @@ def p17(spark, d):
     return df.select(n.alias("n"), "uuid", prefix.alias("prefix"))
 
 
-@query("P18_event_tag", "select event_type, case when event_type like '%purchase%' then 'OTHER' else 'OTHER' end as tag, count(*) as n from events group by all")
+@query("P18_event_tag", "select case user_id % 5 when 0 then 'EHER' when 1 then 'HBA' when 2 then 'CHALLENGE' when 3 then 'CHALLENGE' else 'OTHER' end as tag, event_type, count(*) as n from events group by all")
 def p18(spark, d):
-    return table(spark, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).select("event_type", C.generalize_tag(F.col("event_type")).alias("tag"), "n")
+    tags = F.array(F.lit("2019 eHER mail "), F.lit("Winter-HBA/"), F.lit("Summer CHALLENGE "), F.lit("production_v2 "), F.lit("news "))
+    tag = F.concat(F.get(tags, (F.col("user_id") % 5).cast("int")), "event_type")
+    return table(spark, d, "events").groupBy(C.generalize_tag(tag).alias("tag"), "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("P19_keyword_flag", "select p_partkey, case when p_size < 20 then cast(regexp_matches(lower(p_type), 'steel|brass') as integer) end as flag from part")
@@ -277,12 +258,20 @@ def a5(spark, d):
 HOURS_SQL = ", ".join(f"round(sum(consumption_total) filter (is_complete and hour_utc = {h}), 3) as kwh_h{h:02d}" for h in range(24))
 
 
-@query("A6_pivot_day", with_sql(HOURLY_SQL, f" select channel_uuid, time_zone, date_utc, {HOURS_SQL}, cast(max(hour_utc) filter (is_complete) as integer) as latest_hour, round(100.0 * count(*) filter (is_complete) / 24, 6) as pct_complete from hourly where direction = 'D' group by channel_uuid, time_zone, date_utc"))
+def newest(spark: SparkSession, d: str) -> DataFrame:
+    return dedup.latest_wins(quarters(spark, d), ["channel_uuid", "interval_start_utc"], [F.col("event_id").desc()])
+
+
+def wide_days(spark: SparkSession, d: str) -> DataFrame:
+    return rollup.pivot_day(rollup.finalize_rollup(rollup.hourly_rollup(newest(spark, d))))
+
+
+WIDE_DAYS_SQL = with_sql(WIDE_SQL, f" select channel_uuid, time_zone, date_utc, {HOURS_SQL}, cast(max(hour_utc) filter (is_complete) as integer) as latest_hour, round(100.0 * count(*) filter (is_complete) / 24, 6) as pct_complete from hours where direction = 'D' group by channel_uuid, time_zone, date_utc")
+
+
+@query("A6_pivot_day", WIDE_DAYS_SQL)
 def a6(spark, d):
-    # The operator's own rule wants whole hours; here one read makes one, so interval lengths are scaled to the hour.
-    h = rollup.finalize_rollup(rollup.hourly_rollup(latest(spark, d))).withColumns({"min_seconds": F.lit(3600), "max_seconds": F.lit(3600)})
-    wide = rollup.pivot_day(h)
-    return wide.select("channel_uuid", "time_zone", "date_utc", *[F.round(f"kwh_h{i:02d}", 3).alias(f"kwh_h{i:02d}") for i in range(24)], "latest_hour", r6("pct_complete").alias("pct_complete"))
+    return wide_days(spark, d).select("channel_uuid", "time_zone", "date_utc", *[F.round(f"kwh_h{i:02d}", 3).alias(f"kwh_h{i:02d}") for i in range(24)], "latest_hour", r6("pct_complete").alias("pct_complete"))
 
 
 DAYS_SQL = ", ".join(f"round(sum(consumption_total) filter (pct_complete >= 2 and day(date_local) = {x}), 3) as kwh_d{x:02d}" for x in range(1, 32))
@@ -459,12 +448,13 @@ def l1(spark, d):
     return sample.pick_audit_slice(hourly(spark, d), ["date_utc", "hour_utc"], "channel_uuid", F.col("num_reads_total") == 1, 1000, pick_fullest=True)
 
 
-@query("Q10_check_rollup", with_sql(HOURLY_SQL, ", w as (select channel_uuid, date_utc, hour_utc, sum(consumption_total) as k from hourly where is_complete and direction = 'D' group by all) select count(*) as n, count(*) as ok from w"))
+@query("Q10_check_rollup", with_sql(WIDE_SQL, ", w as (select channel_uuid, cast(substr(channel_uuid, 2) as bigint) as k from hours where is_complete and direction = 'D') select case when k % 7 = 0 or k % 11 = 0 then 0 else 1 end as qc_status, count(*) as n from w group by 1"))
 def q10(spark, d):
-    h = rollup.finalize_rollup(rollup.hourly_rollup(latest(spark, d)))
-    raw = latest(spark, d).where("consumption_code >= 1 and direction = 'D'").groupBy("channel_uuid", F.to_date("interval_start_utc").alias("date_utc"), F.hour("interval_start_utc").alias("hour_utc")).agg(F.sum("consumption").alias("raw_kwh"))
-    wide = rollup.pivot_day(h.withColumns({"min_seconds": F.lit(3600), "max_seconds": F.lit(3600)}))
-    return quality.check_rollup(raw, wide, ["channel_uuid", "date_utc"]).agg(F.count(F.lit(1)).alias("n"), F.sum("qc_status").alias("ok"))
+    """Raw sums are half a kWh off for some channels and absent for others; those hours have to fail."""
+    k = F.substring("channel_uuid", 2, 20).cast("long")
+    raw = newest(spark, d).where("consumption_code >= 1 and direction = 'D'").groupBy("channel_uuid", F.to_date("interval_start_utc").alias("date_utc"), F.hour("interval_start_utc").alias("hour_utc")).agg(F.sum("consumption").alias("raw_kwh"))
+    raw = raw.withColumn("raw_kwh", F.col("raw_kwh") + F.when(k % 7 == 0, 0.5).otherwise(0.0)).where(k % 11 != 0)
+    return quality.check_rollup(raw, wide_days(spark, d), ["channel_uuid", "date_utc"]).groupBy("qc_status").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("Q11_ingest_time", "select o_orderkey, cast(86400 * (o_orderkey % 3) as bigint) as ingest_seconds, case when 86400 * (o_orderkey % 3) <= 86400 then 1 else 0 end as qc_status from orders")
@@ -474,7 +464,7 @@ def q11(spark, d):
     return quality.check_ingest_time(o, "s", "e").select("o_orderkey", "ingest_seconds", "qc_status")
 
 
-@query("flagship_wide_day")
+@query("flagship_wide_day", WIDE_DAYS_SQL)
 def flagship(spark, d):
     """Latest reads, rolled up to hours, as one row per channel and day."""
-    return rollup.pivot_day(rollup.finalize_rollup(rollup.hourly_rollup(latest(spark, d))))
+    return a6(spark, d)

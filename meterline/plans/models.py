@@ -53,7 +53,7 @@ def m5(spark, d):
 @query("M6_M7_ensembles")
 def m6(spark, d):
     df = customers(spark, d)
-    return ml.score_ensembles(ml.fit_ensembles(df, "interval_minutes", [15, 30], "label", FEATURES), df, "interval_minutes").select("c_custkey", "interval_minutes", F.round("score", 6).alias("score"))
+    return ml.score_ensembles(ml.fit_ensembles(df, "interval_minutes", [15, 30, 60], "label", FEATURES), df, "interval_minutes").select("c_custkey", "interval_minutes", F.round("score", 6).alias("score"))
 
 
 @query("M8_signature")

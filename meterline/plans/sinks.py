@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import band
@@ -20,7 +21,12 @@ _own: list[str] = []
 
 def scratch(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir, which executors share; below a temporary one only where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not root and sc._jsc.sc().getCheckpointDir().isDefined():
+        root = sc._jsc.sc().getCheckpointDir().get()
+    if not root and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that executors share")
     if not root:
         if not _own:
             _own.append(tempfile.mkdtemp(prefix="meterline-"))
@@ -28,12 +34,53 @@ def scratch(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/sink-{uuid.uuid4().hex}"
 
 
-@query("S8_append_partitioned", "select cast(year(o_orderdate) as integer) as year, count(*) as n from orders group by 1")
+@query("S2_lines", "select conv_id, count(*) as n_lines from (select conv_id, unnest(string_split(coalesce(text, ''), chr(10))) as line from conversations) group by conv_id")
+def s2(spark, d):
+    """Turns written as lines of text (each with its conversation) and read again."""
+    path = scratch(spark)
+    line = F.explode(F.split(F.coalesce("text", F.lit("")), "\n"))
+    table(spark, d, "conversations").select("conv_id", line.alias("line")).select(F.concat_ws("\t", F.col("conv_id").cast("string"), F.regexp_replace("line", "\r", "")).alias("value")).write.text(path)
+    return io.read_lines(spark, path).groupBy(F.split("value", "\t")[0].cast("long").alias("conv_id")).agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+@query("S3_read_reads", "select event_id, case when event_id % 2 = 0 then timestamp '2024-01-01 00:00:00' + to_seconds(event_id) else timestamp '1970-01-01 00:00:00' end as updated_time_utc from events")
+def s3(spark, d):
+    """Two versions of reads, the older without the column."""
+    path = scratch(spark)
+    e = table(spark, d, "events")
+    e.where("event_id % 2 = 1").select("event_id").write.parquet(f"{path}/old")
+    e.where("event_id % 2 = 0").select("event_id", F.timestamp_seconds(F.unix_timestamp(F.lit("2024-01-01").cast("timestamp")) + F.col("event_id")).alias("updated_time_utc")).write.parquet(f"{path}/new")
+    return io.read_reads(spark, f"{path}/old", f"{path}/new").select("event_id", "updated_time_utc")
+
+
+@query("S4_scan_days", "select o_orderkey from orders where cast(o_orderdate as date) between date '1995-02-27' - 1 and date '1995-03-02' + 1")
+def s4(spark, d):
+    path = scratch(spark)
+    normalize.with_day_parts(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate").repartition("year", "month").write.partitionBy("year", "month").parquet(path)
+    return io.scan_days(spark, path, "1995-02-27", "1995-03-02", 1).select("o_orderkey")
+
+
+@query("S5_read_audit", """select 'drop_' || user_id || '.csv' as audit_filename, md5(cast(event_id as varchar)) as audit_checksum, cast(event_id - 1 as integer) as audit_linecount, cast(ts as date) as date_utc from events where event_type = 'click'""")
+def s5(spark, d):
+    """Audit events as files of JSON, `data` as text for half of them and as a struct for the other."""
+    e = table(spark, d, "events")
+    data = F.struct(F.md5(F.col("event_id").cast("string")).alias("inDigest"), F.col("event_id").alias("linesRead"))
+    kind = F.when(F.col("event_type") == "click", "DECRYPT_SUCCESS").otherwise("DECRYPT_FAIL")
+    rows = e.select(F.concat(F.lit("drop_"), F.col("user_id").cast("string"), F.lit(".csv")).alias("filename"), kind.alias("event_type"), F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp_utc"), data.alias("data"), "event_id")
+    root = scratch(spark)
+    rows.where("event_id % 2 = 0").drop("event_id").write.json(f"{root}/struct")
+    rows.where("event_id % 2 = 1").drop("event_id").withColumn("data", F.to_json("data")).write.json(f"{root}/text")
+    return io.read_audit(spark, f"{root}/struct", "drop_", header=1).union(io.read_audit(spark, f"{root}/text", "drop_", header=1))
+
+
+@query("S8_append_partitioned", "select cast(year(o_orderdate) as integer) as year, 2 * count(*) as n, count(*) as reported from orders group by 1")
 def s8(spark, d):
+    """Appended twice; beside what lies there the counts that the second write reports."""
     path = scratch(spark)
     o = table(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"))
     io.append_partitioned(o, path, ["year"])
-    return spark.read.parquet(path).groupBy(F.col("year").cast("int").alias("year")).agg(F.count(F.lit(1)).alias("n"))
+    reported = io.append_partitioned(o, path, ["year"]).withColumnRenamed("n", "reported")
+    return spark.read.parquet(path).groupBy(F.col("year").cast("int").alias("year")).agg(F.count(F.lit(1)).alias("n")).join(reported, "year")
 
 
 @query("S9_overwrite_days", "select cast(year(o_orderdate) as integer) as year, count(*) filter (year(o_orderdate) > 1995 or o_orderkey % 2 = 0) as n from orders group by 1")
@@ -51,6 +98,18 @@ def s10(spark, d):
     return spark.read.parquet(io.publish_version(table(spark, d, "customer"), scratch(spark), "1f")).groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("S10_resolve_version", "select cast(cast(date_trunc('month', o_orderdate) as date) as varchar) as date_utc, case when o_orderdate >= timestamp '1995-06-01' then 2 else 1 end as version, count(*) as n from orders where cast(o_orderdate as date) between date '1995-05-01' and date '1995-07-31' group by all")
+def s10_resolve(spark, d):
+    """Two runs publish orders by month; the second's pointers take over from June on, and each is read in its version."""
+    path = scratch(spark)
+    o = table(spark, d, "orders").select(F.to_date(F.trunc("o_orderdate", "month")).alias("date_utc"), "o_orderkey")
+    for run, part in (("01", o), ("02", o.where("date_utc >= date'1995-06-01'"))):
+        io.publish_version(part.withColumn("version", F.lit(int(run))), path, run)
+        io.save_pointers(spark, f"{path}/pointers", part.select(F.col("date_utc").cast("string").alias("date_utc"), F.lit(f"run={run}").alias("load_folder")).distinct())
+    months = [io.resolve_version(spark, f"{path}/pointers", path, f"1995-0{x}-01") for x in (5, 6, 7)]
+    return reduce(DataFrame.union, months).groupBy(F.col("date_utc").cast("string").alias("date_utc"), "version").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("S12_save_errors", "select cast(1 + c_custkey % 7 as integer) as step, 1 as metric, count(*) as n from customer group by 1")
 def s12(spark, d):
     path = scratch(spark)
@@ -105,7 +164,14 @@ def t8(spark, d):
     return normalize.history(e, "2024-01-15", 7).select("event_id")
 
 
-@query("Q1_catalogue")
+Q1_SQL = "with c(step, step_name, metric, metric_name, message, errors) as (values {}) select c.*, case when c.step = {} then (select count(*) from orders where o_orderkey % 3 = 2) end as n from c"
+
+
+def sql_values(rows: list[tuple]) -> str:
+    return ", ".join("(" + ", ".join(str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'" for v in row) + ")" for row in rows)
+
+
+@query("Q1_catalogue", Q1_SQL.format(sql_values([(c.step, quality.STEPS[c.step], c.metric, c.name, c.message, c.errors) for c in quality.CHECKS]), quality.CHECKS[-1].step))
 def q1(spark, d):
     """Checks that have rows to look at in the given table: errors of step 7 among its orders."""
     late = quality.check_ingest_time(table(spark, d, "orders").select(F.col("o_orderdate").cast("timestamp").alias("s"), F.timestamp_seconds(F.unix_timestamp("o_orderdate") + 86400 * (F.col("o_orderkey") % 3)).alias("e")), "s", "e")

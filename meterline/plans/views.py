@@ -14,6 +14,15 @@ READS_SQL = """reads as (
     case user_id % 4 when 0 then 'US/Eastern' when 1 then 'US/Central' when 2 then 'US/Mountain' else 'US/Pacific' end as time_zone,
     event_id, 900 as seconds_per_interval, 'KWH' as consumption_unit
   from events)"""
+QUARTERS_SQL = READS_SQL + """, quarters as (
+  select * replace (date_trunc('hour', interval_start_utc) + to_minutes(cast(15 * q as integer)) as interval_start_utc, consumption / 4 as consumption, 4 * event_id + q as event_id)
+  from reads, (values (0), (1), (2), (3)) v(q) where q = 0 or cast(substr(channel_uuid, 2) as bigint) % 3 > 0)"""
+WIDE_SQL = QUARTERS_SQL + """, newest as (
+  select * from quarters qualify row_number() over (partition by channel_uuid, interval_start_utc order by event_id desc) = 1),
+hours as (
+  select channel_uuid, direction, time_zone, cast(interval_start_utc as date) as date_utc, hour(interval_start_utc) as hour_utc,
+    sum(consumption) filter (consumption_code >= 1) as consumption_total, count(*) filter (consumption_code >= 1) * 900 = 3600 as is_complete
+  from newest group by all)"""
 LATEST_SQL = READS_SQL + """, latest as (
   select * from reads qualify row_number() over (partition by channel_uuid, interval_start_utc order by event_id desc) = 1)"""
 HOURLY_SQL = LATEST_SQL + """, h0 as (
@@ -75,6 +84,15 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads spread over the four quarters of their hour; a third of the channels deliver the first quarter only, so
+    that their hours stay incomplete."""
+    q = F.when(F.substring("channel_uuid", 2, 20).cast("long") % 3 > 0, F.array(*map(F.lit, range(4)))).otherwise(F.array(F.lit(0)))
+    rows = reads(spark, sf_dir).withColumn("q", F.explode(q))
+    start = F.timestamp_seconds(F.unix_timestamp(F.date_trunc("hour", "interval_start_utc")) + 900 * F.col("q"))
+    return rows.withColumns({"interval_start_utc": start, "consumption": F.col("consumption") / 4, "event_id": 4 * F.col("event_id") + F.col("q")}).drop("q")
+
+
 def bills(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return o.select(

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.columns import bucket, file_stem, pad_id
@@ -68,14 +70,34 @@ def read_channel_map(spark: SparkSession, options: dict[str, str], query: str) -
     return spark.read.format("jdbc").options(**options).option("query", query).load()
 
 
+def read_audit(spark: SparkSession, path: str, name: str, event: str = "DECRYPT_SUCCESS", header: int = 0) -> DataFrame:
+    """audit_filename, audit_checksum, audit_linecount, date_utc of audit events whose file name contains `name`. `data` is
+    a struct or its JSON text, as the files have it; `header` lines aren't counted."""
+    df = spark.read.json(path).where(F.col("filename").contains(name) & (F.col("event_type") == event))
+    text = dict(df.dtypes).get("data") == "string"
+    field = lambda k: F.get_json_object("data", f"$.{k}") if text else F.col(f"data.{k}")
+    return df.select(
+        F.col("filename").alias("audit_filename"),
+        field("inDigest").alias("audit_checksum"),
+        (field("linesRead").cast("int") - header).alias("audit_linecount"),
+        F.to_date(F.timestamp_millis("timestamp_utc")).alias("date_utc"),
+    )
+
+
 def with_source_file(df: DataFrame, path: Column | None = None) -> DataFrame:
     return df.withColumn("source_file_name", file_stem(F.input_file_name() if path is None else path))
 
 
 def append_partitioned(df: DataFrame, path: str, columns: list[str]) -> DataFrame:
-    """Appends df by partition columns; counts per partition of what was given."""
-    df.repartition(*columns).write.mode("append").partitionBy(*columns).parquet(path)
-    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    """Appends df by partition columns; counts per partition of the rows that were written. They are kept for both (on
+    disk where memory lacks), so df is computed once."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        kept.repartition(*columns).write.mode("append").partitionBy(*columns).parquet(path)
+        counts = kept.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+        return df.sparkSession.createDataFrame(counts.collect(), counts.schema)  # a row for each partition written
+    finally:
+        kept.unpersist()
 
 
 def overwrite_days(df: DataFrame, path: str, columns: list[str]) -> None:
@@ -94,6 +116,34 @@ def merge_pointers(old: DataFrame, new: DataFrame, key: str = "date", value: str
     return old.select(key, F.col(value).alias("_old")).join(new.select(key, F.col(value).alias("_new")), key, "full").select(key, F.coalesce("_new", "_old").alias(value))
 
 
+POINTERS = "date_utc string, load_folder string"
+
+
+def read_pointers(spark: SparkSession, path: str) -> DataFrame:
+    """(date_utc, load_folder); no rows where nothing was published yet."""
+    try:
+        return spark.read.schema(POINTERS).csv(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], POINTERS)
+
+
+def save_pointers(spark: SparkSession, path: str, new: DataFrame) -> None:
+    """Merges new pointers into the table of path. The merged table is written beside it first, as it is read from there."""
+    merged = merge_pointers(read_pointers(spark, path), new, "date_utc", "load_folder")
+    merged.write.mode("overwrite").csv(f"{path}.next")
+    read_pointers(spark, f"{path}.next").orderBy("date_utc").coalesce(1).write.mode("overwrite").csv(path)
+
+
+def resolve_version(spark: SparkSession, pointers: str, root: str, date: str) -> DataFrame:
+    """The rows of a date in the version that the pointer table names for it. ValueError where it names none."""
+    folder = read_pointers(spark, pointers).where(F.col("date_utc") == date).first()
+    if folder is None:
+        raise ValueError(f"no version of {date} in {pointers}")
+    return spark.read.parquet(f"{root}/{folder['load_folder']}").where(F.col("date_utc").cast("string") == date)
+
+
 def with_bucket(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.withColumn("bucket", bucket(F.col(key), n))
 

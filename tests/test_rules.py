@@ -214,3 +214,63 @@ def test_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert [(r["num_reads"], r["consumption_total"]) for r in spark.table("hours").collect()] == [(2, 3.0)]
+
+
+def test_scan_days_prunes_partitions(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    days = spark.sql("select explode(sequence(date'2023-12-20', date'2024-02-10')) as d")
+    parts = days.select("d", F.year("d").alias("year"), F.month("d").alias("month"), F.dayofmonth("d").alias("day"))
+    parts.repartition(1).write.partitionBy("year", "month", "day").parquet(f"{tmp_path}/t")
+    df = io.scan_days(spark, f"{tmp_path}/t", "2024-01-01", "2024-01-03", 1)
+    assert sorted(str(r["d"]) for r in df.collect()) == ["2023-12-31", "2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04"]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        plan = io.scan_days(spark, f"{tmp_path}/t", "2024-01-01", "2024-01-03", 1)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    filters = plan.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
+    assert "year" in filters and "make_date" in filters and "DataFilters: []" in plan
+
+
+def test_channel_map_is_read_from_a_database(spark):
+    """The database that comes with Spark, in the memory of this process."""
+    url = {"url": "jdbc:derby:memory:channels;create=true", "driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    spark.createDataFrame([("c1", 1), ("c2", 2)], "uuid string, direction int").write.format("jdbc").options(**url, dbtable="channel").mode("overwrite").save()
+    got = io.read_channel_map(spark, url, 'select "uuid" from channel where "direction" = 2').collect()
+    assert [r[0] for r in got] == ["c2"]
+
+
+def test_pointers_and_versions(spark, tmp_path):
+    import pytest
+
+    pointers = f"{tmp_path}/pointers"
+    assert io.read_pointers(spark, pointers).count() == 0
+    new = lambda *rows: spark.createDataFrame(rows, "date_utc string, load_folder string")
+    io.save_pointers(spark, pointers, new(("2024-01-01", "run=a"), ("2024-01-02", "run=a")))
+    io.save_pointers(spark, pointers, new(("2024-01-02", "run=b")))
+    assert [tuple(r) for r in io.read_pointers(spark, pointers).orderBy("date_utc").collect()] == [("2024-01-01", "run=a"), ("2024-01-02", "run=b")]
+    for run in ("a", "b"):
+        io.publish_version(spark.createDataFrame([("2024-01-02", run)], "date_utc string, v string"), str(tmp_path), run)
+    assert io.resolve_version(spark, pointers, str(tmp_path), "2024-01-02").first()["v"] == "b"
+    with pytest.raises(ValueError):
+        io.resolve_version(spark, pointers, str(tmp_path), "2024-01-03")
+
+
+def test_buckets_by_hand(spark):
+    import zlib
+
+    rows = [("c1",), ("c2",), ("",), ("é",)]
+    got = {r["k"]: r["bucket"] for r in io.with_bucket(spark.createDataFrame(rows, "k string"), "k", 16).collect()}
+    assert got == {k: zlib.crc32(k.encode()) % 16 for k, in rows}
+
+
+def test_ensemble_members_by_interval(spark):
+    from meterline.operators import ml
+
+    rows = [(i, m, float(i % 7), float(i % 3), int(i % 7 > 3)) for m in (15, 30, 60) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, minutes int, a double, b double, y int")
+    models = ml.fit_ensembles(df, "minutes", [15, 30, 60], "y", ["a", "b"])
+    assert {m: set(own) for m, own in models.items()} == {15: {"lr", "gbt", "rf"}, 30: {"svc", "lr", "rf"}, 60: {"lr", "gbt", "rf"}}
+    scored = ml.score_ensembles(models, df, "minutes").toPandas()
+    assert scored.score.between(0, 1).all() and (scored[scored.y == 1].score.mean() > 0.7) and len(scored) == len(rows)
