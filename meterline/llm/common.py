@@ -18,10 +18,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; only where that is unset (tests), a temporary one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    """The folder that the cluster names in spark.checkpoint.dir, else the context's checkpoint folder; a temporary one
+    where neither is set and all runs on this machine, as in tests."""
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not folder and sc._jsc.sc().getCheckpointDir().isDefined():
+        folder = sc._jsc.sc().getCheckpointDir().get()
     if folder:
         return folder.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that executors share")
     if not _own_folder:
         _own_folder.append(tempfile.mkdtemp(prefix="meterline-"))
     return _own_folder[0]
@@ -55,6 +61,12 @@ def with_group(rows: DataFrame, groups: DataFrame, on: str, spread: str) -> Data
     return found.where("_group is not null").select(*rows.columns, *[F.col(f"_group.{c}").alias(c) for c in values])
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this library wrote, in whatever store it lies."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def with_key(docs: DataFrame, text: str = "text") -> tuple[DataFrame, bool]:
     """docs with a column `key` that is unique, not null, and sorted as doc_id is; and whether it is doc_id itself.
 

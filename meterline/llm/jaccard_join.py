@@ -434,11 +434,9 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, text: str =
 
     Rows without words are linked with nothing and stay; of repeated rows one stays; null and repeated doc_ids: see
     common.with_key; an empty table gives an empty table; all columns keep their names and values."""
-    columns = docs.columns
-    rows, _ = with_key(docs.withColumnRenamed("key", "_key") if "key" in columns else docs, text)
-    first = jaccard_classes(rows.select("key", F.col(text).alias("text")), words, percent).where("key = component").select(F.col("key").alias("_first"))
-    kept = rows.join(first.hint("shuffle_hash"), F.col("key") == F.col("_first"), "left_semi").drop("key")
-    return kept.withColumnRenamed("_key", "key").select(*columns) if "key" in columns else kept.select(*columns)
+    rows, _ = with_key(docs.select(F.struct(*docs.columns).alias("row"), "doc_id", F.col(text).alias("text")))
+    first = jaccard_classes(rows.select("key", "text"), words, percent).where("key = component").select(F.col("key").alias("first"))
+    return rows.select("key", "row").join(first.hint("shuffle_hash"), F.col("key") == F.col("first"), "left_semi").select("row.*")
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

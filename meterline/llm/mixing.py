@@ -104,24 +104,28 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
     empty table gives an empty table. Columns of docs named like the new ones are replaced."""
     measure = n_words(F.col("text")) if size is None else size
     columns = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
-    docs = docs.select(*columns, measure.alias("size"))
-    lengths = cut(docs.select(F.col(source).alias("source"), "size").groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
+    # A struct keeps the caller's columns apart from the ones computed here.
+    rows = docs.select(F.struct(*columns).alias("row"), F.col("doc_id").alias("doc_id"), F.col(source).alias("source"), measure.alias("size"))
+    lengths = cut(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
     shares = targets(lengths.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, most).withColumnRenamed("source", "_from")
     takes = cut(
         lengths.join(shares, F.col("source").eqNullSafe(F.col("_from")))
         .select("source", "size", "n", "source_size", "target")
         .groupBy("source")
         .applyInPandas(fit, "source string, size long, passes long, more long, source_size long, target double")
-        .withColumnRenamed("source", source)
     )
-    rows = numbered(docs, [source, "size"], [F.xxhash64("doc_id", F.lit(seed)), F.col("doc_id")], "_number", more=takes)
-    extra = F.col("passes") + (F.col("_number") < F.col("more")).cast("long")
-    return rows.withColumn("copies", F.when(F.col("size") == 0, 0).otherwise(extra).cast("int")).select(*columns, "size", "source_size", "target", "copies")
+    found = numbered(rows, ["source", "size"], [F.xxhash64("doc_id", F.lit(seed)), F.col("doc_id")], "number", more=takes)
+    extra = F.col("passes") + (F.col("number") < F.col("more")).cast("long")
+    return found.select("row.*", "size", "source_size", "target", F.when(F.col("size") == 0, 0).otherwise(extra).cast("int").alias("copies"))
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """The rows of the mix: each row of docs as often as it is taken, with the columns of docs."""
-    return mix(docs).where("copies > 0").withColumn("copies", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+    """The rows of the mix: each row of docs as often as it is taken, with the columns of docs, whatever their names.
+
+    Rows whose text is null or has no words are never taken; repeated rows are rows of their own; null is a source; an
+    empty table gives an empty table."""
+    packed = docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("whole"))
+    return mix(packed).where("copies > 0").select("whole", F.explode(F.sequence(F.lit(1), "copies"))).select("whole.*")
 
 
 def op4_budget_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
