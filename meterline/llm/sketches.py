@@ -108,12 +108,13 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     rows, ids = keyed(docs, text)
     rows = rows.select("key", F.coalesce("text", F.lit("")).alias("text"))
     links = next_keys(rows)
-    made = rows.select("key", "text", F.md5("text").alias("name"), sketch(F.col("text")).alias("a")).repartition("key")
+    # Sketches are made where they are needed: shipping one with each text would cost more disk than making it again.
+    made = rows.select("key", "text").repartition("key")
     # What a document's predecessor needs of it: the start of its text, its name and its sketch.
     start = F.substring(F.col("text"), F.lit(1), F.col("half"))
-    ahead = made.join(links.select(F.col("key").alias("to"), "half", F.col("next").alias("key")), "key").select("to", start.alias("head"), F.col("name").alias("next_name"), F.col("a").alias("c"))
+    ahead = made.join(links.select(F.col("key").alias("to"), "half", F.col("next").alias("key")), "key").select("to", start.alias("head"), F.md5("text").alias("next_name"), sketch(F.col("text")).alias("c"))
     pairs = made.join(ahead, F.col("key") == F.col("to")).withColumn("edited", edited(F.col("text"), F.col("head")))
-    out = pairs.withColumn("b", sketch(F.col("edited"))).select(
+    out = pairs.withColumns({"a": sketch(F.col("text")), "b": sketch(F.col("edited")), "name": F.md5("text")}).select(
         "key",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
