@@ -18,7 +18,8 @@ SPACES = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x202
 """Unicode white space."""
 KNOWN = 0x2E80
 LETTER, NUMBER, SPACE, OTHER, UNSURE = range(5)
-STORE = 300_000
+STORE = 1_000_000
+"""Pieces that a worker keeps, at most; about 40 bytes each."""
 
 
 def _classes() -> np.ndarray:
@@ -64,9 +65,8 @@ class Encoder:
         size = np.fromiter(map(len, new), np.int64, len(new))
         at = np.cumsum(size) - size + len(self.ids)
         self.ids = np.concatenate([self.ids, np.fromiter((i for p in new for i in p), np.uint32, int(size.sum()))])
-        names = np.concatenate([self.names, name])
-        order = np.argsort(names, kind="stable")
-        self.names, self.at, self.size = names[order], np.concatenate([self.at, at])[order], np.concatenate([self.size, size])[order]
+        place = np.searchsorted(self.names, name)
+        self.names, self.at, self.size = (np.insert(old, place, new) for old, new in ((self.names, name), (self.at, at), (self.size, size)))
 
     def limits(self, points: np.ndarray, kind: np.ndarray, begin: np.ndarray) -> np.ndarray:
         """Where pieces start; begin holds the place of each (non-empty) text. A piece is an English contraction's end, or
