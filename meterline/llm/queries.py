@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .jaccard_join import op6_jaccard_join
+from .line_dedup import op13_line_dedup
 from .mixing import op4_budget_mix
 from .packing import op9_pattern_packing
 from .pii import op8_pii_bootstrap
 from .quality import op5_quality_cascade
 from .quotes import op7_quote_linking
 from .sketches import op3_scaled_sketch
-from .sql import OP2, OP5, OP6, OP7
+from .sql import OP2, OP5, OP6, OP7, OP13
 from .substring_dedup import op2_substring_dedup
 from .suffix_dedup import op10_suffix_dedup
 from .toxicity import op1_toxicity_crf
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_pii_bootstrap,
         op9_pattern_packing,
         op10_suffix_dedup,
+        op13_line_dedup,
     )
 }
 
@@ -39,4 +41,5 @@ SQL: dict[str, str] = {
     "op5_quality_cascade": OP5,
     "op6_jaccard_join": OP6,
     "op7_quote_linking": OP7,
+    "op13_line_dedup": OP13,
 }

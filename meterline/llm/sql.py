@@ -68,3 +68,11 @@ select m.conv_id, m.turn, m.role, n_quoted, depth::int as depth, tree.parent as
   regexp_replace(body, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') as body
 from m join shown on m.id = shown.id left join tree on m.conv_id = tree.conv_id and m.turn = tree.turn
 left join (select conv_id, turn, min(root) as root from up group by all) x on m.conv_id = x.conv_id and m.turn = x.turn"""
+
+OP13 = r"""
+with l as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as i from documents),
+k as (select *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as own from l),
+c as (select own, max(doc_id) as keep from k where length(own) >= 40 group by own having count(distinct doc_id) >= 5),
+g as (select k.doc_id, i, line, c.own is not null and k.doc_id <> c.keep as gone from k left join c on k.own = c.own)
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped, sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
+from g group by doc_id"""

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from meterline.llm import common, jaccard_join, mixing, packing, pii, quality, quotes, sketches, substring_dedup, suffix_dedup, toxicity
+from meterline.llm import common, jaccard_join, line_dedup, mixing, packing, pii, quality, quotes, sketches, substring_dedup, suffix_dedup, toxicity
 from meterline.llm.tokens import Encoder
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -52,6 +52,7 @@ ODD = [(None, "nothing here", "a"), (None, None, None), (5, None, "a"), (6, "",
 PER_ROW = {
     "substring_dedup": lambda d: substring_dedup.substring_dedup(d),
     "suffix_dedup": lambda d: suffix_dedup.suffix_dedup(d),
+    "line_dedup": lambda d: line_dedup.line_dedup(d),
     "sketches": lambda d: sketches.fingerprints(d),
     "mixing": lambda d: mixing.mix(d),
     "quality": lambda d: quality.quality_cascade(d),
@@ -641,3 +642,60 @@ def test_encoder_over_random_unicode_and_documents():
     texts += [t or "" for t in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column("text").to_pylist()]
     encode = Encoder(packing.default_tokenizer())
     assert all(got.tolist() == want.ids for got, want in zip(encode(texts), encode.slow.encode_batch(texts, add_special_tokens=False), strict=True))
+
+
+def lines_by_brute_force(rows, least_chars=40, least_docs=5):
+    """rows: (doc_id, text) with unique doc_ids."""
+    key = lambda line: re.sub(r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "", line).translate({c: c + 32 for c in range(65, 91)})
+    holders = {}
+    for i, t in rows:
+        for line in (t or "").split("\n"):
+            holders.setdefault(key(line), set()).add(i)
+    last = {k: max(d) for k, d in holders.items() if len(k) >= least_chars and len(d) >= least_docs}
+    out = {}
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if last.get(key(x), i) == i]
+        out[i] = (len(lines), len(lines) - len(kept), "\n".join(kept))
+    return out
+
+
+def test_line_dedup_brute_force(spark):
+    r = random.Random(13)
+    shared = ["".join(r.choice("abc ÄÉ漢XYZ") for _ in range(r.choice([38, 39, 40, 41, 60, 300]))) for _ in range(40)]
+    dress = lambda x: r.choice(["", " ", "\t", "\r", "\x0b "]) + r.choice([x, x.swapcase(), x]) + r.choice(["", "  ", "\r", "\x85", "\xa0"])
+    rows = []
+    for i in range(120):
+        lines = [dress(r.choice(shared)) if r.random() < 0.4 else r.choice(["", "short", f"a line of document {i} that no other one has at all {r.random()}"]) for _ in range(r.randint(0, 12))]
+        rows.append((i * 7 - 50, "\n".join(lines) if r.random() > 0.03 else None))
+    rows += [(5000 + k, "the very same line, forty code points and more\n" * (1 + k % 3) + "x") for k in range(300)] + [(9000, "y" * 200_000 + "\n" + shared[5] + "\n")]
+    got = line_dedup.line_dedup(frame(spark, [(*x, "s") for x in rows])).collect()
+    want = lines_by_brute_force(rows)
+    assert sum(n for _, n, _ in want.values()) > 300
+    assert {x["doc_id"]: (x["n_lines"], x["n_dropped"], x["kept"]) for x in got} == want
+
+
+def test_line_dedup_with_a_full_filter(spark, monkeypatch):
+    """Results are exact when the filter is far too small, and no key of two documents is missing from it."""
+    rows = [(i, "\n".join(f"line number {(i * 7 + k) % (90 + 40 * k)} of the many long lines here, number {k}" for k in range(30))) for i in range(100)]
+    docs = frame(spark, [(*x, "s") for x in rows])
+    monkeypatch.setattr(line_dedup, "MOST_BITS", line_dedup.BOX)
+    monkeypatch.setattr(line_dedup, "BITS_A_LINE", 1)
+    got = line_dedup.line_dedup(docs, least_docs=2).collect()
+    assert {x["doc_id"]: (x["n_lines"], x["n_dropped"], x["kept"]) for x in got} == lines_by_brute_force(rows, least_docs=2)
+    texts = docs.select(F.col("doc_id").alias("key"), "text")
+    for bits in (1 << 16, 1 << 18):
+        found = {(bytes(x["name"]), x["key"]) for x in line_dedup.suspects(texts, bits).collect()}
+        holders = {}
+        for i, t in rows:
+            for line in t.split("\n"):
+                holders.setdefault(line_dedup.name(line.encode()), set()).add(i)
+        assert {(n, i) for n, d in holders.items() if len(d) > 1 for i in d} <= found
+
+
+def test_line_filter_leaves_single_lines(spark):
+    texts = spark.createDataFrame([(i, "\n".join(f"only document {i} has this line, and it has it once: {k}" for k in range(50))) for i in range(400)], "key long, text string").repartition(8)
+    assert line_dedup.suspects(texts, line_dedup.filter_bits(20_000)).count() < 20_000 * 0.04
+    line = "x" * 37 + "ÄÖÜ"
+    assert line_dedup.line_key((" " + line + "\r").encode()) == line.encode() and line_dedup.line_key(line[1:].encode()) is None
+    assert [line_dedup.filter_bits(n) for n in (0, 4096, 4097, 10**12)] == [1 << 16, 1 << 16, 1 << 17, line_dedup.MOST_BITS]
