@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .alignment import op11_token_alignment
 from .jaccard_join import op6_jaccard_join
 from .line_dedup import op13_line_dedup
 from .mixing import op4_budget_mix
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_pii_bootstrap,
         op9_pattern_packing,
         op10_suffix_dedup,
+        op11_token_alignment,
         op13_line_dedup,
     )
 }

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from meterline.llm import common, jaccard_join, line_dedup, mixing, packing, pii, quality, quotes, sketches, substring_dedup, suffix_dedup, toxicity
+from meterline.llm import alignment, common, jaccard_join, line_dedup, mixing, packing, pii, quality, quotes, sketches, substring_dedup, suffix_dedup, toxicity
 from meterline.llm.tokens import Encoder
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -52,6 +52,7 @@ ODD = [(None, "nothing here", "a"), (None, None, None), (5, None, "a"), (6, "",
 PER_ROW = {
     "substring_dedup": lambda d: substring_dedup.substring_dedup(d),
     "suffix_dedup": lambda d: suffix_dedup.suffix_dedup(d),
+    "alignment": lambda d: alignment.align(d),
     "line_dedup": lambda d: line_dedup.line_dedup(d),
     "sketches": lambda d: sketches.fingerprints(d),
     "mixing": lambda d: mixing.mix(d),
@@ -699,3 +700,70 @@ def test_line_filter_leaves_single_lines(spark):
     line = "x" * 37 + "ÄÖÜ"
     assert line_dedup.line_key((" " + line + "\r").encode()) == line.encode() and line_dedup.line_key(line[1:].encode()) is None
     assert [line_dedup.filter_bits(n) for n in (0, 4096, 4097, 10**12)] == [1 << 16, 1 << 16, 1 << 17, line_dedup.MOST_BITS]
+
+
+def strange_texts(seed, n):
+    r = random.Random(seed)
+    pools = ["ab c", "  \t\n", "Hello, world's 12 don't", "éßÄ漢字🙂‍", "▁_  \x00\x85", "".join(map(chr, range(32, 700))), "<s></s><0x0A><|endoftext|>"]
+    texts = []
+    for _ in range(n):
+        t = ""
+        for _ in range(r.randint(0, 6)):
+            pool = r.choice(pools)
+            t += pool if r.random() < 0.3 else "".join(r.choice(pool) for _ in range(r.choice([1, 2, 5, 30])))
+        texts.append(t)
+    return texts
+
+
+def tokenizers_themselves():
+    import public_tokenizers
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+    a.encode_special_tokens = True
+    return a, sentencepiece.SentencePieceProcessor(model_file=str(public_tokenizers.path("piece_bpe_32k.model")))
+
+
+def test_piece_side_is_the_model():
+    both = alignment.sides(alignment.default_tokenizer(), alignment.default_pieces())
+    a, b = tokenizers_themselves()
+    texts = [t for t in strange_texts(4, 3000) if t]
+    for t, x, y in zip(texts, both.a([" " + t for t in texts]), both.b([" " + t for t in texts]), strict=True):
+        assert y.tolist() == b.encode(t), t
+        assert x.tolist() == a.encode(" " + t, add_special_tokens=False).ids, t
+
+
+def test_alignment_brute_force(spark):
+    a, b = tokenizers_themselves()
+    texts = strange_texts(5, 150) + [None, "", "x" * 9000, "the cat sat on the mat " * 800, *[t for _, t, _ in corpus(3, 20)]]
+    back = {alignment.sides(alignment.default_tokenizer(), alignment.default_pieces()).a.characters.get(i, chr(i)): i for i in range(256)}
+    side_a = lambda t: [(i, bytes(back[c] for c in a.id_to_token(i))) for i in a.encode(" " + t, add_special_tokens=False).ids]
+    piece = lambda i: bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode()
+    made, holders = [], Counter()
+    for t in texts:
+        x, y = (side_a(t), [(i, piece(i)) for i in b.encode(t)]) if t else ([], [])
+        if not t or b"".join(v for _, v in x) != (" " + t).encode() or b"".join(v for _, v in y) != (" " + t).encode():
+            made.append(([], [], [], ""))
+            continue
+        ranges = []
+        for side in (x, y):
+            at, own = 0, []
+            for i, v in side:
+                own.append((i, at, at + len(v)))
+                at += len(v)
+            ranges.append(own)
+        links = [(p[0], q[0]) for p in ranges[0] for q in ranges[1] if p[1] < q[2] and q[1] < p[2]]
+        ends = sorted({p[2] for p in ranges[0]} & {q[2] for q in ranges[1]})
+        shown = ";".join("|".join(",".join(str(i) for i, _, e in side if lo < e <= hi) for side in ranges) for lo, hi in zip([0, *ends], ends, strict=False))
+        holders.update(set(links))
+        made.append((x, y, links, shown))
+    highest = {}
+    for (i, _), n in holders.items():
+        highest[i] = max(n, highest.get(i, 0))
+    want = {k: (len(x), len(y), shown.count(";") + bool(shown), len(links), sum(holders[p] == highest[p[0]] for p in links), sum(holders[p] for p in links), hashlib.sha256(shown.encode()).hexdigest() if shown else "") for k, (x, y, links, shown) in enumerate(made)}
+    assert sum(not v[0] for v in want.values()) > 3 < sum(v[3] > v[2] for v in want.values())
+    docs = frame(spark, [(k, t, "s") for k, t in enumerate(texts)])
+    for block in (alignment.BLOCK, 2000):
+        got = {r["doc_id"]: tuple(r[c] for c in alignment.OUT[1:]) for r in alignment.align(docs, block=block).collect()}
+        assert got == want
