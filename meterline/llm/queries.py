@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .alignment import op11_token_alignment
+from .hard_negatives import op12_hard_negatives
 from .jaccard_join import op6_jaccard_join
 from .line_dedup import op13_line_dedup
 from .mixing import op4_budget_mix
@@ -15,7 +16,7 @@ from .pii import op8_pii_bootstrap
 from .quality import op5_quality_cascade
 from .quotes import op7_quote_linking
 from .sketches import op3_scaled_sketch
-from .sql import OP2, OP5, OP6, OP7, OP13
+from .sql import OP2, OP5, OP6, OP7, OP12, OP13
 from .substring_dedup import op2_substring_dedup
 from .suffix_dedup import op10_suffix_dedup
 from .toxicity import op1_toxicity_crf
@@ -34,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_pattern_packing,
         op10_suffix_dedup,
         op11_token_alignment,
+        op12_hard_negatives,
         op13_line_dedup,
     )
 }
@@ -43,5 +45,6 @@ SQL: dict[str, str] = {
     "op5_quality_cascade": OP5,
     "op6_jaccard_join": OP6,
     "op7_quote_linking": OP7,
+    "op12_hard_negatives": OP12,
     "op13_line_dedup": OP13,
 }

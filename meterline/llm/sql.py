@@ -76,3 +76,14 @@ c as (select own, max(doc_id) as keep from k where length(own) >= 40 group by ow
 g as (select k.doc_id, i, line, c.own is not null and k.doc_id <> c.keep as gone from k left join c on k.own = c.own)
 select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped, sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
 from g group by doc_id"""
+
+OP12 = """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)) as x
+  from embeddings where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same, list_dot_product(a.x, b.x)::bigint as score
+  from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id and len(a.x) = len(b.x)),
+p as (select anchor_id, id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5),
+n as (select p.*, s.id as negative_id, s.score as negative_score, row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.id) as rank
+  from p join s on p.anchor_id = s.anchor_id and not s.same and 30 * positive_score <= 100 * s.score and 100 * s.score <= 90 * positive_score)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from n where rank <= 10"""

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from meterline.llm import alignment, common, jaccard_join, line_dedup, mixing, packing, pii, quality, quotes, sketches, substring_dedup, suffix_dedup, toxicity
+from meterline.llm import alignment, common, hard_negatives, jaccard_join, line_dedup, mixing, packing, pii, quality, quotes, sketches, substring_dedup, suffix_dedup, toxicity
 from meterline.llm.tokens import Encoder
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -767,3 +767,85 @@ def test_alignment_brute_force(spark):
     for block in (alignment.BLOCK, 2000):
         got = {r["doc_id"]: tuple(r[c] for c in alignment.OUT[1:]) for r in alignment.align(docs, block=block).collect()}
         assert got == want
+
+
+def vectors(seed, n, dim=24):
+    """Clusters, copies, ties, zero vectors, other dimensions, large components, and rows that take no part."""
+    g = np.random.default_rng(seed)
+    centres = g.standard_normal((6, dim))
+    rows = []
+    for i in range(n):
+        label = int(g.integers(0, 4))
+        v = (centres[int(g.integers(0, 6))] + g.standard_normal(dim) * g.choice([0, 0.3, 1, 3])).tolist()
+        kind = i % 23
+        if kind == 3:
+            v = [0.0] * dim
+        elif kind == 4:
+            v = v[:7]
+        elif kind == 5:
+            v[2] = [None, float("nan"), float("inf")][i % 3]
+        elif kind == 6:
+            v = None if i % 2 else v
+            label = label if i % 2 else None
+        elif kind == 7:
+            v = [x * 2e5 for x in v]
+        elif kind == 8:
+            v = []
+        rows.append((i if i % 40 != 39 else i - 1, v, label))
+    return rows
+
+
+def negatives_by_brute_force(rows, every, scale=256):
+    import math
+
+    rows = [(i, [math.floor(scale * x) for x in v], label) for i, v, label in rows if label is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for k, (i, v, label) in enumerate(rows):
+        if i % every:
+            continue
+        scored = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), j, n, other) for n, (j, w, other) in enumerate(rows) if len(w) == len(v) and n != k)
+        for p, j, _, _ in [x for x in scored if x[3] == label][:5]:
+            band = [x for x in scored if x[3] != label and 30 * -p <= 100 * -x[0] <= 90 * -p]
+            out += [(i, j, r, x[1], -p, -x[0]) for r, x in enumerate(band[:10], 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("blocks", [(16384, 1024), (60, 7)])
+def test_hard_negatives_brute_force(spark, blocks):
+    rows = vectors(12, 700)
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<double>, label int, key string, rank int").repartition(3)
+    got = hard_negatives.hard_negatives(df, F.col("vec_id") % 20 == 0, n_rows=blocks[0], n_anchors=blocks[1])
+    want = negatives_by_brute_force(rows, 20)
+    assert len(want) > 500
+    columns = ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    assert sorted(tuple(r[c] for c in columns) for r in got.collect()) == want
+    assert hard_negatives.hard_negatives(df.limit(0), F.col("vec_id") % 20 == 0).collect() == []
+
+
+def test_code_intervals_hold_and_filter():
+    import pyarrow as pa
+
+    g = np.random.default_rng(3)
+    x = np.floor(256 * (lambda v: v / np.linalg.norm(v, axis=1)[:, None])(g.standard_normal((3000, 64))))
+    code, align, rest = hard_negatives.encode(x)
+    bodies = [r.astype("<i4").tobytes() for r in x]
+    codes = [b"".join(p[i].tobytes() for p in (code, align, rest)) for i in range(len(x))]
+    block = hard_negatives.Block(pa.table({"key": np.arange(3000), "vec_id": np.arange(3000), "label": np.zeros(3000, np.int64), "dim": [64] * 3000, "body": bodies, "code": codes}))
+    for q in x[:20]:
+        at = np.arange(3000)
+        true = x @ q
+        levels = hard_negatives.intervals(q, block, at)
+        low, high = next(levels)
+        widths = [np.mean(high - low)]
+        while True:
+            assert (low <= true).all() and (true <= high).all()
+            try:
+                low, high = levels.send(at)
+            except StopIteration:
+                break
+            widths.append(np.mean(high - low))
+        assert widths[-1] < 0.15 * widths[0]
+        found, scores = hard_negatives.nearest(q, block, at, 5)
+        assert scores.tolist() == sorted(true.astype(int).tolist(), reverse=True)[:5]
+        left = hard_negatives.survivors(q, block, at, lambda low, high: high >= hard_negatives._highest(low, 5), 20)
+        assert len(left) < 0.1 * len(at)

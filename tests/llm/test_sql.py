@@ -11,7 +11,7 @@ D = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", SQL)
 def test_same_as_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "embeddings"):
         con.execute(f"create view {table} as select * from '{D}/{table}.parquet'")
     df = QUERIES[name](spark, D)
     columns = sorted(df.columns)
