@@ -1,15 +1,14 @@
-"""Classifiers with MLlib: typing, pipelines, scoring, out-of-fold predictions, and the appliance signature."""
+"""Classifiers with MLlib: typing, pipelines, scoring, and out-of-fold predictions."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler, VectorIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .sample import assign_folds
@@ -139,55 +138,3 @@ def score_ensembles(models: dict, df: DataFrame, by: str, name: str = "score", m
         vote = sum((members[g][k] * F.col(f"_{k}") for k in own), F.lit(0.0)) / sum(members[g].values())
         out = out.unionByName(part.withColumn(name, vote).drop(*[f"_{k}" for k in own]))
     return out
-
-
-@dataclass(frozen=True)
-class Signature:
-    """Fixed values of a three-state model of a heater's first differences, and what counts as one."""
-
-    means: tuple[float, ...] = (0.0, 600.0, 1800.0)
-    variances: tuple[float, ...] = (10_000.0, 40_000.0, 90_000.0)
-    moves: tuple[tuple[float, ...], ...] = ((0.8, 0.17, 0.03), (0.92, 0.07, 0.01), (0.95, 0.04, 0.01))
-    window: int = 72
-    score: tuple[float, float] = (300.0, 400.0)
-    scaled: tuple[float, float] = (0.0, 10.0)
-    spread: tuple[float, float] = (0.0, 10.0)
-    low_score: float = 200.0
-    high_scaled: float = 1000.0
-
-
-def log_likelihood(values: Column, c: Signature) -> Column:
-    """Log-likelihood of an array under the model with equal starts: the forward recursion with scaling, as an aggregate
-    over the array."""
-    n = len(c.means)
-
-    def density(x: Column, i: int) -> Column:
-        d = F.exp(-F.pow(x - c.means[i], 2) / (2 * c.variances[i])) / (2 * 3.141592653589793 * c.variances[i]) ** 0.5
-        return F.greatest(d, F.lit(1e-300))
-
-    def step(acc: Column, x: Column) -> Column:
-        ahead = [sum((acc[f"p{j}"] * c.moves[j][i] for j in range(n)), F.lit(0.0)) * density(x, i) for i in range(n)]
-        total = sum(ahead[1:], ahead[0])
-        # Scaled to sum 1 again; the logarithm of the scale is what the result adds up.
-        return F.struct(*[(a / total).alias(f"p{i}") for i, a in enumerate(ahead)], (acc["ll"] + F.log(total)).alias("ll"))
-
-    start = F.struct(*[F.lit(1.0 / n).alias(f"p{i}") for i in range(n)], F.lit(0.0).alias("ll"))
-    return F.aggregate(values, start, step, lambda acc: acc["ll"])
-
-
-def signature_score(df: DataFrame, keys: Sequence[str], ts: str, value: str, c: Signature = Signature()) -> DataFrame:
-    """Per key: mean score (absolute log-likelihood) of windows of reads' first differences, mean and deviation of the
-    scores scaled by use, and whether they look like a water heater. Falling differences count as 1."""
-    w = Window.partitionBy(*keys).orderBy(ts)
-    y = F.coalesce(F.col(value).try_cast("double"), F.lit(0.0)) * 1000
-    d = df.withColumn("_y", y).withColumn("_d", F.lead("_y").over(w) - F.col("_y")).withColumn("_i", F.row_number().over(w) - 1).where("_d is not null")
-    d = d.withColumns({"_d": F.when(F.col("_d") < 0, 1.0).otherwise(F.col("_d")), "_w": F.floor(F.col("_i") / c.window), "_p": F.col("_i") % c.window}).where(F.col("_p") < c.window - 1)
-    windows = d.groupBy(*keys, "_w").agg(F.transform(F.array_sort(F.collect_list(F.struct("_p", "_d"))), lambda x: x["_d"]).alias("xs")).where(F.size("xs") == c.window - 1)
-    mean = F.aggregate("xs", F.lit(0.0), lambda a, x: a + x) / F.size("xs")
-    s = windows.withColumns({"score": F.abs(log_likelihood(F.col("xs"), c)), "_m": mean})
-    s = s.withColumn("scaled", F.try_divide(F.col("score"), F.col("_m") * F.col("_m")) * 1000)
-    s = s.where(~((F.col("score") < c.low_score) & (F.col("scaled") > c.high_scaled)))
-    out = s.groupBy(*keys).agg(F.count(F.lit(1)).alias("windows"), F.avg("score").alias("avg_score"), F.avg("scaled").alias("avg_scaled"), F.stddev_pop("scaled").alias("sd_scaled"))
-    inside = lambda col, lim: (F.col(col) > lim[0]) & (F.col(col) < lim[1])
-    yes = inside("avg_score", c.score) & inside("avg_scaled", c.scaled) & inside("sd_scaled", c.spread)
-    return out.withColumn("is_heater", F.coalesce(yes, F.lit(False)).cast("int"))

@@ -187,20 +187,6 @@ def test_common_reads(spark):
         normalize.UtcPolicy("guess").utc(F.lit(1))
 
 
-def test_signature_recursion(spark):
-    import math
-
-    c = ml.Signature(window=5)
-    xs = [0.0, 590.0, 1.0, 1700.0]
-    p, ll = [1 / 3] * 3, 0.0
-    for x in xs:
-        a = [sum(p[j] * c.moves[j][i] for j in range(3)) * max(math.exp(-((x - c.means[i]) ** 2) / (2 * c.variances[i])) / math.sqrt(2 * math.pi * c.variances[i]), 1e-300) for i in range(3)]
-        ll += math.log(sum(a))
-        p = [v / sum(a) for v in a]
-    got = spark.createDataFrame([(xs,)], "xs array<double>").select(ml.log_likelihood(F.col("xs"), c)).first()[0]
-    assert got == pytest.approx(ll)
-
-
 def test_safe_score_without_a_class(spark):
     df = customers.id_tables(spark, "/root/testdata/sf0.001")[1].limit(5).withColumn("label", F.lit(1)).withColumn("x", F.lit(1.0))
     assert ml.safe_fit(ml.rf_pipeline("label", ["x"]), df, "label") is None
