@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import band
 from ..operators import linking, ml, normalize, quality, scores
-from ..sources import io
+from ..sources import commits, io
 from .catalogue import query
 from .models import FEATURES, customers
 from .views import reads, table
@@ -110,6 +110,16 @@ def s10_resolve(spark, d):
     return reduce(DataFrame.union, months).groupBy(F.col("date_utc").cast("string").alias("date_utc"), "version").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("U4_save_history", "select cast(o_orderdate as date) as day, count(*) as n, case when cast(o_orderdate as date) = date '1995-06-02' then 2 else 1 end as run from orders where cast(o_orderdate as date) between date '1995-06-01' and date '1995-06-03' group by all")
+def u4(spark, d):
+    """A history of days that three runs upsert in turn, the last two of them the same day."""
+    root = scratch(spark)
+    o = table(spark, d, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    for days, run in ((("1995-06-01", "1995-06-02"), 1), (("1995-06-03",), 1), (("1995-06-02",), 2)):
+        io.save_history(spark, root, "orders_by_day", o.where(F.col("day").isin(*days)).withColumn("run", F.lit(run)), "day")
+    return commits.read_table(spark, root, "orders_by_day")
+
+
 @query("S12_save_errors", "select cast(1 + c_custkey % 7 as integer) as step, 1 as metric, count(*) as n from customer group by 1")
 def s12(spark, d):
     path = scratch(spark)

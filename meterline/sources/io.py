@@ -7,10 +7,11 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.columns import bucket, file_stem, pad_id
+from ..operators.quality import upsert_history
+from . import commits
 
 
 @dataclass(frozen=True)
@@ -120,20 +121,21 @@ POINTERS = "date_utc string, load_folder string"
 
 
 def read_pointers(spark: SparkSession, path: str) -> DataFrame:
-    """(date_utc, load_folder); no rows where nothing was published yet."""
-    try:
-        return spark.read.schema(POINTERS).csv(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], POINTERS)
-
-
-def save_pointers(spark: SparkSession, path: str, new: DataFrame) -> None:
-    """Merges new pointers into the table of path. The merged table is written beside it first, as it is read from there."""
-    merged = merge_pointers(read_pointers(spark, path), new, "date_utc", "load_folder")
-    merged.write.mode("overwrite").csv(f"{path}.next")
-    read_pointers(spark, f"{path}.next").orderBy("date_utc").coalesce(1).write.mode("overwrite").csv(path)
+    """(date_utc, load_folder) of the newest commit; no rows where nothing was published yet."""
+    return commits.read(spark, path, POINTERS)[1]
+
+
+def save_pointers(spark: SparkSession, path: str, new: DataFrame, base: int | None = None) -> int:
+    """Merges new pointers into the commit log of path; the number of the commit. Runs that publish at once each get a
+    commit of their own. With the number of the commit that a run started from, it fails (commits.Conflict) where another
+    has moved one of its dates since then."""
+    return commits.update(spark, path, POINTERS, "date_utc", lambda old: merge_pointers(old, new, "date_utc", "load_folder"), new, base)
+
+
+def save_history(spark: SparkSession, root: str, name: str, today: DataFrame, key: str) -> int:
+    """Upserts today's rows into a table of the commit log below root: rows with today's keys give way. Readers
+    (commits.read_table) see the old table or the new one."""
+    return commits.replace_table(spark, root, name, lambda old: today if old is None else upsert_history(old, today, key))
 
 
 def resolve_version(spark: SparkSession, pointers: str, root: str, date: str) -> DataFrame:
