@@ -47,12 +47,6 @@ def s3(spark, d):
     return io.null_safe_version(table(spark, d, "events").select("event_id"))
 
 
-@query("S6_channel_map", "select s_suppkey, n_name, r_name, case when s_suppkey % 2 = 0 then 'D' else 'R' end as direction, coalesce(nullif(ltrim(lpad(cast(s_suppkey as varchar), 20, '0'), '0'), ''), '0') as external_id from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey")
-def s6(spark, d):
-    df = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return df.select("s_suppkey", "n_name", "r_name", F.when(F.col("s_suppkey") % 2 == 0, "D").otherwise("R").alias("direction"), C.unpad_id(C.pad_id(F.col("s_suppkey").cast("string"))).alias("external_id"))
-
-
 @query("S7_source_file", "select page_id, case when length(url) > 0 then regexp_extract(regexp_extract(url, '[^/]*$'), '^(.[^.]*|)', 1) else 'UNKNOWN' end as source_file_name from pages")
 def s7(spark, d):
     return io.with_source_file(table(spark, d, "pages"), F.col("url")).select("page_id", "source_file_name")

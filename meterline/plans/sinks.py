@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import band
+from ..functions.columns import band, pad_id
 from ..operators import linking, ml, normalize, quality, scores
 from ..sources import commits, io
 from .catalogue import query
@@ -73,6 +73,21 @@ def s5(spark, d):
     return io.read_audit(spark, f"{root}/struct", "drop_", header=1).union(io.read_audit(spark, f"{root}/text", "drop_", header=1))
 
 
+@query("S6_channel_map", """select s_suppkey as channel_id, s_suppkey * 2 as account_id, s_nationkey as location_id, case when s_suppkey % 2 = 0 then 'D' else 'R' end as direction,
+  cast(s_suppkey as varchar) as external_id, n_name as location, r_name as tenant
+  from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey""")
+def s6(spark, d):
+    """Suppliers, nations and regions as tables of the database that comes with Spark, in the memory of this process (the
+    driver and its tasks have to share it), joined there and read back in ranges of a few rows."""
+    url = {"url": f"jdbc:derby:memory:m{uuid.uuid4().hex};create=true", "driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    put = lambda df, name, types: df.coalesce(4).write.format("jdbc").options(**url, dbtable=name, createTableColumnTypes=types).save()
+    s = table(spark, d, "supplier")
+    put(s.select(F.col("s_suppkey").alias("channel_id"), (F.col("s_suppkey") * 2).alias("account_id"), F.col("s_nationkey").alias("location_id"), (1 + F.col("s_suppkey") % 2).alias("direction_code"), pad_id(F.col("s_suppkey").cast("string")).alias("external_id")), "channel", "external_id varchar(40)")
+    put(table(spark, d, "nation").select(F.col("n_nationkey").alias("location_id"), F.col("n_regionkey").alias("tenant_id"), F.col("n_name").alias("name")), "location", "name varchar(80)")
+    put(table(spark, d, "region").select(F.col("r_regionkey").alias("tenant_id"), F.col("r_name").alias("name")), "tenant", "name varchar(80)")
+    return io.read_channel_map(spark, url, rows=20)
+
+
 @query("S8_append_partitioned", "select cast(year(o_orderdate) as integer) as year, 2 * count(*) as n, count(*) as reported from orders group by 1")
 def s8(spark, d):
     """Appended twice; beside what lies there the counts that the second write reports."""

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -66,9 +66,32 @@ def scan_days(spark: SparkSession, root: str, start: str, end: str, pad: int = 0
     return days_between(df, F.make_date("year", "month", "day"), start, end, pad)
 
 
-def read_channel_map(spark: SparkSession, options: dict[str, str], query: str) -> DataFrame:
-    """A query that the database runs."""
-    return spark.read.format("jdbc").options(**options).option("query", query).load()
+def jdbc(spark: SparkSession, options: dict[str, str], query: str, by: str | None = None, rows: int = 1_000_000, most: int = 32) -> DataFrame:
+    """A query that the database runs. With a numeric column `by` it is read in ranges of that column, of about `rows` rows
+    each, by at most `most` connections at once; one query of the database finds the bounds and the count. Conditions and
+    columns of what follows reach the database."""
+    reader = spark.read.format("jdbc").options(**options)
+    if by is None:
+        return reader.option("query", query).load()
+    low, high, n = reader.option("query", f'select min(q."{by}") as low, max(q."{by}") as high, count(*) as n from ({query}) q').load().first()
+    parts = min(most, -(-int(n) // rows), 0 if low is None else int(high) - int(low) + 1)
+    if parts > 1:
+        reader = spark.read.format("jdbc").options(**options, partitionColumn=by, lowerBound=str(low), upperBound=str(int(high) + 1), numPartitions=str(parts))
+    else:
+        reader = spark.read.format("jdbc").options(**options)
+    return reader.option("dbtable", f"({query}) q").load()
+
+
+CHANNEL_MAP = """select c."channel_id", c."account_id", c."location_id", case when c."direction_code" = {delivered} then 'D' else 'R' end as "direction",
+  trim(leading '0' from c."external_id") as "external_id", l."name" as "location", t."name" as "tenant"
+  from {channels} c join {locations} l on c."location_id" = l."location_id" join {tenants} t on l."tenant_id" = t."tenant_id" """
+
+
+def read_channel_map(spark: SparkSession, options: dict[str, str], channels: str = "channel", locations: str = "location", tenants: str = "tenant", delivered: int = 1, rows: int = 1_000_000, most: int = 32) -> DataFrame:
+    """Channels with their locations and tenants: the database joins them, and channels are read in ranges of their id.
+    Directions become D and R, and external ids lose leading zeros; one that is all zeros is '0'."""
+    df = jdbc(spark, options, CHANNEL_MAP.format(channels=channels, locations=locations, tenants=tenants, delivered=delivered), "channel_id", rows, most)
+    return df.withColumn("external_id", F.when(F.col("external_id") == "", "0").otherwise(F.col("external_id")))
 
 
 def read_audit(spark: SparkSession, path: str, name: str, event: str = "DECRYPT_SUCCESS", header: int = 0) -> DataFrame:
@@ -90,15 +113,30 @@ def with_source_file(df: DataFrame, path: Column | None = None) -> DataFrame:
 
 
 def append_partitioned(df: DataFrame, path: str, columns: list[str]) -> DataFrame:
-    """Appends df by partition columns; counts per partition of the rows that were written. They are kept for both (on
-    disk where memory lacks), so df is computed once."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    """Appends df by partition columns; counts per partition of the rows that were written.
+
+    df is computed once: it is written to a hidden folder below path, the counts come from the footers of those files, and
+    the files then move to their partitions. A write that fails before that leaves nothing that readers see."""
+    spark = df.sparkSession
+    draft = f"{path}/_append-{uuid.uuid4().hex}"
+    draft_path = spark._jvm.org.apache.hadoop.fs.Path(draft)
+    fs = draft_path.getFileSystem(spark._jsc.hadoopConfiguration())
     try:
-        kept.repartition(*columns).write.mode("append").partitionBy(*columns).parquet(path)
-        counts = kept.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
-        return df.sparkSession.createDataFrame(counts.collect(), counts.schema)  # a row for each partition written
+        df.repartition(*columns).write.partitionBy(*columns).parquet(draft)
+        written = spark.read.schema(df.schema).parquet(draft)
+        counts = written.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+        rows = counts.collect()  # a row for each partition written
+        files = fs.listFiles(draft_path, True)
+        while files.hasNext():
+            source = files.next().getPath()
+            if source.getName().startswith("part-"):
+                target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{source.toString().split(f'/{draft_path.getName()}/', 1)[1]}")
+                fs.mkdirs(target.getParent())
+                if not fs.rename(source, target):
+                    raise OSError(f"{source} could not be moved to {target}")
+        return spark.createDataFrame(rows, counts.schema)
     finally:
-        kept.unpersist()
+        fs.delete(draft_path, True)
 
 
 def overwrite_days(df: DataFrame, path: str, columns: list[str]) -> None:

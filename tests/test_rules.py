@@ -219,12 +219,49 @@ def test_scan_days_prunes_partitions(spark, tmp_path):
     assert "year" in filters and "make_date" in filters and "DataFilters: []" in plan
 
 
-def test_channel_map_is_read_from_a_database(spark):
+def test_database_is_read_in_ranges(spark):
     """The database that comes with Spark, in the memory of this process."""
-    url = {"url": "jdbc:derby:memory:channels;create=true", "driver": "org.apache.derby.jdbc.EmbeddedDriver"}
-    spark.createDataFrame([("c1", 1), ("c2", 2)], "uuid string, direction int").write.format("jdbc").options(**url, dbtable="channel").mode("overwrite").save()
-    got = io.read_channel_map(spark, url, 'select "uuid" from channel where "direction" = 2').collect()
-    assert [r[0] for r in got] == ["c2"]
+    url = {"url": "jdbc:derby:memory:ranges;create=true", "driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    spark.createDataFrame([(i * 3 - 50, i % 7, f"v{i}") for i in range(200)], "id long, k int, v string").write.format("jdbc").options(**url, dbtable="t").mode("overwrite").save()
+    query = 'select "id", "k" from t where "k" < 6'
+    df = io.jdbc(spark, url, query, "id", rows=20)
+    sizes = [len(p) for p in df.rdd.glom().collect()]
+    assert len(sizes) == -(-172 // 20) and sum(sizes) == 172 and max(sizes) < 30
+    assert io.jdbc(spark, url, query, "id", rows=20, most=3).rdd.getNumPartitions() == 3
+    assert io.jdbc(spark, url, query + ' and "k" < 0', "id", rows=20).collect() == []
+    assert io.jdbc(spark, url, query).count() == 172
+    plan = df.where("k = 2").select("k")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [*IsNotNull(k), *EqualTo(k,2)]" in plan and "ReadSchema: struct<k:int>" in plan
+
+
+def test_channel_map_by_hand(spark):
+    url = {"url": "jdbc:derby:memory:map;create=true", "driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    tables = {"channel": ([(1, 5, 10, 1, "0000"), (2, 6, 10, 2, "0042"), (9, 7, 11, 1, "x0")], "channel_id long, account_id long, location_id long, direction_code int, external_id string", "external_id varchar(20)"), "location": ([(10, 1, "home"), (12, 1, "none")], "location_id long, tenant_id long, name string", "name varchar(20)"), "tenant": ([(1, "t")], "tenant_id long, name string", "name varchar(20)")}
+    for name, (rows, schema, types) in tables.items():
+        spark.createDataFrame(rows, schema).write.format("jdbc").options(**url, dbtable=name, createTableColumnTypes=types).mode("overwrite").save()
+    got = [tuple(r) for r in io.read_channel_map(spark, url, rows=1).orderBy("channel_id").collect()]
+    assert got == [(1, 5, 10, "D", "0", "home", "t"), (2, 6, 10, "R", "42", "home", "t")]
+
+
+def test_append_counts_come_from_footers(spark, tmp_path):
+    """One job computes the rows; what is appended is counted without reading a column of it; a failed write leaves nothing."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(1000).select(F.col("id"), (F.col("id") % 3).cast("int").alias("p"), F.when(F.col("id") < 10, None).otherwise("a/b=c d").alias("q")).mapInArrow(touch, "id long, p int, q string")
+    path = f"{tmp_path}/a table"
+    counts = {(r["p"], r["q"]): r["n"] for r in io.append_partitioned(df, path, ["p", "q"]).collect()}
+    assert seen.value == 1000 and sum(counts.values()) == 1000 and counts[(0, None)] == 4
+    io.append_partitioned(df, path, ["p", "q"])
+    assert spark.read.parquet(path).count() == 2000 and {tuple(r) for r in spark.read.parquet(path).select("p", "q").distinct().collect()} == set(counts)
+    bad = df.withColumn("id", F.when(F.col("id") == 999, F.raise_error(F.lit("no")).cast("long")).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="no"):
+        io.append_partitioned(bad, path, ["p"])
+    assert spark.read.parquet(path).count() == 2000 and not [x for x in (tmp_path / "a table").iterdir() if x.name.startswith("_append")]
 
 
 def test_pointers_and_versions(spark, tmp_path):
