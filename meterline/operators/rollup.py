@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 HOUR_KEYS = ["channel_uuid", "direction", "date_utc", "hour_utc", "time_zone"]
 DAY_KEYS = ["channel_uuid", "direction", "time_zone", "date_local"]
@@ -212,8 +217,39 @@ def ols2(df: DataFrame, keys: list[str], y: str, x1: str, x2: str, min_n: int =
 
 
 def digest(df: DataFrame, column: str, keys: list[str]) -> DataFrame:
-    """Checksum of a group's checksums: MD5 of them sorted and joined."""
-    return df.groupBy(*keys).agg(F.md5(F.array_join(F.array_sort(F.collect_list(column)), "")).alias("digest"), F.count(F.lit(1)).alias("n"))
+    """Checksum of a group's checksums: MD5 of them sorted and joined; `n` counts all rows, null checksums add nothing.
+
+    A group's checksums are sorted by Spark (on disk where they are many) and hashed as they stream by, so that a task needs
+    constant memory whatever a group's size. MD5 takes its input in order: one group is one stream."""
+    schema = StructType([*[df.schema[k] for k in keys], StructField("digest", StringType()), StructField("n", LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, state, n, kinds = None, hashlib.md5(), 0, []
+
+        def closed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([*[pa.array([v], k) for v, k in zip(now, kinds, strict=True)], pa.array([state.hexdigest()]), pa.array([n], pa.int64())], names=schema.names)
+
+        for batch in batches:
+            kinds = [batch.column(k).type for k in keys]
+            values = batch.column(column)
+            rows = list(zip(*(batch.column(k).to_pylist() for k in keys), strict=True)) if keys else [()] * batch.num_rows
+            at = 0
+            while at < len(rows):
+                end = at + 1
+                while end < len(rows) and rows[end] == rows[at]:
+                    end += 1
+                if rows[at] != now:
+                    if now is not None:
+                        yield closed()
+                    now, state, n = rows[at], hashlib.md5(), 0
+                state.update("".join(v for v in values.slice(at, end - at).to_pylist() if v is not None).encode())
+                n += end - at
+                at = end
+        if now is not None:
+            yield closed()
+
+    rows = df.select(*keys, F.col(column).cast("string").alias(column))
+    return (rows.repartition(*keys) if keys else rows.repartition(1)).sortWithinPartitions(*keys, column).mapInArrow(run, schema)
 
 
 def label_counts(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.staging import ROWS_A_RANGE
+
 
 def digest(key: Column, seed: int) -> Column:
     """MD5 of key:seed, in hex, which other engines compute alike."""
@@ -50,14 +52,21 @@ def balance_classes(df: DataFrame, label: str, key: str, ratio: float = 1.0, see
     return first_by_hash(df, [label], key, F.col("_room"), seed).drop("_one", "_pos", "_neg", "_room")
 
 
-def first_by_hash(df: DataFrame, by: list[str], key: str, most: Column, seed: int, parts: int = 256) -> DataFrame:
-    """The first `most` rows of each group in seeded hash order. Hashes are dealt into ranges, so that a group is sorted
-    by many tasks; counts of the ranges say where each starts."""
-    df = df.withColumn("_u", uniform(F.col(key), seed)).withColumn("_part", F.floor(F.col("_u") * parts).cast("int"))
-    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = df.groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    own = Window.partitionBy(*by, "_part").orderBy("_u", key)
-    return df.join(starts, [*by, "_part"]).withColumn("_at", F.col("_before") + F.row_number().over(own)).where(F.col("_at") <= most).drop("_u", "_part", "_before", "_at")
+def first_by_hash(df: DataFrame, by: list[str], key: str, most: Column, seed: int, rows: int = ROWS_A_RANGE) -> DataFrame:
+    """The first `most` rows of each group in seeded hash order. Hashes are dealt into ranges, as many as the group's size
+    asks for (about `rows` in each), so that a group is sorted by many tasks; counts of the ranges say where each starts."""
+    names = [f"_of_{i}" for i in range(len(by))]
+    same = F.lit(True)
+    for c, n in zip(by, names, strict=True):
+        same &= F.col(c).eqNullSafe(F.col(n))
+    sizes = df.groupBy(*[F.col(c).alias(n) for c, n in zip(by, names, strict=True)]).agg(F.ceil(F.count(F.lit(1)) / rows).alias("_parts"))
+    dealt = df.join(sizes, same).withColumn("_u", uniform(F.col(key), seed)).withColumn("_part", F.floor(F.col("_u") * F.col("_parts")).cast("long"))
+    before = Window.partitionBy(*names).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy(*names, F.col("_part").alias("_at")).agg(F.count(F.lit(1)).alias("_n"))
+    starts = starts.select(*names, "_at", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    own = Window.partitionBy(*names, "_part").orderBy("_u", key)
+    placed = dealt.alias("d").join(starts.alias("s"), [F.col(f"d.{n}").eqNullSafe(F.col(f"s.{n}")) for n in names] + [F.col("_part") == F.col("_at")])
+    return placed.select("d.*", "_before").withColumn("_row", F.col("_before") + F.row_number().over(own)).where(F.col("_row") <= most).select(*df.columns)
 
 
 def fill_negatives(df: DataFrame, by: str, label: str, key: str, seed: int = 7) -> DataFrame:

@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.staging import ROWS_A_RANGE, ranged
+
 from .linking import interval_join
 
 
@@ -102,36 +104,40 @@ def top_channel(df: DataFrame, keys: list[str], total: str) -> DataFrame:
     return df.join(best, keys).where(F.col(total) == F.col("_best")).drop("_best")
 
 
-def bucketize(df: DataFrame, group: str, key: str, score: str, owner: str, n: int = 5, parts: int = 64) -> DataFrame:
-    """bucket: 1 (highest scores) to n of equal sizes within each group; -1 without a score, 0 for owners."""
+def bucketize(df: DataFrame, group: str, key: str, score: str, owner: str, n: int = 5, rows: int = ROWS_A_RANGE) -> DataFrame:
+    """bucket: 1 (highest scores) to n of equal sizes within each group; -1 without a score, 0 for owners.
+
+    Rows are written in ranges of group and score, about `rows` in each; a range is ranked by one task, and counts of the
+    ranges say where each starts in its group."""
     flag = F.when(F.coalesce(F.col(owner), F.lit(False)), 0).when(F.col(score).isNull(), -1)
-    ranked = df.where(flag.isNull())
-    # Scores are dealt into ranges by each group's quantiles; a group is sorted by many tasks, and counts of its ranges say
-    # where each starts.
-    cuts = ranked.groupBy(F.col(group).alias("_group")).agg(F.percentile_approx(F.col(score).cast("double"), [i / parts for i in range(1, parts)], 1000).alias("_cuts"), F.count(F.lit(1)).alias("_total"))
-    part = F.size(F.filter("_cuts", lambda x: x > F.col(score).cast("double")))
-    dealt = ranked.join(cuts, F.col(group).eqNullSafe(F.col("_group"))).withColumn("_part", part).drop("_cuts", "_group")
-    before = Window.partitionBy("_of").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    starts = dealt.groupBy(F.col(group).alias("_of"), F.col("_part").alias("_at")).agg(F.count(F.lit(1)).alias("_n")).select("_of", "_at", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    dealt = ranged(df.where(flag.isNull()), [F.col(group), F.col(score).desc(), F.col(key)], rows)
+    of = Window.partitionBy("_of")
+    starts = dealt.groupBy(F.col(group).alias("_of"), F.col("_part").alias("_at")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(of.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = starts.select("_of", "_at", before.alias("_before"), F.sum("_n").over(of).alias("_total"))
     own = Window.partitionBy(group, "_part").orderBy(F.col(score).desc(), F.col(key))
     place = F.col("_before") + F.row_number().over(own)
     placed = dealt.join(starts, F.col(group).eqNullSafe(F.col("_of")) & (F.col("_part") == F.col("_at"))).withColumn("bucket", F.ceil(place * n / F.col("_total")).cast("int"))
     return placed.select(*df.columns, "bucket").unionByName(df.where(flag.isNotNull()).withColumn("bucket", flag))
 
 
-def roc_curve(df: DataFrame, label: str, score: str, by: list[str] | None = None, parts: int = 64) -> DataFrame:
-    """tpr and fpr from the highest score down, one row for each distinct score. Without groups, scores are dealt into
-    ranges: sums run within a range, and the ranges' own sums (as many rows as ranges) say where each starts."""
+def roc_curve(df: DataFrame, label: str, score: str, by: list[str] | None = None, rows: int = ROWS_A_RANGE) -> DataFrame:
+    """tpr and fpr from the highest score down, one row for each distinct score, also of groups.
+
+    Distinct scores are written in ranges of about `rows` of them: sums run within a range, and the ranges' own sums (a row
+    for each range and group in it) say where each starts."""
     by = by or []
     points = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(*by, score).agg(F.sum((F.col(label) == 1).cast("long")).alias("pos"), F.sum((F.col(label) != 1).cast("long")).alias("neg"))
-    span = points.groupBy(*by).agg(F.min(score).alias("_lo"), F.max(score).alias("_hi"), F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
-    df = points.join(span, by) if by else points.withColumn("_one", F.lit(1)).join(F.broadcast(span.withColumn("_one", F.lit(1))), "_one").drop("_one")
-    df = df.withColumn("_part", F.least(F.lit(parts - 1), F.floor(F.coalesce(F.try_divide(F.col("_hi") - F.col(score), F.col("_hi") - F.col("_lo")), F.lit(0.0)) * parts)).cast("int"))
-    sums = df.groupBy(*by, "_part").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(*by, "_part", F.coalesce(F.sum("_p").over(before), F.lit(0)).alias("_p0"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"))
+    df = ranged(points, [*map(F.col, by), F.col(score).desc()], rows)
+    of = Window.partitionBy(*[f"_of_{c}" for c in by])
+    before = of.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    sums = df.groupBy(*[F.col(c).alias(f"_of_{c}") for c in by], F.col("_part").alias("_at")).agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
+    sums = sums.withColumns({"_p0": F.coalesce(F.sum("_p").over(before), F.lit(0)), "_n0": F.coalesce(F.sum("_n").over(before), F.lit(0)), "_pos": F.sum("_p").over(of), "_neg": F.sum("_n").over(of)})
+    same = F.col("_part") == F.col("_at")
+    for c in by:
+        same &= F.col(c).eqNullSafe(F.col(f"_of_{c}"))
     w = Window.partitionBy(*by, "_part").orderBy(F.col(score).desc())
-    df = df.join(sums if by else F.broadcast(sums), [*by, "_part"]).withColumns({"tp": F.sum("pos").over(w) + F.col("_p0"), "fp": F.sum("neg").over(w) + F.col("_n0")})
+    df = df.join(sums, same).withColumns({"tp": F.sum("pos").over(w) + F.col("_p0"), "fp": F.sum("neg").over(w) + F.col("_n0")})
     return df.select(*by, score, "pos", "neg", "tp", "fp", F.try_divide(F.col("tp"), F.col("_pos")).alias("tpr"), F.try_divide(F.col("fp"), F.col("_neg")).alias("fpr"))
 
 

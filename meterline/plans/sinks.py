@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from functools import reduce
 
@@ -12,28 +11,11 @@ from pyspark.sql import functions as F
 from ..functions.columns import band, pad_id
 from ..operators import linking, ml, normalize, quality, scores
 from ..sources import commits, io
+from ..sources.staging import scratch
 from .catalogue import query
 from .models import FEATURES, customers
 from .views import reads, table
 
-_own: list[str] = []
-
-
-def scratch(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, which executors share; below a temporary one only where that is unset."""
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not root and sc._jsc.sc().getCheckpointDir().isDefined():
-        root = sc._jsc.sc().getCheckpointDir().get()
-    if not root and not sc.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that executors share")
-    if not root:
-        if not _own:
-            _own.append(tempfile.mkdtemp(prefix="meterline-"))
-        root = _own[0]
-    return f"{root.rstrip('/')}/sink-{uuid.uuid4().hex}"
-
-
 @query("S2_lines", "select conv_id, count(*) as n_lines from (select conv_id, unnest(string_split(coalesce(text, ''), chr(10))) as line from conversations) group by conv_id")
 def s2(spark, d):
     """Turns written as lines of text (each with its conversation) and read again."""
