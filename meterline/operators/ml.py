@@ -3,16 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler, VectorIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.staging import written
 from .sample import assign_folds
 
+T = TypeVar("T")
+
 
 def feature_kinds(df: DataFrame, features: Sequence[str]) -> tuple[list[str], list[str], list[str]]:
     """(texts, booleans, numbers) among the features."""
@@ -46,13 +53,13 @@ def gbt_pipeline(label: str, numbers: Sequence[str], flags: Sequence[str] = (),
     return Pipeline(stages=[*_assembly(numbers, flags, others), GBTClassifier(labelCol=label, featuresCol="features", seed=seed, **settings)])
 
 
-def rf_pipeline(label: str, numbers: Sequence[str], flags: Sequence[str] = (), others: Sequence[str] = (), trees: int = 100, depth: int = 9, categories: int = 0, seed: int = 7) -> Pipeline:
+def rf_pipeline(label: str, numbers: Sequence[str], flags: Sequence[str] = (), others: Sequence[str] = (), trees: int = 100, depth: int = 9, categories: int = 0, seed: int = 7, **settings) -> Pipeline:
     stages = _assembly(numbers, flags, others)
     source = "features"
     if categories:
         stages.append(VectorIndexer(inputCol="features", outputCol="indexed", maxCategories=categories, handleInvalid="keep"))
         source = "indexed"
-    return Pipeline(stages=[*stages, RandomForestClassifier(labelCol=label, featuresCol=source, numTrees=trees, maxDepth=depth, seed=seed)])
+    return Pipeline(stages=[*stages, RandomForestClassifier(labelCol=label, featuresCol=source, numTrees=trees, maxDepth=depth, seed=seed, **settings)])
 
 
 def probability(column: str = "probability") -> Column:
@@ -75,15 +82,18 @@ def score(model: PipelineModel, df: DataFrame, label: str, name: str = "score",
     return out.withColumn(name, F.coalesce(own, F.col(name)))
 
 
+def at_once(spark: SparkSession, fits: Sequence[Callable[[], T]], most: int = 4) -> list[T]:
+    """Results of the fits, `most` of which run at a time; Spark shares its executors among their jobs."""
+    with ThreadPoolExecutor(max_workers=most) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(lambda f: f()), fits))
+
+
 def cross_val_predict(pipeline: Callable[[], Pipeline], df: DataFrame, key: str, label: str, k: int = 5, name: str = "score", seed: int = 7) -> DataFrame:
-    """Each labelled row scored by a model that hasn't seen its fold: k fits, and the union of the folds."""
-    folds = assign_folds(df.where(F.col(label).isNotNull()), key, k, seed)
-    out = None
-    for i in range(k):
-        train = folds.where(F.col("fold") != i)
-        part = predict(pipeline().fit(train), folds.where(F.col("fold") == i), name)
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Each labelled row, its fold, and its score by a model that hasn't seen that fold: k fits, side by side. df is computed
+    and written once, each fold in files of its own, so that a fit reads the others' files only."""
+    kept = written(assign_folds(df.where(F.col(label).isNotNull()), key, k, seed), ["fold"])
+    models = at_once(df.sparkSession, [lambda i=i: pipeline().fit(kept.where(F.col("fold") != i)) for i in range(k)])
+    return reduce(DataFrame.unionByName, [predict(m, kept.where(F.col("fold") == i), name) for i, m in enumerate(models)])
 
 
 def safe_fit(pipeline: Pipeline, df: DataFrame, label: str) -> PipelineModel | None:
@@ -111,20 +121,27 @@ ENSEMBLES: dict[int, dict[str, float]] = {
 def fit_ensembles(df: DataFrame, by: str, groups: Sequence, label: str, features: Sequence[str], seed: int = 7, members: dict[int, dict[str, float]] = ENSEMBLES) -> dict:
     """Models per group, those of `members` for it; groups that lack a class have none. lr: logistic regression; gbt:
     boosted trees; rf: forest; svc: a linear support vector machine with a logistic curve over its margin, which makes
-    it a probability."""
-    out = {}
+    it a probability. Labelled rows are computed and written once, in files by group; a group's features are assembled once
+    for all of its members, and members are fitted side by side."""
+    kept = written(df.where(F.col(label).isNotNull() & F.col(by).isin(list(groups))).select(by, label, *features), [by])
+    classes: dict = {}
+    for g, y in kept.select(by, F.col(label).cast("int")).distinct().collect():
+        classes.setdefault(g, set()).add(y)
+    kinds = {
+        "lr": lambda: [LogisticRegression(labelCol=label, maxIter=30)],
+        "gbt": lambda: [GBTClassifier(labelCol=label, maxIter=10, seed=seed)],
+        "rf": lambda: [RandomForestClassifier(labelCol=label, numTrees=30, seed=seed)],
+        "svc": lambda: [LinearSVC(labelCol=label, maxIter=30, rawPredictionCol="_margin", predictionCol="_side"), LogisticRegression(labelCol=label, featuresCol="_margin", maxIter=30)],
+    }
+    out: dict = {}
     for g in groups:
-        rows = df.where((F.col(by) == g) & F.col(label).isNotNull())
-        base = _assembly(features, (), ())
-        kinds = {
-            "lr": [LogisticRegression(labelCol=label, maxIter=30)],
-            "gbt": [GBTClassifier(labelCol=label, maxIter=10, seed=seed)],
-            "rf": [RandomForestClassifier(labelCol=label, numTrees=30, seed=seed)],
-            "svc": [LinearSVC(labelCol=label, maxIter=30, rawPredictionCol="_margin", predictionCol="_side"), LogisticRegression(labelCol=label, featuresCol="_margin", maxIter=30)],
-        }
-        models = {k: safe_fit(Pipeline(stages=[*base, *kinds[k]]), rows, label) for k in members[g]}
-        if all(models.values()):
-            out[g] = models
+        if len(classes.get(g, ())) < 2:
+            continue
+        rows = kept.where(F.col(by) == g)
+        base = Pipeline(stages=_assembly(features, (), ())).fit(rows)
+        ready = written(base.transform(rows).select("features", label))
+        fits = at_once(df.sparkSession, [lambda k=k: Pipeline(stages=kinds[k]()).fit(ready) for k in members[g]])
+        out[g] = {k: PipelineModel(stages=[*base.stages, *m.stages]) for k, m in zip(members[g], fits, strict=True)}
     return out
 
 

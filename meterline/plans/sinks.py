@@ -13,7 +13,7 @@ from ..operators import linking, ml, normalize, quality, scores
 from ..sources import commits, io
 from ..sources.staging import scratch
 from .catalogue import query
-from .models import FEATURES, customers
+from .models import CUSTOMERS_SQL, FEATURES, customers
 from .views import reads, table
 
 @query("S2_lines", "select conv_id, count(*) as n_lines from (select conv_id, unnest(string_split(coalesce(text, ''), chr(10))) as line from conversations) group by conv_id")
@@ -154,13 +154,13 @@ def s11(spark, d):
     return spark.read.parquet(path).groupBy("bucket").agg(F.count_distinct("channel_uuid").alias("channels"))
 
 
-@query("T7_demand_response")
+@query("T7_demand_response", CUSTOMERS_SQL + ", b as (select case when n_orders > 12 then 'high' else 'low' end as propensity, count(*) as n from c group by 1) select propensity, n, round(n / sum(n) over (), 6) as share from b")
 def t7(spark, d):
-    """Participants against the others, a forest, and its bands' shares."""
+    """Participants (whom the orders tell) against the others, a forest, and its bands' shares."""
     c = customers(spark, d).drop("label")
-    members = table(spark, d, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey"))
+    members = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n")).where("n > 12").select("c_custkey")
     df = linking.label_participants(c, members, "c_custkey")
-    model = ml.safe_fit(ml.rf_pipeline("label", FEATURES, trees=20, depth=7, categories=10), df, "label")
+    model = ml.safe_fit(ml.rf_pipeline("label", FEATURES, trees=20, depth=7, categories=2, featureSubsetStrategy="all", maxBins=128), df, "label")
     scored = ml.safe_score(model, df, "label", keep_labels=False)
     return scores.band_share(scored.withColumn("propensity", band(F.col("score"), scores.PROPENSITY_BANDS, "low")), "propensity").withColumn("share", F.round("share", 6))
 
