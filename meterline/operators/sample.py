@@ -33,9 +33,9 @@ def pick_audit_slice(df: DataFrame, slot: list[str], key: str, complete: Column,
     good = df.where(complete)
     sizes = good.groupBy(*slot).agg(F.count_distinct(key).alias("_n"))
     large = F.lit(False) if pick_fullest else F.col("_n") > most
-    chosen = sizes.orderBy(large.desc(), F.when(large, F.xxhash64(*slot, F.lit(seed))), F.col("_n").desc(), *slot).limit(1).drop("_n")
+    chosen = sizes.orderBy(large.desc(), F.when(large, number(F.concat_ws("|", *slot), seed)), F.col("_n").desc(), *slot).limit(1).drop("_n")
     keys = good.join(F.broadcast(chosen), slot, "left_semi").select(*slot, key).distinct()
-    return keys.orderBy(F.col(key) if pick_fullest else F.xxhash64(key, F.lit(seed)), key).limit(most)
+    return keys.orderBy(F.col(key) if pick_fullest else number(F.col(key), seed), key).limit(most)
 
 
 def _shares(df: DataFrame, by: list[str], label: str) -> DataFrame:

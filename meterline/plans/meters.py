@@ -9,7 +9,7 @@ from ..functions import columns as C
 from ..operators import dedup, normalize, quality, rollup, sample, windows
 from ..sources import io
 from .catalogue import query, with_sql
-from .views import BILLS_SQL, DAILY_SQL, FILES_SQL, HOURLY_SQL, LATEST_SQL, READS_SQL, WIDE_SQL, bills, files, quarters, reads, table
+from .views import BILLS_SQL, DAILY_SQL, FILES_SQL, HOURLY_SQL, LATEST_SQL, READS_SQL, WIDE_SQL, bills, every_read, files, quarters, reads, table
 
 
 def latest(spark: SparkSession, d: str) -> DataFrame:
@@ -17,20 +17,13 @@ def latest(spark: SparkSession, d: str) -> DataFrame:
 
 
 def hourly(spark: SparkSession, d: str) -> DataFrame:
-    """Test reads are too sparse for whole hours, so one read of 900 s is taken as complete."""
-    return rollup.with_completeness(rollup.finalize_rollup(rollup.hourly_rollup(latest(spark, d))), 900)
+    """Hours of the latest reads; a tenth of the channels have whole days, a third of the others no whole hour."""
+    final = dedup.latest_wins(every_read(spark, d), ["channel_uuid", "interval_start_utc"], [F.col("event_id").desc()])
+    return rollup.with_completeness(rollup.finalize_rollup(rollup.hourly_rollup(final)))
 
 
 def daily(spark: SparkSession, d: str) -> DataFrame:
-    h = hourly(spark, d)
-    return _daily(h)
-
-
-def _daily(h: DataFrame) -> DataFrame:
-    ts = normalize.hour_start(F.col("date_utc"), F.col("hour_utc"))
-    df = h.withColumn("date_local", normalize.local_date(ts, F.col("time_zone")))
-    out = df.groupBy(*rollup.DAY_KEYS).agg(*[F.sum(c).alias(c) for c in ("num_reads_actual", "num_reads_missing", "num_reads_total", "consumption_total")], (900 * F.count_if("is_complete")).alias("complete_seconds"))
-    return out.withColumn("pct_complete", 100.0 * F.col("complete_seconds") / 86400)
+    return rollup.daily_rollup(hourly(spark, d))
 
 
 r6 = lambda c: F.round(c, 6)
@@ -225,9 +218,9 @@ def d3(spark, d):
     return dedup.dedupe_keys(table(spark, d, "orders"), ["o_custkey"], [F.col("o_orderdate").desc(), F.col("o_orderkey")]).select("o_custkey", "o_orderkey")
 
 
-@query("A1_A2_hourly_rollup", with_sql(HOURLY_SQL, " select channel_uuid, direction, date_utc, cast(hour_utc as integer) as hour_utc, time_zone, num_reads_actual, num_reads_estimated, num_reads_other, num_reads_missing, num_reads_total, round(consumption_total, 3) as consumption_total from hourly"))
+@query("A1_A2_hourly_rollup", with_sql(HOURLY_SQL, " select channel_uuid, direction, date_utc, cast(hour_utc as integer) as hour_utc, time_zone, num_reads_actual, num_reads_estimated, num_reads_other, num_reads_missing, num_reads_total, round(consumption_total, 5) as consumption_total from hourly"))
 def a1(spark, d):
-    return hourly(spark, d).select("channel_uuid", "direction", "date_utc", "hour_utc", "time_zone", "num_reads_actual", "num_reads_estimated", "num_reads_other", "num_reads_missing", "num_reads_total", F.round("consumption_total", 3).alias("consumption_total"))
+    return hourly(spark, d).select("channel_uuid", "direction", "date_utc", "hour_utc", "time_zone", "num_reads_actual", "num_reads_estimated", "num_reads_other", "num_reads_missing", "num_reads_total", F.round("consumption_total", 5).alias("consumption_total"))
 
 
 @query("A3_completeness", with_sql(HOURLY_SQL, " select channel_uuid, date_utc, count(*) filter (is_complete) as complete, count(*) as hours from hourly group by all"))
@@ -235,13 +228,9 @@ def a3(spark, d):
     return hourly(spark, d).groupBy("channel_uuid", "date_utc").agg(F.count_if("is_complete").alias("complete"), F.count(F.lit(1)).alias("hours"))
 
 
-@query("A4_daily_rollup", with_sql(HOURLY_SQL, """ select channel_uuid, direction, time_zone,
-    cast(((cast(date_utc as timestamp) + to_hours(cast(hour_utc as integer))) at time zone 'UTC') at time zone time_zone as date) as date_local,
-    cast(sum(num_reads_total) as bigint) as num_reads_total, round(sum(consumption_total), 3) as consumption_total,
-    round(100.0 * 3600 * count(*) filter (num_reads_total * max_seconds = 3600) / 86400, 6) as pct_complete from hourly group by all"""))
+@query("A4_daily_rollup", with_sql(DAILY_SQL, " select channel_uuid, direction, time_zone, date_local, cast(num_reads_total as bigint) as num_reads_total, round(consumption_total, 5) as consumption_total, round(pct_complete, 6) as pct_complete from daily"))
 def a4(spark, d):
-    out = rollup.daily_rollup(rollup.finalize_rollup(rollup.hourly_rollup(latest(spark, d))))
-    return out.select(*rollup.DAY_KEYS, "num_reads_total", F.round("consumption_total", 3).alias("consumption_total"), r6("pct_complete").alias("pct_complete"))
+    return daily(spark, d).select(*rollup.DAY_KEYS, "num_reads_total", F.round("consumption_total", 5).alias("consumption_total"), r6("pct_complete").alias("pct_complete"))
 
 
 @query("A5_affected_local_days", with_sql(READS_SQL, ", span as (select time_zone, min(interval_start_utc) as lo, max(interval_start_utc) as hi from reads group by 1) select time_zone, unnest(generate_series(cast(cast((lo at time zone 'UTC') at time zone time_zone as date) as timestamp), cast(cast((hi at time zone 'UTC') at time zone time_zone as date) as timestamp), interval 1 day))::date as date_local from span"))
@@ -268,13 +257,13 @@ def a6(spark, d):
     return wide_days(spark, d).select("channel_uuid", "time_zone", "date_utc", *[F.round(f"kwh_h{i:02d}", 3).alias(f"kwh_h{i:02d}") for i in range(24)], "latest_hour", r6("pct_complete").alias("pct_complete"))
 
 
-DAYS_SQL = ", ".join(f"round(sum(consumption_total) filter (pct_complete >= 2 and day(date_local) = {x}), 3) as kwh_d{x:02d}" for x in range(1, 32))
+DAYS_SQL = ", ".join(f"round(sum(consumption_total) filter (pct_complete >= 95 and day(date_local) = {x}), 5) as kwh_d{x:02d}" for x in range(1, 32))
 
 
 @query("A7_pivot_month", with_sql(DAILY_SQL, f" select channel_uuid, time_zone, cast(date_trunc('month', date_local) as date) as month_start, {DAYS_SQL} from daily where direction = 'D' group by 1, 2, 3"))
 def a7(spark, d):
-    wide = rollup.pivot_month(daily(spark, d), min_pct=2)
-    return wide.select("channel_uuid", "time_zone", "month_start", *[F.round(f"kwh_d{i:02d}", 3).alias(f"kwh_d{i:02d}") for i in range(1, 32)])
+    wide = rollup.pivot_month(daily(spark, d))
+    return wide.select("channel_uuid", "time_zone", "month_start", *[F.round(f"kwh_d{i:02d}", 5).alias(f"kwh_d{i:02d}") for i in range(1, 32)])
 
 
 @query("A8_touched_months", "select distinct cast(date_trunc('month', o_orderdate) as date) as month_start, last_day(cast(o_orderdate as date)) as month_end from orders")
@@ -437,9 +426,21 @@ def l2(spark, d):
     return sample.top_k(table(spark, d, "orders"), [F.col("o_totalprice").desc(), F.col("o_orderkey")], 20).select("o_orderkey", "o_totalprice")
 
 
-@query("L1_audit_slice", with_sql(HOURLY_SQL, ", g as (select date_utc, hour_utc, channel_uuid from hourly where num_reads_total = 1), s as (select date_utc, hour_utc from g group by all order by count(distinct channel_uuid) desc, date_utc, hour_utc limit 1) select distinct g.date_utc, cast(g.hour_utc as integer) as hour_utc, channel_uuid from g join s using (date_utc, hour_utc) order by channel_uuid limit 1000"))
+MOST_SLICE = 5
+
+
+@query("L1_audit_slice", with_sql(HOURLY_SQL, f""", g as (select date_utc, hour_utc, channel_uuid from hourly where is_complete),
+n as (select date_utc, hour_utc, count(distinct channel_uuid) as n, cast('0x' || substr(md5(date_utc || '|' || hour_utc || ':7'), 1, 13) as bigint) as h from g group by all),
+s as (select date_utc, hour_utc from n order by n > {MOST_SLICE} desc, case when n > {MOST_SLICE} then h end, n desc, date_utc, hour_utc limit 1)
+select g.date_utc, cast(g.hour_utc as integer) as hour_utc, channel_uuid from (select distinct * from g) g join s using (date_utc, hour_utc)
+order by cast('0x' || substr(md5(channel_uuid || ':7'), 1, 13) as bigint), channel_uuid limit {MOST_SLICE}"""))
 def l1(spark, d):
-    return sample.pick_audit_slice(hourly(spark, d), ["date_utc", "hour_utc"], "channel_uuid", F.col("num_reads_total") == 1, 1000, pick_fullest=True)
+    return sample.pick_audit_slice(hourly(spark, d), ["date_utc", "hour_utc"], "channel_uuid", F.col("is_complete"), MOST_SLICE)
+
+
+@query("L1_fullest_slice", with_sql(HOURLY_SQL, ", g as (select date_utc, hour_utc, channel_uuid from hourly where is_complete), s as (select date_utc, hour_utc from g group by all order by count(distinct channel_uuid) desc, date_utc, hour_utc limit 1) select distinct g.date_utc, cast(g.hour_utc as integer) as hour_utc, channel_uuid from g join s using (date_utc, hour_utc) order by channel_uuid limit 1000"))
+def l1_fullest(spark, d):
+    return sample.pick_audit_slice(hourly(spark, d), ["date_utc", "hour_utc"], "channel_uuid", F.col("is_complete"), 1000, pick_fullest=True)
 
 
 @query("Q10_check_rollup", with_sql(WIDE_SQL, ", w as (select channel_uuid, cast(substr(channel_uuid, 2) as bigint) as k from hours where is_complete and direction = 'D') select case when k % 7 = 0 or k % 11 = 0 then 0 else 1 end as qc_status, count(*) as n from w group by 1"))

@@ -25,7 +25,15 @@ hours as (
   from newest group by all)"""
 LATEST_SQL = READS_SQL + """, latest as (
   select * from reads qualify row_number() over (partition by channel_uuid, interval_start_utc order by event_id desc) = 1)"""
-HOURLY_SQL = LATEST_SQL + """, h0 as (
+EVERY_SQL = QUARTERS_SQL + """, whole as (
+  select * replace (((cast(cast((interval_start_utc at time zone 'UTC') at time zone time_zone as date) as timestamp) at time zone time_zone) at time zone 'UTC') + to_minutes(cast(15 * q as integer)) as interval_start_utc, consumption / 96 as consumption)
+  from (select *, cast((interval_start_utc at time zone 'UTC') at time zone time_zone as date) as day_local from reads where cast(substr(channel_uuid, 2) as bigint) % 10 = 4
+    qualify row_number() over (partition by channel_uuid, day_local order by event_id desc) = 1), range(96) r(q)),
+every as (
+  select * from quarters where cast(substr(channel_uuid, 2) as bigint) % 10 <> 4
+  union all by name select * exclude (day_local) from whole),
+final as (select * from every qualify row_number() over (partition by channel_uuid, interval_start_utc order by event_id desc) = 1)"""
+HOURLY_SQL = EVERY_SQL + """, h0 as (
   select channel_uuid, direction, cast(interval_start_utc as date) as date_utc, hour(interval_start_utc) as hour_utc, time_zone,
     min(seconds_per_interval) as min_seconds, max(seconds_per_interval) as max_seconds,
     count(*) filter (consumption_code = 1) as num_reads_actual, count(*) filter (consumption_code = 2) as num_reads_estimated,
@@ -34,19 +42,19 @@ HOURLY_SQL = LATEST_SQL + """, h0 as (
     sum(consumption) filter (consumption_code = 1) as consumption_actual,
     sum(consumption) filter (consumption_code = 2) as consumption_estimated,
     sum(consumption) filter (consumption_code >= 3) as consumption_other
-  from latest where consumption_unit = 'KWH' group by all),
+  from final where consumption_unit = 'KWH' group by all),
 hourly as (
   select *, num_reads_actual + num_reads_estimated + num_reads_other as num_reads_total,
     case when num_reads_actual + num_reads_estimated + num_reads_other > 0 then
       coalesce(consumption_actual, 0) + coalesce(consumption_estimated, 0) + coalesce(consumption_other, 0) end as consumption_total,
-    coalesce((num_reads_actual + num_reads_estimated + num_reads_other) * max_seconds = 900 and min_seconds = max_seconds, false) as is_complete
+    coalesce((num_reads_actual + num_reads_estimated + num_reads_other) * max_seconds = 3600 and min_seconds = max_seconds, false) as is_complete
   from h0)"""
 DAILY_SQL = HOURLY_SQL + """, daily as (
   select channel_uuid, direction, time_zone,
     cast(((cast(date_utc as timestamp) + to_hours(cast(hour_utc as integer))) at time zone 'UTC') at time zone time_zone as date) as date_local,
     sum(num_reads_actual) as num_reads_actual, sum(num_reads_missing) as num_reads_missing, sum(num_reads_total) as num_reads_total,
-    sum(consumption_total) as consumption_total, 900 * count(*) filter (is_complete) as complete_seconds,
-    100.0 * 900 * count(*) filter (is_complete) / 86400 as pct_complete
+    sum(consumption_total) as consumption_total, 3600 * count(*) filter (is_complete) as complete_seconds,
+    100.0 * 3600 * count(*) filter (is_complete) / 86400 as pct_complete
   from hourly group by all)"""
 BILLS_SQL = """bills as (
   select o_orderkey as bill_id, o_custkey as account_id, cast(o_orderdate as date) as bill_start,
@@ -93,6 +101,18 @@ def quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumns({"interval_start_utc": start, "consumption": F.col("consumption") / 4, "event_id": 4 * F.col("event_id") + F.col("q")}).drop("q")
 
 
+def every_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """quarters, but a tenth of the channels deliver all 96 quarters of each local day that has a read (the day's last)."""
+    whole = F.substring("channel_uuid", 2, 20).cast("long") % 10 == 4
+    local = F.to_date(F.from_utc_timestamp("interval_start_utc", F.col("time_zone")))
+    rows = reads(spark, sf_dir).where(whole).withColumn("day_local", local)
+    last = rows.groupBy("channel_uuid", "day_local").agg(F.max_by(F.struct(*[c for c in rows.columns if c not in ("channel_uuid", "day_local")]), "event_id").alias("r"))
+    midnight = F.unix_timestamp(F.to_utc_timestamp(F.col("day_local").cast("timestamp"), F.col("r.time_zone")))
+    start = F.timestamp_seconds(midnight + 900 * F.col("q"))
+    dense = last.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(95)))).select("channel_uuid", start.alias("interval_start_utc"), (F.col("r.consumption") / 96).alias("consumption"), *[f"r.{c}" for c in ("direction", "consumption_code", "time_zone", "event_id", "seconds_per_interval", "consumption_unit")])
+    return quarters(spark, sf_dir).where(~whole).unionByName(dense)
+
+
 def bills(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return o.select(
