@@ -1,8 +1,10 @@
 """Mixing sources to target weights by subset-sum budget fitting.
 
 Each source gets whole passes over its documents and a remaining budget below its size. Documents of the source are
-counted by exact length; every length gives its share of the budget, rounded down, and a bounded knapsack over the
-counts that are left fits what remains. Which documents of a length are taken again is decided by a seeded hash.
+counted by exact length. All of the budget but its last words (FITTED) is shared out by length: going from long to short,
+each length brings what has been taken as close below its due as whole documents can. A bounded knapsack over the counts
+that are left then fits the rest exactly, where sums of lengths can. Which documents of a length are taken again is decided
+by a seeded hash.
 """
 
 from __future__ import annotations
@@ -18,7 +20,8 @@ from .packing import numbered
 WEIGHTS = (1, 2, 3)
 MOST = 3
 SEED = 20
-DP_MOST = 1 << 16
+FITTED = 1 << 16
+"""Words of a budget that are left to the knapsack, besides what sharing out leaves, which is less than the longest document."""
 SPACES = r"[\x20\x09-\x0D]+"
 
 
@@ -48,7 +51,8 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
 
 
 def knapsack(sizes: list[int], counts: list[int], budget: int) -> list[int]:
-    """How often to take each size, at most counts, for the largest sum up to budget. Sums are bits of one number."""
+    """How often to take each size, at most counts, for the largest sum up to budget. Sums are bits of one number, and each
+    sum remembers the item that reached it first: 33 bits for each word of the budget in all."""
     items = []
     for i, (size, n) in enumerate(zip(sizes, counts, strict=True)):
         n, k = min(n, budget // size if size else 0), 1
@@ -56,21 +60,37 @@ def knapsack(sizes: list[int], counts: list[int], budget: int) -> list[int]:
             items.append((i, min(k, n)))
             n -= k
             k *= 2
-    mask, reach, before = (1 << budget + 1) - 1, 1, []
-    for i, k in items:
+    mask, reach = (1 << budget + 1) - 1, 1
+    by = np.full(budget + 1, -1, np.int32)
+    for j, (i, k) in enumerate(items):
         if reach >> budget & 1:
             break
-        before.append(reach)
-        reach |= reach << sizes[i] * k & mask
+        new = (reach << sizes[i] * k & mask) & ~reach
+        if new:
+            by[np.flatnonzero(np.unpackbits(np.frombuffer(new.to_bytes(budget // 8 + 1, "little"), np.uint8), bitorder="little"))] = j
+            reach |= new
     taken, at = [0] * len(sizes), reach.bit_length() - 1
-    for (i, k), old in zip(reversed(items[: len(before)]), reversed(before), strict=True):
-        if not old >> at & 1:
-            taken[i] += k
-            at -= sizes[i] * k
+    while at:
+        i, k = items[by[at]]
+        taken[i] += k
+        at -= sizes[i] * k
     return taken
 
 
-def fit(histogram: pd.DataFrame) -> pd.DataFrame:
+def shared_out(sizes: list[int], counts: list[int], budget: int) -> list[int]:
+    """How many of each size (from long to short) to take, so that all sizes give alike. What is taken stays below what is
+    due, by less than the longest size."""
+    total = sum(s * n for s, n in zip(sizes, counts, strict=True))
+    out, seen, taken = [], 0, 0
+    for size, n in zip(sizes, counts, strict=True):
+        seen += size * n
+        k = min(n, (budget * seen // total - taken) // size) if size else 0
+        out.append(k)
+        taken += k * size
+    return out
+
+
+def fit(histogram: pd.DataFrame, fitted: int = FITTED) -> pd.DataFrame:
     """For one source: (size, n) -> passes over all and how many of each size are taken once more."""
     total, target = int(histogram["source_size"].iloc[0]), float(histogram["target"].iloc[0])
     out = histogram.sort_values("size", ascending=False).reset_index(drop=True)
@@ -78,21 +98,12 @@ def fit(histogram: pd.DataFrame) -> pd.DataFrame:
     budget = round(target) - passes * total if total else 0
     if budget >= total > 0:
         passes, budget = passes + 1, 0
-    size, n = out["size"].to_numpy(np.int64), out["n"].to_numpy(np.int64)
-    more = np.floor(n * (budget / total)).astype(np.int64) if total and budget > 0 else np.zeros_like(n)
-    more[size == 0] = 0
-    left = budget - int((more * size).sum())
-    for i in np.flatnonzero(size > 0).tolist():
-        if left <= DP_MOST:
-            break
-        k = min(int(n[i] - more[i]), (left - DP_MOST // 2) // int(size[i]))
-        if k > 0:
-            more[i] += k
-            left -= k * int(size[i])
-    if 0 < left <= DP_MOST:
-        use = np.flatnonzero((size > 0) & (n > more) & (size <= left))
-        for i, k in zip(use.tolist(), knapsack(size[use].tolist(), (n - more)[use].tolist(), left), strict=True):
-            more[i] += k
+    size, n = (out[c].astype("int64").tolist() for c in ("size", "n"))
+    more = shared_out(size, n, max(budget - fitted, 0)) if budget else [0] * len(size)
+    left = budget - sum(k * s for k, s in zip(more, size, strict=True))
+    use = [i for i in range(len(size)) if n[i] > more[i] and 0 < size[i] <= left]
+    for i, k in zip(use, knapsack([size[i] for i in use], [n[i] - more[i] for i in use], left), strict=True):
+        more[i] += k
     return pd.DataFrame({"source": out["source"], "size": size, "passes": passes, "more": more, "source_size": total, "target": target})
 
 
@@ -101,7 +112,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
     size, by default the words of text.
 
     Null texts have size 0 and are never taken, null is a source of its own, repeated rows are rows of their own, and an
-    empty table gives an empty table. Columns of docs named like the new ones are replaced."""
+    empty table gives an empty table. Columns of docs named like the new ones are replaced.
+
+    A source's histogram of lengths (a row for each different length) is fitted in one task, with about four bytes for each
+    of FITTED words and of the words of its longest document."""
     measure = n_words(F.col("text")) if size is None else size
     columns = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
     # A struct keeps the caller's columns apart from the ones computed here.
@@ -112,7 +126,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
         lengths.join(shares, F.col("source").eqNullSafe(F.col("_from")))
         .select("source", "size", "n", "source_size", "target")
         .groupBy("source")
-        .applyInPandas(fit, "source string, size long, passes long, more long, source_size long, target double")
+        .applyInPandas(lambda histogram: fit(histogram), "source string, size long, passes long, more long, source_size long, target double")
     )
     found = numbered(rows, ["source", "size"], [F.xxhash64("doc_id", F.lit(seed)), F.col("doc_id")], "number", more=takes)
     extra = F.col("passes") + (F.col("number") < F.col("more")).cast("long")

@@ -307,6 +307,42 @@ def test_knapsack_is_exact():
         assert sum(a * b for a, b in zip(sizes, taken, strict=True)) == max(x for x in sums if x <= budget) and all(a <= b for a, b in zip(taken, counts, strict=True))
 
 
+@pytest.mark.parametrize("budget", [10**5, 10**6, 10**7])
+@pytest.mark.parametrize("step", [1, 6])
+def test_fit_reaches_the_best_sum(budget, step):
+    """Against all sums of the whole histogram, with lengths that share a divisor or not; the source is taken again in part."""
+    import pandas as pd
+
+    r = random.Random(budget + step)
+    sizes = sorted(r.sample(range(step, 20_000, step), 300))
+    counts = [r.randint(0, 2 * budget // (300 * s) + 1) for s in sizes]
+    total = sum(s * n for s, n in zip(sizes, counts, strict=True))
+    assert total > budget
+    reach, mask = 1, (1 << budget + 1) - 1
+    for s, n in zip(sizes, counts, strict=True):
+        k = 1
+        while n > 0:
+            reach |= reach << s * min(k, n) & mask
+            n, k = n - k, 2 * k
+    out = mixing.fit(pd.DataFrame({"source": "s", "size": sizes, "n": counts, "source_size": total, "target": float(total + budget)}))
+    left = dict(zip(sizes, counts, strict=True))
+    assert (out.passes == 1).all() and all(0 <= m <= left[s] for s, m in zip(out["size"], out.more, strict=True))
+    assert int((out["size"] * out.more).sum()) == reach.bit_length() - 1
+
+
+def test_lengths_give_alike():
+    r = random.Random(3)
+    for _ in range(100):
+        sizes = sorted({r.randint(1, 400) for _ in range(40)}, reverse=True)
+        counts = [r.randint(0, 30) for _ in sizes]
+        total = sum(s * n for s, n in zip(sizes, counts, strict=True))
+        budget = r.randint(0, max(total - 1, 0))
+        taken = seen = 0
+        for s, n, k in zip(sizes, counts, mixing.shared_out(sizes, counts, budget) if total else [0] * len(sizes), strict=True):
+            seen, taken = seen + s * n, taken + s * k
+            assert 0 <= k <= n and 0 <= budget * seen // max(total, 1) - taken < sizes[0]
+
+
 def test_quality_measures(spark):
     rows = corpus(8, 40) + [(500, "a b c a b c a b", "s"), (501, "%% x $\nfoo\n\nfoo\n foo", "s"), (502, None, "s")]
     got = {r["doc_id"]: r for r in quality.quality_cascade(frame(spark, rows)).collect()}
