@@ -2,7 +2,8 @@
 
 Lines that begin with '>' are quotes; the number of markers is their level. A passage is a run of lines of one level. Its
 lines are normalised and hashed, and it is joined to the last message before, in its conversation, that wrote the same
-lines in a row; where nobody did, each of its lines is joined to the last message that wrote it. A message answers the
+lines in a row (runs are hashed only where a passage's first line occurs); where nobody did, each of its lines is joined
+to the last message that wrote it. A message answers the
 one that its shallowest level with links quotes most lines of (the latest of equals). Answers are followed to where
 their thread begins, which with the turn gives the order to read in, and the bodies lose their quotes.
 """
@@ -69,16 +70,31 @@ def last_before(marks: DataFrame) -> DataFrame:
     return near.join(far, ["conv_id", "hash", "block"]).select("conv_id", "turn", "hash", F.coalesce("near", "far").alias("source")).where("source is not null")
 
 
+def wrote_runs(known: DataFrame, quoted: DataFrame) -> DataFrame:
+    """conv_id, turn, hash of the runs of own lines that a passage of the conversation may quote: those that begin with the
+    first line of a passage of two lines or more, and are as long. quoted: conv_id, hashes.
+
+    A line meets the passages that begin with it as one row, which holds their different lengths; so what is made follows
+    the lines that begin a passage, whatever other passages there are."""
+    at = lambda c: F.xxhash64("conv_id", c).alias("at")
+    firsts = quoted.where(F.size("hashes") > 1).groupBy(at(F.get("hashes", F.lit(0)))).agg(F.collect_set(F.size("hashes")).alias("sizes"))
+    places = known.select("conv_id", "turn", F.posexplode("own").alias("place", "line")).select("conv_id", "turn", "place", at("line"))
+    often = places.groupBy("at").agg(F.count(F.lit(1)).alias("n"))
+    met = with_group(places, firsts.join(often, "at"), "at", "turn").groupBy("conv_id", "turn").agg(F.collect_list(F.struct("place", "sizes")).alias("met"))
+    at_hand = known.join(met, ["conv_id", "turn"])
+    run = lambda x: F.transform(F.filter(x["sizes"], lambda k: x["place"] + k <= F.size("own")), lambda k: F.xxhash64(F.slice("own", x["place"] + 1, k)))
+    return at_hand.select("conv_id", "turn", F.explode(F.array_distinct(F.flatten(F.transform("met", run)))).alias("hash"))
+
+
 def quote_links(known: DataFrame) -> DataFrame:
     """conv_id, turn, level, source, n: how many lines a message quotes at a level from a message before it; from
     parsed(). A line that a level quotes twice counts twice."""
     quoted = known.where(F.size("quotes") > 0).select("conv_id", "turn", F.posexplode("quotes").alias("no", "q")).select("conv_id", "turn", "no", "q.*", F.xxhash64("q.hashes").alias("hash"))
-    sizes = quoted.groupBy("conv_id").agg(F.array_union(F.array(F.lit(1)), F.collect_set(F.size("hashes"))).alias("sizes")).join(known.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")), "conv_id")
-    # Every run of own lines that is as long as some passage of the conversation, by its hash.
-    runs = F.flatten(F.transform(F.filter("sizes", lambda k: k <= F.size("own")), lambda k: F.transform(F.sequence(F.lit(1), F.size("own") - k + 1), lambda i: F.xxhash64(F.slice("own", i, k)))))
-    wrote = with_group(known.select("conv_id", "turn", "own"), sizes, "conv_id", "turn").select("conv_id", "turn", F.explode(F.array_distinct(runs)).alias("hash"), F.lit(True).alias("wrote"))
     parts = quoted.select("conv_id", "turn", "no", "level", "hash", F.size("hashes").alias("n"), F.explode("hashes").alias("line")).withColumn("line", F.xxhash64(F.array("line")))
     asked = parts.select("conv_id", "turn", F.explode(F.array("hash", "line")).alias("hash"), F.lit(False).alias("wrote"))
+    talks = known.join(quoted.select("conv_id").distinct(), "conv_id", "left_semi")
+    single = talks.select("conv_id", "turn", F.explode(F.array_distinct(F.transform("own", lambda x: F.xxhash64(F.array(x))))).alias("hash"))
+    wrote = single.union(wrote_runs(talks, quoted)).withColumn("wrote", F.lit(True))
     found = cut(last_before(wrote.union(asked)))
     whole = found.select("conv_id", "turn", "hash", F.col("source").alias("whole"))
     single = found.select("conv_id", "turn", F.col("hash").alias("line"), F.col("source").alias("single"))

@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from meterline.llm.queries import QUERIES, SQL
 
@@ -58,3 +59,43 @@ def test_quotes_same_as_sql(spark):
     order = lambda x: tuple((v is None, v) for v in x)
     assert sorted((tuple(x) for x in got), key=order) == sorted(want.fetchall(), key=order)
     assert sum(x["parent_turn"] is not None for x in got) > 100
+
+
+def test_runs_are_made_where_passages_begin(spark):
+    """One message of many lines, and passages of it of many lengths: few runs, and all of them linked."""
+    from meterline.llm import quotes
+
+    lines = [f"line {i} of the report {i * i}" for i in range(4000)]
+    rows = [(1, 0, "u", "\n".join(lines))] + [(1, k, "a", "\n".join("> " + x for x in lines[7 * k : 8 * k + 2]) + f"\nanswer {k}") for k in range(1, 401)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    known = quotes.parsed(df)
+    quoted = known.select("conv_id", "turn", F.explode("quotes").alias("q")).select("conv_id", "turn", "q.*")
+    assert quotes.wrote_runs(known, quoted).count() <= 2 * 400
+    got = quotes.link_quotes(df.repartition(4)).collect()
+    assert {x["turn"]: (x["parent_turn"], x["n_quoted"]) for x in got} == {0: (None, 0)} | {k: (0, k + 2) for k in range(1, 401)}
+
+
+def test_quotes_from_documents_same_as_sql(spark):
+    """Threads over the lines of real texts: a turn for each document of a source, which quotes the one before it in part and
+    one further back at the second level."""
+    from meterline.llm import quotes
+
+    texts = spark.read.parquet(f"{D}/documents.parquet").where("text is not null and length(text) < 4000").select("source", "doc_id", "text").orderBy("source", "doc_id").collect()
+    by = {}
+    for r in texts:
+        by.setdefault(r["source"], []).append(r["text"].split("\n"))
+    rows = []
+    for conv, own in enumerate(by.values()):
+        for turn, text in enumerate(own):
+            quoted = [">" + x for x in own[turn - 1][turn % 3 :]] if turn else []
+            quoted += [">> " + x for x in own[turn // 2][:2]] if turn % 4 == 3 else []
+            rows.append((conv, turn, "u", "\n".join(quoted + text)))
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    con = duckdb.connect()
+    con.register("conversations", df.toPandas())
+    want = con.execute(SQL["op7_quote_linking"])
+    names = [c[0] for c in want.description]
+    got = [tuple(x) for x in quotes.link_quotes(df.repartition(5)).select(*names).collect()]
+    order = lambda x: tuple((v is None, v) for v in x)
+    assert sorted(got, key=order) == sorted(want.fetchall(), key=order)
+    assert sum(x[names.index("parent_turn")] is not None for x in got) > 0.8 * (len(rows) - len(by))
