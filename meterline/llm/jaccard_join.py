@@ -7,12 +7,16 @@ takes over inside them:
 1. Documents with equal shingle sets become one class; its least key stands for it.
 2. In a fixed order of all shingles, two sets with likeness t share at least l of their first n - ceil(t n) + l shingles.
    Those prefixes are shuffled by shingle. A set that does not share as many shingles as any partner would need is out.
+   The order has shingles last that a sample of documents finds often (most frequent ones at the end, see Order), so that
+   what very many documents have in common stays out of prefixes.
 3. The least key among the sets that share a shingle is a pivot; its region holds all sets that share a shingle with it
    there. A set may stay out of regions with few of its shared shingles (see regions_of); every link still lies whole
    within a region.
 4. A region of more than `most` bytes is split by Spark (see split_regions): all its sets are measured against its pivot,
    in blocks. Those near enough are linked to it and need not meet each other; those further off than twice the distance
-   of a link can't link with them, and become a region of their own, with a new pivot; those between meet them.
+   of a link can't link with them, and become a region of their own, with a new pivot; those between meet them. What
+   stays large, of sets unlike their pivots, is divided once more by shared prefix shingles, in an order by how often
+   those regions have them and with prefixes as short as the sizes of partners allow (see divided).
 5. A region within one task is a Voronoi recursion (see region_links): pivots far from each other, each set in the cell of
    its nearest one and, by the triangle inequality, in every cell that a partner may have; cells recurse, and what is
    left is verified on the whole sets, unless the two are known to be connected.
@@ -26,10 +30,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .arrays import CHUNK, LOWER, SEEDS, U64, as_bytes, both, chunks, joined, mix, names, signed, word_limits
+from .arrays import CHUNK, LOWER, SEEDS, U64, as_bytes, both, chunks, joined, mix, names, signed, unsigned, word_limits
 from .common import LARGEST, cut, documents, keyed, with_group, with_key
 from .components import components
 
@@ -41,7 +46,9 @@ SPARE = 16
 MOST = 1 << 24
 """Bytes of sets that are joined in one task, at most (twice that for two blocks)."""
 SPLITS = 4
-"""Pivots in turn that a large region is split by; what is still large then is joined by sizes and blocks."""
+"""Pivots in turn that a large region is split by; what is still large then is divided by further shingles."""
+FREQUENT = 1 << 18
+"""Shingles, at most, whose place in the order follows how often they were found; 12 bytes each are broadcast."""
 STEP = 0.7
 """Ratio of neighbouring size classes."""
 SAMPLE = 64
@@ -86,17 +93,68 @@ def _digests(words: int):
     return run
 
 
+def _all_shingles(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = as_bytes(batch.column("text"))
+            for a, b in chunks([len(t) for t in texts]):
+                found, n = np.unique(shingle_sets(texts[a:b], words)[0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(signed(found)), pa.array(n)], names=["shingle", "n"])
+
+    return run
+
+
+class Order:
+    """An order of all shingles: those of a table come last, by how often they were found; the others go by their hash.
+    Any fixed order gives right results; this one keeps what many documents share out of prefixes."""
+
+    SIEVE = 1 << 22
+
+    def __init__(self, shingles: np.ndarray, counts: np.ndarray):
+        at = np.argsort(shingles)
+        self.known = shingles[at]
+        rank = np.empty(len(at), np.int32)
+        rank[np.lexsort((shingles, counts))] = np.arange(1, len(at) + 1)
+        self.rank = rank[at]
+
+    @classmethod
+    def of(cls, texts: DataFrame, words: int, most: int = FREQUENT) -> Order:
+        """From the texts (a column `text`) whose shingles are counted; the `most` frequent ones that two have."""
+        counted = texts.select("text").mapInArrow(_all_shingles(words), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+        found = counted.where("n > 1").orderBy(F.desc("n"), "shingle").limit(most).toPandas()
+        return cls(unsigned(found["shingle"].to_numpy(np.int64)), found["n"].to_numpy(np.int64))
+
+    def sieve(self) -> np.ndarray:
+        """Which low bits the known shingles have: most others are told apart by one look."""
+        out = np.zeros(self.SIEVE, bool)
+        out[(self.known & U64(self.SIEVE - 1)).astype(np.int64)] = True
+        return out
+
+    def sort(self, name: np.ndarray, at: np.ndarray, sieve: np.ndarray) -> np.ndarray:
+        """name, sorted by hash within each text, in this order within each text."""
+        hit = np.flatnonzero(sieve[(name & U64(self.SIEVE - 1)).astype(np.int64)]) if len(self.known) else np.zeros(0, np.int64)
+        slot = np.minimum(np.searchsorted(self.known, name[hit]), max(len(self.known) - 1, 0))
+        same = self.known[slot] == name[hit]
+        if not same.any():
+            return name
+        rank = np.zeros(len(name), np.int32)
+        rank[hit[same]] = self.rank[slot[same]]
+        return name[np.lexsort((rank, np.repeat(np.arange(len(at) - 1), np.diff(at))))]
+
+
 def prefix_length(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return np.minimum(n, n - (-(-percent * n // 100)) + 1 + n // SPARE)
 
 
-def _prefixes(words: int, percent: int):
+def _prefixes(words: int, percent: int, order: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sieve = order.value.sieve()
         for batch in batches:
             texts = as_bytes(batch.column("text"))
             keys = batch.column("key").to_numpy()
             for a, b in chunks([len(t) for t in texts]):
                 name, at = shingle_sets(texts[a:b], words)
+                name = order.value.sort(name, at, sieve)
                 n = np.diff(at)
                 take = prefix_length(n, percent)
                 which = np.repeat(np.arange(b - a), take)
@@ -106,6 +164,31 @@ def _prefixes(words: int, percent: int):
     return run
 
 
+def _short_prefixes(words: int, percent: int, order: Broadcast):
+    """(region, shingle, key, n, first) of each region that a set is in. Of two linked sets, the smaller has a common shingle
+    among its first n - ceil(2 t n / (1 + t)) + 1 (`first`), which the larger has among its first n - ceil(t n) + 1."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sieve = order.value.sieve()
+        for batch in batches:
+            texts = as_bytes(batch.column("text"))
+            keys, regions = batch.column("key").to_numpy(), batch.column("regions").to_pylist()
+            for a, b in chunks([len(t) * len(r) for t, r in zip(texts, regions, strict=True)]):
+                name, at = shingle_sets(texts[a:b], words)
+                name = order.value.sort(name, at, sieve)
+                n = np.diff(at)
+                take = n - (-(-percent * n // 100)) + 1
+                first = n - (-(-2 * percent * n // (100 + percent))) + 1
+                times = np.array([len(r) for r in regions[a:b]])
+                which = np.repeat(np.arange(b - a), take * times)
+                step = np.arange(len(which)) - np.repeat(np.cumsum(take * times) - take * times, take * times)
+                inner = step % np.maximum(take[which], 1)
+                region = np.array([r for own, k in zip(regions[a:b], take.tolist(), strict=True) for r in own for _ in range(k)], np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(region), pa.array(signed(name[at[which] + inner])), pa.array(keys[a:b][which]), pa.array(n[which]), pa.array(inner < first[which])], names=["region", "shingle", "key", "n", "first"])
+
+    return run
+
+
 def regions_of(n: int, pivots: list[tuple[int, int]], percent: int = PERCENT) -> list[int]:
     """The regions that a set of n shingles joins, from (shared shingles, pivot).
 
@@ -351,7 +434,8 @@ def split_regions(members: DataFrame, texts: DataFrame, words: int, percent: int
     Sets within a link's distance (the star) are linked to the pivot. A set outside of it can link with one inside only
     within two such distances: those meet the star's blocks. The sets outside then are a region of their own. So a group
     of near copies costs what it holds, not its square. Regions that stay large after SPLITS turns, whose sets are
-    unlike their pivots, are joined by size classes and pairs of blocks."""
+    unlike their pivots, are divided; a part of them that still is large, though few of its shingles are shared by many,
+    is joined by size classes and pairs of blocks."""
     links, cells = [], []
     blocks = lambda b: F.ceil(F.col(b) / most).cast("int")
     deal = lambda b: F.pmod(F.xxhash64("key", F.lit(7)), blocks(b))
@@ -371,15 +455,35 @@ def split_regions(members: DataFrame, texts: DataFrame, words: int, percent: int
         members = rest.where(F.col("bytes") > most)
         if not members.head(1):
             return links, cells
+    members = cut(divided(members, texts, words, percent))
+    cells.append(members.where(F.col("bytes") <= most).select("key", named("region", SPLITS, -1).alias("cell"), "region", F.lit(1).alias("role")))
+    members = members.where(F.col("bytes") > most)
     # Two sets of one class or of neighbouring ones, where the larger reaches down to the smaller's class, meet.
     k = F.floor(F.log(F.col("n").cast("double")) / -float(np.log(STEP)) + 1e-9)
     joins = F.col("n") * 100 >= percent * F.pow(F.lit(1 / STEP), k + 1) - 1e-6
     classed = members.select("key", "region", "bytes", deal("bytes").alias("own"), F.explode(F.when(joins, F.array(k, k + 1)).otherwise(F.array(k))).alias("class"), F.col("n"))
     grid = classed.select("key", "region", "class", "own", F.explode(numbers(blocks("bytes"))).alias("other"))
-    cells.append(grid.select("key", named("region", "class", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "region", F.lit(1).alias("role")))
+    cells.append(grid.select("key", named("region", SPLITS, "class", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "region", F.lit(1).alias("role")))
     return links, cells
 
 
+def divided(members: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """members (region, key, n, bytes, pivot) of regions that are large and unlike, as members of smaller ones.
+
+    Shingles are ordered by how often the sets of these regions have them (counted over all of them), so prefixes hold what
+    sets have for themselves. Sets meet where one has a shared shingle among its first ones (see _short_prefixes): all that
+    share a shingle join the region of the least key that does so. What the whole family has in common is among nobody's
+    first ones as long as sets differ by more than linked ones may; such a family falls apart."""
+    inside = members.groupBy(F.col("key").alias("member")).agg(F.collect_list("region").alias("regions"))
+    own = texts.join(inside.hint("shuffle_hash"), F.col("key") == F.col("member")).select("key", "text", "regions")
+    order = texts.sparkSession.sparkContext.broadcast(Order.of(own, words))
+    prefixes = own.mapInArrow(_short_prefixes(words, percent, order), "region long, shingle long, key long, n long, first boolean")
+    found = cut(prefixes.select(named("region", "shingle").alias("at"), "region", "key", "n", "first").withColumnRenamed("n", "size"))
+    groups = found.groupBy("at").agg(F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("first"), F.col("key"))).alias("head")).where("n > 1 and head is not null")
+    met = with_group(found, groups, "at", "key").select(named("region", "head").alias("region"), "key", F.col("size").alias("n")).distinct()
+    return sized(met).where("bytes > 8 * n")
+
+
 def jaccard_classes(rows: DataFrame, words: int = WORDS, percent: int = PERCENT, most: int = MOST) -> DataFrame:
     """(key, n_shingles, component) for each row of (key, text)."""
     if percent < 100 * STEP:
@@ -390,9 +494,11 @@ def jaccard_classes(rows: DataFrame, words: int = WORDS, percent: int = PERCENT,
     reps = classes.select("rep").repartition("rep")
     texts = rows.repartition("key")
     flagged = texts.join(reps.hint("shuffle_hash"), F.col("key") == F.col("rep"), "left")
-    prefixes = lambda df: df.select("key", "text").mapInArrow(_prefixes(words, percent), "shingle long, key long, n int").withColumnRenamed("n", "size")
+    sample = rows.where(F.pmod(F.xxhash64("key", F.lit(3)), F.lit(SAMPLE)) == 0)
+    order = rows.sparkSession.sparkContext.broadcast(Order.of(sample, words))
+    prefixes = lambda df: df.select("key", "text").mapInArrow(_prefixes(words, percent, order), "shingle long, key long, n int").withColumnRenamed("n", "size")
     # Shingles that a sample of documents finds often are dealt over many tasks. They are shared for sure; the rest counts.
-    few = prefixes(rows.where(F.pmod(F.xxhash64("key", F.lit(3)), F.lit(SAMPLE)) == 0)).groupBy("shingle").agg(F.count_distinct("key").alias("n"))
+    few = prefixes(sample).groupBy("shingle").agg(F.count_distinct("key").alias("n"))
     often = few.where("n > 1").orderBy(F.desc("n"), "shingle").limit(LARGEST).select(F.col("shingle").alias("often"))
     dealt = prefixes(flagged.where("rep is not null")).join(F.broadcast(often), F.col("shingle") == F.col("often"), "left")
     dealt = dealt.withColumn("part", F.when(F.col("often").isNotNull(), 1 + F.pmod(F.xxhash64("key"), F.lit(1 << 20))).otherwise(0)).select("shingle", "part", "key", "size").repartition("shingle", "part")

@@ -885,3 +885,108 @@ def test_code_intervals_hold_and_filter():
         assert scores.tolist() == sorted(true.astype(int).tolist(), reverse=True)[:5]
         left = hard_negatives.survivors(q, block, at, lambda low, high: high >= hard_negatives._highest(low, 5), 20)
         assert len(left) < 0.1 * len(at)
+
+
+def components_by_brute_force(rows, words=4, percent=85):
+    sets = {}
+    for i, t in rows:
+        w = t.lower().split()
+        sets[i] = {tuple(w[k : k + words]) for k in range(max(len(w) - words + 1, 1))}
+    root = {i: i for i in sets}
+
+    def of(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    by = {}
+    for i, s in sets.items():
+        for x in s:
+            by.setdefault(x, []).append(i)
+    seen = set()
+    for own in by.values():
+        for k, i in enumerate(own):
+            for j in own[:k]:
+                if (i, j) not in seen:
+                    seen.add((i, j))
+                    n = len(sets[i] & sets[j])
+                    if 100 * n >= percent * (len(sets[i]) + len(sets[j]) - n):
+                        a, b = of(i), of(j)
+                        root[max(a, b)] = min(a, b)
+    return {i: of(i) for i in sets}
+
+
+def boilerplate(seed, n, common, own, near=0):
+    """Texts with words in common and words of their own; every near-th is a near copy of the one before."""
+    r = random.Random(seed)
+    shared = [f"c{r.randrange(10**6)}" for _ in range(common)]
+    rows = []
+    for i in range(n):
+        mine = [f"w{r.randrange(10**9)}" for _ in range(own)]
+        if near and i % near == 1:
+            mine = rows[-1][1].split()[common:]
+            mine[-1] = "other"
+        rows.append((i, " ".join(shared + mine)))
+    return rows
+
+
+def sets_sent(monkeypatch, spark, rows, most):
+    """How many sets the join sends to cells, and its components."""
+    sent, seen = jaccard_join.sent, []
+
+    def counted(texts, targets, words):
+        seen.append(targets.count())
+        return sent(texts, targets, words)
+
+    with monkeypatch.context() as m:
+        m.setattr(jaccard_join, "sent", counted)
+        m.setattr(jaccard_join, "SAMPLE", 8)
+        docs = spark.createDataFrame(rows, "key long, text string").repartition(4)
+        out = {x["key"]: x["component"] for x in jaccard_join.jaccard_classes(docs, most=most).collect()}
+    return sum(seen), out
+
+
+@pytest.mark.parametrize("common, own", [(40, 20), (75, 15)])
+def test_boilerplate_costs_in_proportion(spark, monkeypatch, common, own):
+    """Documents that share most of their words without being near copies don't meet pair by pair."""
+    cost = []
+    for n in (400, 800):
+        rows = boilerplate(5, n, common, own, near=50)
+        sent, got = sets_sent(monkeypatch, spark, rows, 1 << 13)
+        assert got == components_by_brute_force(rows[:1]) | {i: i - 1 if i % 50 == 1 else i for i, _ in rows}
+        cost.append(sent)
+    assert cost[1] < 2.6 * cost[0] + 50 and cost[1] < 12 * 800
+
+
+@pytest.mark.parametrize("splits", [0, 1])
+def test_division_of_unlike_regions(spark, monkeypatch, splits):
+    """Families at all likenesses around the limit, divided by further shingles."""
+    r = random.Random(9)
+    rows = []
+    for family in range(6):
+        base = [f"f{family}x{r.randrange(10**6)}" for _ in range(60)]
+        for _ in range(25):
+            words = list(base)
+            for _ in range(r.choice([0, 1, 2, 3, 5, 8])):
+                words[r.randrange(60)] = f"n{r.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words[: r.choice([60, 60, 55, 50])])))
+    monkeypatch.setattr(jaccard_join, "SPLITS", splits)
+    for most in (1 << 11, 1 << 13):
+        docs = spark.createDataFrame(rows, "key long, text string").repartition(3)
+        got = {x["key"]: x["component"] for x in jaccard_join.jaccard_classes(docs, most=most).collect()}
+        assert got == components_by_brute_force(rows)
+
+
+def test_order_has_frequent_shingles_last():
+    g = np.random.default_rng(4)
+    known = np.unique(g.integers(0, 2**63, 300).astype(np.uint64))
+    counts = g.integers(2, 50, len(known))
+    order = jaccard_join.Order(known, counts)
+    of = dict(zip(known.tolist(), counts.tolist(), strict=True))
+    texts = [np.unique(np.concatenate([g.choice(known, 20), g.integers(0, 2**63, 30).astype(np.uint64)])) for _ in range(40)] + [np.zeros(0, np.uint64)]
+    at = np.cumsum([0, *map(len, texts)])
+    got = order.sort(np.concatenate(texts), at, order.sieve())
+    for k, own in enumerate(texts):
+        assert got[at[k] : at[k + 1]].tolist() == sorted(own.tolist(), key=lambda x: (of.get(x, 0), x))
+    empty = jaccard_join.Order(np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    assert empty.sort(texts[0], np.array([0, len(texts[0])]), empty.sieve()).tolist() == texts[0].tolist()
