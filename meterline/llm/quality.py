@@ -1,9 +1,9 @@
 """Quality rules as a short-circuit cascade, in SQL functions only.
 
-Every rule computes what it needs from the text. What that costs and how many rows it rejects are estimated on a sample
-chosen by hash, in one aggregate on the executors; rules then run in order of rejection per cost, and a row that one rule
-rejects skips the rest. A cost is what the rule reads, in characters, each at a unit price, so that the order is the
-same on every machine. The order changes only the work, never a verdict (`rejected_by` names the first rule of that order).
+Every rule computes what it needs from the text. How long that takes and how many rows it rejects are measured on a sample
+chosen by hash, on the executors; rules then run in order of rejection per time, and a row that one rule rejects skips the
+rest. A machine may measure another order than the next one; the order changes only the work, never a verdict
+(`rejected_by` names the first rule of that order).
 """
 
 from __future__ import annotations
@@ -22,14 +22,25 @@ SAMPLE = 1000
 """Rows that costs and selectivities are estimated on, about; no verdict depends on it."""
 
 
+REPEATS = 5
+"""Times that a rule is timed on a row of the sample; the least counts, so that compiling and pauses don't."""
+
+
 @dataclass(frozen=True)
 class Rule:
-    """rejects: whether a row fails, never null; cost: what finding that out costs for the row, in characters read by a
-    plain scan."""
+    """rejects: whether a row fails, never null."""
 
     name: str
     rejects: Column
-    cost: Column
+
+
+@dataclass(frozen=True)
+class Measured:
+    """What a rule took on the sample, in nanoseconds, and how many rows it rejects."""
+
+    rule: Rule
+    cost: float
+    rejected: int
 
 
 def once(value: Column, use) -> Column:
@@ -90,30 +101,36 @@ def base_failed(words: Column, repeated: Column) -> Column:
 
 def rules(text: Column, known: bool = False) -> list[Rule]:
     """The rules for a text that is not null. Where the columns of quality_cascade are there (known), rules compare those;
-    else they compute what they need. Unit prices: dropping single characters 1, splitting 2, splitting with a distinct 4,
-    a scan for classes of letters 6."""
-    size = F.length(text)
+    else they compute what they need."""
     n, chars = (F.col("n_words"), F.col("word_chars")) if known else (F.size(words(text)), word_chars(words(text)))
     symbols = F.col("n_symbols") if known else n_symbols(text)
-    price = lambda free, full: F.lit(1) if known and free else full * size
     return [
-        Rule("letters", 2 * F.length(F.regexp_replace(text, r"[^\p{L}\p{M}]+", "")) < chars, price(False, 6 if known else 8)),
-        Rule("lines", once(lines(text), lambda x: (n_dup_lines(x) > 3) & (2 * n_dup_lines(x) > F.size(x))), price(False, 4)),
-        Rule("symbols", 10 * symbols > n, price(True, 3)),
-        Rule("word_length", (chars < 2 * n) | (chars > 20 * n), price(True, 2)),
+        Rule("letters", 2 * F.length(F.regexp_replace(text, r"[^\p{L}\p{M}]+", "")) < chars),
+        Rule("lines", once(lines(text), lambda x: (n_dup_lines(x) > 3) & (2 * n_dup_lines(x) > F.size(x)))),
+        Rule("symbols", 10 * symbols > n),
+        Rule("word_length", (chars < 2 * n) | (chars > 20 * n)),
     ]
 
 
-def order_rules(docs: DataFrame, checks: list[Rule], by: Column, sample: int = SAMPLE) -> list[Rule]:
-    """checks by rejection per cost, most first; ties by cost and name. The sample: rows whose hash of `by` is below a
-    share of the range that about `sample` rows have (an action counts rows and another aggregates)."""
+def measure(docs: DataFrame, checks: list[Rule], by: Column, sample: int = SAMPLE, repeats: int = REPEATS) -> list[Measured]:
+    """Each rule's time and rejections. The sample: rows whose hash of `by` is below a share of the range that about `sample`
+    rows have (an action counts rows, another one times). The clock is read before and after a rule within one expression,
+    which is evaluated from left to right; of a row's repeats the least time counts, and times of rows add up."""
     n = docs.count()
     share = min(1.0, sample / n) if n else 1.0
     few = docs.where(F.pmod(F.xxhash64(by), F.lit(1 << 30)) < int(share * (1 << 30)))
-    found = few.agg(*[F.sum(c.cost).alias(f"cost{i}") for i, c in enumerate(checks)], *[F.count_if(c.rejects).alias(f"n{i}") for i, c in enumerate(checks)]).first()
-    cost = [float(found[f"cost{i}"] or 0) for i in range(len(checks))]
-    ranked = sorted(range(len(checks)), key=lambda i: (-found[f"n{i}"] / cost[i] if cost[i] else 0.0, cost[i], checks[i].name))
-    return [checks[i] for i in ranked]
+    clock = F.java_method(F.lit("java.lang.System"), F.lit("nanoTime")).cast("long")
+    again = few.withColumn("_row", F.monotonically_increasing_id()).withColumn("_turn", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
+    timed = again.select("_row", *[F.struct(clock.alias("a"), c.rejects.alias("no"), clock.alias("b")).alias(f"_{i}") for i, c in enumerate(checks)])
+    rows = timed.groupBy("_row").agg(*[F.min(F.col(f"_{i}.b") - F.col(f"_{i}.a")).alias(f"t{i}") for i in range(len(checks))], *[F.bool_or(f"_{i}.no").alias(f"r{i}") for i in range(len(checks))])
+    found = rows.agg(*[F.sum(f"t{i}").alias(f"t{i}") for i in range(len(checks))], *[F.count_if(f"r{i}").alias(f"r{i}") for i in range(len(checks))]).first()
+    return [Measured(c, float(found[f"t{i}"] or 0), found[f"r{i}"]) for i, c in enumerate(checks)]
+
+
+def order_rules(docs: DataFrame, checks: list[Rule], by: Column, sample: int = SAMPLE) -> list[Rule]:
+    """checks by rejection per cost as measured, most first; ties by cost and name."""
+    ranked = sorted(measure(docs, checks, by, sample), key=lambda m: (-m.rejected / m.cost if m.cost else 0.0, m.cost, m.rule.name))
+    return [m.rule for m in ranked]
 
 
 def cascade(base: Column, checks: list[Rule]) -> Column:

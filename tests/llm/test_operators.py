@@ -513,13 +513,49 @@ def test_cascade_skips_rejected_rows(spark):
     docs = frame(spark, [(i, "spam" if i % 3 else "ham " * 60, "s") for i in range(60)])
     text = F.col("text")
     boom = F.when(text == "spam", F.raise_error(F.lit("evaluated")).cast("boolean")).otherwise(F.lit(False))
-    first = quality.Rule("cheap", text == "spam", F.lit(1))
-    checks = [quality.Rule("dear", F.length(text) > 10**6, 100 * F.length(text)), first, quality.Rule("b", text == "spam", F.lit(2)), quality.Rule("a", text == "spam", F.lit(2))]
-    assert [x.name for x in quality.order_rules(docs, checks, text)] == ["cheap", "a", "b", "dear"]
-    out = docs.select(quality.cascade(F.lit(False), [first, quality.Rule("boom", boom, F.lit(1))]).alias("by")).groupBy("by").count().collect()
+    first = quality.Rule("cheap", text == "spam")
+    out = docs.select(quality.cascade(F.lit(False), [first, quality.Rule("boom", boom)]).alias("by")).groupBy("by").count().collect()
     assert {r["by"]: r["count"] for r in out} == {"cheap": 40, None: 20}
 
 
+def test_rules_are_ordered_by_measured_cost(spark):
+    docs = frame(spark, [(i, ("spam " if i % 3 else "ham ") * 400, "s") for i in range(120)])
+    text = F.col("text")
+    # Both find the same rows; one sorts all pieces of the text many times before.
+    slow = F.forall(F.transform(F.sequence(F.lit(1), F.lit(40)), lambda i: F.size(F.array_sort(F.split(F.concat(text, i.cast("string")), " "))) > 0), lambda x: x)
+    checks = [quality.Rule("dear", slow & text.contains("spam")), quality.Rule("never", text == "x"), quality.Rule("cheap", text.contains("spam"))]
+    found = {m.rule.name: m for m in quality.measure(docs, checks, text)}
+    assert {k: m.rejected for k, m in found.items()} == {"dear": 80, "never": 0, "cheap": 80}
+    assert found["dear"].cost > 20 * found["cheap"].cost > 0
+    assert [x.name for x in quality.order_rules(docs, checks, text)][:2] == ["cheap", "dear"]
+    assert [m.cost for m in quality.measure(docs.limit(0), checks, text)] == [0.0] * 3
+
+
+def test_no_order_of_rules_changes_a_verdict(spark):
+    import itertools
+
+    bad = ["word " * 60 + "#" * 40, ("same line here\n" * 6 + "another one\n") + " ".join(f"w{i}" for i in range(80)), "a b " * 2 + " ".join("xyzab"[i % 5] for i in range(90)), " ".join(str(10**6 + i) for i in range(80)), " ".join(f"fine{'abcdefghij'[i % 10]} text" for i in range(90))]
+    docs = frame(spark, [(i, bad[i % 5] + f" t{i}", "s") for i in range(40)])
+    checks = quality.rules(F.col("text"))
+    kept = [tuple(r["k"] for r in docs.select("doc_id", quality.cascade(F.lit(False), list(order)).isNull().alias("k")).orderBy("doc_id").collect()) for order in itertools.permutations(checks)]
+    assert len(set(kept)) == 1 and True in kept[0] and False in kept[0]
+    whole = {r["doc_id"]: r["kept"] for r in quality.quality_cascade(docs).collect()}
+    assert set(whole) == set(range(40))
+
+
+def test_real_rules_are_skipped(spark):
+    """Where an earlier rule rejects, a later one of the four isn't evaluated: its text would fail to be read."""
+    docs = frame(spark, [(i, "#" * 30 if i % 2 else "good words " * 30, "s") for i in range(20)])
+    broken = F.when(F.col("text").startswith("#"), F.raise_error(F.lit("evaluated")).cast("string")).otherwise(F.col("text"))
+    sound, spoiled = quality.rules(F.col("text")), quality.rules(broken)
+    first = next(x for x in sound if x.name == "symbols")
+    for later in spoiled:
+        out = docs.select(quality.cascade(F.lit(False), [first, later]).alias("by")).where("by = 'symbols'").count()
+        assert out == 10
+    with pytest.raises(Exception, match="evaluated"):
+        docs.select(quality.cascade(F.lit(False), [spoiled[0], first]).alias("by")).collect()
+
+
 def test_field_marginals_are_exact():
     r = np.random.default_rng(1)
     k = len(toxicity.STEPS) + 1
