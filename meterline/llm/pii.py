@@ -1,14 +1,18 @@
 """Personal data by bootstrapped contextual extraction, in SQL functions only.
 
 Four kinds have base patterns (email, ip, card, phone). Other identifiers are learned: words with several digits are
-instances; an instance's left neighbour with its own shape, and each of the two alone, are its lexical patterns.
-Instances that overlap base spans are seeds. Patterns are scored by the confidence of their instances and instances by the
-best of their patterns, in turns; instances of high-confidence patterns become spans of kind `id` and are seeds of the next
-turns, with the confidence they were found with, until no more are found (an action looks).
+instances; an instance's neighbours on the left (one word or two), on the right, and its line up to it, each with its own
+shape, and its left neighbour and its shape alone, are its lexical patterns. Instances that overlap base spans, and those
+that a caller names, are seeds. Patterns are scored by the confidence of their instances and instances by the best of their
+patterns, in turns; instances of high-confidence patterns become spans of kind `id` and are seeds of the next turns, with the
+confidence they were found with, until no more are found (an action looks). Contexts that no seed has, directly or by way of
+what was found, teach nothing.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,17 +54,24 @@ def before_each(values: Column, start: int, add) -> Column:
     return F.when(F.size(values) > 0, once(values, lambda v: once(blocks(v), lambda one: once(blocks(one), lambda two: each(v, one, two))))).otherwise(F.array().cast("array<int>"))
 
 
+NEAR = 64
+"""Characters before and after a word that its context is made of."""
+
+
 def found(text: Column, pattern: str, lead: bool = False) -> Column:
-    """(s, e, hit, lead) of all matches, in code points: lengths of what lies between the matches and of the matches add
-    up. lead: the last 64 characters before a match, back to the start of the match before it at most."""
-    none = F.array().cast("array<struct<s:int,e:int,hit:string,lead:string>>")
+    """(s, e, hit, lead, tail) of all matches, in code points: lengths of what lies between the matches and of the matches
+    add up. lead, tail: the NEAR characters before and after a match, to the start of the match before it and the end of
+    the one after it at most."""
+    none = F.array().cast("array<struct<s:int,e:int,hit:string,lead:string,tail:string>>")
+    nothing = F.lit("")
 
     def placed(pieces: Column, hits: Column) -> Column:
         def entry(at: Column, i: Column) -> Column:
             piece, hit = F.get(pieces, i), F.get(hits, i)
             s = at + F.length(piece)
-            ahead = F.substring(F.concat(F.coalesce(F.get(hits, i - 1), F.lit("")), piece), -64, 64) if lead else F.lit("")
-            return F.struct(s.alias("s"), (s + F.length(hit)).alias("e"), hit.alias("hit"), ahead.alias("lead"))
+            ahead = F.substring(F.concat(F.coalesce(F.get(hits, i - 1), nothing), piece), -NEAR, NEAR) if lead else nothing
+            after = F.substring(F.concat(F.coalesce(F.get(pieces, i + 1), nothing), F.coalesce(F.get(hits, i + 1), nothing)), 1, NEAR) if lead else nothing
+            return F.struct(s.alias("s"), (s + F.length(hit)).alias("e"), hit.alias("hit"), ahead.alias("lead"), after.alias("tail"))
 
         sizes = F.transform(hits, lambda h, i: F.length(F.get(pieces, i)) + F.length(h))
         return F.transform(before_each(sizes, 0, lambda a, x: a + x), entry)
@@ -93,18 +104,26 @@ def base_spans(text: Column) -> dict[str, Column]:
     return {"email": found(text, PATTERNS["email"]), "ip": ip, "card": card, "phone": phone}
 
 
+CONTEXT = "s:int,e:int,core:string,before:string,two:string,after:string,line:string,shape:string"
+
+
 def candidates(text: Column) -> Column:
-    """(s, e, core, before, shape) of words with four digits or more; s and e without signs around them."""
+    """(s, e, core, before, two, after, line, shape) of words with four digits or more; s and e without signs around them.
+    before, two, after: one and two words on the left, one on the right. line: what stands before the word in its line, if
+    the line begins within reach. Two is empty where there is one word only, and so on; contexts are in lower case."""
     core = lambda x: F.regexp_extract(x["hit"], r"[A-Za-z0-9](?:.*[A-Za-z0-9])?", 0)
+    space, word = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
 
     def entry(x: Column) -> Column:
         s = x["s"] + F.instr(x["hit"], core(x)) - 1
-        before = F.lower(F.regexp_extract(x["lead"], r"([^\x20\x09-\x0D]*)[\x20\x09-\x0D]*$", 1))
+        lead = F.lower(x["lead"])
+        part = lambda of, pattern: F.regexp_extract(of, pattern, 1)
         shape = F.when(core(x).rlike("^[0-9a-f]{16,}$"), "hex").otherwise(F.substring(F.regexp_replace(F.regexp_replace(core(x), "[0-9]+", "9"), r"\p{L}+", "a"), 1, 8))
-        return F.struct(s.alias("s"), (s + F.length(core(x))).alias("e"), core(x).alias("core"), before.alias("before"), shape.alias("shape"))
+        contexts = {"before": part(lead, f"({word}*){space}*$"), "two": part(lead, f"({word}+{space}+{word}+){space}*$"), "after": part(F.lower(x["tail"]), f"^{space}*({word}+)"), "line": part(lead, r"\n([^\n]+)$")}
+        return F.struct(s.alias("s"), (s + F.length(core(x))).alias("e"), core(x).alias("core"), *[c.alias(n) for n, c in contexts.items()], shape.alias("shape"))
 
     own = F.filter(found(text, WORD, lead=True), lambda x: F.length(digits(x["hit"])) >= 4)
-    return F.when(text.rlike("[0-9]"), F.transform(own, entry)).otherwise(F.array().cast("array<struct<s:int,e:int,core:string,before:string,shape:string>>"))
+    return F.when(text.rlike("[0-9]"), F.transform(own, entry)).otherwise(F.array().cast(f"array<struct<{CONTEXT}>>"))
 
 
 def tagged(spans: Column, kind: int) -> Column:
@@ -123,36 +142,49 @@ def scanned(rows: DataFrame) -> DataFrame:
     return rows.select("key", F.sort_array(spans).alias("spans"), candidates(text).alias("words"))
 
 
-def learned(scan: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
-    """(key, s, e) of instances that high-confidence patterns discover. `rounds`: turns between two looks for new ones;
-    what isn't found in them begins the next turns without confidence, so that patterns don't raise themselves."""
+def learned(scan: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, confidence: float = CONFIDENCE, seeds: Sequence[str] = ()) -> DataFrame:
+    """(key, s, e) of instances that high-confidence patterns discover, from scanned(). `rounds`: turns between two looks for
+    new ones; what isn't found in them begins the next turns without confidence, so that patterns don't raise themselves.
+    A shape alone is scored by what is known only, as it says little. `seeds`: identifiers that are known for sure, besides
+    what base spans hold; they are found wherever they stand, and about a fourth of a context's instances teach the context.
+
+    Equal identifiers are one instance, so ties and repeated rows don't matter; a table without candidates or seeds gives no
+    rows; texts without candidates have none."""
     words = scan.select("key", F.explode("words").alias("w")).select("key", "w.*")
     blocks = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / BLOCK), F.floor((F.col(b) - 1) / BLOCK)))
     spans = scan.select("key", F.explode("spans").alias("x")).select("key", F.col("x.s").alias("from"), F.col("x.e").alias("to"), blocks("x.s", "x.e").alias("block"))
     met = words.withColumn("block", blocks("s", "e")).join(spans, ["key", "block"]).where((F.col("from") < F.col("e")) & (F.col("to") > F.col("s")))
-    seeds = met.select("key", "s", F.lit(True).alias("met")).distinct()
-    words = cut(words.join(seeds, ["key", "s"], "left").withColumn("seed", F.col("met").isNotNull()).drop("met"))
-    # A neighbour that is a space and an empty shape, which no word has, stand for any.
-    patterns = F.array(*[F.concat_ws("\n", F.expr(b), F.expr(s)) for b, s in (("before", "shape"), ("before", "''"), ("' '", "shape"))])
-    graph = cut(words.select("core", F.explode(patterns).alias("pattern")).distinct())
-    trust = words.groupBy("core").agg(F.max(F.col("seed").cast("double")).alias("known")).withColumn("trust", F.col("known"))
+    held = met.select("key", "s", F.lit(True).alias("met")).distinct()
+    words = cut(words.join(held, ["key", "s"], "left").withColumn("covered", F.col("met").isNotNull()).drop("met"))
+    sure = F.col("core").isin(*seeds) if seeds else F.lit(False)
+    # A first letter keeps kinds of patterns apart. A context that isn't there makes none.
+    named = lambda kind, *parts: F.concat_ws("\n", F.lit(kind), *parts)
+    there = lambda c, x: F.when(F.col(c) != "", x)
+    patterns = F.array(named("b", "before", "shape"), named("l", "before"), named("s", "shape"), there("two", named("t", "two", "shape")), there("after", named("r", "after", "shape")), there("line", named("n", "line", "shape")))
+    graph = cut(words.select("core", F.explode(F.array_compact(patterns)).alias("pattern")).distinct())
+    trust = cut(words.groupBy("core").agg(F.max((F.col("covered") | sure).cast("double")).alias("known")).withColumn("trust", F.col("known")))
+    if not trust.where("known > 0").head(1):
+        return words.limit(0).select("key", "s", "e")
     while True:
         for _ in range(rounds):
-            patterns = graph.join(trust, "core").groupBy("pattern").agg((F.sum("trust") / (F.count(F.lit(1)) + 1)).alias("score"), F.count(F.lit(1)).alias("n"), F.count_if(F.col("known") > 0).alias("seeds"))
-            patterns = patterns.where((F.col("n") >= support) & (F.col("seeds") > 0))
-            best = with_group(graph, patterns, "pattern", "core").groupBy("core").agg(F.max("score").alias("score"))
-            trust = cut(trust.join(best, "core", "left").select("core", "known", F.greatest("known", F.coalesce("score", F.lit(0.0))).alias("trust")))
-        if not trust.where((F.col("known") == 0) & (F.col("trust") >= confidence)).head(1):
+            scored = graph.join(trust, "core").groupBy("pattern").agg((F.sum(F.when(F.col("pattern").startswith("s"), F.col("known")).otherwise(F.col("trust"))) / (F.count(F.lit(1)) + 1)).alias("score"), F.count(F.lit(1)).alias("n"), F.count_if(F.col("known") > 0).alias("seeds"))
+            scored = scored.where((F.col("n") >= support) & (F.col("seeds") > 0))
+            best = with_group(graph, scored, "pattern", "core").groupBy("core").agg(F.max("score").alias("score"))
+            trust = trust.join(best, "core", "left").select("core", "known", F.greatest("known", F.coalesce("score", F.lit(0.0))).alias("trust"))
+        trust = cut(trust.withColumns({"new": (F.col("known") == 0) & (F.col("trust") >= confidence), "known": F.when(F.col("trust") >= confidence, F.col("trust")).otherwise(0.0)}))
+        more = bool(trust.where("new").head(1))
+        trust = trust.select("core", "known", F.col("known").alias("trust"))
+        if not more:
             break
-        trust = trust.select("core", F.when(F.col("trust") >= confidence, F.col("trust")).otherwise(0.0).alias("known")).withColumn("trust", F.col("known"))
-    good = trust.where(F.col("known") > 0).select("core")
-    return words.where(~F.col("seed")).join(good, "core", "left_semi").select("key", "s", "e")
+    good = trust.where("known > 0").select("core")
+    return words.where(~F.col("covered")).join(good, "core", "left_semi").select("key", "s", "e")
 
 
-def find_spans(rows: DataFrame) -> DataFrame:
-    """(key, base, spans): base spans and all spans, arrays of (s, kind, e) sorted by start and kind."""
+def find_spans(rows: DataFrame, seeds: Sequence[str] = ()) -> DataFrame:
+    """(key, base, spans) of each row of (key, text): base spans and all spans, arrays of (s, kind, e) sorted by start and
+    kind. Keys are unique; a null text is empty and has none; an empty table gives an empty one."""
     scan = cut(scanned(rows))
-    more = learned(scan).groupBy("key").agg(F.collect_list(F.struct("s", F.lit(4).alias("kind"), "e")).alias("more"))
+    more = learned(scan, seeds=seeds).groupBy("key").agg(F.collect_list(F.struct("s", F.lit(4).alias("kind"), "e")).alias("more"))
     nothing = F.array().cast("array<struct<s:int,kind:int,e:int>>")
     return scan.join(more, "key", "left").select("key", F.col("spans").alias("base"), F.sort_array(F.concat("spans", F.coalesce("more", nothing))).alias("spans"))
 
@@ -163,25 +195,26 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.get(names, x["kind"]), x["s"].cast("string"), x["e"].cast("string"))), ",")
 
 
-def pii_spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans for each row of docs.
+def pii_spans(docs: DataFrame, text: str = "text", seeds: Sequence[str] = ()) -> DataFrame:
+    """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans for each row of docs. seeds: identifiers that
+    are known, see learned().
 
     A null text is empty; doc_id null or repeated: see common.keyed; equal texts have equal base spans; an empty table
     gives an empty table; other columns are ignored."""
     rows, ids = keyed(docs, text)
-    out = find_spans(rows)
+    out = find_spans(rows, seeds)
     counts = [counted("base", i) for i in range(4)]
     return unkeyed(out.select("key", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")), ids)
 
 
-def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
+def redacted(docs: DataFrame, text: str = "text", seeds: Sequence[str] = ()) -> DataFrame:
     """docs with every span replaced by its kind in brackets; overlapping spans become one, of the first's kind.
 
     A null text stays null and texts without spans stay as they are; doc_id null or repeated: see common.with_key;
     repeated rows stay; an empty table gives an empty table; all columns of docs keep their names and values."""
     columns = docs.columns
     rows, _ = with_key(docs.select(F.struct(*columns).alias("row"), "doc_id", F.col(text).alias("text")))
-    spans = find_spans(rows.select("key", "text")).where(F.size("spans") > 0).select(F.col("key").alias("at"), "spans")
+    spans = find_spans(rows.select("key", "text"), seeds).where(F.size("spans") > 0).select(F.col("key").alias("at"), "spans")
     labels = F.array(*[F.lit(f"[{k}]") for k in KINDS])
 
     def masked(wide: Column, x: Column) -> Column:

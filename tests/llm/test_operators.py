@@ -468,7 +468,7 @@ def test_pii_learns_in_two_hops(spark):
 
 def test_redaction(spark):
     out = {r["doc_id"]: r["text"] for r in pii.redacted(frame(spark, [(1, "é mail a@b.cd and a@b.cd.", "s"), (2, "none", "s"), (3, None, "s")])).collect()}
-    assert out == {1: "é mail [email]", 2: "none", 3: None} or out == {1: "é mail [email] and [email].", 2: "none", 3: None}
+    assert out == {1: "é mail [email] and [email].", 2: "none", 3: None}
 
 
 def test_redaction_of_many_and_overlapping_spans(spark):
@@ -1026,3 +1026,58 @@ def test_order_has_frequent_shingles_last():
         assert got[at[k] : at[k + 1]].tolist() == sorted(own.tolist(), key=lambda x: (of.get(x, 0), x))
     empty = jaccard_join.Order(np.zeros(0, np.uint64), np.zeros(0, np.int64))
     assert empty.sort(texts[0], np.array([0, len(texts[0])]), empty.sieve()).tolist() == texts[0].tolist()
+
+
+def badge_rows(context, n=200, seed=8):
+    """Badge numbers in one context, and numbers of their shape in others."""
+    r = random.Random(seed)
+    rows, planted = [], {}
+    for i in range(n):
+        value = f"B{r.randrange(10**5, 10**6)}"
+        head, tail = context(r)
+        rows.append((i, f"{head}{value}{tail}", "s"))
+        planted[i] = (value, f"id:{len(head)}:{len(head) + len(value)}")
+    rows += [(1000 + i, f"in room R{r.randrange(10**5, 10**6)} there were {r.randrange(1000, 9999)} of {r.choice(['them', 'us'])}", "s") for i in range(n)]
+    return rows, planted
+
+
+def recall(spark, rows, planted, **more):
+    got = {x["doc_id"]: x["spans"].split(",") for x in pii.pii_spans(frame(spark, rows), **more).collect()}
+    others = sum(x.startswith("id:") for k, v in got.items() for x in v) - sum(span in got[k] for k, (_, span) in planted.items())
+    return sum(span in got[k] for k, (_, span) in planted.items()) / len(planted), others
+
+
+def test_pii_recall_without_shared_contexts(spark):
+    """A context that no base span has teaches nothing by itself; with a fourth of the badges known, the others are found."""
+    rows, planted = badge_rows(lambda r: ("my badge number is ", " since " + r.choice(["May", "June"])))
+    assert recall(spark, rows, planted) == (0.0, 0)
+    some = [planted[i][0] for i in range(0, 200, 4)]
+    found, others = recall(spark, rows, planted, seeds=some)
+    assert found >= 0.9 and others == 0
+    assert recall(spark, rows, planted, seeds=["nowhere-1234"]) == (0.0, 0)
+
+
+@pytest.mark.parametrize("where", ["right", "two", "line"])
+def test_pii_contexts_of_each_kind(spark, where):
+    """Left neighbours differ (or are too common to tell anything); the right neighbour, two words, or the line's begin are
+    shared with mail addresses of the same shape."""
+    r = random.Random(10)
+    heads = {"right": lambda r: (f"w{r.choice('abcdefghijklmnop')}{r.choice('qrstuv')} ", " (contact) and"), "two": lambda r: (f"{r.choice('uvw')} send to ", f" {r.choice('xyz')}q"), "line": lambda r: (f"{r.choice('uvw')} said\nMy own contact: ", f" {r.choice('xyz')}q")}
+    context = heads[where]
+    rows, planted = badge_rows(context)
+    # A mail address has a shape of its own; an ip that is known as such shares the shape of other numbers with points.
+    shape = lambda: ".".join(str(r.randrange(100, 1000)) for _ in range(4))
+    rows, planted = [], {}
+    for i in range(240):
+        ip = i % 3 > 0
+        value = ".".join(str(r.randrange(100, 250)) for _ in range(4)) if ip else shape()
+        while not ip and all(int(x) < 256 for x in value.split(".")):
+            value = shape()
+        head, tail = context(r)
+        rows.append((i, f"{head}{value}{tail}", "s"))
+        if not ip:
+            planted[i] = (value, f"id:{len(head)}:{len(head) + len(value)}")
+    plain = {"right": lambda r: f"w{r.choice('abcdefghijklmnop')}{r.choice('qrstuv')} {shape()} of it", "two": lambda r: f"it goes to {shape()} {r.choice('xyz')}q", "line": lambda r: f"a contact: {shape()} {r.choice('xyz')}q"}
+    rows += [(1000 + i, plain[where](r), "s") for i in range(600)]
+    found, _ = recall(spark, rows, planted)
+    assert found >= 0.9
