@@ -19,7 +19,9 @@ def components(edges: DataFrame) -> DataFrame:
     """(key, component) for each key in edges (a, b); component is the least key that links reach.
 
     Stars are grown in turns: each key's larger neighbours are linked to its least one, then each key's smaller ones
-    are. Rounds stop when nothing changes. Loops and repeated edges are allowed."""
+    are. Rounds stop when nothing changes. Loops and repeated edges are allowed, and an edge with a null end is none; a key
+    that only loops name has no row; a table without edges gives none. Of equally near keys the least counts, so the result
+    doesn't depend on the order of rows."""
     now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     seen = None
     while True:

@@ -278,7 +278,11 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, text: str = "text") -> D
 
 def maximal_repeats(docs: DataFrame, window: int = WINDOW, text: str = "text") -> DataFrame:
     """repeat (SHA-256 of its bytes), length, doc_id, start: maximal repeats of at least `window` bytes within blocks, each
-    with all its occurrences. A repeat longer than a block or a suffix comes in parts. Exact copies of documents are included."""
+    with all its occurrences. A repeat longer than a block or a suffix comes in parts. Exact copies of documents are included.
+
+    A null text is empty; texts shorter than the window have no repeats; each row is a document of its own, so repeated rows
+    repeat each other, and rows of one doc_id (or of none) stand under it; a table without repeats gives no rows; other
+    columns are ignored."""
     rows, ids = keyed(docs, text)
     unit = Bytes(window)
     found = shipped_contexts(rows, unit, shrink=False).mapInArrow(_report(unit), "repeat binary, length long, key long, start long").distinct()

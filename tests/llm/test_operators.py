@@ -1081,3 +1081,44 @@ def test_pii_contexts_of_each_kind(spark, where):
     rows += [(1000 + i, plain[where](r), "s") for i in range(600)]
     found, _ = recall(spark, rows, planted)
     assert found >= 0.9
+
+
+def test_components_of_awkward_edges(spark):
+    from meterline.llm.components import components
+
+    edges = spark.createDataFrame([(1, 2), (2, 1), (2, 2), (3, 2), (7, 7), (None, 5), (5, None), (9, 8), (9, 8), (10, 9)], "a long, b long")
+    assert {r["key"]: r["component"] for r in components(edges).collect()} == {1: 1, 2: 1, 3: 1, 8: 8, 9: 8, 10: 8}
+    assert components(edges.limit(0)).collect() == []
+
+
+def test_maximal_repeats_of_awkward_rows(spark):
+    text = "".join(chr(97 + i * 7 % 26) + str(i) for i in range(80))
+    docs = frame(spark, [(None, text, "s"), (None, None, "s"), (5, text, "s"), (5, "", "s"), (6, "short", "s"), (7, "x" + text[:150] + "y", "s")])
+    got = {(r["doc_id"], r["start"], r["length"]) for r in suffix_dedup.maximal_repeats(docs).collect()}
+    assert {(None, 0), (5, 0), (7, 1)} <= {(d, s) for d, s, _ in got} and all(d in (None, 5, 7) and n >= 100 for d, _, n in got)
+    assert suffix_dedup.maximal_repeats(docs.where("doc_id = 6")).collect() == []
+
+
+@pytest.mark.parametrize("name", ["toxicity", "sketches", "quality", "jaccard_join", "alignment", "line_dedup"])
+def test_very_long_text_alone(spark, name):
+    r = random.Random(20)
+    known = vocabulary(20, 3000)
+    long = " ".join(r.choice(known) for _ in range(60_000))
+    rows = PER_ROW[name](frame(spark, [(1, long, "s"), (2, "a short one", "s"), (3, long + " end", "s"), (4, "x" * 400_000, "s")])).collect()
+    assert {r["doc_id"] for r in rows} == {1, 2, 3, 4} and len(rows) == 4
+
+
+def test_clashing_names_are_ignored(spark):
+    """Columns of the caller that are named like the operators' own ones change nothing."""
+    names = ["label", "score", "key", "n", "word", "doc", "block", "parent", "root", "source", "at", "rank", "conv", "hash", "number", "length", "piece"]
+    texts = [(i, " ".join(random.Random(i).choice(["bad", "good", "fine", "awful"]) for _ in range(30))) for i in range(40)]
+    plain = spark.createDataFrame(texts, "doc_id long, text string")
+    odd = plain.select("*", *[F.lit("odd").alias(n) for n in names])
+    labels = plain.select("doc_id", (F.col("doc_id") % 2).alias("toxic"))
+    shown = lambda df: sorted(tuple(r[c] for c in sorted(df.columns)) for r in df.collect())
+    scored = lambda df: toxicity.score(df, *toxicity.fit(df, labels)).select("doc_id", "score", "predicted")
+    assert shown(scored(odd)) == shown(scored(plain))
+    assert shown(packing.pack(odd).select("doc_id", "piece", "start", "length", "ids_crc32")) == shown(packing.pack(plain).select("doc_id", "piece", "start", "length", "ids_crc32"))
+    talk = spark.createDataFrame([(1, 0, "u", "hello there"), (1, 1, "a", "> hello there\nyes")], "conv_id long, turn long, role string, text string")
+    assert shown(quotes.link_quotes(talk.select("*", *[F.lit("odd").alias(n) for n in names]))) == shown(quotes.link_quotes(talk))
+    assert shown(alignment.align(odd)) == shown(alignment.align(plain)) and shown(line_dedup.line_dedup(odd)) == shown(line_dedup.line_dedup(plain))
