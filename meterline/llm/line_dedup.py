@@ -7,8 +7,8 @@ seen twice; a key of two documents thus always has all its bits there. Only keys
 suspected: their occurrences are shuffled by a 128-bit name, counted exactly, and their last document is found. Every other
 line stays where it is.
 
-The second filter is broadcast; its size follows the number of lines and has a bound (MOST_BITS, 128 MB). Above about 10^9
-lines it fills up: more single lines are then suspected and shuffled, and results stay exact.
+The second filter is broadcast; its size follows the number of lines and has a bound (MOST_BITS, 128 MB). Above 67 million
+lines it gets denser: more single lines are then suspected and shuffled, and results stay exact.
 """
 
 from __future__ import annotations
