@@ -5,14 +5,16 @@ windows of one label form a block. The plan is
 
 1. documents are shuffled once by key; exact copies fall back on the first of them,
 2. (label, key) of each block is shuffled by label; labels that occur once are unique text (a block that may repeat in
-   itself counts twice),
+   itself counts twice, a long one once for each LONG windows, so that counts bound bytes). Labels that a sample finds
+   very often are known to be repeated; their rows are dealt over all tasks and not counted,
 3. documents with repeated labels ship the text of those blocks, by label,
 4. where equal windows now meet, all but the first occurrence of each are marked,
 5. marked ranges go back to the documents.
 
 Nothing is compared outside of a label, each step streams over its partition, and a hot label keeps one hash for each
 different window of its group only. Beyond `hot` blocks of one label, step 3 ships single windows under their own hash
-instead: equal windows still meet, and a group then needs constant memory.
+instead: equal windows still meet, and a group then needs constant memory. What its own chunk has shown to be a repeat
+is dealt by document.
 """
 
 from __future__ import annotations
@@ -28,6 +30,12 @@ from pyspark.sql import functions as F
 from .arrays import as_bytes, chunks, signed
 from .common import keyed, unkeyed, with_group
 
+LONG = 4
+"""Lengths of a window after which a block counts once more."""
+HEAVY = 4096
+"""Labels that are dealt over all tasks, at most: those that the sample finds most. Any other has at most about one row in
+HEAVY."""
+
 Blocks = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 """text number, label, first window, last window (in units from the text's start), whether it may repeat in itself"""
 
@@ -39,6 +47,8 @@ class Unit:
     window: int
     hot: int
     """Blocks of one label beyond which its windows are dealt by their own hash."""
+    sample = 64
+    """One document in this many tells which labels are heavy. Results do not depend on it."""
 
     def blocks(self, texts: list[bytes]) -> Blocks:
         raise NotImplementedError
@@ -74,23 +84,44 @@ def merged(spans: np.ndarray) -> np.ndarray:
 
 
 def _label(unit: Unit) -> Callable:
-    """(label, key) of each block; twice for one that may repeat in itself."""
+    """(label, key) of each block; twice for one that may repeat in itself, more often for a long one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column("key").to_numpy()
             texts = as_bytes(batch.column("text"))
             for a, b in chunks([len(t) for t in texts]):
-                which, label, _, _, loops = unit.blocks(texts[a:b])
-                times = 1 + loops.astype(np.int64)
+                which, label, first, last, loops = unit.blocks(texts[a:b])
+                times = 1 + np.maximum(loops, (last - first) // (LONG * unit.window)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(signed(np.repeat(label, times))), pa.array(keys[a:b][np.repeat(which, times)])], names=["label", "key"])
 
     return run
 
 
+def _singly(unit: Unit, key: int, first: int, last: int, context: bytes, shrink: bool) -> Iterator[tuple]:
+    """The windows of a block under their own hashes; with shrink, those that occur in it before go as ranges without a
+    context."""
+    _, one, _ = unit.digests([context])
+    inner = np.arange(last - first + 1)
+    seen: set[bytes] = set()
+    since = None
+    for at, (name, text) in enumerate(zip(signed(one).tolist(), unit.context(context, inner, inner), strict=True), first):
+        if shrink and text in seen:
+            since = at if since is None else since
+            continue
+        if since is not None:
+            yield key, key, since, at - 1, None
+            since = None
+        seen.add(text)
+        yield name, key, at, at, text
+    if since is not None:
+        yield key, key, since, last, None
+
+
 def _ship(unit: Unit, shrink: bool = True) -> Callable:
     """(label, key, first, last, context): the text of repeated blocks. With shrink, of equal contexts in one chunk only
-    the first is shipped; the others, whose windows all start earlier elsewhere, go without one."""
+    the first is shipped; the others, whose windows all start earlier elsewhere, go without one and are dealt by key, as
+    they have to meet nothing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,12 +143,12 @@ def _ship(unit: Unit, shrink: bool = True) -> Callable:
                     for name, s_, e_, context in zip(names.tolist(), s.tolist(), e.tolist(), unit.context(texts[i], s, e), strict=True):
                         known = shrink and (name, context) in seen
                         seen.add((name, context))
-                        if hot[i] and not known and name in hot[i]:
-                            _, one, _ = unit.digests([context])
-                            inner = np.arange(e_ - s_ + 1)
-                            rows = [(h, key, s_ + j, s_ + j, w) for j, (h, w) in enumerate(zip(signed(one).tolist(), unit.context(context, inner, inner), strict=True))]
+                        if known:
+                            rows = [(key, key, s_, e_, None)]
+                        elif hot[i] and name in hot[i]:
+                            rows = _singly(unit, key, s_, e_, context, shrink)
                         else:
-                            rows = [(name, key, s_, e_, None if known else context)]
+                            rows = [(name, key, s_, e_, context)]
                         for row in rows:
                             for o, v in zip(out, row, strict=True):
                                 o.append(v)
@@ -223,14 +254,24 @@ def shared_texts(rows: DataFrame) -> DataFrame:
     return rows.where("key is not null").select("key", F.coalesce("text", F.lit("")).alias("text")).repartition("key")
 
 
-def contexts_by_label(own: DataFrame, texts: DataFrame, unit: Unit, hot: int, shrink: bool = True) -> DataFrame:
+def heavy_labels(rows: DataFrame, unit: Unit, hot: int) -> DataFrame:
+    """Labels whose number of blocks, by a sample of documents, is above `hot`: HEAVY at most. Each was seen twice at
+    least, so it is repeated, whatever its true number."""
+    some = rows.where(F.pmod(F.xxhash64("key"), F.lit(unit.sample)) == 0).select("key", F.coalesce("text", F.lit("")).alias("text"))
+    seen = some.mapInArrow(_label(unit), "label long, key long").groupBy(F.col("label").alias("heavy")).count()
+    return seen.where((F.col("count") > 1) & (F.col("count") * unit.sample > hot)).orderBy(F.desc("count"), "heavy").limit(HEAVY).select("heavy")
+
+
+def contexts_by_label(own: DataFrame, texts: DataFrame, heavy: DataFrame, unit: Unit, hot: int, shrink: bool = True) -> DataFrame:
     """(label, key, first, last, context) of own's repeated blocks, sorted within partitions of the label."""
-    by_label = Window.partitionBy("label")
+    dealt = F.when(F.col("heavy").isNotNull(), F.pmod(F.hash("key"), F.lit(1 << 20)) + 1).otherwise(0)
     repeated = (
         own.mapInArrow(_label(unit), "label long, key long")
-        .repartition("label")
-        .withColumn("n", F.count(F.lit(1)).over(by_label))
-        .where("n > 1")
+        .join(F.broadcast(heavy), F.col("label") == F.col("heavy"), "left")
+        .select("label", "key", dealt.alias("part"))
+        .repartition("label", "part")
+        .withColumn("n", F.when(F.col("part") > 0, hot + 1).otherwise(F.count(F.lit(1)).over(Window.partitionBy("label", "part"))))
+        .where("part > 0 or n > 1")
     )
     per_doc = repeated.groupBy(F.col("key").alias("block_key")).agg(F.collect_set("label").alias("labels"), F.collect_set(F.when(F.col("n") > hot, F.col("label"))).alias("hot"))
     shipped = (
@@ -244,7 +285,7 @@ def contexts_by_label(own: DataFrame, texts: DataFrame, unit: Unit, hot: int, sh
 def shipped_contexts(rows: DataFrame, unit: Unit, shrink: bool = True) -> DataFrame:
     """contexts_by_label of all rows (key, text)."""
     texts = shared_texts(rows)
-    return contexts_by_label(texts, texts, unit, unit.hot, shrink)
+    return contexts_by_label(texts, texts, heavy_labels(rows, unit, unit.hot), unit, unit.hot, shrink)
 
 
 def remove_repeats(docs: DataFrame, unit: Unit, text: str = "text", hot: int | None = None) -> DataFrame:
@@ -264,7 +305,8 @@ def remove_repeats(docs: DataFrame, unit: Unit, text: str = "text", hot: int | N
     )
     flagged = texts.join(copies.hint("shuffle_hash"), F.col("key") == F.col("copy_key"), "left")
     own = flagged.where("copy_key is null").select("key", "text")
-    marked = contexts_by_label(own, texts, unit, unit.hot if hot is None else hot).mapInArrow(unit.marker(), "key long, s int, e int")
+    hot = unit.hot if hot is None else hot
+    marked = contexts_by_label(own, texts, heavy_labels(rows, unit, hot), unit, hot).mapInArrow(unit.marker(), "key long, s int, e int")
     spans = marked.groupBy(F.col("key").alias("span_key")).agg(F.collect_list(F.struct("s", "e")).alias("spans"))
     out = (
         flagged.join(spans.hint("shuffle_hash"), F.col("key") == F.col("span_key"), "left")

@@ -24,6 +24,7 @@ from .repeats import Blocks, Unit, blocks_of, remove_repeats, sha256, shipped_co
 WINDOW = 100
 GRAM = 32
 BATCH = 1 << 18
+ROWS = 1 << 16
 """Bytes of contexts whose suffixes are sorted at once; one label is never split."""
 
 Interval = tuple[int, list[int]]
@@ -152,9 +153,9 @@ class Group:
         return key, first + at[1]
 
 
-def grouped(batches: Iterator[pa.RecordBatch], unit: "Bytes", repeat) -> Iterator[tuple[Group | None, list]]:
+def grouped(batches: Iterator[pa.RecordBatch], unit: "Bytes", repeat, apart: bool = False) -> Iterator[tuple[Group, list]]:
     """Groups of whole labels of about BATCH bytes. Rows that repeat a context of their label are no new suffixes; they
-    are passed to `repeat` and come out beside the group."""
+    are passed to `repeat` and come out beside the group; with apart, beside an empty one once they are ROWS."""
     group, seen, label, rows = Group(), {}, None, []
     for batch in batches:
         columns = [batch.column(n).to_pylist() for n in ("label", "key", "first", "last", "context")]
@@ -166,6 +167,9 @@ def grouped(batches: Iterator[pa.RecordBatch], unit: "Bytes", repeat) -> Iterato
                 label, seen = name, {}
             if context is None or context in seen:
                 repeat(rows, key, first, last, seen.get(context))
+                if apart and len(rows) >= ROWS:
+                    yield Group(), rows
+                    rows = []
                 continue
             seen[context] = len(group.contexts)
             group.contexts.append(context)
@@ -180,7 +184,7 @@ def _mark(unit: "Bytes"):
         rows.append((key, first, last + unit.window))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group, rows in grouped(batches, unit, repeat):
+        for group, rows in grouped(batches, unit, repeat, True):
             suffixes, sizes, prefixes = group.suffixes(unit)
             first = [group.place(own[0]) for own in suffixes]
             rank = np.empty(len(first), np.int64)

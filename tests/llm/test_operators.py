@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,9 +74,10 @@ def test_awkward_rows(spark, name):
 
 
 @pytest.mark.parametrize("unit", ["words", "bytes"])
-@pytest.mark.parametrize("hot", [None, 1])
-def test_repeats_brute_force(spark, unit, hot):
-    rows = corpus() + [(200, "ab " * 500, "s"), (201, "abcab" * 100, "s"), (202, None, "s"), (203, "", "s")]
+@pytest.mark.parametrize("hot, sample", [(None, 64), (1, 64), (1, 1), (6, 2)])
+def test_repeats_brute_force(spark, unit, hot, sample, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "ROWS", 5)
+    rows = corpus() + [(200, "ab " * 500, "s"), (201, "abcab" * 100, "s"), (202, None, "s"), (203, "", "s"), (204, "x " + "ab " * 400, "s")]
     width = 20 if unit == "words" else 100
     seen, want = set(), {}
     for i, t, _ in rows:
@@ -90,13 +92,29 @@ def test_repeats_brute_force(spark, unit, hot):
         data = " ".join(kept).encode() if unit == "words" else bytes(kept)
         runs = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
         want[i] = (len(u), sum(gone), runs, hashlib.sha256(data).hexdigest())
-    from meterline.llm.repeats import remove_repeats
+    from meterline.llm.repeats import heavy_labels, remove_repeats
 
     one = substring_dedup.Words() if unit == "words" else suffix_dedup.Bytes()
+    one.sample = sample
+    if sample == 1:
+        assert heavy_labels(frame(spark, rows).select(F.col("doc_id").cast("long").alias("key"), "text"), one, hot).count() > 0
     got = {r["doc_id"]: (r["size"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in remove_repeats(frame(spark, rows), one, hot=hot).collect()}
     assert got == want
 
 
+def test_long_blocks_count_by_bytes():
+    from meterline.llm import repeats
+
+    unit = suffix_dedup.Bytes()
+    batch = pa.RecordBatch.from_pydict({"key": [1, 2], "text": ["a" * 40_000, "a" * 150]})
+    out = pa.Table.from_batches(repeats._label(unit)(iter([batch]))).to_pylist()
+    assert len({r["label"] for r in out}) == 1
+    assert [sum(r["key"] == k for r in out) for k in (1, 2)] == [1 + (40_000 - 100) // 400, 2]
+    parts = list(repeats._singly(unit, 7, 3, 3 + 39_900, b"a" * 40_000, True))
+    assert [(r[1], r[2], r[3], r[4]) for r in parts] == [(7, 3, 3, b"a" * 100), (7, 4, 39_903, None)]
+    assert len(list(repeats._singly(unit, 7, 3, 53, b"a" * 150, False))) == 51
+
+
 def test_repeats_of_numbered_lines(spark):
     # One label recurs in every line, with another number between: blocks that are long but don't repeat themselves.
     r = random.Random(11)
