@@ -13,6 +13,8 @@ U64 = np.uint64
 SEEDS = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 CHUNK = 1 << 21
 """Bytes of text that are worked on at once; a longer document is one chunk of its own."""
+BLOCK = 1 << 18
+"""The same where chunks needn't know of each other: what is computed on the way takes about 50 bytes for each."""
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -145,6 +147,20 @@ def as_bytes(column) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
+def text_parts(batch, times: str | None = None, text: str = "text", most: int = BLOCK):
+    """Neighbouring rows of a batch as batches of about `most` bytes of text, each with its texts' UTF-8 bytes, so that
+    beside the batch only one part's texts are held. times: a column of lists; a text counts as often as its list is long."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    column = batch.column(text).cast(pa.binary())
+    size = pc.fill_null(pc.binary_length(column), 0)
+    if times:
+        size = pc.multiply(size.cast(pa.int64()), pc.list_value_length(batch.column(times)).cast(pa.int64()))
+    for a, b in chunks(size.to_pylist(), most):
+        yield batch.slice(a, b - a), as_bytes(column.slice(a, b - a))
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 

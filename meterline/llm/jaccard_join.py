@@ -34,7 +34,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .arrays import CHUNK, LOWER, SEEDS, U64, as_bytes, both, chunks, joined, mix, names, signed, unsigned, word_limits
+from .arrays import CHUNK, LOWER, SEEDS, U64, both, joined, mix, names, signed, text_parts, unsigned, word_limits
 from .common import LARGEST, cut, documents, keyed, with_group, with_key
 from .components import components
 
@@ -82,13 +82,11 @@ def shingle_sets(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np
 def _digests(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = as_bytes(batch.column("text"))
-            keys = batch.column("key").to_numpy()
-            for a, b in chunks([len(t) for t in texts]):
-                name, at = shingle_sets(texts[a:b], words)
+            for part, texts in text_parts(batch):
+                name, at = shingle_sets(texts, words)
                 sums = [np.r_[U64(0), np.cumsum(mix(name ^ U64(k)))] for k in SEEDS]
                 one, two = (s[at[1:]] - s[at[:-1]] for s in sums)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[a:b]), pa.array(np.diff(at).astype(np.int64)), pa.array(signed(one)), pa.array(signed(two))], names=["key", "n", "d1", "d2"])
+                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(np.diff(at).astype(np.int64)), pa.array(signed(one)), pa.array(signed(two))], names=["key", "n", "d1", "d2"])
 
     return run
 
@@ -96,9 +94,8 @@ def _digests(words: int):
 def _all_shingles(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = as_bytes(batch.column("text"))
-            for a, b in chunks([len(t) for t in texts]):
-                found, n = np.unique(shingle_sets(texts[a:b], words)[0], return_counts=True)
+            for _, texts in text_parts(batch):
+                found, n = np.unique(shingle_sets(texts, words)[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(signed(found)), pa.array(n)], names=["shingle", "n"])
 
     return run
@@ -150,16 +147,14 @@ def _prefixes(words: int, percent: int, order: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sieve = order.value.sieve()
         for batch in batches:
-            texts = as_bytes(batch.column("text"))
-            keys = batch.column("key").to_numpy()
-            for a, b in chunks([len(t) for t in texts]):
-                name, at = shingle_sets(texts[a:b], words)
+            for part, texts in text_parts(batch):
+                name, at = shingle_sets(texts, words)
                 name = order.value.sort(name, at, sieve)
                 n = np.diff(at)
                 take = prefix_length(n, percent)
-                which = np.repeat(np.arange(b - a), take)
+                which = np.repeat(np.arange(len(texts)), take)
                 place = np.arange(len(which)) - np.repeat(np.cumsum(take) - take, take) + at[which]
-                yield pa.RecordBatch.from_arrays([pa.array(signed(name[place])), pa.array(keys[a:b][which]), pa.array(n[which].astype(np.int32))], names=["shingle", "key", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(signed(name[place])), pa.array(part.column("key").to_numpy()[which]), pa.array(n[which].astype(np.int32))], names=["shingle", "key", "n"])
 
     return run
 
@@ -171,20 +166,19 @@ def _short_prefixes(words: int, percent: int, order: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sieve = order.value.sieve()
         for batch in batches:
-            texts = as_bytes(batch.column("text"))
-            keys, regions = batch.column("key").to_numpy(), batch.column("regions").to_pylist()
-            for a, b in chunks([len(t) * len(r) for t, r in zip(texts, regions, strict=True)]):
-                name, at = shingle_sets(texts[a:b], words)
+            for part, texts in text_parts(batch, "regions"):
+                keys, regions = part.column("key").to_numpy(), part.column("regions").to_pylist()
+                name, at = shingle_sets(texts, words)
                 name = order.value.sort(name, at, sieve)
                 n = np.diff(at)
                 take = n - (-(-percent * n // 100)) + 1
                 first = n - (-(-2 * percent * n // (100 + percent))) + 1
-                times = np.array([len(r) for r in regions[a:b]])
-                which = np.repeat(np.arange(b - a), take * times)
+                times = np.array([len(r) for r in regions])
+                which = np.repeat(np.arange(len(texts)), take * times)
                 step = np.arange(len(which)) - np.repeat(np.cumsum(take * times) - take * times, take * times)
                 inner = step % np.maximum(take[which], 1)
-                region = np.array([r for own, k in zip(regions[a:b], take.tolist(), strict=True) for r in own for _ in range(k)], np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(region), pa.array(signed(name[at[which] + inner])), pa.array(keys[a:b][which]), pa.array(n[which]), pa.array(inner < first[which])], names=["region", "shingle", "key", "n", "first"])
+                region = np.array([r for own, k in zip(regions, take.tolist(), strict=True) for r in own for _ in range(k)], np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(region), pa.array(signed(name[at[which] + inner])), pa.array(keys[which]), pa.array(n[which]), pa.array(inner < first[which])], names=["region", "shingle", "key", "n", "first"])
 
     return run
 
@@ -222,14 +216,12 @@ def _send(words: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = as_bytes(batch.column("text"))
-            keys = batch.column("key").to_pylist()
-            cells = batch.column("cells").to_pylist()
-            for a, b in chunks([len(t) * len(c) for t, c in zip(texts, cells, strict=True)]):
-                name, at = shingle_sets(texts[a:b], words)
+            for part, texts in text_parts(batch, "cells"):
+                keys, cells = part.column("key").to_pylist(), part.column("cells").to_pylist()
+                name, at = shingle_sets(texts, words)
                 rows = []
-                for i in range(a, b):
-                    own = name[at[i - a] : at[i - a + 1]].tobytes()
+                for i in range(len(texts)):
+                    own = name[at[i] : at[i + 1]].tobytes()
                     rows += [(c["cell"], c["region"], c["role"], keys[i], own) for c in cells[i]]
                     if len(rows) * len(own) > CHUNK:
                         yield _batch(rows)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .arrays import as_bytes
+from .arrays import text_parts
 from .common import cut, documents
 from .tokens import Encoder
 
@@ -42,15 +42,15 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = END, tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoders.get(path) or _encoders.setdefault(path, Encoder(path))
-        for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
+        for part, texts in (x for batch in batches for x in text_parts(batch)):
+            ids = part.column("doc_id").to_pylist()
             rows: tuple[list, ...] = ([], [], [], [], [])
-            for doc_id, own in zip(ids, encode([t.decode() for t in as_bytes(batch.column("text"))]), strict=True):
+            for doc_id, own in zip(ids, encode([t.decode() for t in texts]), strict=True):
                 own = np.append(own, np.uint32(end)).astype("<u4")
                 first = len(own) % length or length
                 for k, a in enumerate([0, *range(first, len(own), length)]):
-                    part = own[a : first if not k else a + length]
-                    for o, v in zip(rows, (doc_id, k, a, len(part), zlib.crc32(part.tobytes())), strict=True):
+                    piece = own[a : first if not k else a + length]
+                    for o, v in zip(rows, (doc_id, k, a, len(piece), zlib.crc32(piece.tobytes())), strict=True):
                         o.append(v)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(r, t) for r, t in zip(rows, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)],

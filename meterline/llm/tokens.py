@@ -12,7 +12,7 @@ import unicodedata
 
 import numpy as np
 
-from .arrays import chunks, names
+from .arrays import BLOCK, chunks, names
 
 SPACES = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 """Unicode white space."""
@@ -96,7 +96,7 @@ class Encoder:
 
     def __call__(self, texts: list[str]):
         """Yields the ids (uint32) of each text."""
-        for a, b in chunks([len(t) for t in texts]):
+        for a, b in chunks([len(t) for t in texts], BLOCK):
             yield from self._chunk(texts[a:b])
 
     def _chunk(self, texts: list[str]):

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrays import LOWER, U64, as_bytes, chunks, joined, names, signed
+from .arrays import BLOCK, LOWER, U64, as_bytes, chunks, joined, names, signed, text_parts
 from .common import cut, documents
 
 TRAIN_MOST = 6000
@@ -63,10 +63,9 @@ def features(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[tu
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        toxic = batch.column("toxic").to_numpy()
-        texts = as_bytes(batch.column("text"))
-        for a, b in chunks([len(t) for t in texts]):
-            buf, start, end, at = tokens(texts[a:b])
+        for part, texts in text_parts(batch):
+            toxic = part.column("toxic").to_numpy()
+            buf, start, end, at = tokens(texts)
             doc = np.searchsorted(at, start, "right") - 1
             found = [(h, doc[own]) for own, h in features(buf, start, end)]
             h, d = np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
@@ -74,7 +73,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             h, d = h[order], d[order]
             once = np.r_[True, (h[1:] != h[:-1]) | (d[1:] != d[:-1])] if len(h) else np.zeros(0, bool)
             name, back = np.unique(h[once], return_inverse=True)
-            bad = np.bincount(back, toxic[a:b][d[once]], len(name)).astype(np.int64)
+            bad = np.bincount(back, toxic[d[once]], len(name)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(signed(name)), pa.array(bad), pa.array(np.bincount(back, minlength=len(name)) - bad)], names=["feature", "bad", "good"])
 
 
@@ -246,7 +245,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_MOST, seed: int =
     lexicon = Lexicon(hashes[by], np.searchsorted(STEPS, found["odds"].to_numpy()[by], "right").astype(np.uint8))
 
     def levels(texts: list[bytes]) -> Iterator[np.ndarray]:
-        for a, b in chunks([len(t) for t in texts]):
+        for a, b in chunks([len(t) for t in texts], BLOCK):
             buf, start, end, at = tokens(texts[a:b])
             level, limit = lexicon.of(buf, start, end), np.searchsorted(start, at)
             yield from (level[limit[i] : limit[i + 1]] for i in range(b - a))
@@ -295,32 +294,30 @@ def score(docs: DataFrame, lexicon: Lexicon, field: Field, text: str = "text") -
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = as_bytes(batch.column(text))
+        for part, texts in (x for batch in batches for x in text_parts(batch, text=text)):
             scores, spans = [], []
-            for a, b in chunks([len(t) for t in texts]):
-                buf, start, end, at = tokens(texts[a:b])
-                level = lexicon.of(buf, start, end)
-                limit = np.searchsorted(start, at)
-                none = field.score(np.zeros(0))
-                marked = np.add.reduceat(np.r_[level > 0, False], np.minimum(limit[:-1], len(level))) if len(level) else np.zeros(b - a, int)
-                for i in range(b - a):
-                    lo, hi = limit[i], limit[i + 1]
-                    if lo == hi or not marked[i]:
-                        scores.append(none)
-                        spans.append("")
-                        continue
-                    where, p = field.marginals(level[lo:hi])
-                    scores.append(field.score(p))
-                    bad = where[p >= 0.5] + lo
-                    if len(bad):
-                        lead = np.cumsum((buf[at[i] : at[i + 1]] & 0xC0) != 0x80)
-                        spans.append(",".join(f"{lead[s - at[i]] - 1}:{lead[e - at[i] - 1]}" for s, e in zip(start[bad], end[bad], strict=True)))
-                    else:
-                        spans.append("")
+            buf, start, end, at = tokens(texts)
+            level = lexicon.of(buf, start, end)
+            limit = np.searchsorted(start, at)
+            none = field.score(np.zeros(0))
+            marked = np.add.reduceat(np.r_[level > 0, False], np.minimum(limit[:-1], len(level))) if len(level) else np.zeros(len(texts), int)
+            for i in range(len(texts)):
+                lo, hi = limit[i], limit[i + 1]
+                if lo == hi or not marked[i]:
+                    scores.append(none)
+                    spans.append("")
+                    continue
+                where, p = field.marginals(level[lo:hi])
+                scores.append(field.score(p))
+                bad = where[p >= 0.5] + lo
+                if len(bad):
+                    lead = np.cumsum((buf[at[i] : at[i + 1]] & 0xC0) != 0x80)
+                    spans.append(",".join(f"{lead[s - at[i]] - 1}:{lead[e - at[i] - 1]}" for s, e in zip(start[bad], end[bad], strict=True)))
+                else:
+                    spans.append("")
             points = np.array(scores, float)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(points), pa.array((points >= CUT).astype(np.int32)), pa.array([s.count(":") for s in spans], pa.int32()), pa.array(spans, pa.string())],
+                [*part.columns, pa.array(points), pa.array((points >= CUT).astype(np.int32)), pa.array([s.count(":") for s in spans], pa.int32()), pa.array(spans, pa.string())],
                 names=[*keep, "score", "predicted", "n_spans", "spans"],
             )
 

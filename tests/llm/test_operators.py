@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from meterline.llm import alignment, common, hard_negatives, jaccard_join, line_dedup, mixing, packing, pii, quality, quotes, sketches, substring_dedup, suffix_dedup, toxicity
+from meterline.llm import alignment, arrays, common, hard_negatives, jaccard_join, line_dedup, mixing, packing, pii, quality, quotes, sketches, substring_dedup, suffix_dedup, tokens, toxicity
 from meterline.llm.tokens import Encoder
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -1140,3 +1140,52 @@ def test_clashing_names_are_ignored(spark):
     talk = spark.createDataFrame([(1, 0, "u", "hello there"), (1, 1, "a", "> hello there\nyes")], "conv_id long, turn long, role string, text string")
     assert shown(quotes.link_quotes(talk.select("*", *[F.lit("odd").alias(n) for n in names]))) == shown(quotes.link_quotes(talk))
     assert shown(alignment.align(odd)) == shown(alignment.align(plain)) and shown(line_dedup.line_dedup(odd)) == shown(line_dedup.line_dedup(plain))
+
+
+def text_batch():
+    rng = np.random.default_rng(5)
+    words = np.array([f"w{i}" for i in range(3000)])
+    texts = [None, "", *(" ".join(words[rng.integers(0, 3000, 300)]) for _ in range(2500)), " ".join(words[rng.integers(0, 3000, 9000)])]
+    cells = [[{"cell": i % 3, "region": 1, "role": 1}] * (i % 3) for i in range(len(texts))]
+    return pa.RecordBatch.from_pydict({"key": list(range(len(texts))), "text": texts, "cells": cells, "toxic": [i % 2 for i in range(len(texts))]})
+
+
+def test_memory_of_texts():
+    """Beside a batch, what is computed over its texts takes memory for a part of them."""
+    import tracemalloc
+
+    batch = text_batch()
+    encoder, plain = tokens.Encoder(packing.default_tokenizer()), [t or "" for t in batch.column("text").to_pylist()]
+    runs = {
+        "digests": lambda: jaccard_join._digests(4)([batch]),
+        "shingles": lambda: jaccard_join._all_shingles(4)([batch]),
+        "send": lambda: jaccard_join._send(4)([batch]),
+        "tokens": lambda: encoder(plain),
+        "toxicity": lambda: toxicity._count([batch]),
+    }
+    most = {}
+    for name, run in runs.items():
+        tracemalloc.start()
+        for _ in run():
+            pass
+        most[name] = round(tracemalloc.get_traced_memory()[1] / 1e6)
+        tracemalloc.stop()
+    assert max(most.values()) < 20, most
+
+
+def test_parts_of_texts():
+    batch = text_batch()
+    texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
+    parts = list(arrays.text_parts(batch))
+    assert len(parts) > 5 and max(sum(map(len, t)) for _, t in parts) <= arrays.BLOCK
+    assert [k for p, _ in parts for k in p.column("key").to_pylist()] == list(range(len(texts))) and [x for _, t in parts for x in t] == texts
+    assert [k for p, _ in arrays.text_parts(batch.slice(1, 5), "cells", most=10) for k in p.column("key").to_pylist()] == [1, 2, 3, 4, 5]
+    assert list(arrays.text_parts(batch.slice(0, 0))) == []
+    name, at = jaccard_join.shingle_sets(texts)
+    got = [r for b in jaccard_join._digests(4)([batch]) for r in b.to_pylist()]
+    assert [r["key"] for r in got] == list(range(len(texts))) and [r["n"] for r in got] == np.diff(at).tolist()
+    send = [r for b in jaccard_join._send(4)([batch]) for r in b.to_pylist()]
+    assert [r["key"] for r in send] == [i for i in range(len(texts)) for _ in range(i % 3)]
+    assert all(r["set"] == name[at[r["key"]] : at[r["key"] + 1]].tobytes() for r in send)
+    encoder, plain = tokens.Encoder(packing.default_tokenizer()), [t.decode() for t in texts]
+    assert [x.tolist() for x in encoder(plain)] == [encoder.slow.encode(t, add_special_tokens=False).ids for t in plain]
